@@ -68,7 +68,7 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     )
     # Last row of every (key, bucket): a partial aggregate, one row per group.
     tails = ranged.groupBy(*keys, _CHUNK).agg(
-        F.max(F.struct(*order, *[F.col(v).alias(f"_seq_v_{v}") for v in values]))
+        F.max_by(F.struct(*[F.col(v).alias(f"_seq_v_{v}") for v in values]), F.struct(*order))
         .alias("_seq_last"))
     # At most `chunks` + 1 rows per key, so this window is bounded for any skew.
     carry = tails.select(

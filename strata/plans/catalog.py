@@ -67,3 +67,528 @@ def traffic_window_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = derive.page_log(load_table(spark, sf_dir, "events"))
     flagged = traffic.page_view_flags(log, mid="mid", ts="ts", tiebreak="event_id")
     return traffic.traffic_window(flagged, size="1 hour")
+
+
+# --------------------------------------------------------------------------
+# Sources and parsing (ODS → DWD)
+# --------------------------------------------------------------------------
+
+@register("src_events", """
+SELECT 'topic_log' AS topic, CAST(user_id AS VARCHAR) AS key, props AS value,
+       event_id AS "offset", ts AS "timestamp"
+FROM events
+""")
+def src_events_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as raw log records (binary value decoded to text, as a string
+    source does), with the record's key, offset and timestamp."""
+    from strata.sources.files import as_log_records
+    records = as_log_records(load_table(spark, sf_dir, "events"), topic="topic_log",
+                             key=F.col("user_id"), value=F.col("props"),
+                             offset=F.col("event_id"), timestamp=F.col("ts"))
+    return records.select("topic", F.col("key").cast("string").alias("key"),
+                          F.col("value").cast("string").alias("value"), "offset", "timestamp")
+
+
+@register("json_parse", """
+SELECT event_id, CAST(user_id AS VARCHAR) AS mid, event_type AS ch,
+       CAST(round(value * 1000) AS BIGINT) AS during_time, epoch_us(ts) // 1000 AS ts_ms,
+       CAST(json_extract(props, '$.k') AS INTEGER) AS k
+FROM events
+""")
+def json_parse_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page-log JSON built from ``events``, parsed back with a declared schema;
+    nested paths (``common.mid``) and the ``props`` payload read as typed values."""
+    from strata import schemas
+    from strata.functions import json as jsonf
+    ev = load_table(spark, sf_dir, "events")
+    raw = ev.select("event_id", "props", F.to_json(F.struct(
+        F.struct(F.col("user_id").cast("string").alias("mid"),
+                 F.col("event_type").alias("ch")).alias("common"),
+        F.struct(F.round(F.col("value") * 1000).cast("long").alias("during_time")).alias("page"),
+        F.unix_millis(F.col("ts").cast("timestamp")).alias("ts"))).alias("value"))
+    log = raw.select("event_id", jsonf.parse(F.col("value"), schemas.PAGE_LOG).alias("p"),
+                     jsonf.parse(F.col("props"), "k INT").alias("props"))
+    return log.select("event_id", F.col("p.common.mid").alias("mid"),
+                      F.col("p.common.ch").alias("ch"),
+                      F.col("p.page.during_time").alias("during_time"),
+                      F.col("p.ts").alias("ts_ms"), F.col("props.k").alias("k"))
+
+
+_DIRTY_VALUE = """CASE event_id % 7 WHEN 0 THEN substr(props, 1, length(props) - 1)
+                    WHEN 1 THEN '[1]' WHEN 2 THEN '' WHEN 3 THEN '{}' ELSE props END"""
+
+
+@register("dirty_split", f"""
+SELECT event_id, value,
+       NOT (CASE WHEN json_valid(value) THEN json_type(value) = 'OBJECT' ELSE false END) AS is_dirty
+FROM (SELECT event_id, {_DIRTY_VALUE} AS value FROM events)
+""")
+def dirty_split_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw log with truncated, non-object and empty records mixed in; every
+    record labelled clean or dirty (the side-output split)."""
+    from strata.operators.parse import flag_dirty
+    ev = load_table(spark, sf_dir, "events")
+    raw = ev.select("event_id", F.expr(_DIRTY_VALUE).alias("value"))
+    return flag_dirty(raw, "value")
+
+
+_ENVELOPE_TYPE = """CASE event_type WHEN 'view' THEN 'insert' WHEN 'click' THEN 'update'
+     WHEN 'purchase' THEN 'delete'
+     WHEN 'signup' THEN (CASE event_id % 3 WHEN 0 THEN 'bootstrap-start'
+                                           WHEN 1 THEN 'bootstrap-insert'
+                                           ELSE 'bootstrap-complete' END)
+     ELSE NULL END"""
+
+
+@register("control_filter", f"""
+SELECT event_id, type FROM (SELECT event_id, {_ENVELOPE_TYPE} AS type FROM events)
+WHERE coalesce(type, '') NOT IN ('bootstrap-start', 'bootstrap-complete')
+""")
+def control_filter_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change envelopes with bootstrap markers and NULL types; markers drop,
+    NULL types stay."""
+    from strata.operators.parse import drop_control_records
+    ev = load_table(spark, sf_dir, "events")
+    env = ev.select("event_id", F.expr(_ENVELOPE_TYPE).alias("type"))
+    return drop_control_records(env)
+
+
+@register("csv_parse", """
+SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier
+""")
+def csv_parse_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``supplier`` written as comma lines (with a trailing separator) and read
+    back with a strict typed parse."""
+    from strata.operators.parse import parse_delimited
+    sup = load_table(spark, sf_dir, "supplier")
+    lines = sup.select(F.concat(F.concat_ws(",", "s_suppkey", "s_name", "s_nationkey", "s_acctbal"),
+                                F.lit(",")).alias("value"))
+    return parse_delimited(lines, [("s_suppkey", "bigint"), ("s_name", "string"),
+                                   ("s_nationkey", "int"), ("s_acctbal", "double")])
+
+
+@register("date_functions", """
+SELECT o_orderkey,
+       epoch_ms(CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP)) - 28800000 AS ts_ms,
+       strftime(o_orderdate, '%Y-%m-%d') AS dt,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS dt_full,
+       strftime(o_orderdate - INTERVAL 8 HOUR, '%Y-%m-%d %H:%M:%S') AS dt_utc
+FROM orders
+""")
+def date_functions_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order dates as ``yyyy-MM-dd`` text at +08:00 → epoch ms → formatted back
+    at +08:00 (round trip) and at UTC."""
+    from strata.functions import dates
+    o = load_table(spark, sf_dir, "orders")
+    ms = o.select("o_orderkey", dates.to_ts(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("ts_ms"))
+    return ms.select("o_orderkey", "ts_ms", dates.to_date(F.col("ts_ms")).alias("dt"),
+                     dates.to_ymd_hms(F.col("ts_ms")).alias("dt_full"),
+                     dates.to_ymd_hms(F.col("ts_ms"), "+00:00").alias("dt_utc"))
+
+
+@register("change_envelope", """
+SELECT 'orders' AS table_name,
+       CASE o_orderstatus WHEN 'F' THEN 'update' WHEN 'O' THEN 'insert' ELSE 'delete' END AS type,
+       CAST(CAST(epoch(o_orderdate) AS BIGINT) AS VARCHAR) AS ts,
+       o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+       CASE WHEN o_orderstatus = 'F' THEN 'O' END AS old_status
+FROM orders
+""")
+def change_envelope_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders`` serialised as JSON change envelopes and parsed back through the
+    envelope schema (map payloads read by key)."""
+    from strata.operators.parse import parse_envelopes
+    from strata.plans.derive import envelope
+    o = load_table(spark, sf_dir, "orders")
+    typ = (F.when(F.col("o_orderstatus") == "F", "update")
+            .when(F.col("o_orderstatus") == "O", "insert").otherwise("delete"))
+    cols = envelope("orders", typ, F.unix_seconds(F.col("o_orderdate").cast("timestamp")),
+                    {c: F.col(c) for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")},
+                    old=None)
+    env = o.select(*cols[:5], F.when(F.col("o_orderstatus") == "F",
+                                     F.create_map(F.lit("o_orderstatus"), F.lit("O"))).alias("old"))
+    raw = env.select(F.to_json(F.struct(*env.columns)).alias("value"))
+    e = parse_envelopes(raw)
+    return e.select(F.col("table").alias("table_name"), "type", "ts",
+                    F.col("data")["o_orderkey"].cast("bigint").alias("o_orderkey"),
+                    F.col("data")["o_custkey"].cast("bigint").alias("o_custkey"),
+                    F.col("data")["o_orderstatus"].alias("o_orderstatus"),
+                    F.col("data")["o_totalprice"].cast("double").alias("o_totalprice"),
+                    F.col("old")["o_orderstatus"].alias("old_status"))
+
+
+# --------------------------------------------------------------------------
+# CDC apply, config state, dimension routing and upserts (DIM)
+# --------------------------------------------------------------------------
+
+@register("cdc_apply", """
+SELECT user_id, event_id, ts, event_type, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events) WHERE rn = 1 AND event_type <> 'error'
+""")
+def cdc_apply_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as the change log of a table keyed by ``user_id`` (``error``
+    rows are deletes): the surviving current rows."""
+    from strata.operators.cdc import apply_changes
+    ev = load_table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    return apply_changes(ev, ["user_id"], ["ts", "event_id"], F.col("event_type") == "error")
+
+
+_CONFIG_LOG_SQL = """
+WITH c AS (
+  SELECT event_id AS seq, epoch_us(ts) // 1000 AS ts_ms, event_type,
+         'tbl_' || CAST(user_id AS VARCHAR) AS k,
+         CASE event_type WHEN 'view' THEN 'r' WHEN 'click' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END AS op,
+         CASE WHEN event_type = 'purchase' THEN 'tbl_' || CAST(user_id AS VARCHAR) || '_r'
+              ELSE 'tbl_' || CAST(user_id AS VARCHAR) END AS after_key,
+         CASE WHEN value < 50 THEN 'dim' ELSE 'dwd' END AS sink_type,
+         CASE event_id % 3 WHEN 0 THEN 'id,' || event_type || ',k,'
+                           WHEN 1 THEN 'id, k' ELSE 'id,k' END AS sink_columns,
+         CASE WHEN event_id % 2 = 0 THEN NULL ELSE 'k' END AS sink_pk,
+         CASE WHEN event_id % 5 = 0 THEN 'SALT_BUCKETS = 4' END AS sink_extend
+  FROM events
+), actions AS (
+  SELECT k AS source_table, ts_ms, seq, 0 AS rnk, NULL AS source_type, NULL AS sink_table,
+         NULL AS sink_type, NULL AS sink_columns, NULL AS sink_pk, NULL AS sink_extend
+  FROM c WHERE op IN ('u', 'd')
+  UNION ALL
+  SELECT after_key, ts_ms, seq, 1, event_type, 'dim_' || after_key, sink_type, sink_columns,
+         sink_pk, sink_extend
+  FROM c WHERE op <> 'd'
+), config AS (
+  SELECT source_table, source_type, sink_table, sink_type, sink_columns, sink_pk, sink_extend
+  FROM (SELECT *, row_number() OVER (PARTITION BY source_table
+                                     ORDER BY ts_ms DESC, seq DESC, rnk DESC) AS rn
+        FROM actions)
+  WHERE rn = 1 AND rnk = 1 AND sink_type = 'dim'
+)
+"""
+
+
+def _config_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The routing config's change log, derived from ``events``: one change per
+    event on table ``tbl_<user>`` (r/c/u/d by event type; purchases rename the
+    table), with dim/dwd types, odd column lists and missing keys mixed in."""
+    ev = load_table(spark, sf_dir, "events")
+    k = F.concat(F.lit("tbl_"), F.col("user_id").cast("string"))
+    op = (F.when(F.col("event_type") == "view", "r").when(F.col("event_type") == "click", "c")
+           .when(F.col("event_type") == "error", "d").otherwise("u"))
+    after_key = F.when(F.col("event_type") == "purchase", F.concat(k, F.lit("_r"))).otherwise(k)
+    cols = (F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("id,"), F.col("event_type"), F.lit(",k,")))
+             .when(F.col("event_id") % 3 == 1, F.lit("id, k")).otherwise(F.lit("id,k")))
+    after = F.struct(
+        after_key.alias("source_table"), F.col("event_type").alias("source_type"),
+        F.concat(F.lit("dim_"), after_key).alias("sink_table"),
+        F.when(F.col("value") < 50, "dim").otherwise("dwd").alias("sink_type"),
+        cols.alias("sink_columns"),
+        F.when(F.col("event_id") % 2 == 0, F.lit(None)).otherwise(F.lit("k")).alias("sink_pk"),
+        F.when(F.col("event_id") % 5 == 0, F.lit("SALT_BUCKETS = 4")).alias("sink_extend"))
+    before = F.struct(k.alias("source_table"), F.lit(None).cast("string").alias("source_type"),
+                      F.lit(None).cast("string").alias("sink_table"), F.lit("dim").alias("sink_type"),
+                      F.lit(None).cast("string").alias("sink_columns"),
+                      F.lit(None).cast("string").alias("sink_pk"),
+                      F.lit(None).cast("string").alias("sink_extend"))
+    return ev.select(
+        op.alias("op"),
+        F.when(op.isin("u", "d"), before).alias("before"),
+        F.when(op != "d", after).alias("after"),
+        F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"),
+        F.col("event_id").alias("seq"))
+
+
+@register("config_preload", _CONFIG_LOG_SQL + """
+SELECT * FROM config
+""")
+def config_preload_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live dimension config (``sink_type = 'dim'``) from the config change log:
+    the table loaded before routing starts."""
+    from strata.operators.cdc import config_state
+    return config_state(_config_log(spark, sf_dir))
+
+
+@register("dim_schema", _CONFIG_LOG_SQL + """
+SELECT sink_table, CAST(i - 1 AS INTEGER) AS ordinal, cols[i] AS column_name,
+       cols[i] = coalesce(sink_pk, 'id') AS is_pk, coalesce(sink_extend, '') AS sink_extend
+FROM (SELECT *, string_split(rtrim(sink_columns, ','), ',') AS cols FROM config) AS t,
+     LATERAL (SELECT unnest(range(1, len(t.cols) + 1)) AS i)
+""")
+def dim_schema_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dimension table schemas (column, position, key flag) from the live config."""
+    from strata.operators.cdc import config_state
+    from strata.operators.dim import table_columns
+    return table_columns(config_state(_config_log(spark, sf_dir)))
+
+
+_ROUTE_CONFIG_LOG = [
+    # op, source_table, sink_table, sink_type, sink_columns, sink_pk, seq
+    ("r", "nation", "dim_nation", "dim", "n_nationkey,n_name,n_regionkey", "n_nationkey", 1),
+    ("r", "region", "dim_region", "dim", "r_regionkey,r_name", None, 2),
+    ("r", "supplier", "dim_supplier", "dim", "s_suppkey,s_name, s_nationkey", "s_suppkey", 3),
+    ("r", "customer", "dwd_customer", "dwd", "c_custkey,c_name", "c_custkey", 4),
+    ("c", "orders", "dim_orders", "dim", "o_orderkey", "o_orderkey", 5),
+    ("d", "orders", "dim_orders", "dim", "o_orderkey", "o_orderkey", 6),
+]
+
+
+def _route_config(spark: SparkSession) -> DataFrame:
+    """Config change log for routing the driver tables; applied to its state."""
+    from strata import schemas
+    from strata.operators.cdc import config_state
+    rows = []
+    for op, src, sink, typ, cols, pk, seq in _ROUTE_CONFIG_LOG:
+        row = (src, None, sink, typ, cols, pk, None)
+        rows.append((op, row if op in ("u", "d") else None, row if op != "d" else None, seq, seq))
+    return config_state(spark.createDataFrame(rows, schemas.CONFIG_CDC))
+
+
+def _table_envelopes(spark: SparkSession, sf_dir: str, tables: list[str]) -> DataFrame:
+    from functools import reduce
+    frames = []
+    for t in tables:
+        df = load_table(spark, sf_dir, t)
+        frames.append(derive.table_envelopes(df, t, F.lit(0)))
+    return reduce(DataFrame.unionByName, frames)
+
+
+@register("dim_route", """
+WITH routed AS (
+  SELECT 'dim_nation' AS sink_table, 'n_nationkey' AS sink_pk, CAST(n_nationkey AS VARCHAR) AS pk_value,
+         CAST(n_nationkey AS VARCHAR) AS a, n_name AS b, CAST(n_regionkey AS VARCHAR) AS c FROM nation
+)
+SELECT sink_table, sink_pk, 'insert' AS type, pk_value, 'n_nationkey' AS column_name, a AS column_value FROM routed
+UNION ALL SELECT sink_table, sink_pk, 'insert', pk_value, 'n_name', b FROM routed
+UNION ALL SELECT sink_table, sink_pk, 'insert', pk_value, 'n_regionkey', c FROM routed
+UNION ALL SELECT 'dim_region', 'id', 'insert', NULL, 'r_regionkey', CAST(r_regionkey AS VARCHAR) FROM region
+UNION ALL SELECT 'dim_region', 'id', 'insert', NULL, 'r_name', r_name FROM region
+UNION ALL SELECT 'dim_supplier', 's_suppkey', 'insert', CAST(s_suppkey AS VARCHAR), 's_suppkey',
+                 CAST(s_suppkey AS VARCHAR) FROM supplier
+UNION ALL SELECT 'dim_supplier', 's_suppkey', 'insert', CAST(s_suppkey AS VARCHAR), 's_name', s_name FROM supplier
+""")
+def dim_route_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Insert envelopes of nation, region, supplier, customer and orders routed
+    by the live config: customer is not a dimension and orders was deleted from
+    the config, so both drop; payloads are pruned to the configured columns
+    (``" s_nationkey"`` with its space matches nothing). Shown one row per kept
+    column."""
+    from strata.operators.dim import route
+    env = _table_envelopes(spark, sf_dir, ["nation", "region", "supplier", "customer", "orders"])
+    routed = route(env, _route_config(spark))
+    return routed.select("sink_table", "sink_pk", "type", "pk_value",
+                         F.explode("data").alias("column_name", "column_value"))
+
+
+@register("upsert_latest", """
+SELECT o_custkey, o_orderkey, o_orderdate, o_orderstatus, o_totalprice FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+  FROM orders) WHERE rn = 1
+""")
+def upsert_latest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyed table after upserting every order under key ``o_custkey``: the
+    latest row per key (what an upsert sink keeps)."""
+    from strata.operators.cdc import latest_per_key
+    o = load_table(spark, sf_dir, "orders").select(
+        "o_custkey", "o_orderkey", "o_orderdate", "o_orderstatus", "o_totalprice")
+    return latest_per_key(o, ["o_custkey"], ["o_orderdate", "o_orderkey"])
+
+
+@register("dim_upsert", """
+SELECT 'dim_customer_order' AS sink_table, CAST(o_custkey AS VARCHAR) AS pk_value,
+       CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, CAST(o_totalprice AS VARCHAR) AS o_totalprice
+FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+      FROM orders)
+WHERE rn = 1 AND o_orderstatus <> 'P'
+""")
+def dim_upsert_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order changes routed to a customer-keyed dimension and upserted; status
+    ``P`` arrives as a delete. The result is the dimension table's final state."""
+    from strata.operators.cdc import apply_changes
+    from strata.operators.dim import route
+    from strata import schemas
+    from strata.operators.cdc import config_state
+    o = load_table(spark, sf_dir, "orders")
+    typ = F.when(F.col("o_orderstatus") == "P", "delete").otherwise("update")
+    cols = derive.envelope("customer_order", typ, F.unix_seconds(F.col("o_orderdate").cast("timestamp")),
+                           {c: F.col(c) for c in ("o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice")})
+    env = o.select(*cols, F.col("o_orderkey").alias("seq"))
+    cfg_row = ("customer_order", None, "dim_customer_order", "dim",
+               "o_custkey,o_orderkey,o_orderstatus,o_totalprice", "o_custkey", None)
+    cfg = config_state(spark.createDataFrame([("r", None, cfg_row, 1, 1)], schemas.CONFIG_CDC))
+    routed = route(env, cfg).withColumn("seq", F.col("data")["o_orderkey"].cast("bigint"))
+    state = apply_changes(routed.withColumn("ts", F.col("ts").cast("bigint")),
+                          ["sink_table", "pk_value"], ["ts", "seq"], F.col("type") == "delete")
+    return state.select("sink_table", "pk_value",
+                        F.col("data")["o_orderkey"].alias("o_orderkey"),
+                        F.col("data")["o_orderstatus"].alias("o_orderstatus"),
+                        F.col("data")["o_totalprice"].alias("o_totalprice"))
+
+
+# --------------------------------------------------------------------------
+# Cart-add fact and dictionary lookup (DWD)
+# --------------------------------------------------------------------------
+
+_LINE_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity",
+               "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+
+_CART_SQL = f"""
+WITH s AS (
+  SELECT l_partkey, CAST(l_quantity AS INTEGER) AS q,
+         lag(CAST(l_quantity AS INTEGER)) OVER (PARTITION BY l_partkey ORDER BY {", ".join(_LINE_ORDER)}) AS p
+  FROM lineitem
+), cart AS (
+  SELECT CAST(l_partkey AS VARCHAR) AS sku_id, l_partkey,
+         CASE WHEN p IS NULL THEN q ELSE q - p END AS n
+  FROM s WHERE p IS NULL OR q > p
+)
+"""
+
+
+def _cart_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` as the change log of carts: per part (cart = sku), line items
+    in ship order are successive counts; the first is an insert, the rest
+    updates carrying the previous count as ``old``."""
+    from strata.operators.sequence import with_previous
+    li = load_table(spark, sf_dir, "lineitem").select("l_partkey", *_LINE_ORDER)
+    li = li.withColumn("q", F.col("l_quantity").cast("int"))
+    prev = with_previous(li, ["l_partkey"], _LINE_ORDER, ["q"], prefix="prev_")
+    data = {"id": F.col("l_partkey"), "user_id": F.col("l_suppkey"), "sku_id": F.col("l_partkey"),
+            "sku_num": F.col("q"), "source_type": F.col("l_partkey")}
+    typ = F.when(F.col("prev_q").isNull(), "insert").otherwise("update")
+    old = F.when(F.col("prev_q").isNotNull(),
+                 F.create_map(F.lit("sku_num"), F.col("prev_q").cast("string")))
+    cols = derive.envelope("cart_info", typ, F.unix_seconds(F.col("l_shipdate").cast("timestamp")), data)
+    return prev.select(*cols[:5], old.alias("old"))
+
+
+@register("cart_add", _CART_SQL + """
+SELECT sku_id, count(*) AS add_ct, CAST(sum(n) AS BIGINT) AS sku_num_sum FROM cart GROUP BY sku_id
+""")
+def cart_add_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cart additions from before/after deltas (inserts and increases only),
+    summarised per sku (count of additions, total added)."""
+    from strata.operators.fact import cart_add
+    facts = cart_add(_cart_envelopes(spark, sf_dir))
+    return facts.groupBy("sku_id").agg(F.count(F.lit(1)).alias("add_ct"),
+                                       F.sum(F.col("sku_num").cast("long")).alias("sku_num_sum"))
+
+
+@register("lookup_join", _CART_SQL + """
+SELECT p_brand AS source_type_name, count(*) AS add_ct, CAST(sum(n) AS BIGINT) AS sku_num_sum
+FROM cart JOIN part ON cart.l_partkey = part.p_partkey AND part.p_size < 20
+GROUP BY p_brand
+""")
+def lookup_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cart additions joined to a dictionary (parts of size under 20 → brand);
+    additions without an entry drop. Summarised per dictionary name."""
+    from strata.operators.fact import cart_add, lookup
+    facts = cart_add(_cart_envelopes(spark, sf_dir))
+    part = load_table(spark, sf_dir, "part").where(F.col("p_size") < 20)
+    dic = part.select(F.col("p_partkey").cast("string").alias("dic_code"),
+                      F.col("p_brand").alias("dic_name"))
+    joined = lookup(facts, dic)
+    return joined.groupBy("source_type_name").agg(
+        F.count(F.lit(1)).alias("add_ct"), F.sum(F.col("sku_num").cast("long")).alias("sku_num_sum"))
+
+
+# --------------------------------------------------------------------------
+# Joins
+# --------------------------------------------------------------------------
+
+@register("interval_join", """
+SELECT c.user_id, c.event_id AS click_id, p.event_id AS purchase_id, c.ts AS click_ts, p.ts AS purchase_ts
+FROM events c JOIN events p
+  ON c.user_id = p.user_id
+ AND p.ts BETWEEN c.ts - INTERVAL 10 MINUTE AND c.ts + INTERVAL 10 MINUTE
+WHERE c.event_type = 'click' AND p.event_type = 'purchase'
+""")
+def interval_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks joined to the same user's purchases within ±10 minutes (inclusive)."""
+    from strata.operators.joins import interval_join
+    ev = load_table(spark, sf_dir, "events")
+    clicks = ev.where(F.col("event_type") == "click").select(
+        "user_id", F.col("event_id").alias("click_id"), F.col("ts").alias("click_ts"))
+    buys = ev.where(F.col("event_type") == "purchase").select(
+        F.col("user_id").alias("p_user_id"), F.col("event_id").alias("purchase_id"),
+        F.col("ts").alias("purchase_ts"))
+    j = interval_join(clicks, buys, "user_id", "p_user_id", "click_ts", "purchase_ts", -600, 600)
+    return j.select("user_id", "click_id", "purchase_id", "click_ts", "purchase_ts")
+
+
+def _emp_dept(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Join sides: large orders (emp role, keyed by customer) and customers
+    outside one segment (dept role)."""
+    o = load_table(spark, sf_dir, "orders").where(F.col("o_totalprice") > 300000) \
+        .select("o_orderkey", "o_custkey", "o_totalprice")
+    c = load_table(spark, sf_dir, "customer").where(F.col("c_mktsegment") != "BUILDING") \
+        .select("c_custkey", "c_name")
+    return o, c
+
+
+_JOIN_SQL = """
+SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, c.c_custkey, c.c_name
+FROM (SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_totalprice > 300000) o
+{how} JOIN (SELECT c_custkey, c_name FROM customer WHERE c_mktsegment <> 'BUILDING') c
+  ON o.o_custkey = c.c_custkey
+"""
+
+
+def _join_query(how: str):
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from strata.operators.joins import keyed_join
+        o, c = _emp_dept(spark, sf_dir)
+        j = keyed_join(o, c, "o_custkey", "c_custkey", how)
+        return j.select("o_orderkey", "o_custkey", "o_totalprice", "c_custkey", "c_name")
+    q.__doc__ = f"Orders ⋈ customers on the customer key, {how} join."
+    return q
+
+
+for _how, _sql_how in (("inner", "INNER"), ("left", "LEFT"), ("right", "RIGHT"), ("full", "FULL OUTER")):
+    register(f"{_how}_join", _JOIN_SQL.format(how=_sql_how))(_join_query(_how))
+
+
+# --------------------------------------------------------------------------
+# DWS windows, first visits, late rows
+# --------------------------------------------------------------------------
+
+@register("uv_first_visit", """
+SELECT mid, dt, ts, event_id, ch FROM (
+  SELECT user_id AS mid, strftime(ts, '%Y-%m-%d') AS dt, ts, event_id, event_type AS ch,
+         row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS rn
+  FROM events) WHERE rn = 1
+""")
+def uv_first_visit_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First page view per device and day (the unique-visitor record)."""
+    log = derive.page_log(load_table(spark, sf_dir, "events"))
+    return traffic.uv_first_visit(log, carry=["ch"])
+
+
+@register("sku_order_window", """
+SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS stt,
+       strftime(w + INTERVAL 7 DAY, '%Y-%m-%d %H:%M:%S') AS edt,
+       l_partkey AS sku_id,
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS DOUBLE)
+         AS order_amount,
+       count(*) AS order_ct,
+       epoch_ms(w + INTERVAL 7 DAY) AS ts
+FROM (SELECT *, time_bucket(INTERVAL 7 DAY, l_shipdate, TIMESTAMP '1970-01-01') AS w FROM lineitem)
+GROUP BY w, l_partkey
+""")
+def sku_order_window_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly (epoch-aligned) order amount and line count per sku."""
+    li = load_table(spark, sf_dir, "lineitem")
+    amount = F.col("l_extendedprice").cast("decimal(12,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))
+    return traffic.sku_order_window(li, "l_shipdate", "l_partkey", amount, "7 days")
+
+
+@register("late_rows", """
+SELECT event_id, ts, max_seen FROM (
+  SELECT event_id, ts, max(ts) OVER (ORDER BY event_id + (event_id * 7919) % 97, event_id
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS max_seen
+  FROM events) WHERE ts < max_seen - INTERVAL 6 HOUR
+""")
+def late_rows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events replayed in a shuffled arrival order: the rows more than 6 h behind
+    the largest event time seen before them (what a 6 h watermark drops)."""
+    ev = load_table(spark, sf_dir, "events").select("event_id", "ts")
+    arrived = ev.withColumn("arrival", F.col("event_id") + (F.col("event_id") * 7919) % 97)
+    late = traffic.late_rows(arrived, ["arrival", "event_id"], "ts", "6 HOURS")
+    return late.select("event_id", "ts", "max_seen")
