@@ -2,11 +2,11 @@
 
 ``Window.partitionBy(key)`` puts every row of a key into one task; with a key
 holding a third of the data that task is the whole job. These helpers cut the
-ordering into contiguous chunks instead: equal-width buckets of the leading
-order column (width from one min/max aggregate, so the bucket count is bounded
-by ``chunks``). The window runs per ``(key, bucket)`` and the few values that
-cross a bucket edge are carried over through a table with at most one row per
-``(key, bucket)``.
+ordering of every *hot* key (more than 1/n of all rows; at most n such keys)
+into contiguous chunks of about 1/n of the rows each: equal-width buckets of
+the leading order column over that key's own range. Cold keys stay whole. The
+window runs per ``(key, chunk)`` and the few values that cross a chunk edge are
+carried over through a broadcast table with one row per hot chunk (at most 2n).
 
 Chunk ids are a pure function of the row, so every branch of the plan (and every
 retry after a lost executor) agrees on them. A range exchange would not: its
@@ -39,16 +39,48 @@ def _as_number(df: DataFrame, name: str) -> Column:
     return c.cast("double")
 
 
-def _chunked(df: DataFrame, order: Sequence[str], chunks: int | None) -> DataFrame:
+def _bucket(x: Column, lo: Column, hi: Column, nb: Column) -> Column:
+    """Equal-width bucket of ``x`` in ``[lo, hi]``: 0..nb-1, contiguous in order."""
+    width = F.greatest((hi - lo) / nb, F.lit(1e-9))
+    return F.least(F.floor((x - lo) / width), nb - 1).cast("long")
+
+
+def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+             chunks: int | None) -> DataFrame:
+    """Add the chunk id and ``_seq_hot``.
+
+    Without keys the whole frame is one sequence, cut into ``n`` buckets. With
+    keys only *hot* keys are cut: a key holding more than ``total / n`` rows
+    gets ``ceil(count / (total / n))`` buckets over its own min..max, so each
+    chunk holds about ``total / n`` rows; every other key stays whole (chunk
+    0). The chunks of all hot keys together number at most ``2n``.
+    """
     n = chunks or shuffle_partitions(df.sparkSession) * _CHUNKS_PER_PARTITION
     x = _as_number(df, order[0])
-    lo, hi = df.agg(F.min(x), F.max(x)).first()
+    total, lo, hi = df.agg(F.count(F.lit(1)), F.min(x), F.max(x)).first()
     if lo is None:
-        return df.withColumn(_CHUNK, F.lit(0).cast("long"))
-    width = max((float(hi) - float(lo)) / n, 1e-9)
-    # Bounded by n + 1 buckets whatever the data.
-    chunk = F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(n)).cast("long")
-    return df.withColumn(_CHUNK, chunk)
+        return df.withColumns({_CHUNK: F.lit(0).cast("long"), "_seq_hot": F.lit(False)})
+    if not keys:
+        return df.withColumns({_CHUNK: _bucket(x, F.lit(lo), F.lit(hi), F.lit(n)),
+                               "_seq_hot": F.lit(True)})
+    threshold = max(-(-total // n), 1)
+    # At most n keys can each hold more than total/n rows: the broadcast side
+    # has a proven bound of n rows.
+    hot = (df.groupBy(*keys)
+             .agg(F.count(F.lit(1)).alias("_seq_n"), F.min(x).alias("_seq_lo"),
+                  F.max(x).alias("_seq_hi"))
+             .where(F.col("_seq_n") > threshold)
+             .select(*[F.col(k).alias(f"_seq_h_{k}") for k in keys], "_seq_lo", "_seq_hi",
+                     F.ceil(F.col("_seq_n") / F.lit(threshold)).alias("_seq_nb")))
+    cond = None
+    for k in keys:
+        c = F.col(k).eqNullSafe(F.col(f"_seq_h_{k}"))
+        cond = c if cond is None else cond & c
+    marked = df.join(F.broadcast(hot), cond, "left")
+    is_hot = F.col("_seq_lo").isNotNull()
+    chunk = F.when(is_hot, _bucket(x, F.col("_seq_lo"), F.col("_seq_hi"), F.col("_seq_nb"))) \
+             .otherwise(F.lit(0).cast("long"))
+    return marked.select(*df.columns, chunk.alias(_CHUNK), is_hot.alias("_seq_hot"))
 
 
 def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -59,18 +91,17 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     ``order`` must be a total order inside a key (end it with a unique column),
     otherwise "previous" is not defined. Rows without a predecessor get NULL.
     """
-    ranged = _chunked(df, order, chunks)
+    ranged = _chunked(df, keys, order, chunks)
     w = Window.partitionBy(*keys, _CHUNK).orderBy(*order)
     local = ranged.select(
         "*",
         F.row_number().over(w).alias("_seq_rn"),
         *[F.lag(v).over(w).alias(f"_seq_p_{v}") for v in values],
     )
-    # Last row of every (key, bucket): a partial aggregate, one row per group.
-    tails = ranged.groupBy(*keys, _CHUNK).agg(
+    # Last row of every chunk of a hot key: at most 2n rows.
+    tails = ranged.where(F.col("_seq_hot")).groupBy(*keys, _CHUNK).agg(
         F.max_by(F.struct(*[F.col(v).alias(f"_seq_v_{v}") for v in values]), F.struct(*order))
         .alias("_seq_last"))
-    # At most `chunks` + 1 rows per key, so this window is bounded for any skew.
     carry = tails.select(
         *[F.col(k).alias(f"_seq_k_{k}") for k in keys], F.col(_CHUNK).alias("_seq_c"),
         F.lag("_seq_last").over(Window.partitionBy(*keys).orderBy(_CHUNK)).alias("_seq_carry"))
@@ -78,7 +109,8 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     cond = F.col(_CHUNK) == F.col("_seq_c")
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"_seq_k_{k}"))
-    joined = local.join(carry, on=cond, how="left")
+    # Bounded by the 2n chunks of hot keys, so the big side is never re-shuffled.
+    joined = local.join(F.broadcast(carry), on=cond, how="left")
     return joined.select(
         *df.columns,
         *[F.when(F.col("_seq_rn") == 1, F.col(f"_seq_carry._seq_v_{v}"))
@@ -91,10 +123,10 @@ def with_running_max(df: DataFrame, order: Sequence[str], value: str,
     in the global ``order`` (a single sequence: the worst case for one task).
 
     Each bucket computes its local running max; the prefix max of the earlier
-    buckets (one row per bucket, so at most ``chunks`` + 1 rows) is broadcast
+    buckets (one row per bucket, so at most ``chunks`` rows) is broadcast
     back.
     """
-    ranged = _chunked(df, order, chunks)
+    ranged = _chunked(df, [], order, chunks)
     w = (Window.partitionBy(_CHUNK).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = ranged.withColumn("_seq_local", F.max(value).over(w))
