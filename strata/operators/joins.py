@@ -30,9 +30,11 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     lb = left.withColumn("_ij_b", F.explode(F.sequence(
         F.floor((lt + F.lit(lo)) / F.lit(width)), F.floor((lt + F.lit(hi)) / F.lit(width)))))
     rb = right.withColumn("_ij_rb", F.floor(rt / F.lit(width)))
+    # The range is stated on the event-time columns themselves, so a streaming
+    # join can derive its state-eviction bounds from the watermarks.
     cond = ((F.col(left_key) == F.col(right_key)) & (F.col("_ij_b") == F.col("_ij_rb"))
-            & (_micros(rb, right_ts) >= _micros(lb, left_ts) + F.lit(lo))
-            & (_micros(rb, right_ts) <= _micros(lb, left_ts) + F.lit(hi)))
+            & (F.col(right_ts) >= F.col(left_ts) + F.make_dt_interval(secs=F.lit(lower_s)))
+            & (F.col(right_ts) <= F.col(left_ts) + F.make_dt_interval(secs=F.lit(upper_s))))
     return lb.join(rb, cond, "inner").drop("_ij_b", "_ij_rb")
 
 

@@ -592,3 +592,67 @@ def late_rows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrived = ev.withColumn("arrival", F.col("event_id") + (F.col("event_id") * 7919) % 97)
     late = traffic.late_rows(arrived, ["arrival", "event_id"], "ts", "6 HOURS")
     return late.select("event_id", "ts", "max_seen")
+
+
+# --------------------------------------------------------------------------
+# Streaming twins: replayed as ordered file streams, final tables returned
+# --------------------------------------------------------------------------
+
+def _sql_of(name: str) -> str:
+    return ORACLE[name]
+
+
+@register("stream_traffic_window", _sql_of("traffic_window"))
+def stream_traffic_window_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streaming traffic window: keyed state per device for the flags, each
+    micro-batch aggregated and added into the keyed result table."""
+    from strata.streaming import jobs
+    log = derive.page_log(load_table(spark, sf_dir, "events"))
+    return jobs.traffic_window(spark, log, size="1 hour")
+
+
+@register("stream_uv_first_visit", _sql_of("uv_first_visit"))
+def stream_uv_first_visit_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streaming first visit per device and day (keyed state, file sink)."""
+    from strata.streaming import jobs
+    log = derive.page_log(load_table(spark, sf_dir, "events"))
+    return jobs.uv_first_visit(spark, log)
+
+
+@register("stream_interval_join", _sql_of("interval_join"))
+def stream_interval_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streaming click/purchase interval join with watermarks on both sides."""
+    from strata.streaming import jobs
+    return jobs.click_purchase_join(spark, load_table(spark, sf_dir, "events"))
+
+
+@register("stream_dim_route", """
+SELECT sink_table, sink_pk, pk_value, column_name, column_value FROM (
+""" + _sql_of("dim_route") + """
+) WHERE pk_value IS NOT NULL
+""")
+def stream_dim_route_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streaming dimension routing into the keyed dimension store. The config
+    table is re-read before every micro-batch; rows whose key is absent
+    (region: its config names no present key) go to the rejects folder."""
+    from strata.session import scratch_path
+    from strata.streaming import jobs
+    env = _table_envelopes(spark, sf_dir, ["nation", "region", "supplier", "customer", "orders"])
+    raw = env.select(F.to_json(F.struct(*env.columns)).alias("value"))
+    config_path = scratch_path(spark, "route-config")
+    _route_config(spark).write.parquet(config_path)
+    store = jobs.dimension_routing(spark, raw, config_path)
+    return store.select("sink_table", "sink_pk", "pk_value",
+                        F.explode("data").alias("column_name", "column_value"))
+
+
+@register("stream_left_changelog", _sql_of("left_join"))
+def stream_left_changelog_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retracting left join of order and customer streams (customers arrive
+    interleaved with, often after, their orders); the materialized changelog."""
+    from strata.streaming import jobs
+    o, c = _emp_dept(spark, sf_dir)
+    _, table = jobs.left_changelog_join(
+        spark, o.withColumn("_lseq", F.col("o_orderkey")), c.withColumn("_rseq", F.col("c_custkey") * 7),
+        "o_custkey", "c_custkey", "_lseq", "_rseq")
+    return table.select("o_orderkey", "o_custkey", "o_totalprice", "c_custkey", "c_name")

@@ -1,0 +1,161 @@
+"""Keyed table for ``foreachBatch`` sinks: upsert, delete and additive merge.
+
+Layout under ``path``::
+
+    v=<version>/_bucket=<b>/part-*.parquet   data of bucket b as of <version>
+    _manifest/part-*.json                   (version, batch_id, bucket, dir)
+
+Rows are spread over ``buckets`` by ``pmod(xxhash64(keys), buckets)``. A batch
+reads and rewrites only the buckets it touches, into a new version folder, and
+commits by appending one manifest file last. A bucket's current data is the dir
+of its highest committed version. The manifest also records the batch id, so a
+replayed batch (``foreachBatch`` is at-least-once) is a no-op. Old versions are
+never overwritten, so a batch never writes a path its own plan reads.
+
+Only bucket numbers (at most ``buckets`` of them) and manifest rows reach the
+driver; row data never does.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from strata.operators.cdc import latest_per_key
+
+_MANIFEST_SCHEMA = "version LONG, batch_id LONG, bucket INT, dir STRING"
+_MARKER = -1  # manifest row carrying the table schema (in ``dir``) and the batch id
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FileSystem, works for any scheme
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    return fs.exists(p)
+
+
+class KeyedTable:
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 64):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.keys = list(keys)
+        self.buckets = buckets
+
+    # -- manifest -----------------------------------------------------------
+    def _manifest(self) -> list:
+        mpath = f"{self.path}/_manifest"
+        if not _exists(self.spark, mpath):
+            return []
+        m = self.spark.read.schema(_MANIFEST_SCHEMA).json(mpath)
+        # One row per bucket (bounded by `buckets`) plus the marker.
+        latest = m.groupBy("bucket").agg(F.max_by(F.struct("dir", "batch_id"), "version").alias("cur"),
+                                         F.max("version").alias("version"))
+        return latest.select("bucket", "version", "cur.dir", "cur.batch_id").collect()
+
+    def _state(self) -> tuple[int, int, dict[int, str | None], T.StructType | None]:
+        rows = self._manifest()
+        version, batch_id, dirs, schema = 0, -1, {}, None
+        for r in rows:
+            version = max(version, r["version"])
+            if r["bucket"] == _MARKER:
+                batch_id = r["batch_id"]
+                schema = T.StructType.fromJson(json.loads(r["dir"]))
+            else:
+                dirs[r["bucket"]] = r["dir"]
+        return version, batch_id, dirs, schema
+
+    def last_batch_id(self) -> int:
+        return self._state()[1]
+
+    # -- read ---------------------------------------------------------------
+    def _read_dirs(self, dirs: list[str], schema: T.StructType) -> DataFrame:
+        if not dirs:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*dirs)
+
+    def read(self) -> DataFrame:
+        """Current table contents."""
+        _, _, dirs, schema = self._state()
+        if schema is None:
+            raise ValueError(f"keyed table at {self.path} has no committed batch")
+        return self._read_dirs([d for d in dirs.values() if d], schema)
+
+    # -- write --------------------------------------------------------------
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
+
+    def _commit(self, batch_id: int, rows: DataFrame, touched: list[int], schema: T.StructType,
+                version: int) -> None:
+        vdir = f"{self.path}/v={version}"
+        rows.write.mode("errorifexists").partitionBy("_bucket").parquet(vdir)
+        present = {r[0] for r in rows.select("_bucket").distinct().collect()}  # <= buckets values
+        entries = [(version, batch_id, b, f"{vdir}/_bucket={b}" if b in present else None)
+                   for b in touched]
+        entries.append((version, batch_id, _MARKER, schema.json()))
+        (self.spark.createDataFrame(entries, _MANIFEST_SCHEMA).coalesce(1)
+             .write.mode("append").json(f"{self.path}/_manifest"))
+
+    def _prepare(self, batch: DataFrame, batch_id: int):
+        version, last, dirs, _ = self._state()
+        if batch_id <= last:
+            return None  # replay of a committed batch
+        null_key = None
+        for k in self.keys:
+            c = F.col(k).isNull()
+            null_key = c if null_key is None else null_key | c
+        rejected = batch.where(null_key)
+        batch = batch.where(~null_key).withColumn("_bucket", self._bucket())
+        return version, dirs, batch, rejected
+
+    def _existing(self, dirs: dict[int, str | None], touched: list[int], schema: T.StructType) -> DataFrame:
+        paths = [dirs[b] for b in touched if dirs.get(b)]
+        return self._read_dirs(paths, schema).withColumn("_bucket", self._bucket())
+
+    def upsert(self, batch: DataFrame, batch_id: int, order: Sequence[str] = (),
+               is_delete: Column | None = None) -> None:
+        """Replace rows by key; the latest row of a key in this batch (by
+        ``order``) wins, and when ``is_delete`` holds for it the key is
+        removed. Rows with a NULL key cannot be addressed: they go to
+        ``_rejects/batch=<id>``."""
+        prep = self._prepare(batch.withColumn("_del", is_delete if is_delete is not None else F.lit(False)),
+                             batch_id)
+        if prep is None:
+            return
+        version, dirs, b, rejected = prep
+        if order:
+            b = latest_per_key(b, self.keys, list(order))
+        b = b.persist()
+        try:
+            rejected.drop("_del").write.mode("overwrite").parquet(f"{self.path}/_rejects/batch={batch_id}")
+            touched = sorted(r[0] for r in b.select("_bucket").distinct().collect())
+            schema = T.StructType([f for f in b.schema.fields if f.name not in ("_del", "_bucket")])
+            kept = self._existing(dirs, touched, schema).join(
+                b.select(*self.keys), on=self.keys, how="left_anti")
+            rows = kept.unionByName(b.where(~F.col("_del")).drop("_del"))
+            self._commit(batch_id, rows, touched, schema, version + 1)
+        finally:
+            b.unpersist()
+
+    def merge_add(self, batch: DataFrame, batch_id: int, measures: Sequence[str]) -> None:
+        """Add ``measures`` of the batch to the stored row of the same key
+        (insert when new). Other columns keep their maximum."""
+        prep = self._prepare(batch, batch_id)
+        if prep is None:
+            return
+        version, dirs, b, _ = prep
+        b = b.persist()
+        try:
+            touched = sorted(r[0] for r in b.select("_bucket").distinct().collect())
+            schema = T.StructType([f for f in b.schema.fields if f.name != "_bucket"])
+            others = [c for c in schema.names if c not in self.keys and c not in measures]
+            both = self._existing(dirs, touched, schema).unionByName(b)
+            rows = both.groupBy(*self.keys, "_bucket").agg(
+                *[F.sum(m).cast(schema[m].dataType).alias(m) for m in measures],
+                *[F.max(c).alias(c) for c in others]).select(*schema.names, "_bucket")
+            self._commit(batch_id, rows, touched, schema, version + 1)
+        finally:
+            b.unpersist()
