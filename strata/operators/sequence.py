@@ -46,8 +46,9 @@ def _bucket(x: Column, lo: Column, hi: Column, nb: Column) -> Column:
 
 
 def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-             chunks: int | None) -> DataFrame:
-    """Add the chunk id and ``_seq_hot``.
+             chunks: int | None) -> tuple[DataFrame, bool]:
+    """Add the chunk id and ``_seq_hot``; also return whether any chunking
+    happened.
 
     Without keys the whole frame is one sequence, cut into ``n`` buckets. With
     keys only *hot* keys are cut: a key holding more than ``total / n`` rows
@@ -57,21 +58,35 @@ def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """
     n = chunks or shuffle_partitions(df.sparkSession) * _CHUNKS_PER_PARTITION
     x = _as_number(df, order[0])
-    total, lo, hi = df.agg(F.count(F.lit(1)), F.min(x), F.max(x)).first()
-    if lo is None:
-        return df.withColumns({_CHUNK: F.lit(0).cast("long"), "_seq_hot": F.lit(False)})
+    cold = df.withColumns({_CHUNK: F.lit(0).cast("long"), "_seq_hot": F.lit(False)})
     if not keys:
+        total, lo, hi = df.agg(F.count(F.lit(1)), F.min(x), F.max(x)).first()
+        if lo is None:
+            return cold, False
         return df.withColumns({_CHUNK: _bucket(x, F.lit(lo), F.lit(hi), F.lit(n)),
-                               "_seq_hot": F.lit(True)})
-    threshold = max(-(-total // n), 1)
-    # At most n keys can each hold more than total/n rows: the broadcast side
-    # has a proven bound of n rows.
-    hot = (df.groupBy(*keys)
-             .agg(F.count(F.lit(1)).alias("_seq_n"), F.min(x).alias("_seq_lo"),
-                  F.max(x).alias("_seq_hi"))
-             .where(F.col("_seq_n") > threshold)
-             .select(*[F.col(k).alias(f"_seq_h_{k}") for k in keys], "_seq_lo", "_seq_hi",
-                     F.ceil(F.col("_seq_n") / F.lit(threshold)).alias("_seq_nb")))
+                               "_seq_hot": F.lit(True)}), True
+    # One job answers "is any key hot?": rows per key (a partial aggregate),
+    # then their sum and maximum.
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_seq_n"))
+    total, biggest = per_key.agg(F.sum("_seq_n"), F.max("_seq_n")).first()
+    threshold = max(-(-(total or 0) // n), 1)
+    if biggest is None or biggest <= threshold:
+        return cold, False
+    # At most n keys can each hold more than total/n rows, so the hot list has
+    # a proven bound of n rows: it may reach the driver and be broadcast.
+    hot_rows = (df.groupBy(*keys)
+                  .agg(F.count(F.lit(1)).alias("_seq_n"), F.min(x).alias("_seq_lo"),
+                       F.max(x).alias("_seq_hi"))
+                  .where(F.col("_seq_n") > threshold)
+                  .select(*[F.col(k).alias(f"_seq_h_{k}") for k in keys], "_seq_lo", "_seq_hi",
+                          F.ceil(F.col("_seq_n") / F.lit(threshold)).alias("_seq_nb"))
+                  .collect())
+    x_type = df.select(x.alias("x")).schema["x"].dataType
+    hot_schema = T.StructType(
+        [T.StructField(f"_seq_h_{k}", df.schema[k].dataType, True) for k in keys]
+        + [T.StructField("_seq_lo", x_type, True), T.StructField("_seq_hi", x_type, True),
+           T.StructField("_seq_nb", T.LongType(), True)])
+    hot = df.sparkSession.createDataFrame(hot_rows, hot_schema)
     cond = None
     for k in keys:
         c = F.col(k).eqNullSafe(F.col(f"_seq_h_{k}"))
@@ -80,7 +95,7 @@ def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     is_hot = F.col("_seq_lo").isNotNull()
     chunk = F.when(is_hot, _bucket(x, F.col("_seq_lo"), F.col("_seq_hi"), F.col("_seq_nb"))) \
              .otherwise(F.lit(0).cast("long"))
-    return marked.select(*df.columns, chunk.alias(_CHUNK), is_hot.alias("_seq_hot"))
+    return marked.select(*df.columns, chunk.alias(_CHUNK), is_hot.alias("_seq_hot")), True
 
 
 def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -91,7 +106,11 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     ``order`` must be a total order inside a key (end it with a unique column),
     otherwise "previous" is not defined. Rows without a predecessor get NULL.
     """
-    ranged = _chunked(df, keys, order, chunks)
+    ranged, split = _chunked(df, keys, order, chunks)
+    if not split:
+        # No hot key: one balanced window per key is already the right plan.
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return df.select("*", *[F.lag(v).over(w).alias(prefix + v) for v in values])
     w = Window.partitionBy(*keys, _CHUNK).orderBy(*order)
     local = ranged.select(
         "*",
@@ -126,7 +145,7 @@ def with_running_max(df: DataFrame, order: Sequence[str], value: str,
     buckets (one row per bucket, so at most ``chunks`` rows) is broadcast
     back.
     """
-    ranged = _chunked(df, [], order, chunks)
+    ranged, _ = _chunked(df, [], order, chunks)
     w = (Window.partitionBy(_CHUNK).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = ranged.withColumn("_seq_local", F.max(value).over(w))
