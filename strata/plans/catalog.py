@@ -656,3 +656,43 @@ def stream_left_changelog_q(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, o.withColumn("_lseq", F.col("o_orderkey")), c.withColumn("_rseq", F.col("c_custkey") * 7),
         "o_custkey", "c_custkey", "_lseq", "_rseq")
     return table.select("o_orderkey", "o_custkey", "o_totalprice", "c_custkey", "c_name")
+
+
+@register("stream_lookup_join", _sql_of("lookup_join"))
+def stream_lookup_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streaming cart-add facts with the dictionary re-read before every
+    micro-batch (processing-time lookup), summarised per name."""
+    from strata.streaming import jobs
+    env = _cart_envelopes(spark, sf_dir)
+
+    def dictionary() -> DataFrame:
+        part = load_table(spark, sf_dir, "part").where(F.col("p_size") < 20)
+        return part.select(F.col("p_partkey").cast("string").alias("dic_code"),
+                           F.col("p_brand").alias("dic_name"))
+    return jobs.cart_lookup(spark, env, dictionary)
+
+
+@register("stream_sku_order_window", _sql_of("sku_order_window"))
+def stream_sku_order_window_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly sku order window with Spark's watermarked streaming aggregation."""
+    from strata.streaming import jobs
+    return jobs.sku_order_window(spark, load_table(spark, sf_dir, "lineitem"))
+
+
+@register("stream_cdc_apply", _sql_of("cdc_apply"))
+def stream_cdc_apply_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``events`` change log applied micro-batch by micro-batch to a keyed
+    table (``error`` rows delete their key)."""
+    from strata.streaming import jobs
+    ev = load_table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    return jobs.apply_change_stream(spark, ev, ["user_id"], ["ts", "event_id"], F.col("event_type") == "error")
+
+
+@register("stream_late_rows", _sql_of("late_rows"))
+def stream_late_rows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late rows of the shuffled arrival order written to a side output."""
+    from strata.streaming import jobs
+    ev = load_table(spark, sf_dir, "events").select("event_id", "ts")
+    arrived = ev.withColumn("arrival", F.col("event_id") + (F.col("event_id") * 7919) % 97)
+    late = jobs.late_side_output(spark, arrived, ["arrival", "event_id"], "ts")
+    return late.select("event_id", "ts", "max_seen")

@@ -132,3 +132,112 @@ def left_changelog_join(spark: SparkSession, left: DataFrame, right: DataFrame,
     log = spark.read.parquet(out)
     return log, materialize(log, lcols + rcols)
 
+
+
+def cart_lookup(spark: SparkSession, envelopes: DataFrame, dictionary_loader, max_age_s: float = 0.0,
+                slices: int = 4, files: int = 2) -> DataFrame:
+    """Cart-add facts joined to a dictionary that is re-read when older than
+    ``max_age_s`` (0 = before every micro-batch), so codes added to the source
+    mid-stream are seen; summarised per dictionary name in a keyed table."""
+    from strata.operators.fact import cart_add, lookup
+    from strata.sources.jdbc import Refreshing
+    src = write_slices(envelopes.withColumn("_order", F.col("ts").cast("long")), "_order",
+                       "cart-envelopes", slices, files, keys=["_order"])
+    stream = read_slices(spark, src, envelopes.withColumn("_order", F.col("ts").cast("long")).schema, files)
+    facts = cart_add(stream.drop("_order"))
+    dic = Refreshing(dictionary_loader, max_age_s)
+    table = KeyedTable(spark, scratch_path(spark, "cart-by-name"), ["source_type_name"], buckets=8)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        joined = lookup(batch, dic.get())
+        per_name = joined.groupBy("source_type_name").agg(
+            F.count(F.lit(1)).alias("add_ct"), F.sum(F.col("sku_num").cast("long")).alias("sku_num_sum"))
+        table.merge_add(per_name, batch_id, ["add_ct", "sku_num_sum"])
+
+    run_available(lambda ckpt: facts.writeStream.foreachBatch(sink)
+                  .option("checkpointLocation", ckpt).trigger(availableNow=True).start(),
+                  spark, "cart-lookup")
+    return table.read()
+
+
+def sku_order_window(spark: SparkSession, lines: DataFrame, size: str = "7 days",
+                     delay: str = "1 day", slices: int = 4, files: int = 2) -> DataFrame:
+    """Watermarked event-time window aggregate (Spark's own streaming state) in
+    update mode; each batch's updated windows replace their rows in the keyed
+    result table."""
+    cols = lines.select("l_partkey", "l_shipdate", "l_extendedprice", "l_discount")
+    src = write_slices(cols, "l_shipdate", "sku-lines", slices, files, keys=["l_partkey"])
+    stream = read_slices(spark, src, cols.schema, files)
+    amount = F.col("l_extendedprice").cast("decimal(12,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))
+    agg = (stream.withColumn("et", F.col("l_shipdate").cast("timestamp")).withWatermark("et", delay)
+           .groupBy(F.window("et", size).alias("w"), F.col("l_partkey").alias("sku_id"))
+           .agg(F.sum(amount).alias("amount"), F.count(F.lit(1)).alias("order_ct")))
+    result = agg.select(
+        F.date_format("w.start", traffic.STAMP).alias("stt"), F.date_format("w.end", traffic.STAMP).alias("edt"),
+        "sku_id", F.col("amount").cast("double").alias("order_amount"), "order_ct",
+        F.unix_millis("w.end").alias("ts"))
+    table = KeyedTable(spark, scratch_path(spark, "sku-window"), ["stt", "sku_id"], buckets=16)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        table.upsert(batch, batch_id)
+
+    run_available(lambda ckpt: result.writeStream.outputMode("update").foreachBatch(sink)
+                  .option("checkpointLocation", ckpt).trigger(availableNow=True).start(),
+                  spark, "sku-window")
+    return table.read()
+
+
+def apply_change_stream(spark: SparkSession, changes: DataFrame, keys: list[str], order: list[str],
+                        is_delete, slices: int = 4, files: int = 2) -> DataFrame:
+    """A change log applied to a keyed table batch by batch (upsert, delete)."""
+    src = write_slices(changes, order[0], "changes", slices, files, keys=keys)
+    stream = read_slices(spark, src, changes.schema, files)
+    table = KeyedTable(spark, scratch_path(spark, "cdc-table"), keys, buckets=16)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        table.upsert(batch, batch_id, order=order, is_delete=is_delete)
+
+    run_available(lambda ckpt: stream.writeStream.foreachBatch(sink)
+                  .option("checkpointLocation", ckpt).trigger(availableNow=True).start(),
+                  spark, "cdc-apply")
+    return table.read()
+
+
+def late_side_output(spark: SparkSession, rows: DataFrame, arrival: list[str], ts: str,
+                     lateness: str = "6 HOURS", slices: int = 4, files: int = 2) -> DataFrame:
+    """Rows arriving more than ``lateness`` behind the largest event time seen
+    so far, written aside instead of silently dropped.
+
+    The largest event time of earlier batches is kept in a one-row keyed
+    table; inside a batch the running max follows arrival order
+    (``with_running_max``). Returns the side output.
+    """
+    from strata.operators.sequence import with_running_max
+    src = write_slices(rows, arrival[0], "arrivals", slices, files)
+    stream = read_slices(spark, src, rows.schema, files)
+    seen = KeyedTable(spark, scratch_path(spark, "max-seen"), ["name"], buckets=1)
+    late_dir = scratch_path(spark, "late-rows")
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        if seen.last_batch_id() >= batch_id:
+            return
+        try:
+            before = seen.read().first()["max_ts"]
+        except ValueError:
+            before = None
+        running = with_running_max(batch, arrival, ts, out="max_seen", chunks=16)
+        if before is not None:
+            running = running.withColumn("max_seen", F.greatest("max_seen", F.lit(before)))
+        running = running.persist()
+        try:
+            (running.where(F.col(ts) < F.col("max_seen") - F.expr(f"INTERVAL {lateness}"))
+                    .write.mode("overwrite").parquet(f"{late_dir}/batch={batch_id}"))
+            top = running.agg(F.max("max_seen").alias("max_ts")).select(F.lit("max_ts").alias("name"), "max_ts")
+            seen.upsert(top, batch_id)
+        finally:
+            running.unpersist()
+
+    run_available(lambda ckpt: stream.writeStream.foreachBatch(sink)
+                  .option("checkpointLocation", ckpt).trigger(availableNow=True).start(),
+                  spark, "late-rows")
+    return spark.read.parquet(late_dir)
