@@ -2,12 +2,13 @@
 
 A left row with no right partner yet is emitted at once as ``+I (left, NULL)``.
 When the first right row of its key arrives, that row is retracted (``-D``) and
-``+I (left, right)`` follows. Both sides live in list state per key, with an
-optional TTL (idle-state retention).
+``+I (left, right)`` follows. Both sides live in the key's state (two arrays),
+with an optional processing-time timeout as idle-state retention.
 
-A hot key is salted: each left row goes to one of ``salts`` sub-keys, right rows
-are copied to all of them, so the left state of one key is split ``salts``
-ways while every (left, right) pair is still produced exactly once.
+A hot key is salted: each of its left rows goes to one of ``salts`` sub-keys
+and its right rows are copied to all of them, so the left state of that key is
+split ``salts`` ways while every (left, right) pair is still produced exactly
+once. Cold keys are not salted (no copies).
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 
 def _caster(dtype: str):
@@ -35,33 +35,39 @@ def _caster(dtype: str):
     return cast
 
 
-class LeftChangelogJoin(StatefulProcessor):
-    def __init__(self, left_cols: Sequence[tuple[str, str]], right_cols: Sequence[tuple[str, str]],
-                 ttl_ms: int | None = None):
-        self.left_cols = list(left_cols)
-        self.right_cols = list(right_cols)
-        self.ttl_ms = ttl_ms
-
-    @staticmethod
-    def _ddl(cols: Sequence[tuple[str, str]]) -> str:
-        return ", ".join(f"{n} {t}" for n, t in cols)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.left = handle.getListState("left_rows", self._ddl(self.left_cols), self.ttl_ms)
-        self.right = handle.getListState("right_rows", self._ddl(self.right_cols), self.ttl_ms)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
-        lnames = [n for n, _ in self.left_cols]
-        rnames = [n for n, _ in self.right_cols]
-        lcast = [(n, _caster(t)) for n, t in self.left_cols]
-        rcast = [(n, _caster(t)) for n, t in self.right_cols]
-        lefts = [tuple(r) for r in self.left.get()] if self.left.exists() else []
-        rights = [tuple(r) for r in self.right.get()] if self.right.exists() else []
-        none_r = (None,) * len(rnames)
+def _ddl(cols: Sequence[tuple[str, str]]) -> str:
+    return ", ".join(f"{n} {t}" for n, t in cols)
+
+
+def state_schema(left_cols: Sequence[tuple[str, str]], right_cols: Sequence[tuple[str, str]]) -> str:
+    return (f"lefts ARRAY<STRUCT<{_ddl(left_cols)}>>, "
+            f"rights ARRAY<STRUCT<{_ddl(right_cols)}>>")
+
+
+def left_changelog_joiner(left_cols: Sequence[tuple[str, str]], right_cols: Sequence[tuple[str, str]],
+                          ttl_ms: int | None = None):
+    """``applyInPandasWithState`` function of the retracting left join. With
+    ``ttl_ms`` a key idle that long (processing time) drops its state, as
+    idle-state retention does."""
+    lnames = [n for n, _ in left_cols]
+    rnames = [n for n, _ in right_cols]
+    lcast = [(n, _caster(t)) for n, t in left_cols]
+    rcast = [(n, _caster(t)) for n, t in right_cols]
+    none_r = (None,) * len(rnames)
+    columns = ["op"] + lnames + rnames
+
+    def join(key, pdfs, state):
+        if state.hasTimedOut:
+            state.remove()
+            yield pd.DataFrame([], columns=columns)
+            return
+        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values("seq", kind="stable")
+        if state.exists:
+            lefts = [tuple(r) for r in state.get[0]]
+            rights = [tuple(r) for r in state.get[1]]
+        else:
+            lefts, rights = [], []
         out: list[tuple] = []
-        new_l: list[tuple] = []
-        new_r: list[tuple] = []
         for rec in pdf.to_dict("records"):
             if rec["side"] == "L":
                 lrow = tuple(c(rec[n]) for n, c in lcast)
@@ -70,7 +76,6 @@ class LeftChangelogJoin(StatefulProcessor):
                 else:
                     out.append(("+I",) + lrow + none_r)
                 lefts.append(lrow)
-                new_l.append(lrow)
             else:
                 rrow = tuple(c(rec[n]) for n, c in rcast)
                 for lrow in lefts:
@@ -78,31 +83,45 @@ class LeftChangelogJoin(StatefulProcessor):
                         out.append(("-D",) + lrow + none_r)
                     out.append(("+I",) + lrow + rrow)
                 rights.append(rrow)
-                new_r.append(rrow)
-        if new_l:
-            self.left.appendList(new_l)
-        if new_r:
-            self.right.appendList(new_r)
-        yield pd.DataFrame(out, columns=["op"] + lnames + rnames)
+        state.update((lefts, rights))
+        if ttl_ms:
+            state.setTimeoutDuration(ttl_ms)
+        yield pd.DataFrame(out, columns=columns)
 
-    def close(self) -> None:
-        pass
+    return join
+
+
+def hot_keys(df: DataFrame, key: str, parts: int) -> list:
+    """Keys holding more than ``1/parts`` of the rows: at most ``parts`` of
+    them, so the list is bounded and may reach the driver."""
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = per_key.agg(F.sum("_n")).first()[0] or 0
+    threshold = max(-(-total // parts), 1)
+    return [r[0] for r in per_key.where(F.col("_n") > threshold).select(key).collect()]
 
 
 def tag_sides(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
               left_cols: Sequence[str], right_cols: Sequence[str], left_seq: str, right_seq: str,
-              salts: int = 8) -> DataFrame:
+              salts: int = 8, hot: Sequence | None = None) -> DataFrame:
     """One stream of both sides: ``side, key, salt, seq`` plus every column of
-    either side (NULL for the other side). Right rows are copied to all salts."""
+    either side (NULL for the other side).
+
+    Keys in ``hot`` are salted: their left rows spread over ``salts`` sub-keys
+    and their right rows are copied to each. Other keys use salt 0 only.
+    """
+    hot = list(hot or [])
+    is_hot_l = F.col(left_key).isin(hot) if hot else F.lit(False)
+    is_hot_r = F.col(right_key).isin(hot) if hot else F.lit(False)
     lsel = left.select(
         F.lit("L").alias("side"), F.col(left_key).alias("key"),
-        F.pmod(F.xxhash64(*left_cols), F.lit(salts)).cast("int").alias("salt"),
+        F.when(is_hot_l, F.pmod(F.xxhash64(*left_cols), F.lit(salts))).otherwise(0).cast("int").alias("salt"),
         F.col(left_seq).cast("long").alias("seq"),
         *[F.col(c) for c in left_cols],
         *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in right_cols])
     rsel = right.select(
         F.lit("R").alias("side"), F.col(right_key).alias("key"),
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
+        F.explode(F.when(is_hot_r, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
+         .alias("salt"),
         F.col(right_seq).cast("long").alias("seq"),
         *[F.lit(None).cast(left.schema[c].dataType).alias(c) for c in left_cols],
         *[F.col(c) for c in right_cols])

@@ -3,7 +3,10 @@
 Within a micro-batch a device's rows are sorted by (event time, id); the last
 view of earlier batches comes from state. That yields the same ``is_new``,
 ``uv`` and ``sv`` flags as the batch ``page_view_flags``. State is one small
-row per device (its last view), spilled by the RocksDB provider.
+row per device (its last view), kept by the RocksDB provider.
+
+Runs under ``applyInPandasWithState``: the state travels with the group's
+Arrow batch, so there is no per-key round trip to the JVM.
 """
 
 from __future__ import annotations
@@ -11,34 +14,30 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 _DAY_US = 86_400_000_000
 
 FLAGGED_SCHEMA = ("event_id LONG, ts TIMESTAMP_NTZ, mid LONG, vc STRING, ch STRING, ar STRING, "
                   "during_time LONG, is_new STRING, uv LONG, sv LONG")
+STATE_SCHEMA = "last_ts_us LONG"
+_OUT = ["event_id", "ts", "mid", "vc", "ch", "ar", "during_time", "is_new", "uv", "sv"]
 
 
-class PageViewFlagger(StatefulProcessor):
-    def __init__(self, session_gap_s: int = 30 * 60):
-        self.gap_us = session_gap_s * 1_000_000
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last_view", "ts_us LONG")
+def page_view_flagger(session_gap_s: int = 30 * 60):
+    gap_us = session_gap_s * 1_000_000
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["ts", "event_id"], kind="stable")
+    def flag(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "event_id"], kind="stable")
         ts_us = pdf["ts"].astype("datetime64[us]").astype("int64")
         prev = ts_us.shift(1)
-        if self.last.exists():
-            prev.iloc[0] = self.last.get()[0]
+        if state.exists:
+            prev.iloc[0] = state.get[0]
         first = prev.isna()
         prev_f = prev.fillna(0).astype("int64")
         pdf["is_new"] = first.map({True: "1", False: "0"})
         pdf["uv"] = (first | (ts_us // _DAY_US != prev_f // _DAY_US)).astype("int64")
-        pdf["sv"] = (first | (ts_us - prev_f > self.gap_us)).astype("int64")
-        self.last.update((int(ts_us.iloc[-1]),))
-        yield pdf[["event_id", "ts", "mid", "vc", "ch", "ar", "during_time", "is_new", "uv", "sv"]]
+        pdf["sv"] = (first | (ts_us - prev_f > gap_us)).astype("int64")
+        state.update((int(ts_us.iloc[-1]),))
+        yield pdf[_OUT]
 
-    def close(self) -> None:
-        pass
+    return flag

@@ -15,9 +15,10 @@ from strata.operators.joins import interval_join
 from strata.operators.parse import drop_control_records, parse_envelopes
 from strata.operators.dim import route
 from strata.session import scratch_path
+from strata.sinks.keyed_log import KeyedLog
 from strata.sinks.keyed_table import KeyedTable
-from strata.streaming.changelog import LeftChangelogJoin, materialize, tag_sides
-from strata.streaming.flags import FLAGGED_SCHEMA, PageViewFlagger
+from strata.streaming.changelog import left_changelog_joiner, materialize, state_schema, tag_sides
+from strata.streaming.flags import FLAGGED_SCHEMA, STATE_SCHEMA, page_view_flagger
 from strata.streaming.replay import read_slices, run_available, write_slices
 
 TRAFFIC_KEYS = ["stt", "edt", "vc", "ch", "ar", "is_new"]
@@ -28,26 +29,26 @@ def flagged_page_views(spark: SparkSession, log: DataFrame, slices: int, files:
     """Page log as a stream, flagged per device with keyed state."""
     src = write_slices(log, "ts", "page-log", slices, files, keys=["mid"])
     stream = read_slices(spark, src, log.schema, files)
-    return stream.groupBy("mid").transformWithStateInPandas(
-        statefulProcessor=PageViewFlagger(), outputStructType=FLAGGED_SCHEMA,
-        outputMode="Append", timeMode="None")
+    return stream.groupBy("mid").applyInPandasWithState(
+        page_view_flagger(), outputStructType=FLAGGED_SCHEMA, stateStructType=STATE_SCHEMA,
+        outputMode="append", timeoutConf="NoTimeout")
 
 
 def traffic_window(spark: SparkSession, log: DataFrame, size: str = "10 seconds",
                    slices: int = 4, files: int = 2) -> DataFrame:
-    """Windowed pv/uv/sv/duration. Each micro-batch is aggregated and added to
-    the keyed result table, so a window is exact however its rows are spread
-    over batches."""
+    """Windowed pv/uv/sv/duration. Each micro-batch is aggregated and its
+    partials appended to a keyed log; reading sums them per window, so a
+    window is exact however its rows are spread over batches."""
     flagged = flagged_page_views(spark, log, slices, files)
-    table = KeyedTable(spark, scratch_path(spark, "traffic-window"), TRAFFIC_KEYS, buckets=16)
+    table = KeyedLog(spark, scratch_path(spark, "traffic-window"), TRAFFIC_KEYS)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        table.merge_add(traffic.traffic_window(batch, size), batch_id, TRAFFIC_MEASURES)
+        table.append(traffic.traffic_window(batch, size), batch_id)
 
     run_available(lambda ckpt: flagged.writeStream.foreachBatch(sink)
                   .option("checkpointLocation", ckpt).trigger(availableNow=True).start(),
                   spark, "traffic-window")
-    return table.read()
+    return table.summed(TRAFFIC_MEASURES)
 
 
 def uv_first_visit(spark: SparkSession, log: DataFrame, slices: int = 4, files: int = 2) -> DataFrame:
@@ -110,21 +111,29 @@ def dimension_routing(spark: SparkSession, raw: DataFrame, config_path: str,
 
 def left_changelog_join(spark: SparkSession, left: DataFrame, right: DataFrame,
                         left_key: str, right_key: str, left_seq: str, right_seq: str,
-                        salts: int = 8, ttl_ms: int | None = None,
+                        salts: int = 8, ttl_ms: int | None = None, hot: list | None = None,
                         slices: int = 4, files: int = 2) -> tuple[DataFrame, DataFrame]:
-    """Retracting left join of two streams; returns (changelog, materialized)."""
+    """Retracting left join of two streams; returns (changelog, materialized).
+
+    ``hot`` lists keys to salt (e.g. from yesterday's key counts); by default
+    they are measured on the replayed left input.
+    """
+    from strata.session import shuffle_partitions
+    from strata.streaming.changelog import hot_keys
     lcols = [c for c in left.columns if c != left_seq]
     rcols = [c for c in right.columns if c != right_seq]
-    tagged = tag_sides(left, right, left_key, right_key, lcols, rcols, left_seq, right_seq, salts)
+    if hot is None:
+        hot = hot_keys(left, left_key, shuffle_partitions(spark) * 4)
+    tagged = tag_sides(left, right, left_key, right_key, lcols, rcols, left_seq, right_seq, salts, hot)
     src = write_slices(tagged, "seq", "changelog-input", slices, files, keys=["key", "salt"])
     stream = read_slices(spark, src, tagged.schema, files)
-    processor = LeftChangelogJoin(
-        [(c, left.schema[c].dataType.simpleString()) for c in lcols],
-        [(c, right.schema[c].dataType.simpleString()) for c in rcols], ttl_ms)
-    out_schema = ", ".join(["op STRING"] + [f"{c} {left.schema[c].dataType.simpleString()}" for c in lcols]
-                           + [f"{c} {right.schema[c].dataType.simpleString()}" for c in rcols])
-    changes = stream.groupBy("key", "salt").transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=out_schema, outputMode="Append", timeMode="None")
+    ltypes = [(c, left.schema[c].dataType.simpleString()) for c in lcols]
+    rtypes = [(c, right.schema[c].dataType.simpleString()) for c in rcols]
+    out_schema = ", ".join(["op STRING"] + [f"{c} {t}" for c, t in ltypes + rtypes])
+    changes = stream.groupBy("key", "salt").applyInPandasWithState(
+        left_changelog_joiner(ltypes, rtypes, ttl_ms), outputStructType=out_schema,
+        stateStructType=state_schema(ltypes, rtypes), outputMode="append",
+        timeoutConf="ProcessingTimeTimeout" if ttl_ms else "NoTimeout")
     out = scratch_path(spark, "changelog")
     run_available(lambda ckpt: changes.writeStream.format("parquet").option("path", out)
                   .option("checkpointLocation", ckpt).trigger(availableNow=True).start(),
@@ -146,25 +155,25 @@ def cart_lookup(spark: SparkSession, envelopes: DataFrame, dictionary_loader, ma
     stream = read_slices(spark, src, envelopes.withColumn("_order", F.col("ts").cast("long")).schema, files)
     facts = cart_add(stream.drop("_order"))
     dic = Refreshing(dictionary_loader, max_age_s)
-    table = KeyedTable(spark, scratch_path(spark, "cart-by-name"), ["source_type_name"], buckets=8)
+    table = KeyedLog(spark, scratch_path(spark, "cart-by-name"), ["source_type_name"])
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         joined = lookup(batch, dic.get())
         per_name = joined.groupBy("source_type_name").agg(
             F.count(F.lit(1)).alias("add_ct"), F.sum(F.col("sku_num").cast("long")).alias("sku_num_sum"))
-        table.merge_add(per_name, batch_id, ["add_ct", "sku_num_sum"])
+        table.append(per_name, batch_id)
 
     run_available(lambda ckpt: facts.writeStream.foreachBatch(sink)
                   .option("checkpointLocation", ckpt).trigger(availableNow=True).start(),
                   spark, "cart-lookup")
-    return table.read()
+    return table.summed(["add_ct", "sku_num_sum"])
 
 
 def sku_order_window(spark: SparkSession, lines: DataFrame, size: str = "7 days",
                      delay: str = "1 day", slices: int = 4, files: int = 2) -> DataFrame:
     """Watermarked event-time window aggregate (Spark's own streaming state) in
-    update mode; each batch's updated windows replace their rows in the keyed
-    result table."""
+    update mode; each batch's updated windows are appended to a keyed log and
+    the latest version of every window is read back."""
     cols = lines.select("l_partkey", "l_shipdate", "l_extendedprice", "l_discount")
     src = write_slices(cols, "l_shipdate", "sku-lines", slices, files, keys=["l_partkey"])
     stream = read_slices(spark, src, cols.schema, files)
@@ -176,31 +185,32 @@ def sku_order_window(spark: SparkSession, lines: DataFrame, size: str = "7 days"
         F.date_format("w.start", traffic.STAMP).alias("stt"), F.date_format("w.end", traffic.STAMP).alias("edt"),
         "sku_id", F.col("amount").cast("double").alias("order_amount"), "order_ct",
         F.unix_millis("w.end").alias("ts"))
-    table = KeyedTable(spark, scratch_path(spark, "sku-window"), ["stt", "sku_id"], buckets=16)
+    table = KeyedLog(spark, scratch_path(spark, "sku-window"), ["stt", "sku_id"])
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(batch, batch_id)
+        table.append(batch, batch_id)
 
     run_available(lambda ckpt: result.writeStream.outputMode("update").foreachBatch(sink)
                   .option("checkpointLocation", ckpt).trigger(availableNow=True).start(),
                   spark, "sku-window")
-    return table.read()
+    return table.latest()
 
 
 def apply_change_stream(spark: SparkSession, changes: DataFrame, keys: list[str], order: list[str],
                         is_delete, slices: int = 4, files: int = 2) -> DataFrame:
-    """A change log applied to a keyed table batch by batch (upsert, delete)."""
+    """A change log applied batch by batch (upsert, delete) through a
+    merge-on-read keyed log."""
     src = write_slices(changes, order[0], "changes", slices, files, keys=keys)
     stream = read_slices(spark, src, changes.schema, files)
-    table = KeyedTable(spark, scratch_path(spark, "cdc-table"), keys, buckets=16)
+    table = KeyedLog(spark, scratch_path(spark, "cdc-table"), keys)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(batch, batch_id, order=order, is_delete=is_delete)
+        table.append(batch, batch_id, is_delete=is_delete)
 
     run_available(lambda ckpt: stream.writeStream.foreachBatch(sink)
                   .option("checkpointLocation", ckpt).trigger(availableNow=True).start(),
                   spark, "cdc-apply")
-    return table.read()
+    return table.latest(order)
 
 
 def late_side_output(spark: SparkSession, rows: DataFrame, arrival: list[str], ts: str,

@@ -1,8 +1,7 @@
 """Replay a table as an ordered file stream (the stand-in for a message log).
 
 ``write_slices`` cuts a frame into ``slices`` contiguous ranges of an order
-column and writes them one after another, ``files_per_slice`` files each, with
-every key in one file of its slice. A file stream with
+column and writes them one after another, ``files_per_slice`` files each. A file stream with
 ``maxFilesPerTrigger = files_per_slice`` then delivers exactly one slice per
 micro-batch, oldest first, so per-key order across batches is the table's
 order, as it is per partition in a message log.
@@ -35,11 +34,15 @@ def write_slices(df: DataFrame, order: str, name: str, slices: int = 4,
     lo, hi = df.agg(F.min(x), F.max(x)).first()
     width = max((float(hi) - float(lo)) / slices, 1e-9) if lo is not None else 1.0
     sliced = df.withColumn("_slice", F.least(F.floor((x - F.lit(lo or 0)) / F.lit(width)),
-                                             F.lit(slices - 1)))
-    for i in range(slices):
-        part = sliced.where(F.col("_slice") == i).drop("_slice")
-        part = part.repartition(files_per_slice, *keys) if keys else part.repartition(files_per_slice)
-        part.write.mode("append").parquet(path)
+                                             F.lit(slices - 1))).persist()
+    try:
+        # Written one after another so file times follow slice order; a whole
+        # slice is one micro-batch, so keys may span the files of a slice.
+        for i in range(slices):
+            part = sliced.where(F.col("_slice") == i).drop("_slice")
+            part.repartition(files_per_slice).write.mode("append").parquet(path)
+    finally:
+        sliced.unpersist()
     return path
 
 
