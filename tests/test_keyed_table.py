@@ -51,3 +51,14 @@ def test_merge_add(spark, tmp_dir):
     t.merge_add(spark.createDataFrame([("w1", 2, 20), ("w2", 5, 1)], "w string, pv long, ts long"), 1, ["pv"])
     t.merge_add(spark.createDataFrame([("w1", 100, 20)], "w string, pv long, ts long"), 1, ["pv"])  # replay
     assert {r.w: (r.pv, r.ts) for r in t.read().collect()} == {"w1": (3, 20), "w2": (5, 1)}
+
+
+def test_fan_out_by_destination(spark, tmp_dir):
+    from strata.sinks.fan_out import destination_upserts, write_by_destination
+    routed = spark.createDataFrame(
+        [("dim_a", "1", "x", 1), ("dim_b", "2", "y", 1), ("dim_a", "3", "z", 1)],
+        "sink_table string, pk_value string, v string, ts long")
+    write_by_destination(routed, f"{tmp_dir}/fan")
+    assert spark.read.parquet(f"{tmp_dir}/fan/sink_table=dim_a").count() == 2
+    destination_upserts(routed, f"{tmp_dir}/dims", 0)
+    assert KeyedTable(spark, f"{tmp_dir}/dims/dim_b", ["pk_value"], 16).read().count() == 1
