@@ -30,13 +30,17 @@ def apply_changes(changes: DataFrame, keys: Sequence[str], order: Sequence[str],
     return latest_per_key(tagged, keys, order).where(~F.col("_is_delete")).drop("_is_delete")
 
 
-def config_state(cdc: DataFrame, live_type: str = "dim") -> DataFrame:
+def config_state(cdc: DataFrame, live_type: str | None = "dim") -> DataFrame:
     """Current routing config from its change log (``op, before, after, ts_ms, seq``).
 
     ``r``/``c`` put ``after``; ``d`` removes ``before``; ``u`` removes the
     ``before`` key and puts ``after``, so a renamed ``source_table`` or a move
     from ``dim`` to another type leaves nothing behind. Only rows whose
     ``sink_type`` is ``live_type`` are kept.
+
+    With ``live_type=None`` the latest *action* per key is returned instead
+    (``source_table, ts_ms, seq, rank, row``; ``row`` NULL for a removal), for
+    applying a batch of changes to a stored config table.
     """
     put = F.struct(F.col("after.source_table").alias("key"), F.lit(1).alias("rank"),
                    F.col("after").alias("row"))
@@ -50,5 +54,7 @@ def config_state(cdc: DataFrame, live_type: str = "dim") -> DataFrame:
         F.col("a.rank").alias("rank"), F.col("a.row").alias("row"))
     latest = latest_per_key(exploded.where(F.col("source_table").isNotNull()),
                             ["source_table"], ["ts_ms", "seq", "rank"])
+    if live_type is None:
+        return latest
     return (latest.where(F.col("row").isNotNull() & (F.col("row.sink_type") == live_type))
                   .select("row.*"))

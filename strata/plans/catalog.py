@@ -632,16 +632,23 @@ SELECT sink_table, sink_pk, pk_value, column_name, column_value FROM (
 ) WHERE pk_value IS NOT NULL
 """)
 def stream_dim_route_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Streaming dimension routing into the keyed dimension store. The config
-    table is re-read before every micro-batch; rows whose key is absent
-    (region: its config names no present key) go to the rejects folder."""
-    from strata.session import scratch_path
+    """Streaming dimension routing: config change records and table envelopes
+    share one stream (config first in arrival order); each micro-batch applies
+    its config changes, then routes into the keyed dimension store. Rows whose
+    key is absent (region: its config names no present key) go to rejects."""
+    from strata import schemas
     from strata.streaming import jobs
     env = _table_envelopes(spark, sf_dir, ["nation", "region", "supplier", "customer", "orders"])
-    raw = env.select(F.to_json(F.struct(*env.columns)).alias("value"))
-    config_path = scratch_path(spark, "route-config")
-    _route_config(spark).write.parquet(config_path)
-    store = jobs.dimension_routing(spark, raw, config_path)
+    data = env.select(F.to_json(F.struct(*env.columns)).alias("value"),
+                      F.abs(F.xxhash64(F.to_json(F.struct(*env.columns)))).alias("_order"))
+    cfg_rows = []
+    for op, src, sink, typ, cols, pk, seq in _ROUTE_CONFIG_LOG:
+        row = (src, None, sink, typ, cols, pk, None)
+        cfg_rows.append((op, row if op in ("u", "d") else None, row if op != "d" else None, seq, seq))
+    cfg = spark.createDataFrame(cfg_rows, schemas.CONFIG_CDC)
+    # Config records arrive first (order -1): the preload of the source job.
+    cfg_raw = cfg.select(F.to_json(F.struct(*cfg.columns)).alias("value"), F.lit(-1).cast("long").alias("_order"))
+    store = jobs.dimension_routing(spark, cfg_raw.unionByName(data))
     return store.select("sink_table", "sink_pk", "pk_value",
                         F.explode("data").alias("column_name", "column_value"))
 

@@ -31,19 +31,40 @@ _MANIFEST_SCHEMA = "version LONG, batch_id LONG, bucket INT, dir STRING"
 _MARKER = -1  # manifest row carrying the table schema (in ``dir``) and the batch id
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FileSystem, works for any scheme
     p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs(spark, path)
     return fs.exists(p)
 
 
+def _write_text_atomically(spark: SparkSession, folder: str, name: str, text: str) -> None:
+    """Write a small file under a hidden name, then rename it into place, so
+    readers see either nothing or the whole file."""
+    tmp, fs = _fs(spark, f"{folder}/.{name}.tmp")
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    final, _ = _fs(spark, f"{folder}/{name}")
+    if not fs.rename(tmp, final):
+        raise IOError(f"could not commit {folder}/{name}")
+
+
 class KeyedTable:
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 64):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.buckets = buckets
+        # This handle is the table's single writer: the manifest is loaded once
+        # (e.g. after a restart) and then kept current in memory.
+        self._cached: tuple | None = None
 
     # -- manifest -----------------------------------------------------------
     def _manifest(self) -> list:
@@ -57,6 +78,11 @@ class KeyedTable:
         return latest.select("bucket", "version", "cur.dir", "cur.batch_id").collect()
 
     def _state(self) -> tuple[int, int, dict[int, str | None], T.StructType | None]:
+        if self._cached is None:
+            self._cached = self._load_state()
+        return self._cached
+
+    def _load_state(self) -> tuple[int, int, dict[int, str | None], T.StructType | None]:
         rows = self._manifest()
         version, batch_id, dirs, schema = 0, -1, {}, None
         for r in rows:
@@ -92,14 +118,20 @@ class KeyedTable:
                 version: int) -> None:
         vdir = f"{self.path}/v={version}"
         rows.write.mode("errorifexists").partitionBy("_bucket").parquet(vdir)
-        present = {r[0] for r in rows.select("_bucket").distinct().collect()}  # <= buckets values
-        entries = [(version, batch_id, b, f"{vdir}/_bucket={b}" if b in present else None)
-                   for b in touched]
+        # A touched bucket left empty has no folder; <= `buckets` file-system checks.
+        dirs = {b: (f"{vdir}/_bucket={b}" if _exists(self.spark, f"{vdir}/_bucket={b}") else None)
+                for b in touched}
+        entries = [(version, batch_id, b, d) for b, d in dirs.items()]
         entries.append((version, batch_id, _MARKER, schema.json()))
-        (self.spark.createDataFrame(entries, _MANIFEST_SCHEMA).coalesce(1)
-             .write.mode("append").json(f"{self.path}/_manifest"))
+        lines = "\n".join(json.dumps(dict(zip(("version", "batch_id", "bucket", "dir"), e)))
+                          for e in entries)
+        _write_text_atomically(self.spark, f"{self.path}/_manifest", f"v{version:012d}.json", lines + "\n")
+        _, _, current, _ = self._state()
+        self._cached = (version, batch_id, {**current, **dirs}, schema)
 
     def _prepare(self, batch: DataFrame, batch_id: int):
+        """Bucket the batch (NULL keys get bucket -1), persist it and collect the
+        touched buckets (at most ``buckets`` + 1 numbers) in one job."""
         version, last, dirs, _ = self._state()
         if batch_id <= last:
             return None  # replay of a committed batch
@@ -107,9 +139,13 @@ class KeyedTable:
         for k in self.keys:
             c = F.col(k).isNull()
             null_key = c if null_key is None else null_key | c
-        rejected = batch.where(null_key)
-        batch = batch.where(~null_key).withColumn("_bucket", self._bucket())
-        return version, dirs, batch, rejected
+        tagged = batch.withColumn("_bucket", F.when(null_key, F.lit(-1)).otherwise(self._bucket())).persist()
+        touched = sorted(r[0] for r in tagged.select("_bucket").distinct().collect())
+        if touched and touched[0] == -1:
+            (tagged.where(F.col("_bucket") == -1).drop("_bucket", "_del")
+                   .write.mode("overwrite").parquet(f"{self.path}/_rejects/batch={batch_id}"))
+            touched = touched[1:]
+        return version, dirs, tagged, touched
 
     def _existing(self, dirs: dict[int, str | None], touched: list[int], schema: T.StructType) -> DataFrame:
         paths = [dirs[b] for b in touched if dirs.get(b)]
@@ -125,20 +161,18 @@ class KeyedTable:
                              batch_id)
         if prep is None:
             return
-        version, dirs, b, rejected = prep
+        version, dirs, tagged, touched = prep
+        b = tagged.where(F.col("_bucket") >= 0)
         if order:
             b = latest_per_key(b, self.keys, list(order))
-        b = b.persist()
         try:
-            rejected.drop("_del").write.mode("overwrite").parquet(f"{self.path}/_rejects/batch={batch_id}")
-            touched = sorted(r[0] for r in b.select("_bucket").distinct().collect())
             schema = T.StructType([f for f in b.schema.fields if f.name not in ("_del", "_bucket")])
             kept = self._existing(dirs, touched, schema).join(
                 b.select(*self.keys), on=self.keys, how="left_anti")
             rows = kept.unionByName(b.where(~F.col("_del")).drop("_del"))
             self._commit(batch_id, rows, touched, schema, version + 1)
         finally:
-            b.unpersist()
+            tagged.unpersist()
 
     def merge_add(self, batch: DataFrame, batch_id: int, measures: Sequence[str]) -> None:
         """Add ``measures`` of the batch to the stored row of the same key
@@ -146,10 +180,9 @@ class KeyedTable:
         prep = self._prepare(batch, batch_id)
         if prep is None:
             return
-        version, dirs, b, _ = prep
-        b = b.persist()
+        version, dirs, tagged, touched = prep
+        b = tagged.where(F.col("_bucket") >= 0)
         try:
-            touched = sorted(r[0] for r in b.select("_bucket").distinct().collect())
             schema = T.StructType([f for f in b.schema.fields if f.name != "_bucket"])
             others = [c for c in schema.names if c not in self.keys and c not in measures]
             both = self._existing(dirs, touched, schema).unionByName(b)
@@ -158,4 +191,4 @@ class KeyedTable:
                 *[F.max(c).alias(c) for c in others]).select(*schema.names, "_bucket")
             self._commit(batch_id, rows, touched, schema, version + 1)
         finally:
-            b.unpersist()
+            tagged.unpersist()

@@ -87,26 +87,49 @@ def click_purchase_join(spark: SparkSession, events: DataFrame, bound_s: float =
     return spark.read.parquet(out)
 
 
-def dimension_routing(spark: SparkSession, raw: DataFrame, config_path: str,
-                      slices: int = 4, files: int = 2) -> DataFrame:
-    """Raw envelope text → parse → control filter → per batch: re-read the
-    config table, route, upsert into the dimension store keyed by
-    (sink_table, pk_value). Returns the store."""
-    src = write_slices(raw.withColumn("_order", F.xxhash64("value")), "_order", "envelopes",
-                       slices, files)
-    stream = read_slices(spark, src, raw.withColumn("_order", F.xxhash64("value")).schema, files)
-    envelopes = drop_control_records(parse_envelopes(stream))
-    table = KeyedTable(spark, scratch_path(spark, "dim-store"), ["sink_table", "pk_value"], buckets=16)
+def dimension_routing(spark: SparkSession, raw: DataFrame, slices: int = 4, files: int = 2,
+                      order: str = "_order") -> DataFrame:
+    """One stream carrying business change envelopes and config change records
+    (``op/before/after``), like the two connected streams of the source job.
+
+    Per micro-batch: the batch's config changes are applied to the keyed config
+    table first (put on r/c/u, remove on d; an update also removes its
+    ``before`` key), then the envelopes are routed by the live ``dim`` rows and
+    upserted into the dimension store keyed by (sink_table, pk_value). Config
+    that arrives before its data therefore always applies; data that arrives
+    before any config for its table is not routed. Returns the store.
+    """
+    from strata import schemas
+    from strata.functions import json as jsonf
+    from strata.operators.cdc import config_state
+    src = write_slices(raw, order, "dim-input", slices, files)
+    stream = read_slices(spark, src, raw.schema, files)
+    base = scratch_path(spark, "dim-route")
+    config = KeyedTable(spark, f"{base}/config", ["source_table"], buckets=4)
+    store = KeyedTable(spark, f"{base}/store", ["sink_table", "pk_value"], buckets=16)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        config = spark.read.parquet(config_path)   # live config, read before each batch
-        routed = route(batch, config).select("sink_table", "sink_pk", "pk_value", "type", "ts", "data")
-        table.upsert(routed, batch_id, order=["ts"], is_delete=F.col("type") == "delete")
+        batch = batch.persist()
+        try:
+            is_cfg = F.get_json_object("value", "$.op").isNotNull()
+            changes = batch.where(is_cfg).select(
+                jsonf.parse(F.col("value"), schemas.CONFIG_CDC).alias("c")).select("c.*")
+            # Latest action per config key in this batch; removals are rows whose
+            # `row` is NULL. Upserting them keeps the config table current.
+            actions = config_state(changes, live_type=None)
+            config.upsert(actions, batch_id, order=["ts_ms", "seq", "rank"],
+                          is_delete=F.col("row").isNull())
+            live = config.read().where(F.col("row.sink_type") == "dim").select("row.*")
+            envelopes = drop_control_records(parse_envelopes(batch.where(~is_cfg)))
+            routed = route(envelopes, live).select("sink_table", "sink_pk", "pk_value", "type", "ts", "data")
+            store.upsert(routed, batch_id, order=["ts"], is_delete=F.col("type") == "delete")
+        finally:
+            batch.unpersist()
 
-    run_available(lambda ckpt: envelopes.writeStream.foreachBatch(sink)
+    run_available(lambda ckpt: stream.writeStream.foreachBatch(sink)
                   .option("checkpointLocation", ckpt).trigger(availableNow=True).start(),
                   spark, "dim-route")
-    return table.read()
+    return store.read()
 
 
 def left_changelog_join(spark: SparkSession, left: DataFrame, right: DataFrame,
