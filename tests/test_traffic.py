@@ -50,7 +50,11 @@ def test_refreshing_dictionary_sees_new_rows(spark, tmp_dir):
     now = [0.0]
     dic = Refreshing(lambda: spark.read.parquet(path), max_age_s=60, clock=lambda: now[0])
     assert dic.get().count() == 1
-    spark.createDataFrame([("2", "b")], "dic_code string, dic_name string").write.mode("append").parquet(path)
+    # Another system adds a code (a write through this session would refresh
+    # Spark's cache of the path by itself).
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    pq.write_table(pa.table({"dic_code": ["2"], "dic_name": ["b"]}), f"{path}/added.parquet")
     assert dic.get().count() == 1      # within max age: cached copy
     now[0] = 61.0
     assert dic.get().count() == 2      # expired: re-read sees the new code
