@@ -53,3 +53,18 @@ def test_changelog_left_join_retracts(spark):
 def test_materialize_counts(spark):
     ch = spark.createDataFrame([("+I", 1), ("+I", 1), ("-D", 1), ("+I", 2), ("-D", 2)], "op string, x int")
     assert [r.x for r in materialize(ch, ["x"]).collect()] == [1]
+
+
+def test_dirty_split_side_output_stream(spark, tmp_dir):
+    from strata.sinks.side_output import dirty_split_writer
+    _write_lines(f"{tmp_dir}/raw", "a.txt", ['{"common":{"mid":"1"}}', "{bad", "[1]", '{"a":2}', ""])
+    stream = spark.readStream.text(f"{tmp_dir}/raw")
+    write = dirty_split_writer(f"{tmp_dir}/clean", f"{tmp_dir}/dirty")
+    q = (stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{tmp_dir}/ck")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    write(spark.read.text(f"{tmp_dir}/raw"), 0)    # a replayed batch 0 replaces its own output
+    clean = sorted(r.value for r in spark.read.parquet(f"{tmp_dir}/clean").collect())
+    dirty = sorted(r.value for r in spark.read.parquet(f"{tmp_dir}/dirty").collect())
+    assert clean == ['{"a":2}', '{"common":{"mid":"1"}}']
+    assert dirty == ["", "[1]", "{bad"]
