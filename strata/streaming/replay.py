@@ -53,11 +53,30 @@ def read_slices(spark: SparkSession, path: str, schema: T.StructType,
             .parquet(path))
 
 
-def run_available(query_builder, spark: SparkSession, name: str) -> str:
-    """Start a ``writeStream`` built by ``query_builder(checkpoint)``, run it on
-    everything available, stop it and return its checkpoint folder."""
+def state_partitions(spark: SparkSession) -> int:
+    """Partition count for a new stream's state: the session's shuffle
+    partitions, capped at the cluster's cores (one state partition per core
+    and batch; every extra partition costs a Python worker round per batch).
+    It is fixed in the checkpoint at first start, so pass a larger value to
+    ``run_available`` when the state outgrows one partition per core."""
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(current, spark.sparkContext.defaultParallelism))
+
+
+def run_available(query_builder, spark: SparkSession, name: str,
+                  partitions: int | None = None) -> str:
+    """Start a ``writeStream`` built by ``query_builder(checkpoint)`` with
+    ``partitions`` state partitions, run it on everything available, stop it
+    and return its checkpoint folder. The session's own setting is restored
+    once the query has started (the query keeps its value in the checkpoint)."""
     checkpoint = scratch_path(spark, f"{name}-checkpoint")
-    q = query_builder(checkpoint)
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(partitions or state_partitions(spark)))
+    try:
+        q = query_builder(checkpoint)
+    finally:
+        spark.conf.set(key, before)
     try:
         q.awaitTermination()
         if q.exception() is not None:
