@@ -58,3 +58,36 @@ def create_table_ddl(config: DataFrame, namespace: str = "dim") -> DataFrame:
     return per_table.select("sink_table", F.concat(
         F.lit(f"CREATE TABLE IF NOT EXISTS {namespace}."), F.col("sink_table"),
         F.lit(" ("), F.col("_spec"), F.lit(") "), F.col("sink_extend")).alias("ddl"))
+
+
+def sync_tables(config: DataFrame, database: str, location_root: str) -> list[str]:
+    """Create the dimension tables the config names in the session catalog
+    (all columns STRING, stored as parquet under ``location_root``), and add
+    columns a config update introduced. Columns are never dropped or retyped.
+
+    The config has one row per source table, so the loop runs over a
+    config-sized list on the driver; no data row is involved. Returns the DDL
+    statements executed.
+    """
+    spark = config.sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{location_root}'")
+    wanted: dict[str, list[str]] = {}
+    for r in table_columns(config).orderBy("sink_table", "ordinal").collect():
+        cols = wanted.setdefault(r.sink_table, [])
+        if r.column_name and r.column_name not in cols:
+            cols.append(r.column_name)
+    done = []
+    for table, cols in sorted(wanted.items()):
+        name = f"`{database}`.`{table}`"
+        if not spark.catalog.tableExists(f"{database}.{table}"):
+            spec = ", ".join(f"`{c}` STRING" for c in cols)
+            ddl = f"CREATE TABLE IF NOT EXISTS {name} ({spec}) USING parquet LOCATION '{location_root}/{table}'"
+        else:
+            have = {f.name for f in spark.table(name).schema.fields}
+            new = [c for c in cols if c not in have]
+            if not new:
+                continue
+            ddl = f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{c}` STRING' for c in new)})"
+        spark.sql(ddl)
+        done.append(ddl)
+    return done

@@ -48,7 +48,8 @@ def envelope(table: str, type_: Column | str, ts: Column, data: dict[str, Column
     ]
 
 
-def table_envelopes(df: DataFrame, table: str, seq: Column) -> DataFrame:
-    """Every row of ``df`` as an ``insert`` envelope whose payload holds all columns."""
+def table_envelopes(df: DataFrame, table: str, ts: Column) -> DataFrame:
+    """Every row of ``df`` as an ``insert`` envelope whose payload holds all
+    columns (a snapshot read of the table)."""
     data = {c: F.col(c) for c in df.columns}
-    return df.select(*envelope(table, "insert", seq, data))
+    return df.select(*envelope(table, "insert", ts, data))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # change envelope of a business table (one per row change).
 ENVELOPE = ("database STRING, `table` STRING, type STRING, ts STRING, "
             "data MAP<STRING,STRING>, old MAP<STRING,STRING>")
@@ -33,7 +31,3 @@ DEPT = "deptno INT, dname STRING, ts BIGINT"
 # traffic window result.
 TRAFFIC_RESULT = ("stt STRING, edt STRING, vc STRING, ch STRING, ar STRING, is_new STRING, "
                   "uv_ct BIGINT, sv_ct BIGINT, pv_ct BIGINT, dur_sum BIGINT, ts BIGINT")
-
-
-def struct(ddl: str) -> T.StructType:
-    return T._parse_datatype_string(ddl)  # noqa: SLF001 - public DDL parser of PySpark

@@ -79,3 +79,15 @@ def test_dimension_schema_and_ddl(spark):
     ddl = {r.sink_table: r.ddl for r in create_table_ddl(config).collect()}
     assert ddl["dim_t"] == "CREATE TABLE IF NOT EXISTS dim.dim_t (`id` STRING NOT NULL, `tm_name` STRING) "
     assert ddl["dim_u"].endswith(") SALT_BUCKETS = 4")
+
+
+def test_sync_tables_creates_and_grows(spark, tmp_dir):
+    from strata.operators.dim import sync_tables
+    v1 = spark.createDataFrame([("t", None, "dim_sync_t", "dim", "id,tm_name", None, None)], schemas.CONFIG_ROW)
+    assert len(sync_tables(v1, "strata_test_dim", tmp_dir)) == 1
+    assert sync_tables(v1, "strata_test_dim", tmp_dir) == []          # idempotent
+    v2 = spark.createDataFrame([("t", None, "dim_sync_t", "dim", "id,logo_url", None, None)], schemas.CONFIG_ROW)
+    ddl = sync_tables(v2, "strata_test_dim", tmp_dir)
+    assert ddl and ddl[0].startswith("ALTER TABLE")
+    cols = [f.name for f in spark.table("strata_test_dim.dim_sync_t").schema.fields]
+    assert cols == ["id", "tm_name", "logo_url"]                     # grown, nothing dropped
