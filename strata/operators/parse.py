@@ -34,13 +34,13 @@ def split_dirty(raw: DataFrame, value: str = "value") -> tuple[DataFrame, DataFr
 def parse_envelopes(raw: DataFrame, value: str = "value", strict: bool = False) -> DataFrame:
     """Raw text → typed change envelopes (``database, table, type, ts, data, old``).
 
-    Records that are not JSON objects are skipped (``strict`` fails the job on
-    them instead); route them to the side output with ``split_dirty`` first.
+    One parse per record. Records that do not parse, or parse without a
+    ``table`` (nothing can be routed without it), are skipped; ``strict``
+    fails the job on malformed text instead. Send raw text through
+    ``split_dirty`` first to keep the rejects.
     """
-    if not strict:
-        raw = raw.where(jsonf.is_json_object(F.col(value)))
     parsed = raw.select(jsonf.parse(F.col(value), schemas.ENVELOPE, strict).alias("e"))
-    return parsed.where(F.col("e").isNotNull()).select("e.*")
+    return parsed.where(F.col("e.table").isNotNull()).select("e.*")
 
 
 def drop_control_records(envelopes: DataFrame, type_col: str = "type") -> DataFrame:

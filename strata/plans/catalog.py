@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import traffic
 from strata.plans import derive
-from strata.session import configure, load_table
+from strata.session import configure, load_table, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -100,7 +100,8 @@ def json_parse_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested paths (``common.mid``) and the ``props`` payload read as typed values."""
     from strata import schemas
     from strata.functions import json as jsonf
-    ev = load_table(spark, sf_dir, "events")
+    ev = spread(load_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value",
+                                                           "ts", "props"))
     raw = ev.select("event_id", "props", F.to_json(F.struct(
         F.struct(F.col("user_id").cast("string").alias("mid"),
                  F.col("event_type").alias("ch")).alias("common"),
@@ -127,7 +128,7 @@ def dirty_split_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw log with truncated, non-object and empty records mixed in; every
     record labelled clean or dirty (the side-output split)."""
     from strata.operators.parse import flag_dirty
-    ev = load_table(spark, sf_dir, "events")
+    ev = spread(load_table(spark, sf_dir, "events").select("event_id", "props"))
     raw = ev.select("event_id", F.expr(_DIRTY_VALUE).alias("value"))
     return flag_dirty(raw, "value")
 
@@ -199,7 +200,8 @@ def change_envelope_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     envelope schema (map payloads read by key)."""
     from strata.operators.parse import parse_envelopes
     from strata.plans.derive import envelope
-    o = load_table(spark, sf_dir, "orders")
+    o = spread(load_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"))
     typ = (F.when(F.col("o_orderstatus") == "F", "update")
             .when(F.col("o_orderstatus") == "O", "insert").otherwise("delete"))
     cols = envelope("orders", typ, F.unix_seconds(F.col("o_orderdate").cast("timestamp")),
@@ -405,7 +407,8 @@ def dim_upsert_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.operators.dim import route
     from strata import schemas
     from strata.operators.cdc import config_state
-    o = load_table(spark, sf_dir, "orders")
+    o = spread(load_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"))
     typ = F.when(F.col("o_orderstatus") == "P", "delete").otherwise("update")
     cols = derive.envelope("customer_order", typ, F.unix_seconds(F.col("o_orderdate").cast("timestamp")),
                            {c: F.col(c) for c in ("o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice")})
@@ -574,7 +577,8 @@ GROUP BY w, l_partkey
 """)
 def sku_order_window_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weekly (epoch-aligned) order amount and line count per sku."""
-    li = load_table(spark, sf_dir, "lineitem")
+    li = spread(load_table(spark, sf_dir, "lineitem").select(
+        "l_shipdate", "l_partkey", "l_extendedprice", "l_discount"))
     amount = F.col("l_extendedprice").cast("decimal(12,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))
     return traffic.sku_order_window(li, "l_shipdate", "l_partkey", amount, "7 days")
 

@@ -68,5 +68,16 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread rows over all cores when the input arrived in fewer partitions
+    than there are cores (a small table or one big row group is one scan
+    task). On large inputs the scan already has more tasks than cores and this
+    is a no-op. Apply it after projection and filters, before per-row work."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
