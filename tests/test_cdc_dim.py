@@ -91,3 +91,27 @@ def test_sync_tables_creates_and_grows(spark, tmp_dir):
     assert ddl and ddl[0].startswith("ALTER TABLE")
     cols = [f.name for f in spark.table("strata_test_dim.dim_sync_t").schema.fields]
     assert cols == ["id", "tm_name", "logo_url"]                     # grown, nothing dropped
+
+
+def test_route_null_payload(spark):
+    config = spark.createDataFrame([("t", None, "dim_t", "dim", "id,name", None, None)], schemas.CONFIG_ROW)
+    env = _env(spark, [("gmall", "t", "insert", "1", None, None)])
+    row = route(env, config).first()
+    assert (row.sink_table, row.pk_value, row.data) == ("dim_t", None, None)   # the sink rejects it
+
+
+def test_config_after_data_is_not_applied_to_earlier_rows(spark):
+    """data that arrives before any config for its table is not routed;
+    config that arrives first always is (it is applied before the batch's data)."""
+    from strata.streaming import jobs
+    cfg_row = ("t", None, "dim_t", "dim", "id,name", "id", None)
+    cfg = spark.createDataFrame([("r", None, cfg_row, 1, 1)], schemas.CONFIG_CDC)
+    env = _env(spark, [("gmall", "t", "insert", "1", {"id": "1", "name": "early"}, None),
+                       ("gmall", "t", "insert", "2", {"id": "2", "name": "late"}, None)])
+    raw_env = env.select(F.to_json(F.struct(*env.columns)).alias("value"),
+                         F.col("ts").cast("long").alias("_order"))
+    raw_cfg = cfg.select(F.to_json(F.struct(*cfg.columns)).alias("value"), F.lit(1.5).cast("long").alias("_order"))
+    # order: data id=1 (slice 0), config + data id=2 (slice 1)
+    raw = raw_env.unionByName(raw_cfg.withColumn("_order", F.lit(2).cast("long")))
+    store = jobs.dimension_routing(spark, raw, slices=2, files=1)
+    assert sorted(r.pk_value for r in store.collect()) == ["2"]

@@ -68,3 +68,30 @@ def test_dirty_split_side_output_stream(spark, tmp_dir):
     dirty = sorted(r.value for r in spark.read.parquet(f"{tmp_dir}/dirty").collect())
     assert clean == ['{"a":2}', '{"common":{"mid":"1"}}']
     assert dirty == ["", "[1]", "{bad"]
+
+
+def test_interval_join_late_row_after_watermark(spark, tmp_dir):
+    """an employee row that arrives after both sides' watermarks passed its
+    range finds no partner, although matching dept rows were seen earlier."""
+    emp_dir, dept_dir = f"{tmp_dir}/emp", f"{tmp_dir}/dept"
+    _write_lines(emp_dir, "1.txt", ["1,alice,10,100000"])
+    _write_lines(dept_dir, "1.txt", ["10,a,94000", "10,b,95000", "10,c,100000"])
+
+    def run():
+        emp = parse_delimited(spark.readStream.text(emp_dir),
+                              [("empno", "int"), ("ename", "string"), ("deptno", "int"), ("ts", "bigint")])
+        dept = parse_delimited(spark.readStream.text(dept_dir),
+                               [("d_deptno", "int"), ("dname", "string"), ("d_ts", "bigint")])
+        emp = emp.withColumn("ets", F.timestamp_millis("ts")).withWatermark("ets", "0 seconds")
+        dept = dept.withColumn("dts", F.timestamp_millis("d_ts")).withWatermark("dts", "0 seconds")
+        j = interval_join(emp, dept, "deptno", "d_deptno", "ets", "dts", -5, 5).select("empno", "dname")
+        q = (j.writeStream.format("parquet").option("path", f"{tmp_dir}/out")
+             .option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start())
+        q.awaitTermination()
+
+    run()
+    _write_lines(emp_dir, "2.txt", ["2,late,10,97000"])       # both sides are already past 100 s
+    _write_lines(dept_dir, "2.txt", ["10,d,200000"])
+    run()
+    got = sorted((r.empno, r.dname) for r in spark.read.parquet(f"{tmp_dir}/out").collect())
+    assert got == [(1, "b"), (1, "c")]
