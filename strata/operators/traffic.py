@@ -1,7 +1,8 @@
 """Traffic and trade aggregates of the DWS layer (batch form).
 
-The streaming forms in ``strata.streaming.traffic`` reuse the same measure
-definitions; only state handling differs.
+The streaming forms (``strata.streaming.flags`` for the per-device state,
+``strata.streaming.jobs`` for the windows) reuse these measure definitions;
+only state handling differs.
 """
 
 from __future__ import annotations
@@ -44,12 +45,12 @@ def page_view_flags(df: DataFrame, mid: str = "mid", ts: str = "ts",
     }).drop(f"_prev_{ts}")
 
 
-def window_bounds(w: str = "w", ts_out: str = "ts") -> list[Column]:
-    """``stt``/``edt`` strings and the epoch-millisecond version stamp ``ts``."""
-    return [
-        F.date_format(F.col(f"{w}.start"), STAMP).alias("stt"),
-        F.date_format(F.col(f"{w}.end"), STAMP).alias("edt"),
-    ], F.unix_millis(F.col(f"{w}.end").cast("timestamp")).alias(ts_out)
+def window_bounds(w: str = "w") -> tuple[Column, Column, Column]:
+    """``stt``/``edt`` strings and the epoch-millisecond version stamp ``ts``
+    (window end) of a window struct column."""
+    return (F.date_format(F.col(f"{w}.start"), STAMP).alias("stt"),
+            F.date_format(F.col(f"{w}.end"), STAMP).alias("edt"),
+            F.unix_millis(F.col(f"{w}.end").cast("timestamp")).alias("ts"))
 
 
 def traffic_window(flagged: DataFrame, size: str = "10 seconds",
@@ -66,8 +67,8 @@ def traffic_window(flagged: DataFrame, size: str = "10 seconds",
         F.count(F.lit(1)).alias("pv_ct"),
         F.sum(dur).cast("long").alias("dur_sum"),
     )
-    bounds, stamp = window_bounds()
-    return agg.select(*bounds, *dims, "uv_ct", "sv_ct", "pv_ct", "dur_sum", stamp)
+    stt, edt, stamp = window_bounds()
+    return agg.select(stt, edt, *dims, "uv_ct", "sv_ct", "pv_ct", "dur_sum", stamp)
 
 
 def uv_first_visit(df: DataFrame, mid: str = "mid", ts: str = "ts",
@@ -92,8 +93,8 @@ def sku_order_window(lines: DataFrame, ts: str, sku: str, amount: Column,
     agg = lines.groupBy(F.window(F.col(ts), size).alias("w"), F.col(sku).alias("sku_id")).agg(
         F.sum(amount).cast("double").alias("order_amount"),
         F.count(F.lit(1)).alias("order_ct"))
-    bounds, stamp = window_bounds()
-    return agg.select(*bounds, "sku_id", "order_amount", "order_ct", stamp)
+    stt, edt, stamp = window_bounds()
+    return agg.select(stt, edt, "sku_id", "order_amount", "order_ct", stamp)
 
 
 def late_rows(df: DataFrame, arrival: Sequence[str], ts: str = "ts",

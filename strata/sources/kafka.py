@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import schemas
-from strata.operators.parse import parse_envelopes
 
 
 def read_strings(spark: SparkSession, servers: str, topic: str, starting_offsets: str = "latest",
@@ -40,5 +39,3 @@ def read_change_envelopes(spark: SparkSession, servers: str, topic: str, **kw) -
     return (parsed.where(F.col("e").isNotNull())
                   .select("e.*", "partition", "offset", F.current_timestamp().alias("proc_time")))
 
-
-__all__ = ["read_strings", "read_change_envelopes", "parse_envelopes"]
