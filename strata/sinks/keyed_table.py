@@ -103,10 +103,13 @@ class KeyedTable:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*dirs)
 
-    def read(self) -> DataFrame:
-        """Current table contents."""
+    def read(self, empty_schema: T.StructType | str | None = None) -> DataFrame:
+        """Current table contents. A table without any committed batch is an
+        error, unless ``empty_schema`` is given: then it reads as empty."""
         _, _, dirs, schema = self._state()
         if schema is None:
+            if empty_schema is not None:
+                return self.spark.createDataFrame([], empty_schema)
             raise ValueError(f"keyed table at {self.path} has no committed batch")
         return self._read_dirs([d for d in dirs.values() if d], schema)
 

@@ -59,25 +59,31 @@ def left_changelog_joiner(left_cols: Sequence[tuple[str, str]], right_cols: Sequ
     def join(key, pdfs, state):
         if state.hasTimedOut:
             state.remove()
-            yield pd.DataFrame([], columns=columns)
+            yield pd.DataFrame({c: [] for c in columns})
             return
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values("seq", kind="stable")
+        frames = list(pdfs)
+        pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+        if len(pdf) > 1:
+            pdf = pdf.sort_values("seq", kind="stable")
         if state.exists:
             lefts = [tuple(r) for r in state.get[0]]
             rights = [tuple(r) for r in state.get[1]]
         else:
             lefts, rights = [], []
+        sides = pdf["side"].tolist()
+        lvals = [list(map(c, pdf[n].tolist())) for n, c in lcast]
+        rvals = [list(map(c, pdf[n].tolist())) for n, c in rcast]
         out: list[tuple] = []
-        for rec in pdf.to_dict("records"):
-            if rec["side"] == "L":
-                lrow = tuple(c(rec[n]) for n, c in lcast)
+        for i, side in enumerate(sides):
+            if side == "L":
+                lrow = tuple(v[i] for v in lvals)
                 if rights:
                     out += [("+I",) + lrow + r for r in rights]
                 else:
                     out.append(("+I",) + lrow + none_r)
                 lefts.append(lrow)
             else:
-                rrow = tuple(c(rec[n]) for n, c in rcast)
+                rrow = tuple(v[i] for v in rvals)
                 for lrow in lefts:
                     if not rights:
                         out.append(("-D",) + lrow + none_r)

@@ -116,10 +116,13 @@ def dimension_routing(spark: SparkSession, raw: DataFrame, slices: int = 4, file
                 jsonf.parse(F.col("value"), schemas.CONFIG_CDC).alias("c")).select("c.*")
             # Latest action per config key in this batch; removals are rows whose
             # `row` is NULL. Upserting them keeps the config table current.
-            actions = config_state(changes, live_type=None)
-            config.upsert(actions, batch_id, order=["ts_ms", "seq", "rank"],
-                          is_delete=F.col("row").isNull())
-            live = config.read().where(F.col("row.sink_type") == "dim").select("row.*")
+            # Most batches carry no config change: then the table is left as is.
+            if not changes.isEmpty():
+                actions = config_state(changes, live_type=None)
+                config.upsert(actions, batch_id, order=["ts_ms", "seq", "rank"],
+                              is_delete=F.col("row").isNull())
+            live = (config.read(empty_schema=f"source_table STRING, row STRUCT<{schemas.CONFIG_ROW}>")
+                    .where(F.col("row.sink_type") == "dim").select("row.*"))
             envelopes = drop_control_records(parse_envelopes(batch.where(~is_cfg)))
             routed = route(envelopes, live).select("sink_table", "sink_pk", "pk_value", "type", "ts", "data")
             store.upsert(routed, batch_id, order=["ts"], is_delete=F.col("type") == "delete")
