@@ -40,3 +40,27 @@ def lookup(facts: DataFrame, dictionary: DataFrame, fact_key: str = "source_type
     dic = dictionary.select(F.col(code).alias("_code"), F.col(name).alias(out))
     joined = facts.join(broadcast_if_small(dic, max_rows), F.col(fact_key) == F.col("_code"), "inner")
     return joined.drop("_code")
+
+
+# The same cart-add as Spark SQL over named temporary views (works on batch and
+# streaming frames alike); Catalyst produces the same plan as ``cart_add``.
+CART_ADD_SQL = """
+SELECT data['id'] AS id,
+       data['user_id'] AS user_id,
+       data['sku_id'] AS sku_id,
+       IF(type = 'insert', data['sku_num'],
+          CAST(TRY_CAST(data['sku_num'] AS INT) - TRY_CAST(old['sku_num'] AS INT) AS STRING)) AS sku_num,
+       data['source_type'] AS source_type,
+       ts
+FROM {envelopes}
+WHERE `table` = 'cart_info'
+  AND (type = 'insert'
+       OR (type = 'update' AND old['sku_num'] IS NOT NULL
+           AND TRY_CAST(data['sku_num'] AS INT) > TRY_CAST(old['sku_num'] AS INT)))
+"""
+
+
+def cart_add_sql(envelopes: DataFrame, view: str = "topic_db") -> DataFrame:
+    """``cart_add`` written as SQL over a temporary view of the envelopes."""
+    envelopes.createOrReplaceTempView(view)
+    return envelopes.sparkSession.sql(CART_ADD_SQL.format(envelopes=view))

@@ -75,3 +75,14 @@ def test_keyed_join_types(spark):
     n = {how: keyed_join(emp, dept, "deptno", "d_deptno", how, broadcast_max_rows=100).count()
          for how in ("inner", "left", "right", "full")}
     assert n == {"inner": 1, "left": 2, "right": 2, "full": 3}
+
+
+def test_cart_add_sql_form_matches(spark):
+    from strata.operators.fact import cart_add_sql
+    env = _cart(spark, [
+        ("insert", "1", _d("1", "2"), None),
+        ("update", "2", _d("2", "5"), {"sku_num": "3"}),
+        ("update", "3", _d("3", "1"), {"sku_num": "3"}),
+        ("update", "6", _d("6", "x"), {"sku_num": "1"}),
+    ])
+    assert sorted(map(tuple, cart_add_sql(env).collect())) == sorted(map(tuple, cart_add(env).collect()))
