@@ -45,12 +45,34 @@ def _bucket(x: Column, lo: Column, hi: Column, nb: Column) -> Column:
     return F.least(F.floor((x - lo) / width), nb - 1).cast("long")
 
 
+def _quantile_chunks(df: DataFrame, x: Column, n: int) -> DataFrame:
+    """One sequence cut at approximate quantiles of its leading order value,
+    so every chunk holds about 1/n of the rows however the values cluster.
+    The n-1 boundaries (one aggregate, bounded) become literals of a Bucketizer,
+    which assigns chunks by binary search on the JVM. NULLs sort first, so
+    they join the first chunk."""
+    from pyspark.ml.feature import Bucketizer
+    xd = df.withColumn("_seq_x", F.coalesce(x.cast("double"), F.lit(float("-inf"))))
+    probs = [i / n for i in range(1, n)]
+    cuts = []
+    if n > 1:
+        # One partial aggregate; accuracy 4n keeps each chunk within about a
+        # quarter of 1/n of the rows.
+        found = xd.agg(F.percentile_approx("_seq_x", probs, 4 * n)).first()[0]
+        cuts = sorted(set(found or []))
+    splits = [float("-inf")] + [c for c in cuts if c not in (float("-inf"), float("inf"))] + [float("inf")]
+    chunked = Bucketizer(splits=splits, inputCol="_seq_x", outputCol=_CHUNK).transform(xd)
+    return chunked.select(*df.columns, F.col(_CHUNK).cast("long").alias(_CHUNK),
+                          F.lit(True).alias("_seq_hot"))
+
+
 def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str],
              chunks: int | None) -> tuple[DataFrame, bool]:
     """Add the chunk id and ``_seq_hot``; also return whether any chunking
     happened.
 
-    Without keys the whole frame is one sequence, cut into ``n`` buckets. With
+    Without keys the whole frame is one sequence, cut into ``n`` chunks at
+    approximate quantiles. With
     keys only *hot* keys are cut: a key holding more than ``total / n`` rows
     gets ``ceil(count / (total / n))`` buckets over its own min..max, so each
     chunk holds about ``total / n`` rows; every other key stays whole (chunk
@@ -60,11 +82,7 @@ def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     x = _as_number(df, order[0])
     cold = df.withColumns({_CHUNK: F.lit(0).cast("long"), "_seq_hot": F.lit(False)})
     if not keys:
-        total, lo, hi = df.agg(F.count(F.lit(1)), F.min(x), F.max(x)).first()
-        if lo is None:
-            return cold, False
-        return df.withColumns({_CHUNK: _bucket(x, F.lit(lo), F.lit(hi), F.lit(n)),
-                               "_seq_hot": F.lit(True)}), True
+        return _quantile_chunks(df, x, n), True
     # One job answers "is any key hot?": rows per key (a partial aggregate),
     # then their sum and maximum.
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_seq_n"))
@@ -141,9 +159,9 @@ def with_running_max(df: DataFrame, order: Sequence[str], value: str,
     """Add ``out`` = max of ``value`` over all rows up to and including this one
     in the global ``order`` (a single sequence: the worst case for one task).
 
-    Each bucket computes its local running max; the prefix max of the earlier
-    buckets (one row per bucket, so at most ``chunks`` rows) is broadcast
-    back.
+    The sequence is cut at quantiles of its leading order value; each chunk
+    computes its local running max, and the prefix max of the earlier chunks
+    (one row per chunk, so at most ``chunks`` rows) is broadcast back.
     """
     ranged, _ = _chunked(df, [], order, chunks)
     w = (Window.partitionBy(_CHUNK).orderBy(*order)

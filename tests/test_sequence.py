@@ -52,3 +52,18 @@ def test_running_max_matches_global_window(spark):
     want = df.select("id", F.max("ts").over(Window.orderBy("v", "id").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)).alias("w"))
     assert got.join(want, "id").where(F.col("m") != F.col("w")).count() == 0
+
+
+def test_running_max_on_clustered_order_is_balanced_and_exact(spark):
+    from strata.operators.sequence import _chunked
+    # A third of the rows share one tiny range of the order column.
+    df = spark.range(3000).select(
+        "id", F.when(F.col("id") % 3 == 0, F.col("id") / 1e6).otherwise(F.col("id")).alias("o"),
+        ((F.col("id") * 7919) % 1000).alias("v"))
+    chunked, _ = _chunked(df, [], ["o", "id"], 10)
+    sizes = [r["count"] for r in chunked.groupBy("_seq_chunk").count().collect()]
+    assert max(sizes) < 3000 / 3           # the cluster does not end up in one chunk
+    got = with_running_max(df, ["o", "id"], "v", out="m", chunks=10)
+    want = df.select("id", F.max("v").over(Window.orderBy("o", "id").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)).alias("w"))
+    assert got.join(want, "id").where(F.col("m") != F.col("w")).count() == 0
