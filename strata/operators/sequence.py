@@ -3,10 +3,11 @@
 ``Window.partitionBy(key)`` puts every row of a key into one task; with a key
 holding a third of the data that task is the whole job. These helpers cut the
 ordering of every *hot* key (more than 1/n of all rows; at most n such keys)
-into contiguous chunks of about 1/n of the rows each: equal-width buckets of
-the leading order column over that key's own range. Cold keys stay whole. The
-window runs per ``(key, chunk)`` and the few values that cross a chunk edge are
-carried over through a broadcast table with one row per hot chunk (at most 2n).
+into contiguous chunks of about 1/n of the rows each: fine equal-width buckets
+of the leading order column over that key's own range, merged by row count.
+Cold keys stay whole. The window runs per ``(key, chunk)`` and the few values
+that cross a chunk edge are carried over through a broadcast table with one
+row per hot chunk (at most 3n).
 
 Chunk ids are a pure function of the row, so every branch of the plan (and every
 retry after a lost executor) agrees on them. A range exchange would not: its
@@ -26,6 +27,8 @@ from strata.session import shuffle_partitions
 _CHUNK = "_seq_chunk"
 # Buckets per shuffle partition: enough that a hot key spreads over all tasks.
 _CHUNKS_PER_PARTITION = 4
+# Fine buckets per planned chunk of a hot key; merged by row count into chunks.
+_FINE = 16
 
 
 def _as_number(df: DataFrame, name: str) -> Column:
@@ -74,9 +77,10 @@ def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     Without keys the whole frame is one sequence, cut into ``n`` chunks at
     approximate quantiles. With
     keys only *hot* keys are cut: a key holding more than ``total / n`` rows
-    gets ``ceil(count / (total / n))`` buckets over its own min..max, so each
-    chunk holds about ``total / n`` rows; every other key stays whole (chunk
-    0). The chunks of all hot keys together number at most ``2n``.
+    gets ``16 * ceil(count / (total / n))`` equal-width fine buckets over its
+    own min..max; consecutive fine buckets are merged by their row counts into
+    chunks of about ``total / n`` rows. Every other key stays whole (chunk 0).
+    The chunks of all hot keys together number at most ``3n``.
     """
     n = chunks or shuffle_partitions(df.sparkSession) * _CHUNKS_PER_PARTITION
     x = _as_number(df, order[0])
@@ -100,18 +104,42 @@ def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                           F.ceil(F.col("_seq_n") / F.lit(threshold)).alias("_seq_nb"))
                   .collect())
     x_type = df.select(x.alias("x")).schema["x"].dataType
+    hkeys = [f"_seq_h_{k}" for k in keys]
     hot_schema = T.StructType(
         [T.StructField(f"_seq_h_{k}", df.schema[k].dataType, True) for k in keys]
         + [T.StructField("_seq_lo", x_type, True), T.StructField("_seq_hi", x_type, True),
            T.StructField("_seq_nb", T.LongType(), True)])
-    hot = df.sparkSession.createDataFrame(hot_rows, hot_schema)
     cond = None
     for k in keys:
         c = F.col(k).eqNullSafe(F.col(f"_seq_h_{k}"))
         cond = c if cond is None else cond & c
-    marked = df.join(F.broadcast(hot), cond, "left")
     is_hot = F.col("_seq_lo").isNotNull()
-    chunk = F.when(is_hot, _bucket(x, F.col("_seq_lo"), F.col("_seq_hi"), F.col("_seq_nb"))) \
+    fine = _bucket(x, F.col("_seq_lo"), F.col("_seq_hi"), F.col("_seq_nb") * _FINE)
+
+    # Rows per fine bucket of every hot key: at most _FINE * 2n counts.
+    hot = df.sparkSession.createDataFrame(hot_rows, hot_schema)
+    counts: dict[tuple, dict[int, int]] = {}
+    for r in (df.join(F.broadcast(hot), cond, "inner")
+                .groupBy(*hkeys, fine.alias("_seq_f")).count().collect()):
+        counts.setdefault(tuple(r[h] for h in hkeys), {})[r["_seq_f"]] = r["count"]
+    # Merge consecutive fine buckets into chunks of about `threshold` rows, so
+    # clustered values still give balanced chunks (a single fine bucket above
+    # the threshold stays whole). Chunks in total: at most 3n.
+    mapped = []
+    for r in hot_rows:
+        per_fine = counts.get(tuple(r[h] for h in hkeys), {})
+        chunk_of, chunk, filled = [], 0, 0
+        for f in range(int(r["_seq_nb"]) * _FINE):
+            c = per_fine.get(f, 0)
+            if filled and filled + c > threshold:
+                chunk, filled = chunk + 1, 0
+            chunk_of.append(chunk)
+            filled += c
+        mapped.append(tuple(r) + (chunk_of,))
+    hot = df.sparkSession.createDataFrame(
+        mapped, T.StructType(hot_schema.fields + [T.StructField("_seq_map", T.ArrayType(T.LongType()))]))
+    marked = df.join(F.broadcast(hot), cond, "left")
+    chunk = F.when(is_hot, F.element_at(F.col("_seq_map"), (fine + 1).cast("int"))) \
              .otherwise(F.lit(0).cast("long"))
     return marked.select(*df.columns, chunk.alias(_CHUNK), is_hot.alias("_seq_hot")), True
 
@@ -135,7 +163,7 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         F.row_number().over(w).alias("_seq_rn"),
         *[F.lag(v).over(w).alias(f"_seq_p_{v}") for v in values],
     )
-    # Last row of every chunk of a hot key: at most 2n rows.
+    # Last row of every chunk of a hot key: at most 3n rows.
     tails = ranged.where(F.col("_seq_hot")).groupBy(*keys, _CHUNK).agg(
         F.max_by(F.struct(*[F.col(v).alias(f"_seq_v_{v}") for v in values]), F.struct(*order))
         .alias("_seq_last"))
@@ -146,7 +174,7 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     cond = F.col(_CHUNK) == F.col("_seq_c")
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"_seq_k_{k}"))
-    # Bounded by the 2n chunks of hot keys, so the big side is never re-shuffled.
+    # Bounded by the 3n chunks of hot keys, so the big side is never re-shuffled.
     joined = local.join(F.broadcast(carry), on=cond, how="left")
     return joined.select(
         *df.columns,

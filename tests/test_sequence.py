@@ -67,3 +67,20 @@ def test_running_max_on_clustered_order_is_balanced_and_exact(spark):
     want = df.select("id", F.max("v").over(Window.orderBy("o", "id").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)).alias("w"))
     assert got.join(want, "id").where(F.col("m") != F.col("w")).count() == 0
+
+
+def test_hot_key_with_clustered_values_is_balanced_and_exact(spark):
+    from strata.operators.sequence import _chunked
+    # key 0 holds half the rows, and 80% of them sit in a tenth of its range (a burst)
+    df = spark.range(4000).select(
+        "id", F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id") % 40 + 1).alias("k"),
+        F.when((F.col("id") % 2 == 0) & (F.col("id") % 10 != 0), F.col("id") / 10)
+         .otherwise(F.col("id")).alias("o"),
+        ((F.col("id") * 31) % 997).alias("v"))
+    chunked, split = _chunked(df, ["k"], ["o", "id"], 8)
+    assert split
+    sizes = [r["count"] for r in chunked.where("k = 0").groupBy("_seq_chunk").count().collect()]
+    assert len(sizes) >= 4 and max(sizes) <= 2 * 4000 / 8
+    got = with_previous(df, ["k"], ["o", "id"], ["v"], chunks=8)
+    want = df.select("id", F.lag("v").over(Window.partitionBy("k").orderBy("o", "id")).alias("w"))
+    assert got.join(want, "id").where(~F.col("prev_v").eqNullSafe(F.col("w"))).count() == 0
