@@ -19,6 +19,8 @@ SESSION_DEFAULTS = {
     # Keyed streaming state spills to disk instead of living on the heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Checkpoint each batch's state changes instead of a full snapshot.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
