@@ -4,8 +4,10 @@ Each micro-batch appends only its own rows, to ``batch=<id>/`` (written with
 overwrite, so a replayed batch replaces its own folder and never duplicates).
 A read folds the log per key: the latest row (upsert semantics) or the sum of
 measures (additive window partials). Writes cost O(batch) instead of
-rewriting touched buckets. (No compaction yet: a long-running job should
-fold the log into a ``KeyedTable`` snapshot periodically.)
+rewriting touched buckets. ``compact`` folds the log into a snapshot and
+commits a small versioned pointer file (``snapshots/v<batch>.json``, written
+atomically, never overwritten); reads then combine the newest snapshot with
+only the batches after it.
 """
 
 from __future__ import annotations
@@ -15,7 +17,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import json
+
 from strata.operators.cdc import latest_per_key
+from strata.sinks.keyed_table import _list_names, _read_text, _write_text_atomically
 
 
 class KeyedLog:
@@ -28,9 +33,43 @@ class KeyedLog:
         rows = batch.withColumn("_del", is_delete if is_delete is not None else F.lit(False))
         rows.write.mode("overwrite").parquet(f"{self.path}/log/batch={batch_id}")
 
+    def _snapshot(self) -> dict | None:
+        # Pointers are never overwritten: the newest version wins.
+        names = sorted(n for n in _list_names(self.spark, f"{self.path}/snapshots") if n.endswith(".json"))
+        if not names:
+            return None
+        return json.loads(_read_text(self.spark, f"{self.path}/snapshots/{names[-1]}"))
+
     def _log(self) -> DataFrame:
         # `batch` comes back as a partition column of the log folder.
-        return self.spark.read.parquet(f"{self.path}/log")
+        log = self.spark.read.parquet(f"{self.path}/log")
+        snap = self._snapshot()
+        if snap is None:
+            return log
+        base = self.spark.read.parquet(snap["path"])
+        return base.unionByName(log.where(F.col("batch") > snap["upto"]))
+
+    def compact(self, upto_batch: int, order: Sequence[str] = (),
+                measures: Sequence[str] | None = None) -> None:
+        """Fold every batch up to ``upto_batch`` into one snapshot: the latest
+        row per key (by ``order``), or with ``measures`` their per-key sums.
+        Call it between batches (the sink is the only writer). Old batch
+        folders are left in place and ignored from then on."""
+        log = self._log().where(F.col("batch") <= upto_batch)
+        cols = [c for c in log.columns if c not in ("batch", "_del")]
+        if measures is None:
+            folded = latest_per_key(log, self.keys, ["batch", *order]).where(~F.col("_del"))
+        else:
+            others = [c for c in cols if c not in self.keys and c not in measures]
+            folded = log.groupBy(*self.keys).agg(
+                *[F.sum(m).cast(log.schema[m].dataType).alias(m) for m in measures],
+                *[F.max(c).alias(c) for c in others])
+        snap = f"{self.path}/snapshot-{upto_batch}"
+        (folded.select(*cols).withColumn("_del", F.lit(False))
+               .withColumn("batch", F.lit(upto_batch).cast(log.schema["batch"].dataType))
+               .write.mode("overwrite").parquet(snap))
+        _write_text_atomically(self.spark, f"{self.path}/snapshots", f"v{upto_batch:012d}.json",
+                               json.dumps({"upto": upto_batch, "path": snap}))
 
     def latest(self, order: Sequence[str] = ()) -> DataFrame:
         """Latest row per key over all batches (later batch wins, then

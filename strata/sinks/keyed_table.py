@@ -42,6 +42,29 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def _list_names(spark: SparkSession, folder: str) -> list[str]:
+    p, fs = _fs(spark, folder)
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p)]
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
+    p, fs = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        reader = spark.sparkContext._jvm.java.io.BufferedReader(  # noqa: SLF001
+            spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))  # noqa: SLF001
+        lines = []
+        line = reader.readLine()
+        while line is not None:
+            lines.append(line)
+            line = reader.readLine()
+        return "\n".join(lines)
+    finally:
+        stream.close()
+
+
 def _write_text_atomically(spark: SparkSession, folder: str, name: str, text: str) -> None:
     """Write a small file under a hidden name, then rename it into place, so
     readers see either nothing or the whole file."""

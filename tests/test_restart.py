@@ -48,3 +48,22 @@ def test_keyed_log_replay_overwrites_batch(spark, tmp_dir):
     assert t.summed(["n"]).first().n == 3
     t.append(spark.createDataFrame([("a", 7)], "k string, n long"), 2, is_delete=F.lit(True))
     assert t.latest().count() == 0
+
+
+def test_keyed_log_compaction_keeps_answers(spark, tmp_dir):
+    t = KeyedLog(spark, f"{tmp_dir}/c", ["k"])
+    for i, (k, n) in enumerate([("a", 1), ("b", 5), ("a", 2)]):
+        t.append(spark.createDataFrame([(k, n)], "k string, n long"), i)
+    t.compact(2, measures=["n"])
+    t.append(spark.createDataFrame([("a", 10)], "k string, n long"), 3)
+    assert {r.k: r.n for r in t.summed(["n"]).collect()} == {"a": 13, "b": 5}
+    t.compact(3, measures=["n"])                                        # a second snapshot
+    t.append(spark.createDataFrame([("b", 1)], "k string, n long"), 4)
+    assert {r.k: r.n for r in t.summed(["n"]).collect()} == {"a": 13, "b": 6}
+
+    u = KeyedLog(spark, f"{tmp_dir}/u", ["k"])
+    u.append(spark.createDataFrame([("a", 1), ("b", 1)], "k string, n long"), 0)
+    u.append(spark.createDataFrame([("b", 2)], "k string, n long"), 1, is_delete=F.lit(True))
+    u.compact(1)
+    u.append(spark.createDataFrame([("a", 7)], "k string, n long"), 2)
+    assert {r.k: r.n for r in u.latest().collect()} == {"a": 7}
