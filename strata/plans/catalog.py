@@ -707,3 +707,15 @@ def stream_late_rows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrived = ev.withColumn("arrival", F.col("event_id") + (F.col("event_id") * 7919) % 97)
     late = jobs.late_side_output(spark, arrived, ["arrival", "event_id"], "ts")
     return late.select("event_id", "ts", "max_seen")
+
+
+@register("stream_dirty_split", _sql_of("dirty_split"))
+def stream_dirty_split_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw log as a stream: each micro-batch is read once and split into
+    the clean main output and the dirty side output (original text kept)."""
+    from strata.streaming import jobs
+    ev = load_table(spark, sf_dir, "events").select("event_id", "props")
+    raw = ev.select("event_id", F.expr(_DIRTY_VALUE).alias("value"))
+    clean, dirty = jobs.dirty_split(spark, raw, "event_id", keep=("event_id",))
+    return (clean.select("event_id", "value", F.lit(False).alias("is_dirty"))
+                 .unionByName(dirty.select("event_id", "value", F.lit(True).alias("is_dirty"))))

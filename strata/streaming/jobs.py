@@ -277,3 +277,26 @@ def late_side_output(spark: SparkSession, rows: DataFrame, arrival: list[str], t
                   .option("checkpointLocation", ckpt).trigger(availableNow=True).start(),
                   spark, "late-rows")
     return spark.read.parquet(late_dir)
+
+
+def dirty_split(spark: SparkSession, raw: DataFrame, order: str, value: str = "value",
+                keep: tuple[str, ...] = (), slices: int = 4, files: int = 2) -> tuple[DataFrame, DataFrame]:
+    """The raw log as a stream split into its clean main output and the dirty
+    side output, both written from one read of each micro-batch. Returns
+    (clean, dirty) as read back from their folders."""
+    from strata.sinks.side_output import dirty_split_writer
+    src = write_slices(raw, order, "raw-log", slices, files)
+    stream = read_slices(spark, src, raw.schema, files)
+    base = scratch_path(spark, "log-split")
+    write = dirty_split_writer(f"{base}/clean", f"{base}/dirty", value, dirty_columns=keep)
+    run_available(lambda ckpt: stream.writeStream.foreachBatch(write)
+                  .option("checkpointLocation", ckpt).trigger(availableNow=True).start(),
+                  spark, "log-split")
+    from strata.sinks.keyed_table import _exists
+    empty = spark.createDataFrame([], raw.schema)
+
+    def read(path: str, like: DataFrame) -> DataFrame:
+        # No folder when the stream had no batch at all.
+        return spark.read.parquet(path) if _exists(spark, path) else like
+
+    return read(f"{base}/clean", empty), read(f"{base}/dirty", empty.select(*keep, value))
