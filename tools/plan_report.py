@@ -51,7 +51,10 @@ def main() -> None:
                 "(generated by `tools/plan_report.py`). *Shuffles* counts shuffle exchanges, "
                 "*Bcast* broadcast exchanges; *Aggs* counts aggregate operators (partial + final). "
                 "Driver-side jobs that return bounded results (hot-key lists, broadcast size checks) "
-                "run before the plan and are not shown. Timings are in `bench.py`'s output.\n\n")
+                "run before the plan and are not shown. Timings are in `bench.py`'s output. "
+                "A round-robin exchange from `session.spread` shows up only when a scan has fewer "
+                "partitions than there are cores (every driver table is one parquet row group); "
+                "on large inputs it is absent.\n\n")
         f.write("| Query | Shuffles | Bcast | SMJ | BHJ | Window | Aggs | Scans (columns read, pushed filters) |\n")
         f.write("| --- | --- | --- | --- | --- | --- | --- | --- |\n")
         for r in rows:
