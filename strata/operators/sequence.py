@@ -29,6 +29,9 @@ _CHUNK = "_seq_chunk"
 _CHUNKS_PER_PARTITION = 4
 # Fine buckets per planned chunk of a hot key; merged by row count into chunks.
 _FINE = 16
+# A group smaller than this is never split: one task handles it easily, and
+# splitting it would only add work. At large scale total/n is far above it.
+MIN_ROWS_PER_CHUNK = 1_000_000
 
 
 def _as_number(df: DataFrame, name: str) -> Column:
@@ -48,7 +51,7 @@ def _bucket(x: Column, lo: Column, hi: Column, nb: Column) -> Column:
     return F.least(F.floor((x - lo) / width), nb - 1).cast("long")
 
 
-def _quantile_chunks(df: DataFrame, x: Column, n: int) -> DataFrame:
+def _quantile_chunks(df: DataFrame, x: Column, n: int, min_rows: int) -> DataFrame:
     """One sequence cut at approximate quantiles of its leading order value,
     so every chunk holds about 1/n of the rows however the values cluster.
     The n-1 boundaries (one aggregate, bounded) become literals of a Bucketizer,
@@ -56,42 +59,52 @@ def _quantile_chunks(df: DataFrame, x: Column, n: int) -> DataFrame:
     they join the first chunk."""
     from pyspark.ml.feature import Bucketizer
     xd = df.withColumn("_seq_x", F.coalesce(x.cast("double"), F.lit(float("-inf"))))
-    probs = [i / n for i in range(1, n)]
+    total = df.count()
+    n = max(1, min(n, -(-total // min_rows)))
     cuts = []
     if n > 1:
         # One partial aggregate; accuracy 4n keeps each chunk within about a
         # quarter of 1/n of the rows.
+        probs = [i / n for i in range(1, n)]
         found = xd.agg(F.percentile_approx("_seq_x", probs, 4 * n)).first()[0]
         cuts = sorted(set(found or []))
-    splits = [float("-inf")] + [c for c in cuts if c not in (float("-inf"), float("inf"))] + [float("inf")]
+    inner = [c for c in cuts if c not in (float("-inf"), float("inf"))]
+    if not inner:
+        # Small enough for one chunk.
+        return df.withColumns({_CHUNK: F.lit(0).cast("long"), "_seq_hot": F.lit(True)})
+    splits = [float("-inf")] + inner + [float("inf")]
     chunked = Bucketizer(splits=splits, inputCol="_seq_x", outputCol=_CHUNK).transform(xd)
     return chunked.select(*df.columns, F.col(_CHUNK).cast("long").alias(_CHUNK),
                           F.lit(True).alias("_seq_hot"))
 
 
 def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-             chunks: int | None) -> tuple[DataFrame, bool]:
+             chunks: int | None, min_rows: int | None = None) -> tuple[DataFrame, bool]:
     """Add the chunk id and ``_seq_hot``; also return whether any chunking
     happened.
 
     Without keys the whole frame is one sequence, cut into ``n`` chunks at
-    approximate quantiles. With
-    keys only *hot* keys are cut: a key holding more than ``total / n`` rows
-    gets ``16 * ceil(count / (total / n))`` equal-width fine buckets over its
-    own min..max; consecutive fine buckets are merged by their row counts into
-    chunks of about ``total / n`` rows. Every other key stays whole (chunk 0).
-    The chunks of all hot keys together number at most ``3n``.
+    approximate quantiles. With keys only *hot* keys are cut: a key holding
+    more than ``total / n`` rows gets ``16 * ceil(count / (total / n))``
+    equal-width fine buckets over its own min..max; consecutive fine buckets
+    are merged by their row counts into chunks of about ``total / n`` rows.
+    Every other key stays whole (chunk 0). The chunks of all hot keys together
+    number at most ``3n``.
+
+    Nothing smaller than ``min_rows`` (default ``MIN_ROWS_PER_CHUNK``) counts
+    as hot or gets a chunk of its own.
     """
     n = chunks or shuffle_partitions(df.sparkSession) * _CHUNKS_PER_PARTITION
+    min_rows = MIN_ROWS_PER_CHUNK if min_rows is None else max(1, min_rows)
     x = _as_number(df, order[0])
     cold = df.withColumns({_CHUNK: F.lit(0).cast("long"), "_seq_hot": F.lit(False)})
     if not keys:
-        return _quantile_chunks(df, x, n), True
+        return _quantile_chunks(df, x, n, min_rows), True
     # One job answers "is any key hot?": rows per key (a partial aggregate),
     # then their sum and maximum.
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_seq_n"))
     total, biggest = per_key.agg(F.sum("_seq_n"), F.max("_seq_n")).first()
-    threshold = max(-(-(total or 0) // n), 1)
+    threshold = max(-(-(total or 0) // n), min_rows)
     if biggest is None or biggest <= threshold:
         return cold, False
     # At most n keys can each hold more than total/n rows, so the hot list has
@@ -146,13 +159,13 @@ def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   values: Sequence[str], prefix: str = "prev_",
-                  chunks: int | None = None) -> DataFrame:
+                  chunks: int | None = None, min_rows: int | None = None) -> DataFrame:
     """Add ``prefix + v`` = value of ``v`` on the previous row of the same key.
 
     ``order`` must be a total order inside a key (end it with a unique column),
     otherwise "previous" is not defined. Rows without a predecessor get NULL.
     """
-    ranged, split = _chunked(df, keys, order, chunks)
+    ranged, split = _chunked(df, keys, order, chunks, min_rows)
     if not split:
         # No hot key: one balanced window per key is already the right plan.
         w = Window.partitionBy(*keys).orderBy(*order)
@@ -183,7 +196,8 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def with_running_max(df: DataFrame, order: Sequence[str], value: str,
-                     out: str = "running_max", chunks: int | None = None) -> DataFrame:
+                     out: str = "running_max", chunks: int | None = None,
+                     min_rows: int | None = None) -> DataFrame:
     """Add ``out`` = max of ``value`` over all rows up to and including this one
     in the global ``order`` (a single sequence: the worst case for one task).
 
@@ -191,7 +205,7 @@ def with_running_max(df: DataFrame, order: Sequence[str], value: str,
     computes its local running max, and the prefix max of the earlier chunks
     (one row per chunk, so at most ``chunks`` rows) is broadcast back.
     """
-    ranged, _ = _chunked(df, [], order, chunks)
+    ranged, _ = _chunked(df, [], order, chunks, min_rows)
     w = (Window.partitionBy(_CHUNK).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = ranged.withColumn("_seq_local", F.max(value).over(w))

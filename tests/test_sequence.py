@@ -19,7 +19,7 @@ def _skewed(spark, n=3000):
 
 def test_with_previous_matches_lag_on_hot_key(spark):
     df = _skewed(spark)
-    got = with_previous(df, ["k"], ["ts", "id"], ["v", "ts"], chunks=12)
+    got = with_previous(df, ["k"], ["ts", "id"], ["v", "ts"], chunks=12, min_rows=1)
     want = df.select("id", F.lag("v").over(Window.partitionBy("k").orderBy("ts", "id")).alias("want_v"),
                      F.lag("ts").over(Window.partitionBy("k").orderBy("ts", "id")).alias("want_ts"))
     j = got.join(want, "id")
@@ -31,7 +31,7 @@ def test_with_previous_matches_lag_on_hot_key(spark):
 def test_hot_key_is_split_into_bounded_chunks(spark):
     from strata.operators.sequence import _chunked
     df = _skewed(spark)
-    chunked, split = _chunked(df, ["k"], ["ts", "id"], 12)
+    chunked, split = _chunked(df, ["k"], ["ts", "id"], 12, 1)
     assert split
     per_key = chunked.groupBy("k").agg(F.countDistinct("_seq_chunk").alias("c")).collect()
     counts = {r["k"]: r["c"] for r in per_key}
@@ -42,13 +42,13 @@ def test_hot_key_is_split_into_bounded_chunks(spark):
 
 def test_with_previous_null_keys_and_single_rows(spark):
     df = spark.createDataFrame([(1, None, 1), (2, None, 2), (3, "a", 5)], "id long, k string, v long")
-    got = {r["id"]: r["prev_v"] for r in with_previous(df, ["k"], ["id"], ["v"], chunks=2).collect()}
+    got = {r["id"]: r["prev_v"] for r in with_previous(df, ["k"], ["id"], ["v"], chunks=2, min_rows=1).collect()}
     assert got == {1: None, 2: 1, 3: None}
 
 
 def test_running_max_matches_global_window(spark):
     df = _skewed(spark)
-    got = with_running_max(df, ["v", "id"], "ts", out="m", chunks=7)
+    got = with_running_max(df, ["v", "id"], "ts", out="m", chunks=7, min_rows=1)
     want = df.select("id", F.max("ts").over(Window.orderBy("v", "id").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)).alias("w"))
     assert got.join(want, "id").where(F.col("m") != F.col("w")).count() == 0
@@ -60,10 +60,10 @@ def test_running_max_on_clustered_order_is_balanced_and_exact(spark):
     df = spark.range(3000).select(
         "id", F.when(F.col("id") % 3 == 0, F.col("id") / 1e6).otherwise(F.col("id")).alias("o"),
         ((F.col("id") * 7919) % 1000).alias("v"))
-    chunked, _ = _chunked(df, [], ["o", "id"], 10)
+    chunked, _ = _chunked(df, [], ["o", "id"], 10, 1)
     sizes = [r["count"] for r in chunked.groupBy("_seq_chunk").count().collect()]
     assert max(sizes) < 3000 / 3           # the cluster does not end up in one chunk
-    got = with_running_max(df, ["o", "id"], "v", out="m", chunks=10)
+    got = with_running_max(df, ["o", "id"], "v", out="m", chunks=10, min_rows=1)
     want = df.select("id", F.max("v").over(Window.orderBy("o", "id").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)).alias("w"))
     assert got.join(want, "id").where(F.col("m") != F.col("w")).count() == 0
@@ -77,10 +77,17 @@ def test_hot_key_with_clustered_values_is_balanced_and_exact(spark):
         F.when((F.col("id") % 2 == 0) & (F.col("id") % 10 != 0), F.col("id") / 10)
          .otherwise(F.col("id")).alias("o"),
         ((F.col("id") * 31) % 997).alias("v"))
-    chunked, split = _chunked(df, ["k"], ["o", "id"], 8)
+    chunked, split = _chunked(df, ["k"], ["o", "id"], 8, 1)
     assert split
     sizes = [r["count"] for r in chunked.where("k = 0").groupBy("_seq_chunk").count().collect()]
     assert len(sizes) >= 4 and max(sizes) <= 2 * 4000 / 8
-    got = with_previous(df, ["k"], ["o", "id"], ["v"], chunks=8)
+    got = with_previous(df, ["k"], ["o", "id"], ["v"], chunks=8, min_rows=1)
     want = df.select("id", F.lag("v").over(Window.partitionBy("k").orderBy("o", "id")).alias("w"))
     assert got.join(want, "id").where(~F.col("prev_v").eqNullSafe(F.col("w"))).count() == 0
+
+
+def test_small_groups_are_not_split_by_default(spark):
+    from strata.operators.sequence import _chunked
+    df = _skewed(spark)
+    _, split = _chunked(df, ["k"], ["ts", "id"], 12)      # 1000 rows: below the floor
+    assert not split
