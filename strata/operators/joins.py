@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strata.operators.sizing import broadcast_if_small
 
 
-def _micros(df: DataFrame, ts: str):
+def _micros(ts: str):
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
@@ -25,8 +25,8 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     width = max(int(round((upper_s - lower_s) * 1_000_000)), 1)
     lo = int(round(lower_s * 1_000_000))
     hi = int(round(upper_s * 1_000_000))
-    lt = _micros(left, left_ts)
-    rt = _micros(right, right_ts)
+    lt = _micros(left_ts)
+    rt = _micros(right_ts)
     lb = left.withColumn("_ij_b", F.explode(F.sequence(
         F.floor((lt + F.lit(lo)) / F.lit(width)), F.floor((lt + F.lit(hi)) / F.lit(width)))))
     rb = right.withColumn("_ij_rb", F.floor(rt / F.lit(width)))
