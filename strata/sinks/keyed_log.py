@@ -54,7 +54,12 @@ class KeyedLog:
         """Fold every batch up to ``upto_batch`` into one snapshot: the latest
         row per key (by ``order``), or with ``measures`` their per-key sums.
         Call it between batches (the sink is the only writer). Old batch
-        folders are left in place and ignored from then on."""
+        folders are left in place and ignored from then on. Compacting at or
+        below the newest snapshot does nothing (that snapshot is read, never
+        rewritten)."""
+        current = self._snapshot()
+        if current is not None and current["upto"] >= upto_batch:
+            return
         log = self._log().where(F.col("batch") <= upto_batch)
         cols = [c for c in log.columns if c not in ("batch", "_del")]
         if measures is None:

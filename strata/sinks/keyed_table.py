@@ -143,7 +143,10 @@ class KeyedTable:
     def _commit(self, batch_id: int, rows: DataFrame, touched: list[int], schema: T.StructType,
                 version: int) -> None:
         vdir = f"{self.path}/v={version}"
-        rows.write.mode("errorifexists").partitionBy("_bucket").parquet(vdir)
+        # A folder for this version can only be left over from an attempt that
+        # died before its manifest commit: nothing references it, so the retry
+        # replaces it.
+        rows.write.mode("overwrite").partitionBy("_bucket").parquet(vdir)
         # A touched bucket left empty has no folder; <= `buckets` file-system checks.
         dirs = {b: (f"{vdir}/_bucket={b}" if _exists(self.spark, f"{vdir}/_bucket={b}") else None)
                 for b in touched}

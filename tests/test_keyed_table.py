@@ -62,3 +62,12 @@ def test_fan_out_by_destination(spark, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/fan/sink_table=dim_a").count() == 2
     destination_upserts(routed, f"{tmp_dir}/dims", 0)
     assert KeyedTable(spark, f"{tmp_dir}/dims/dim_b", ["pk_value"], 16).read().count() == 1
+
+
+def test_retry_after_crash_before_commit(spark, tmp_dir):
+    path = f"{tmp_dir}/crash"
+    # An attempt wrote version 1's data and died before committing the manifest.
+    spark.createDataFrame([("zombie", "x", 1, "insert")], SCHEMA).write.parquet(f"{path}/v=1/_bucket=0")
+    t = KeyedTable(spark, path, ["k"], buckets=2)
+    t.upsert(spark.createDataFrame([("a", "1", 1, "insert")], SCHEMA), 0, order=["ts"])
+    assert _state(KeyedTable(spark, path, ["k"], buckets=2)) == {"a": "1"}

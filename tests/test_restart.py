@@ -58,6 +58,7 @@ def test_keyed_log_compaction_keeps_answers(spark, tmp_dir):
     t.append(spark.createDataFrame([("a", 10)], "k string, n long"), 3)
     assert {r.k: r.n for r in t.summed(["n"]).collect()} == {"a": 13, "b": 5}
     t.compact(3, measures=["n"])                                        # a second snapshot
+    t.compact(3, measures=["n"])                                        # repeated: a no-op
     t.append(spark.createDataFrame([("b", 1)], "k string, n long"), 4)
     assert {r.k: r.n for r in t.summed(["n"]).collect()} == {"a": 13, "b": 6}
 
