@@ -58,3 +58,20 @@ def test_refreshing_dictionary_sees_new_rows(spark, tmp_dir):
     assert dic.get().count() == 1      # within max age: cached copy
     now[0] = 61.0
     assert dic.get().count() == 2      # expired: re-read sees the new code
+
+
+def test_page_log_json_to_window(spark):
+    from strata.operators.parse import parse_page_log
+    lines = [
+        '{"common":{"mid":"m1","vc":"v1","ch":"web","ar":"1","is_new":"1"},"page":{"during_time":100},"ts":1704103200000}',
+        '{"common":{"mid":"m1","vc":"v1","ch":"web","ar":"1","is_new":"1"},"page":{"last_page_id":"home","during_time":50},"ts":1704103205000}',
+        '{"common":{"vc":"v1"},"page":{"during_time":1},"ts":1704103206000}',
+        "{bad",
+    ]
+    log = parse_page_log(spark.createDataFrame([(v,) for v in lines], "value string"))
+    assert log.count() == 2
+    flagged = traffic.page_view_flags(log, tiebreak="log_ms", last_page="last_page_id")
+    out = traffic.traffic_window(flagged, "10 seconds").collect()
+    assert [(r.stt, r.pv_ct, r.uv_ct, r.sv_ct, r.dur_sum) for r in out if r.is_new == "1"] == [
+        ("2024-01-01 10:00:00", 1, 1, 1, 100)]
+    assert sum(r.pv_ct for r in out) == 2 and sum(r.sv_ct for r in out) == 1
