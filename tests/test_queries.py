@@ -54,3 +54,16 @@ def test_batch_query_matches_oracle(spark, duck, name):
     assert got[0] == want[0]
     assert len(got[1]) == len(want[1])
     assert got[1] == want[1]
+
+
+STREAMS = sorted(k for k in entry.queries() if k.startswith("stream_"))
+
+
+@pytest.mark.parametrize("name", STREAMS)
+def test_stream_twin_equals_batch_oracle(spark, duck, name):
+    """Stream = batch: each twin, replayed over several micro-batches, ends with
+    the batch query's SQL answer."""
+    got = _rows(entry.queries()[name](spark, SF_SMALL).toPandas())
+    want = _rows(duck.execute(entry.oracle_sql()[name]).df())
+    assert got[0] == want[0]
+    assert got[1] == want[1]
