@@ -5,6 +5,6 @@ and streaming inputs alike; sinks and stateful jobs live in ``sinks`` and
 ``streaming``.
 """
 
-from strata.session import configure, checkpoint_root, load_table
+from strata.session import checkpoint_root, configure, load_table, spread
 
-__all__ = ["configure", "checkpoint_root", "load_table"]
+__all__ = ["configure", "checkpoint_root", "load_table", "spread"]
