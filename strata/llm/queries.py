@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.llm import line_dedup, quality_rules
+from strata.llm import chosen_path, line_dedup, quality_rules
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +32,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs, counts=("n_lines", "n_removed"))
+
+
+@query("op4_ngram_jaccard_join")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.near_duplicates(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "class_id", "n_links", F.col("sig").alias("set_id"),
+        F.col("size").alias("n_shingles"), F.col("first").alias("kept"))
