@@ -7,13 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chosen_path, line_dedup, quality_rules
+from strata.llm import (
+    chosen_path,
+    decontaminate,
+    line_dedup,
+    nbest,
+    quality_rules,
+    token_counts,
+)
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def tokenizer(name: str) -> str:
+    """Place of a public vocabulary file; another path may be given instead."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def query(name: str, sql: str | None = None):
     def wrap(fn: Callable[[SparkSession, str], DataFrame]):
         QUERIES[name] = fn
@@ -39,3 +52,23 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.near_duplicates(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "class_id", "n_links", F.col("sig").alias("set_id"),
         F.col("size").alias("n_shingles"), F.col("first").alias("kept"))
+
+
+@query("op5_benchmark_decontamination")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"),
+                                      table(spark, sf_dir, "benchmark"))
+
+
+@query("op3_token_counts")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(
+        table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model")).select(
+        F.col("id").alias("doc_id"), "n_tokens")
+
+
+@query("op9_sentencepiece_nbest")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nbest.segmentations(
+        table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model")).withColumnRenamed(
+        "id", "doc_id")
