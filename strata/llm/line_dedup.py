@@ -10,8 +10,8 @@ the threshold; equal sets are the case of similarity 1.
    aggregate, so a line that a third of the corpus repeats joins as one row.
 3. *Candidates*: two similar sets must share a word among their rarest
    ``n - ceil(t n) + 1`` words. The equi-join on those words filters each pair
-   by length, by the position of the shared word and by a 64-bit parity map of
-   the sets, whose differing bits bound the symmetric difference from below.
+   by length, by the position of the shared word and by a 128-bit parity map
+   of the sets, whose differing bits bound the symmetric difference from below.
 4. *Verification*: the words of candidate lines are fetched from their documents
    and the Jaccard similarity is taken in whole numbers.
 
@@ -35,8 +35,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import computed, fresh, whole_text, words_of, written
 
-BUCKETS = 4096
-BUCKET_BITS = 12
+BUCKETS = 1 << 16
 
 
 def rarity_levels(docs: DataFrame, text: str) -> list[int]:
@@ -53,13 +52,15 @@ def rarity_levels(docs: DataFrame, text: str) -> list[int]:
 
 def ordered_tokens(words: Column, levels: list[int]) -> Column:
     """Distinct words as sorted longs: 7 bits of rarity, then 56 of the hash."""
-    level = F.lit(levels)
+    # One string literal, which the optimizer folds into an array.
+    level = F.split(F.lit(",".join(map(str, levels))), ",").cast("array<bigint>")
 
     def key(x: Column) -> Column:
-        return F.shiftleft(F.get(level, x.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).cast("long"),
+        return F.shiftleft(F.get(level, x.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")),
                            56).bitwiseOR(F.shiftrightunsigned(x, 8))
 
-    return F.sort_array(F.array_distinct(F.transform(words, lambda w: key(F.xxhash64(w)))))
+    hashes = F.transform(words, lambda w: F.xxhash64(w))
+    return F.sort_array(F.transform(F.array_distinct(hashes), key))
 
 
 def prefix_length(n: Column, t: Fraction) -> Column:
@@ -72,6 +73,16 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
+def _parity(toks: Column, half: int) -> Column:
+    """64 of 128 parities: bit ``x mod 128`` flips for every word x."""
+    def bit(x: Column) -> Column:
+        upper = F.shiftrightunsigned(x, 6).bitwiseAND(F.lit(1).cast("long"))
+        return F.call_function("shiftleft", upper if half else upper.bitwiseXOR(F.lit(1)),
+                               x.bitwiseAND(F.lit(63)).cast("int"))
+
+    return F.aggregate(toks, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(bit(x)))
+
+
 def representatives(docs: DataFrame, levels: list[int], t: Fraction) -> DataFrame:
     """One row per distinct word set: its hash, size, first line, parity map and
     the hashed rare words of its prefix. ``docs`` has columns id, key, text."""
@@ -81,12 +92,10 @@ def representatives(docs: DataFrame, levels: list[int], t: Fraction) -> DataFram
     n = F.size("toks")
     narrow = toks.select(
         "id", "key", "pos", n.alias("n"), F.xxhash64("toks").alias("sig"),
-        F.aggregate("toks", F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(
-            F.call_function("shiftleft", F.lit(1).cast("long"),
-                            x.bitwiseAND(F.lit(63)).cast("int")))).alias("map"),
+        _parity(F.col("toks"), 0).alias("m0"), _parity(F.col("toks"), 1).alias("m1"),
         F.transform(F.slice("toks", F.lit(1), prefix_length(n, t)),
                     lambda x: F.hash(x)).alias("prefix"))
-    first = F.min(F.struct("id", "key", "pos", "map", "prefix")).alias("f")
+    first = F.min(F.struct("id", "key", "pos", "m0", "m1", "prefix")).alias("f")
     return narrow.groupBy("sig", "n").agg(first).select("sig", "n", "f.*")
 
 
@@ -96,16 +105,17 @@ def candidate_pairs(reps: DataFrame, t: Fraction) -> DataFrame:
     num, den = t.numerator, t.denominator
     shortest = ceil(1 / (1 - t)) - 1 if t < 1 else 1 << 30
     posting = reps.where(F.col("n") >= shortest).select(
-        "sig", "n", "map", F.posexplode("prefix").alias("i", "tok"))
+        "sig", "n", "m0", "m1", F.posexplode("prefix").alias("i", "tok"))
     a, b = posting.alias("a"), posting.alias("b")
     na, nb = F.col("a.n"), F.col("b.n")
     rest = F.least(na - F.col("a.i"), nb - F.col("b.i"))
     both = na + nb
+    differ = (F.bit_count(F.col("a.m0").bitwiseXOR(F.col("b.m0")))
+              + F.bit_count(F.col("a.m1").bitwiseXOR(F.col("b.m1"))))
     return a.join(b, (F.col("a.tok") == F.col("b.tok")) & (F.col("a.sig") < F.col("b.sig"))
                   & (F.least(na, nb) * den >= F.greatest(na, nb) * num)
                   & (rest * (num + den) >= both * num)
-                  & (F.bit_count(F.col("a.map").bitwiseXOR(F.col("b.map"))) * (num + den)
-                     <= both * (den - num))
+                  & (differ * (num + den) <= both * (den - num))
                   ).select(F.col("a.sig").alias("sa"), F.col("b.sig").alias("sb")).distinct()
 
 
@@ -145,7 +155,7 @@ def kept_lines(docs: DataFrame, id_col: str, text_col: str, threshold: float = 0
                          whole_text(text_col).alias("text"))
     reps = written(representatives(narrow, rarity_levels(docs, text_col), t), "line-sets")
     pairs = written(candidate_pairs(reps, t), "line-pairs")
-    later = later_sets(narrow, reps, pairs, t)
+    later = written(later_sets(narrow, reps, pairs, t), "line-later")
     return reps.join(later, "sig", "left_anti").groupBy("id", "key").agg(
         F.collect_list("pos").alias("kept"))
 

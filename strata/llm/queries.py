@@ -13,6 +13,8 @@ from strata.llm import (
     line_dedup,
     nbest,
     quality_rules,
+    repair,
+    secrets_scan,
     token_counts,
 )
 from strata.llm.common import table
@@ -72,3 +74,18 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nbest.segmentations(
         table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model")).withColumnRenamed(
         "id", "doc_id")
+
+
+@query("op2_secret_scan")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A source stands for an owner, a source's language for one of its repositories.
+    return secrets_scan.scan(
+        table(spark, sf_dir, "documents"), F.col("source"),
+        F.concat_ws("/", "source", "lang")).withColumnRenamed("id", "doc_id")
+
+
+@query("op8_repair_output")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = repair.write_shards(table(spark, sf_dir, "documents"),
+                                 tokenizer("word_bpe_49k.json"), end_id=2)
+    return repair.read_documents(shards).withColumnRenamed("id", "doc_id")
