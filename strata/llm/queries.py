@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from strata.llm import (
     chosen_path,
     decontaminate,
+    html_extract,
     line_dedup,
     nbest,
     quality_rules,
@@ -89,3 +90,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = repair.write_shards(table(spark, sf_dir, "documents"),
                                  tokenizer("word_bpe_49k.json"), end_id=2)
     return repair.read_documents(shards).withColumnRenamed("id", "doc_id")
+
+
+@query("op7_html_extraction")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(table(spark, sf_dir, "pages"))
