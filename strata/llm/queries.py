@@ -16,6 +16,7 @@ from strata.llm import (
     quality_rules,
     repair,
     secrets_scan,
+    surrogates,
     token_counts,
 )
 from strata.llm.common import table
@@ -39,6 +40,16 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
+# Whoever runs the query for publication chooses a secret key instead.
+SURROGATE_KEY = "strata-query-key"
+
+
+@query("op1_pii_surrogates")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replace_entities(docs, SURROGATE_KEY, counts=True)
+
+
 @query("op6_quality_rules")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
