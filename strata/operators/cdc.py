@@ -13,12 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The row with the greatest ``order`` per key (``order`` should end in a
-    unique tiebreaker so the winner is defined)."""
+def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                   first: bool = False) -> DataFrame:
+    """The row with the greatest ``order`` per key, or with ``first`` the least
+    (``order`` should end in a unique tiebreaker so the winner is defined)."""
     rest = [c for c in df.columns if c not in keys]
-    best = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*rest), F.struct(*order)).alias("_latest"))
+    pick = F.min_by if first else F.max_by
+    best = df.groupBy(*keys).agg(pick(F.struct(*rest), F.struct(*order)).alias("_latest"))
     return best.select(*keys, *[F.col(f"_latest.{c}").alias(c) for c in rest]).select(*df.columns)
 
 

@@ -35,6 +35,16 @@ def route(envelopes: DataFrame, config: DataFrame, max_config_rows: int = MAX_CO
         pruned.alias("data"))
 
 
+def quoted(name: str) -> str:
+    """A name as one SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(text: str) -> str:
+    """A text as a SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def table_columns(config: DataFrame) -> DataFrame:
     """Dimension schema from config: one row per (sink_table, column) with its
     position and whether it is the primary key (``id`` when none is named).
@@ -50,13 +60,16 @@ def table_columns(config: DataFrame) -> DataFrame:
 def create_table_ddl(config: DataFrame, namespace: str = "dim") -> DataFrame:
     """``CREATE TABLE IF NOT EXISTS`` text per sink table (config-sized)."""
     cols = table_columns(config)
-    spec = F.concat(F.lit("`"), F.col("column_name"), F.lit("` STRING"),
+    def ident(c):
+        return F.concat(F.lit("`"), F.replace(c, F.lit("`"), F.lit("``")), F.lit("`"))
+
+    spec = F.concat(ident(F.col("column_name")), F.lit(" STRING"),
                     F.when(F.col("is_pk"), F.lit(" NOT NULL")).otherwise(F.lit("")))
     per_table = cols.groupBy("sink_table", "sink_extend").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ordinal", spec.alias("s")))),
                                  lambda x: x["s"]), ", ").alias("_spec"))
     return per_table.select("sink_table", F.concat(
-        F.lit(f"CREATE TABLE IF NOT EXISTS {namespace}."), F.col("sink_table"),
+        F.lit(f"CREATE TABLE IF NOT EXISTS {quoted(namespace)}."), ident(F.col("sink_table")),
         F.lit(" ("), F.col("_spec"), F.lit(") "), F.col("sink_extend")).alias("ddl"))
 
 
@@ -70,7 +83,7 @@ def sync_tables(config: DataFrame, database: str, location_root: str) -> list[st
     statements executed.
     """
     spark = config.sparkSession
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{location_root}'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)} LOCATION {literal(location_root)}")
     wanted: dict[str, list[str]] = {}
     for r in table_columns(config).orderBy("sink_table", "ordinal").collect():
         cols = wanted.setdefault(r.sink_table, [])
@@ -78,16 +91,17 @@ def sync_tables(config: DataFrame, database: str, location_root: str) -> list[st
             cols.append(r.column_name)
     done = []
     for table, cols in sorted(wanted.items()):
-        name = f"`{database}`.`{table}`"
-        if not spark.catalog.tableExists(f"{database}.{table}"):
-            spec = ", ".join(f"`{c}` STRING" for c in cols)
-            ddl = f"CREATE TABLE IF NOT EXISTS {name} ({spec}) USING parquet LOCATION '{location_root}/{table}'"
+        name = f"{quoted(database)}.{quoted(table)}"
+        if not spark.catalog.tableExists(name):
+            spec = ", ".join(f"{quoted(c)} STRING" for c in cols)
+            ddl = (f"CREATE TABLE IF NOT EXISTS {name} ({spec}) USING parquet "
+                   f"LOCATION {literal(f'{location_root}/{table}')}")
         else:
             have = {f.name for f in spark.table(name).schema.fields}
             new = [c for c in cols if c not in have]
             if not new:
                 continue
-            ddl = f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{c}` STRING' for c in new)})"
+            ddl = f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'{quoted(c)} STRING' for c in new)})"
         spark.sql(ddl)
         done.append(ddl)
     return done

@@ -11,25 +11,30 @@ from strata.operators.sizing import broadcast_if_small
 MAX_DICTIONARY_ROWS = 1_000_000
 
 
-def cart_add(envelopes: DataFrame, table: str = "cart_info") -> DataFrame:
+def cart_add(envelopes: DataFrame, table: str = "cart_info", carry: tuple[str, ...] = (),
+             rejects: bool = False):
     """Cart additions: inserts, and updates whose count grew.
 
     ``sku_num`` is the inserted count or the increase (new - old). Updates
-    without an old count, with a smaller or equal count, or with a count that is
-    not a number are dropped.
+    without an old count, or with a smaller or equal count, are no additions.
+    Rows whose count is not a number are left out; with ``rejects`` the result
+    is (facts, rejected envelopes). ``carry`` names further columns to keep.
     """
     new = F.col("data")["sku_num"].try_cast("int")
     old = F.col("old")["sku_num"].try_cast("int")
     is_insert = F.col("type") == "insert"
-    grew = (F.col("type") == "update") & F.col("old")["sku_num"].isNotNull() & (new > old)
-    return envelopes.where((F.col("table") == table) & (is_insert | grew)).select(
+    change = (F.col("type") == "update") & F.col("old")["sku_num"].isNotNull()
+    own = envelopes.where((F.col("table") == table) & (is_insert | change))
+    bad = new.isNull() | (change & old.isNull())
+    facts = own.where(~bad & (is_insert | (new > old))).select(
         F.col("data")["id"].alias("id"),
         F.col("data")["user_id"].alias("user_id"),
         F.col("data")["sku_id"].alias("sku_id"),
         F.when(is_insert, F.col("data")["sku_num"]).otherwise((new - old).cast("string")).alias("sku_num"),
         F.col("data")["source_type"].alias("source_type"),
-        "ts",
+        "ts", *carry,
     )
+    return (facts, own.where(bad)) if rejects else facts
 
 
 def lookup(facts: DataFrame, dictionary: DataFrame, fact_key: str = "source_type",
@@ -40,27 +45,3 @@ def lookup(facts: DataFrame, dictionary: DataFrame, fact_key: str = "source_type
     dic = dictionary.select(F.col(code).alias("_code"), F.col(name).alias(out))
     joined = facts.join(broadcast_if_small(dic, max_rows), F.col(fact_key) == F.col("_code"), "inner")
     return joined.drop("_code")
-
-
-# The same cart-add as Spark SQL over named temporary views (works on batch and
-# streaming frames alike); Catalyst produces the same plan as ``cart_add``.
-CART_ADD_SQL = """
-SELECT data['id'] AS id,
-       data['user_id'] AS user_id,
-       data['sku_id'] AS sku_id,
-       IF(type = 'insert', data['sku_num'],
-          CAST(TRY_CAST(data['sku_num'] AS INT) - TRY_CAST(old['sku_num'] AS INT) AS STRING)) AS sku_num,
-       data['source_type'] AS source_type,
-       ts
-FROM {envelopes}
-WHERE `table` = 'cart_info'
-  AND (type = 'insert'
-       OR (type = 'update' AND old['sku_num'] IS NOT NULL
-           AND TRY_CAST(data['sku_num'] AS INT) > TRY_CAST(old['sku_num'] AS INT)))
-"""
-
-
-def cart_add_sql(envelopes: DataFrame, view: str = "topic_db") -> DataFrame:
-    """``cart_add`` written as SQL over a temporary view of the envelopes."""
-    envelopes.createOrReplaceTempView(view)
-    return envelopes.sparkSession.sql(CART_ADD_SQL.format(envelopes=view))

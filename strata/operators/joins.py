@@ -52,4 +52,18 @@ def keyed_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
             right = broadcast_if_small(right, broadcast_max_rows)
         elif how == "right":
             left = broadcast_if_small(left, broadcast_max_rows)
-    return left.join(right, F.col(left_key) == F.col(right_key), how)
+    columns = [*left.columns, *right.columns]
+    same = F.col(left_key) == F.col(right_key)
+    if how == "inner" or len({c.lower() for c in columns}) < len(columns):
+        return left.join(right, same, how)
+    # Rows with a NULL key match nothing. Joined, they would all hash to one task;
+    # the outer side's are padded and added instead.
+    out = left.where(F.col(left_key).isNotNull()).join(
+        right.where(F.col(right_key).isNotNull()), same, how).select(*columns)
+    if how in ("left", "full"):
+        out = out.unionByName(left.where(F.col(left_key).isNull()).select(
+            "*", *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in right.columns]))
+    if how in ("right", "full"):
+        out = out.unionByName(right.where(F.col(right_key).isNull()).select(
+            "*", *[F.lit(None).cast(left.schema[c].dataType).alias(c) for c in left.columns]))
+    return out

@@ -58,14 +58,17 @@ def parse_delimited(lines: DataFrame, fields: Sequence[tuple[str, str]], value:
 def parse_page_log(raw: DataFrame, value: str = "value") -> DataFrame:
     """Page-log JSON (``common``, ``page``, ``ts`` in epoch ms) → the columns
     the traffic operators use: ``mid, vc, ch, ar, is_new_flag, last_page_id,
-    during_time, ts`` (event time as TIMESTAMP_NTZ at UTC) plus ``log_ms`` as a
-    tiebreaker. Records without a device id are skipped."""
-    log = raw.select(jsonf.parse(F.col(value), schemas.PAGE_LOG).alias("p"))
+    during_time, ts`` (event time as TIMESTAMP_NTZ at UTC) plus ``log_ms`` and
+    ``log_id`` (the record's id, or a hash of it) as tiebreakers. Records
+    without a device id are skipped; ``split_dirty`` keeps malformed ones."""
+    log = raw.select(jsonf.parse(F.col(value), schemas.PAGE_LOG).alias("p"),
+                     F.xxhash64(F.col(value)).alias("h"))
+    micros = F.col("p.ts") * 1000 + F.coalesce("p.us", F.lit(0))
     return log.where(F.col("p.common.mid").isNotNull()).select(
         F.col("p.common.mid").alias("mid"), F.col("p.common.vc").alias("vc"),
         F.col("p.common.ch").alias("ch"), F.col("p.common.ar").alias("ar"),
         F.col("p.common.is_new").alias("is_new_flag"),
         F.col("p.page.last_page_id").alias("last_page_id"),
         F.col("p.page.during_time").alias("during_time"),
-        F.timestamp_millis(F.col("p.ts")).cast("timestamp_ntz").alias("ts"),
-        F.col("p.ts").alias("log_ms"))
+        F.timestamp_micros(micros).cast("timestamp_ntz").alias("ts"),
+        F.col("p.ts").alias("log_ms"), F.coalesce("p.id", "h").alias("log_id"))

@@ -5,21 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default row bound for a broadcast side; dictionaries and config tables sit far
-# below it, fact-sized tables far above.
+# Default bounds of a broadcast side; dictionaries and config tables sit far
+# below them, fact-sized tables far above.
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    ``limit(max_rows + 1)`` lets the count stop early, so checking a huge table
-    costs a bounded scan rather than a full one.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and their text is at most
+    ``max_bytes`` long. ``limit(max_rows + 1)`` bounds the work on a huge table."""
+    width = F.octet_length(F.to_json(F.struct(*df.columns)))
+    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return rows <= max_rows and size <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when the row bound holds, else ``df`` unchanged so the
+    """``broadcast(df)`` when both bounds hold, else ``df`` unchanged so the
     planner keeps a shuffle (or AQE's own runtime choice)."""
     return F.broadcast(df) if fits(df, max_rows) else df

@@ -6,12 +6,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.operators import traffic
 from strata.plans import derive
-from strata.session import configure, load_table, spread
+from strata.session import configure, load_table, scratch_path, shuffle_partitions, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -385,12 +385,17 @@ SELECT o_custkey, o_orderkey, o_orderdate, o_orderstatus, o_totalprice FROM (
   FROM orders) WHERE rn = 1
 """)
 def upsert_latest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keyed table after upserting every order under key ``o_custkey``: the
-    latest row per key (what an upsert sink keeps)."""
-    from strata.operators.cdc import latest_per_key
+    """Every order upserted under key ``o_custkey`` through the keyed table sink, in
+    two batches; the table then holds the latest row per key."""
+    from strata.sinks.keyed_table import KeyedTable
     o = load_table(spark, sf_dir, "orders").select(
         "o_custkey", "o_orderkey", "o_orderdate", "o_orderstatus", "o_totalprice")
-    return latest_per_key(o, ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    order = ["o_orderdate", "o_orderkey"]
+    table = KeyedTable(spark, scratch_path(spark, "upsert"), ["o_custkey"], buckets=shuffle_partitions(spark))
+    newest = F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp_ntz")
+    table.upsert(o.where(~newest), 0, order)
+    table.upsert(o.where(newest), 1, order)
+    return table.read()
 
 
 @register("dim_upsert", """
@@ -403,10 +408,10 @@ WHERE rn = 1 AND o_orderstatus <> 'P'
 def dim_upsert_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order changes routed to a customer-keyed dimension and upserted; status
     ``P`` arrives as a delete. The result is the dimension table's final state."""
-    from strata.operators.cdc import apply_changes
-    from strata.operators.dim import route
     from strata import schemas
     from strata.operators.cdc import config_state
+    from strata.operators.dim import route
+    from strata.sinks.keyed_log import KeyedLog
     o = spread(load_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"))
     typ = F.when(F.col("o_orderstatus") == "P", "delete").otherwise("update")
@@ -416,13 +421,18 @@ def dim_upsert_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg_row = ("customer_order", None, "dim_customer_order", "dim",
                "o_custkey,o_orderkey,o_orderstatus,o_totalprice", "o_custkey", None)
     cfg = config_state(spark.createDataFrame([("r", None, cfg_row, 1, 1)], schemas.CONFIG_CDC))
-    routed = route(env, cfg).withColumn("seq", F.col("data")["o_orderkey"].cast("bigint"))
-    state = apply_changes(routed.withColumn("ts", F.col("ts").cast("bigint")),
-                          ["sink_table", "pk_value"], ["ts", "seq"], F.col("type") == "delete")
-    return state.select("sink_table", "pk_value",
-                        F.col("data")["o_orderkey"].alias("o_orderkey"),
-                        F.col("data")["o_orderstatus"].alias("o_orderstatus"),
-                        F.col("data")["o_totalprice"].alias("o_totalprice"))
+    routed = route(env, cfg)
+    # The sink orders by the numeric time, then by a tie column: the order key.
+    log = KeyedLog(spark, scratch_path(spark, "dim-upsert"), ["sink_table", "pk_value"], order=["at", "seq"])
+    rows = routed.select("sink_table", "pk_value", "type", "data", F.col("ts").cast("bigint").alias("at"),
+                         F.col("data")["o_orderkey"].cast("bigint").alias("seq"))
+    half = F.col("seq") % 2 == 0
+    log.append(rows.where(half), 0, is_delete=F.col("type") == "delete")
+    log.append(rows.where(~half), 1, is_delete=F.col("type") == "delete")
+    return log.read().select("sink_table", "pk_value",
+                             F.col("data")["o_orderkey"].alias("o_orderkey"),
+                             F.col("data")["o_orderstatus"].alias("o_orderstatus"),
+                             F.col("data")["o_totalprice"].alias("o_totalprice"))
 
 
 # --------------------------------------------------------------------------
@@ -434,13 +444,20 @@ _LINE_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_quant
 
 _CART_SQL = f"""
 WITH s AS (
-  SELECT l_partkey, CAST(l_quantity AS INTEGER) AS q,
+  SELECT l_partkey, l_suppkey, l_shipdate, CAST(l_quantity AS INTEGER) AS q,
+         row_number() OVER (PARTITION BY l_partkey ORDER BY {", ".join(_LINE_ORDER)}) AS rk,
          lag(CAST(l_quantity AS INTEGER)) OVER (PARTITION BY l_partkey ORDER BY {", ".join(_LINE_ORDER)}) AS p
   FROM lineitem
 ), cart AS (
-  SELECT CAST(l_partkey AS VARCHAR) AS sku_id, l_partkey,
-         CASE WHEN p IS NULL THEN q ELSE q - p END AS n
+  SELECT CAST(l_partkey AS VARCHAR) AS id, CAST(l_suppkey AS VARCHAR) AS user_id,
+         CAST(l_partkey AS VARCHAR) AS sku_id,
+         CAST(CASE WHEN p IS NULL THEN q ELSE q - p END AS VARCHAR) AS sku_num,
+         CAST(CAST(epoch(l_shipdate) AS BIGINT) AS VARCHAR) AS ts,
+         CAST(l_partkey AS VARCHAR) AS source_type, l_partkey, rk
   FROM s WHERE p IS NULL OR q > p
+), named AS (
+  SELECT cart.*, p_brand AS source_type_name
+  FROM cart JOIN part ON cart.l_partkey = part.p_partkey AND part.p_size < 20
 )
 """
 
@@ -451,7 +468,9 @@ def _cart_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     updates carrying the previous count as ``old``."""
     from strata.operators.sequence import with_previous
     li = load_table(spark, sf_dir, "lineitem").select("l_partkey", *_LINE_ORDER)
-    li = li.withColumn("q", F.col("l_quantity").cast("int"))
+    # rk numbers a part's lines; the streaming twin breaks ties of equal times by it.
+    li = li.withColumns({"q": F.col("l_quantity").cast("int"), "rk": F.row_number().over(
+        Window.partitionBy("l_partkey").orderBy(*_LINE_ORDER)).cast("long")})
     prev = with_previous(li, ["l_partkey"], _LINE_ORDER, ["q"], prefix="prev_")
     data = {"id": F.col("l_partkey"), "user_id": F.col("l_suppkey"), "sku_id": F.col("l_partkey"),
             "sku_num": F.col("q"), "source_type": F.col("l_partkey")}
@@ -459,37 +478,36 @@ def _cart_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = F.when(F.col("prev_q").isNotNull(),
                  F.create_map(F.lit("sku_num"), F.col("prev_q").cast("string")))
     cols = derive.envelope("cart_info", typ, F.unix_seconds(F.col("l_shipdate").cast("timestamp")), data)
-    return prev.select(*cols[:5], old.alias("old"))
+    return prev.select(*cols[:5], old.alias("old"), "rk")
 
 
 @register("cart_add", _CART_SQL + """
-SELECT sku_id, count(*) AS add_ct, CAST(sum(n) AS BIGINT) AS sku_num_sum FROM cart GROUP BY sku_id
+SELECT id, user_id, sku_id, sku_num, source_type, ts FROM cart
 """)
 def cart_add_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cart additions from before/after deltas (inserts and increases only),
-    summarised per sku (count of additions, total added)."""
+    """Cart additions from before/after deltas (inserts and increases only)."""
     from strata.operators.fact import cart_add
-    facts = cart_add(_cart_envelopes(spark, sf_dir))
-    return facts.groupBy("sku_id").agg(F.count(F.lit(1)).alias("add_ct"),
-                                       F.sum(F.col("sku_num").cast("long")).alias("sku_num_sum"))
+    return cart_add(_cart_envelopes(spark, sf_dir))
+
+
+def _dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as dictionary rows (code = part key, name = brand). Parts of size 20
+    and more carry a code that no fact has, so some lookups find nothing."""
+    code = F.col("p_partkey").cast("string")
+    return load_table(spark, sf_dir, "part").select(
+        F.when(F.col("p_size") < 20, code).otherwise(F.concat(F.lit("x"), code)).alias("dic_code"),
+        F.col("p_brand").alias("dic_name"))
 
 
 @register("lookup_join", _CART_SQL + """
-SELECT p_brand AS source_type_name, count(*) AS add_ct, CAST(sum(n) AS BIGINT) AS sku_num_sum
-FROM cart JOIN part ON cart.l_partkey = part.p_partkey AND part.p_size < 20
-GROUP BY p_brand
+SELECT id, user_id, sku_id, sku_num, ts, source_type, source_type_name FROM named
 """)
 def lookup_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cart additions joined to a dictionary (parts of size under 20 → brand);
-    additions without an entry drop. Summarised per dictionary name."""
+    """Cart additions joined to a dictionary; additions without an entry drop."""
+    from strata import schemas
     from strata.operators.fact import cart_add, lookup
-    facts = cart_add(_cart_envelopes(spark, sf_dir))
-    part = load_table(spark, sf_dir, "part").where(F.col("p_size") < 20)
-    dic = part.select(F.col("p_partkey").cast("string").alias("dic_code"),
-                      F.col("p_brand").alias("dic_name"))
-    joined = lookup(facts, dic)
-    return joined.groupBy("source_type_name").agg(
-        F.count(F.lit(1)).alias("add_ct"), F.sum(F.col("sku_num").cast("long")).alias("sku_num_sum"))
+    joined = lookup(cart_add(_cart_envelopes(spark, sf_dir)), _dictionary(spark, sf_dir))
+    return joined.select(*schemas.names(schemas.CART_FACT))
 
 
 # --------------------------------------------------------------------------
@@ -517,19 +535,23 @@ def interval_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _emp_dept(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Join sides: large orders (emp role, keyed by customer) and customers
-    outside one segment (dept role)."""
-    o = load_table(spark, sf_dir, "orders").where(F.col("o_totalprice") > 300000) \
-        .select("o_orderkey", "o_custkey", "o_totalprice")
-    c = load_table(spark, sf_dir, "customer").where(F.col("c_mktsegment") != "BUILDING") \
-        .select("c_custkey", "c_name")
+    """Join sides over whole tables: orders and customers on a derived key. Every
+    seventh order and every fifth customer get a key that the other side lacks."""
+    o = load_table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 7 == 0, -F.col("o_custkey"))
+        .otherwise(F.col("o_custkey")).alias("o_custkey"), "o_totalprice")
+    c = load_table(spark, sf_dir, "customer").select(
+        F.when(F.col("c_custkey") % 5 == 0, F.col("c_custkey") + 1_000_000_000)
+        .otherwise(F.col("c_custkey")).alias("c_custkey"), "c_name")
     return o, c
 
 
 _JOIN_SQL = """
 SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, c.c_custkey, c.c_name
-FROM (SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_totalprice > 300000) o
-{how} JOIN (SELECT c_custkey, c_name FROM customer WHERE c_mktsegment <> 'BUILDING') c
+FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN -o_custkey ELSE o_custkey END AS o_custkey,
+             o_totalprice FROM orders) o
+{how} JOIN (SELECT CASE WHEN c_custkey % 5 = 0 THEN c_custkey + 1000000000 ELSE c_custkey END AS c_custkey,
+                   c_name FROM customer) c
   ON o.o_custkey = c.c_custkey
 """
 
@@ -599,114 +621,189 @@ def late_rows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------
-# Streaming twins: replayed as ordered file streams, final tables returned
+# Streaming twins: the jobs over replayed tables, run until nothing is left
 # --------------------------------------------------------------------------
 
 def _sql_of(name: str) -> str:
     return ORACLE[name]
 
 
+def _run(start, spark: SparkSession, name: str, *args, **options) -> str:
+    """Run a job over what its streams hold; returns its folder."""
+    from strata.streaming.jobs import ONCE
+    from strata.streaming.replay import drain
+    path = scratch_path(spark, name)
+    drain(start(*args, path=path, checkpoint=f"{path}-checkpoint", trigger=ONCE, **options))
+    return path
+
+
+def _traffic_job(spark: SparkSession, sf_dir: str, name: str) -> str:
+    from strata.streaming import jobs
+    from strata.streaming.replay import replayed
+    raw = derive.page_log_json(load_table(spark, sf_dir, "events"))
+    return _run(jobs.traffic_window, spark, name, replayed(raw, None, "page-log"), size="1 hour")
+
+
 @register("stream_traffic_window", _sql_of("traffic_window"))
 def stream_traffic_window_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Streaming traffic window: keyed state per device for the flags, each
-    micro-batch aggregated and added into the keyed result table."""
+    """Streaming traffic window over page-log JSON that arrives shuffled."""
     from strata.streaming import jobs
-    log = derive.page_log(load_table(spark, sf_dir, "events"))
-    return jobs.traffic_window(spark, log, size="1 hour")
+    return jobs.read_traffic(spark, _traffic_job(spark, sf_dir, "traffic"), "1 hour")
 
 
 @register("stream_uv_first_visit", _sql_of("uv_first_visit"))
 def stream_uv_first_visit_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Streaming first visit per device and day (keyed state, file sink)."""
+    """Streaming first visit per device and day, from the same shuffled log."""
     from strata.streaming import jobs
-    log = derive.page_log(load_table(spark, sf_dir, "events"))
-    return jobs.uv_first_visit(spark, log)
+    first = jobs.read_first_visits(spark, _traffic_job(spark, sf_dir, "first-visit"))
+    return first.select(F.col("mid").cast("bigint").alias("mid"), F.col("day").alias("dt"), "ts",
+                        F.col("log_id").alias("event_id"), "ch")
 
 
 @register("stream_interval_join", _sql_of("interval_join"))
 def stream_interval_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Streaming click/purchase interval join with watermarks on both sides."""
     from strata.streaming import jobs
-    return jobs.click_purchase_join(spark, load_table(spark, sf_dir, "events"))
+    from strata.streaming.replay import replayed
+    ev = load_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    stream = replayed(ev, "ts", "clicks-and-purchases")
+    clicks = stream.where(F.col("event_type") == "click").select(
+        "user_id", F.col("event_id").alias("click_id"), F.col("ts").alias("click_ts"))
+    buys = stream.where(F.col("event_type") == "purchase").select(
+        "user_id", F.col("event_id").alias("purchase_id"), F.col("ts").alias("purchase_ts"))
+    path = _run(jobs.click_purchase_join, spark, "click-purchase", clicks, buys)
+    return spark.read.parquet(path)
 
 
 @register("stream_dim_route", """
-SELECT sink_table, sink_pk, pk_value, column_name, column_value FROM (
+SELECT sink_table, pk_value, column_name, column_value FROM (
 """ + _sql_of("dim_route") + """
 ) WHERE pk_value IS NOT NULL
+UNION ALL SELECT 'reject: no key', NULL, 'rows', CAST(count(*) AS VARCHAR) FROM region
+UNION ALL SELECT 'reject: malformed', NULL, 'rows', '1'
 """)
 def stream_dim_route_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Streaming dimension routing: config change records and table envelopes
-    share one stream (config first in arrival order); each micro-batch applies
-    its config changes, then routes into the keyed dimension store. Rows whose
-    key is absent (region: its config names no present key) go to rejects."""
+    """Streaming dimension routing: the configuration is preloaded and then changed
+    by its own stream; envelopes arrive shuffled on another and land in one table
+    per destination. Region rows lack the key their configuration names, and one
+    record is malformed: both are counted from the rejects."""
     from strata import schemas
     from strata.streaming import jobs
-    env = _table_envelopes(spark, sf_dir, ["nation", "region", "supplier", "customer", "orders"])
-    data = env.select(F.to_json(F.struct(*env.columns)).alias("value"),
-                      F.abs(F.xxhash64(F.to_json(F.struct(*env.columns)))).alias("_order"))
-    cfg_rows = []
+    from strata.streaming.replay import drain, replayed
+    rows = []
     for op, src, sink, typ, cols, pk, seq in _ROUTE_CONFIG_LOG:
         row = (src, None, sink, typ, cols, pk, None)
-        cfg_rows.append((op, row if op in ("u", "d") else None, row if op != "d" else None, seq, seq))
-    cfg = spark.createDataFrame(cfg_rows, schemas.CONFIG_CDC)
-    # Config records arrive first (order -1): the preload of the source job.
-    cfg_raw = cfg.select(F.to_json(F.struct(*cfg.columns)).alias("value"), F.lit(-1).cast("long").alias("_order"))
-    store = jobs.dimension_routing(spark, cfg_raw.unionByName(data))
-    return store.select("sink_table", "sink_pk", "pk_value",
-                        F.explode("data").alias("column_name", "column_value"))
-
-
-@register("stream_left_changelog", _sql_of("left_join"))
-def stream_left_changelog_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Retracting left join of order and customer streams (customers arrive
-    interleaved with, often after, their orders); the materialized changelog."""
+        rows.append((op, row if op in ("u", "d") else None, row if op != "d" else None, seq, seq))
+    log = spark.createDataFrame(rows, schemas.CONFIG_CDC)
+    path = scratch_path(spark, "dim-route")
+    jobs.preload_config(spark, path, log.where("seq <= 3"))
+    later = log.where("seq > 3").select(F.to_json(F.struct(*log.columns)).alias("value"), "seq")
+    drain(jobs.config_changes(replayed(later, "seq", "config", slices=2), path, f"{path}-config-ckpt", jobs.ONCE))
+    env = _table_envelopes(spark, sf_dir, ["nation", "region", "supplier", "customer", "orders"])
+    raw = env.select(F.to_json(F.struct(*env.columns)).alias("value")).unionByName(
+        spark.createDataFrame([("{bad",)], "value string"))
+    drain(jobs.dimension_routing(replayed(raw, None, "dim-data"), path, f"{path}-data-ckpt", jobs.ONCE))
+    out = None
+    for table in ("dim_nation", "dim_supplier"):
+        d = jobs.read_dimension(spark, path, table)
+        cols = [c for c in d.columns if c != "pk_value"]
+        long = d.select(F.lit(table).alias("sink_table"), "pk_value", F.explode(F.map_from_arrays(
+            F.array(*map(F.lit, cols)), F.array(*map(F.col, cols)))).alias("column_name", "column_value"))
+        long = long.where("column_value IS NOT NULL")
+        out = long if out is None else out.unionByName(long)
+    rejects = spark.read.parquet(f"{path}/rejects").groupBy("reason").count().select(
+        F.concat(F.lit("reject: "), "reason").alias("sink_table"), F.lit(None).cast("string").alias("pk_value"),
+        F.lit("rows").alias("column_name"), F.col("count").cast("string").alias("column_value"))
+    return out.unionByName(rejects)
+
+
+def _changelog_query(how: str):
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from strata.streaming import jobs
+        from strata.streaming.replay import replayed
+        o, c = _emp_dept(spark, sf_dir)
+        path = _run(jobs.changelog_join, spark, f"changelog-{how}", replayed(o, None, "orders"),
+                    replayed(c, None, "customers"), "o_custkey", "c_custkey", how=how)
+        return jobs.read_join(spark, path)
+    q.__doc__ = f"Retracting {how} join of order and customer streams; the materialized changelog."
+    return q
+
+
+for _how in ("left", "right", "full"):
+    register(f"stream_{_how}_changelog", _sql_of(f"{_how}_join"))(_changelog_query(_how))
+
+
+@register("stream_inner_join", _sql_of("inner_join"))
+def stream_inner_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unbounded inner join of two streams (Spark's own stream-stream join)."""
     from strata.streaming import jobs
+    from strata.streaming.replay import replayed
     o, c = _emp_dept(spark, sf_dir)
-    _, table = jobs.left_changelog_join(
-        spark, o.withColumn("_lseq", F.col("o_orderkey")), c.withColumn("_rseq", F.col("c_custkey") * 7),
-        "o_custkey", "c_custkey", "_lseq", "_rseq")
-    return table.select("o_orderkey", "o_custkey", "o_totalprice", "c_custkey", "c_name")
+    path = _run(jobs.inner_join, spark, "inner-join", replayed(o, None, "orders"),
+                replayed(c, None, "customers"), "o_custkey", "c_custkey")
+    return spark.read.parquet(path)
 
 
-@register("stream_lookup_join", _sql_of("lookup_join"))
-def stream_lookup_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Streaming cart-add facts with the dictionary re-read before every
-    micro-batch (processing-time lookup), summarised per name."""
+def _cart_job(spark: SparkSession, sf_dir: str) -> str:
     from strata.streaming import jobs
+    from strata.streaming.replay import replayed
     env = _cart_envelopes(spark, sf_dir)
+    return _run(jobs.cart_fact, spark, "cart", replayed(env, None, "cart-envelopes"),
+                lambda: _dictionary(spark, sf_dir), tie="rk")
 
-    def dictionary() -> DataFrame:
-        part = load_table(spark, sf_dir, "part").where(F.col("p_size") < 20)
-        return part.select(F.col("p_partkey").cast("string").alias("dic_code"),
-                           F.col("p_brand").alias("dic_name"))
-    return jobs.cart_lookup(spark, env, dictionary)
+
+@register("stream_lookup_join", _sql_of("lookup_join"))
+def stream_lookup_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streaming cart-add facts with the dictionary read anew for every micro-batch
+    (processing-time lookup): the append log of facts."""
+    return spark.read.parquet(f"{_cart_job(spark, sf_dir)}/facts").drop("batch")
+
+
+@register("stream_cart_fact", _CART_SQL + """
+SELECT id, user_id, sku_id, sku_num, ts, source_type, source_type_name
+FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY rk DESC) AS last FROM named) WHERE last = 1
+""")
+def stream_cart_fact_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same job's upserted fact: the latest addition per cart id."""
+    from strata.streaming import jobs
+    return jobs.read_cart(spark, _cart_job(spark, sf_dir))
 
 
 @register("stream_sku_order_window", _sql_of("sku_order_window"))
 def stream_sku_order_window_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weekly sku order window with Spark's watermarked streaming aggregation."""
     from strata.streaming import jobs
-    return jobs.sku_order_window(spark, load_table(spark, sf_dir, "lineitem"))
+    from strata.streaming.replay import replayed
+    lines = load_table(spark, sf_dir, "lineitem").select(
+        "l_partkey", "l_shipdate", "l_extendedprice", "l_discount")
+    path = _run(jobs.sku_order_window, spark, "sku-window", replayed(lines, "l_shipdate", "sku-lines"))
+    return jobs.read_sku_orders(spark, path)
 
 
 @register("stream_cdc_apply", _sql_of("cdc_apply"))
 def stream_cdc_apply_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``events`` change log applied micro-batch by micro-batch to a keyed
-    table (``error`` rows delete their key)."""
+    """The ``events`` change log, arriving shuffled, applied micro-batch by
+    micro-batch to a keyed log (``error`` rows delete their key)."""
+    from strata.sinks.keyed_log import KeyedLog
     from strata.streaming import jobs
+    from strata.streaming.replay import replayed
     ev = load_table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
-    return jobs.apply_change_stream(spark, ev, ["user_id"], ["ts", "event_id"], F.col("event_type") == "error")
+    order = ["ts", "event_id"]
+    path = _run(jobs.apply_change_stream, spark, "cdc", replayed(ev, None, "changes"), keys=["user_id"],
+                order=order, is_delete=F.col("event_type") == "error")
+    return KeyedLog(spark, path, ["user_id"], order).read()
 
 
 @register("stream_late_rows", _sql_of("late_rows"))
 def stream_late_rows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Late rows of the shuffled arrival order written to a side output."""
     from strata.streaming import jobs
+    from strata.streaming.replay import replayed
     ev = load_table(spark, sf_dir, "events").select("event_id", "ts")
     arrived = ev.withColumn("arrival", F.col("event_id") + (F.col("event_id") * 7919) % 97)
-    late = jobs.late_side_output(spark, arrived, ["arrival", "event_id"], "ts")
-    return late.select("event_id", "ts", "max_seen")
+    path = _run(jobs.late_side_output, spark, "late", replayed(arrived, "arrival", "arrivals"),
+                arrival=["arrival", "event_id"], ts="ts")
+    return spark.read.parquet(f"{path}/late").select("event_id", "ts", "max_seen")
 
 
 @register("stream_dirty_split", _sql_of("dirty_split"))
@@ -714,8 +811,11 @@ def stream_dirty_split_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw log as a stream: each micro-batch is read once and split into
     the clean main output and the dirty side output (original text kept)."""
     from strata.streaming import jobs
+    from strata.streaming.replay import replayed, written
     ev = load_table(spark, sf_dir, "events").select("event_id", "props")
     raw = ev.select("event_id", F.expr(_DIRTY_VALUE).alias("value"))
-    clean, dirty = jobs.dirty_split(spark, raw, "event_id", keep=("event_id",))
+    path = _run(jobs.dirty_split, spark, "log-split", replayed(raw, "event_id", "raw-log"), keep=("event_id",))
+    clean = written(spark, f"{path}/clean", raw.schema)
+    dirty = written(spark, f"{path}/dirty", raw.schema)
     return (clean.select("event_id", "value", F.lit(False).alias("is_dirty"))
                  .unionByName(dirty.select("event_id", "value", F.lit(True).alias("is_dirty"))))

@@ -11,6 +11,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def page_log_json(events: DataFrame) -> DataFrame:
+    """``events`` as raw page-log records (column ``value``). The previous page is
+    named unless the view starts a session (first view, or 30 minutes of silence)."""
+    from strata.operators.traffic import page_view_flags
+    views = page_view_flags(page_log(events))
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    return views.select(F.to_json(F.struct(
+        F.struct(F.col("mid").cast("string").alias("mid"), "vc", "ch", "ar").alias("common"),
+        F.struct(F.when(F.col("sv") == 0, "page").alias("last_page_id"), "during_time").alias("page"),
+        F.floor(us / 1000).alias("ts"), F.pmod(us, F.lit(1000)).cast("int").alias("us"),
+        F.col("event_id").alias("id"))).alias("value"))
+
+
 def page_log(events: DataFrame) -> DataFrame:
     """``events`` read as a page log: device ``mid``, dimensions and duration.
 
@@ -28,7 +41,7 @@ def page_log(events: DataFrame) -> DataFrame:
 
 
 def envelope(table: str, type_: Column | str, ts: Column, data: dict[str, Column],
-             old: dict[str, Column] | None = None, database: str = "gmall") -> list[Column]:
+             old: dict[str, Column] | None = None, database: str = "shop") -> list[Column]:
     """Columns of a change envelope (database, table, type, ts, data, old)."""
     def as_map(cols: dict[str, Column] | None) -> Column:
         if cols is None:

@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql.types import StructType
+
+
+def names(ddl: str) -> list[str]:
+    """Column names of a DDL string."""
+    return StructType.fromDDL(ddl).names
+
 # change envelope of a business table (one per row change).
 ENVELOPE = ("database STRING, `table` STRING, type STRING, ts STRING, "
             "data MAP<STRING,STRING>, old MAP<STRING,STRING>")
@@ -13,21 +20,11 @@ CONFIG_ROW = ("source_table STRING, source_type STRING, sink_table STRING, "
 # change record of the config table; ts_ms and seq order the log.
 CONFIG_CDC = f"op STRING, before STRUCT<{CONFIG_ROW}>, after STRUCT<{CONFIG_ROW}>, ts_ms BIGINT, seq BIGINT"
 
-# dictionary rows for lookup joins.
-DICTIONARY = "dic_code STRING, dic_name STRING"
-
 # cart-add fact (output of the cart job), every column a string.
 CART_FACT = ("id STRING, user_id STRING, sku_id STRING, sku_num STRING, ts STRING, "
              "source_type STRING, source_type_name STRING")
 
-# F8: page log; only common.mid is fixed by the source jobs, the rest is our convention.
+# F8: page log; only common.mid is fixed by the source jobs, the rest is our convention:
+# ts in milliseconds, us the microseconds within it, id a tiebreaker (both optional).
 PAGE_LOG = ("common STRUCT<mid STRING, vc STRING, ch STRING, ar STRING, is_new STRING>, "
-            "page STRUCT<last_page_id STRING, during_time BIGINT>, ts BIGINT")
-
-# F9 / F10: demo join sides, event time in epoch milliseconds.
-EMP = "empno INT, ename STRING, deptno INT, ts BIGINT"
-DEPT = "deptno INT, dname STRING, ts BIGINT"
-
-# traffic window result.
-TRAFFIC_RESULT = ("stt STRING, edt STRING, vc STRING, ch STRING, ar STRING, is_new STRING, "
-                  "uv_ct BIGINT, sv_ct BIGINT, pv_ct BIGINT, dur_sum BIGINT, ts BIGINT")
+            "page STRUCT<last_page_id STRING, during_time BIGINT>, ts BIGINT, us INT, id BIGINT")

@@ -49,12 +49,14 @@ def checkpoint_root(spark: SparkSession) -> str:
         # setCheckpointDir adds a per-application sub folder; its parent is ours.
         return os.path.dirname(current.rstrip("/"))
     master = sc.master or ""
-    if master.startswith("local"):
+    if master == "local" or master.startswith("local["):
         base = tempfile.mkdtemp(prefix="strata-ckpt-")
     else:
-        # A cluster without spark.checkpoint.dir: fall back to the warehouse,
-        # which is shared storage, never a machine-local folder.
+        # A cluster without spark.checkpoint.dir: the warehouse, if it is shared
+        # storage. A folder on each machine's own disk would lose rows silently.
         warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        if "://" not in warehouse or warehouse.startswith("file:"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         base = f"{warehouse.rstrip('/')}/_strata_checkpoints"
     sc.setCheckpointDir(base)
     return base

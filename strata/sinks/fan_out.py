@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from strata.operators.dim import table_columns
+from strata.sinks.keyed_log import KeyedLog
 
 
 def write_by_destination(routed: DataFrame, base: str, column: str = "sink_table",
@@ -13,14 +17,30 @@ def write_by_destination(routed: DataFrame, base: str, column: str = "sink_table
     routed.write.mode(mode).partitionBy(column).parquet(base)
 
 
-def destination_upserts(routed: DataFrame, base: str, batch_id: int, keys=("pk_value",),
-                        buckets: int = 16, column: str = "sink_table", order=("ts",), is_delete=None) -> None:
-    """``foreachBatch`` helper: upsert each destination's rows into its own
-    keyed table ``<base>/<name>``. Only the batch's distinct destination names
-    (config-sized) reach the driver."""
-    from strata.sinks.keyed_table import KeyedTable
-    names = [r[0] for r in routed.select(column).distinct().collect()]
-    for name in names:
-        table = KeyedTable(routed.sparkSession, f"{base}/{name}", list(keys), buckets)
-        rows = routed.where(routed[column] == name)
-        table.upsert(rows, batch_id, order=list(order), is_delete=is_delete)
+def destination(spark: SparkSession, base: str, table: str, query: str) -> KeyedLog:
+    """The keyed log of one destination: the greatest numeric ``ts`` of a key wins,
+    equal times by ``tie``."""
+    return KeyedLog(spark, f"{base}/{table}", ["pk_value"], order=["ts", "tie"], query=query)
+
+
+def destination_logs(routed: DataFrame, config: DataFrame, base: str, batch_id: int,
+                     query: str = "") -> None:
+    """``foreachBatch`` helper: append each destination's rows (``sink_table,
+    pk_value, type, ts, data``) to its own log, the payload as one string column
+    per configured column; a ``delete`` removes its key. Columns that a later
+    configuration adds are NULL in older rows. ``routed`` should be persisted;
+    only the destinations' names and columns (config-sized) reach the driver."""
+    wanted: dict[str, list[str]] = {}
+    for r in table_columns(config).orderBy("sink_table", "ordinal").collect():
+        cols = wanted.setdefault(r.sink_table, [])
+        if r.column_name and r.column_name not in cols:
+            cols.append(r.column_name)
+    present = {r[0] for r in routed.select("sink_table").distinct().collect()}
+    taken = {"pk_value", "ts", "tie", "_del", "batch"}
+    for table in sorted(present):
+        rows = routed.where(F.col("sink_table") == table).select(
+            "pk_value", F.col("ts").try_cast("bigint").alias("ts"),
+            F.xxhash64(F.to_json("data"), "type").alias("tie"), (F.col("type") == "delete").alias("_del"),
+            *[F.element_at("data", F.lit(c)).alias(c) for c in wanted.get(table, []) if c not in taken])
+        destination(routed.sparkSession, base, table, query).append(
+            rows, batch_id, is_delete=F.coalesce("_del", F.lit(False)))

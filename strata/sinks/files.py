@@ -1,0 +1,66 @@
+"""Small-file helpers on the Hadoop FileSystem (any scheme Spark writes)."""
+
+from __future__ import annotations
+
+import json
+
+from pyspark.sql import SparkSession
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm  # noqa: SLF001 - the Hadoop FileSystem has no Python API
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs(spark, path)
+    return fs.exists(p)
+
+
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    p, fs = _fs(spark, folder)
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p)]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    p, fs = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        reader = spark.sparkContext._jvm.java.io.BufferedReader(  # noqa: SLF001
+            spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))  # noqa: SLF001
+        lines = []
+        line = reader.readLine()
+        while line is not None:
+            lines.append(line)
+            line = reader.readLine()
+        return "\n".join(lines)
+    finally:
+        stream.close()
+
+
+def write_text_atomically(spark: SparkSession, folder: str, name: str, text: str) -> None:
+    """Write a small file under a hidden name, then rename it into place, so
+    readers see either nothing or the whole file."""
+    tmp, fs = _fs(spark, f"{folder}/.{name}.tmp")
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    final, _ = _fs(spark, f"{folder}/{name}")
+    if not fs.rename(tmp, final):
+        raise OSError(f"could not commit {folder}/{name}")
+
+
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The streaming query's own id, which its checkpoint keeps over restarts."""
+    text = read_text(spark, f"{checkpoint.rstrip('/')}/metadata")
+    return json.loads(text.splitlines()[-1])["id"]

@@ -1,94 +1,159 @@
-"""Merge-on-read keyed table for high-rate streaming sinks.
+"""Merge-on-read keyed table for streaming sinks.
 
-Each micro-batch appends only its own rows, to ``batch=<id>/`` (written with
+Each micro-batch appends only its own rows, to ``log/batch=<id>/`` (written with
 overwrite, so a replayed batch replaces its own folder and never duplicates).
-A read folds the log per key: the latest row (upsert semantics) or the sum of
-measures (additive window partials). Writes cost O(batch) instead of
-rewriting touched buckets. ``compact`` folds the log into a snapshot and
-commits a small versioned pointer file (``snapshots/v<batch>.json``, written
-atomically, never overwritten); reads then combine the newest snapshot with
-only the batches after it.
+A read folds the log per key: the row of the greatest ``order`` (batch number
+last, so a late delivery of an old change does not win), the row of the least
+(``pick="first"``), the sum of ``measures``, or all rows (``pick="all"``).
+
+Every ``compact_every`` batches the committed ones fold into a snapshot, a small
+pointer file commits it, and folders that the snapshot before it already covers
+are deleted: the live folders stay bounded, and a reader of the previous pointer
+still finds its files. Deletes stay in snapshots as tombstones.
+
+A log belongs to one streaming query. Its id is stored with the first batch; a
+batch of another query (a new checkpoint counts from 0 again) is an error.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import json
-
 from strata.operators.cdc import latest_per_key
-from strata.sinks.keyed_table import _list_names, _read_text, _write_text_atomically
+from strata.sinks.files import delete, list_names, read_text, write_text_atomically
+
+SEED = -1  # batch number of rows loaded before the stream
 
 
 class KeyedLog:
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str]):
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str] = (),
+                 order: Sequence[str] = (), measures: Sequence[str] | None = None,
+                 pick: str = "last", query: str = "", compact_every: int = 24):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.keys = list(keys)
+        self.keys, self.order = list(keys), list(order)
+        self.measures = None if measures is None else list(measures)
+        self.pick, self.query, self.compact_every = pick, query, compact_every
+
+    # -- writing ------------------------------------------------------------
+    def _claim(self) -> None:
+        owner = f"{self.path}/owner"
+        names = list_names(self.spark, owner)
+        if not names:
+            write_text_atomically(self.spark, owner, "query.json", json.dumps({"query": self.query}))
+            return
+        held = json.loads(read_text(self.spark, f"{owner}/query.json"))["query"]
+        if held != self.query:
+            raise ValueError(f"{self.path} belongs to query {held!r}, not {self.query!r}")
+
+    def _write(self, rows: DataFrame, batch_id: int) -> None:
+        folder = f"{self.path}/log/batch={batch_id}"
+        rows.write.mode("overwrite").parquet(folder)
+        # A batch that planned to no partition left no file, hence no schema.
+        if not any(n.startswith("part-") for n in list_names(self.spark, folder)):
+            delete(self.spark, folder)
 
     def append(self, batch: DataFrame, batch_id: int, is_delete: Column | None = None) -> None:
+        """Store one micro-batch. A batch that a snapshot already holds is a replay
+        and changes nothing."""
+        self._claim()
+        snap = self._snapshot()
+        if snap is not None and batch_id <= snap["upto"]:
+            return
         rows = batch.withColumn("_del", is_delete if is_delete is not None else F.lit(False))
-        rows.write.mode("overwrite").parquet(f"{self.path}/log/batch={batch_id}")
+        self._write(rows, batch_id)
+        if self.compact_every and batch_id - (snap["upto"] if snap else SEED) > self.compact_every:
+            # The batch before is committed, this one may still be replayed.
+            self.compact(batch_id - 1)
+
+    def seed(self, rows: DataFrame) -> None:
+        """Load rows that precede every batch (a preload); once only."""
+        if f"batch={SEED}" not in list_names(self.spark, f"{self.path}/log") and not self._snapshot():
+            self._write(rows.withColumn("_del", F.lit(False)), SEED)
 
-    def _snapshot(self) -> dict | None:
+    # -- reading ------------------------------------------------------------
+    def _snapshot(self, back: int = 0) -> dict | None:
         # Pointers are never overwritten: the newest version wins.
-        names = sorted(n for n in _list_names(self.spark, f"{self.path}/snapshots") if n.endswith(".json"))
-        if not names:
+        names = sorted(n for n in list_names(self.spark, f"{self.path}/snapshots") if n.endswith(".json"))
+        if len(names) <= back:
             return None
-        return json.loads(_read_text(self.spark, f"{self.path}/snapshots/{names[-1]}"))
+        return json.loads(read_text(self.spark, f"{self.path}/snapshots/{names[-1 - back]}"))
 
-    def _log(self) -> DataFrame:
-        # `batch` comes back as a partition column of the log folder.
-        log = self.spark.read.parquet(f"{self.path}/log")
+    def batches(self) -> list[int]:
+        """Numbers of the batch folders present."""
+        return sorted(int(n.split("=")[1]) for n in list_names(self.spark, f"{self.path}/log")
+                      if n.startswith("batch="))
+
+    def _log(self, before: int | None = None) -> DataFrame | None:
+        """Rows of the snapshot and of the batches after it; None without any."""
         snap = self._snapshot()
+        upto = snap["upto"] if snap else SEED - 1
+        live = [b for b in self.batches() if b > upto and (before is None or b < before)]
+        log = None
+        if live:
+            log = self.spark.read.option("basePath", f"{self.path}/log").option(
+                "mergeSchema", "true").parquet(*[f"{self.path}/log/batch={b}" for b in live]).withColumn(
+                "batch", F.col("batch").cast("long"))
         if snap is None:
             return log
         base = self.spark.read.parquet(snap["path"])
-        return base.unionByName(log.where(F.col("batch") > snap["upto"]))
-
-    def compact(self, upto_batch: int, order: Sequence[str] = (),
-                measures: Sequence[str] | None = None) -> None:
-        """Fold every batch up to ``upto_batch`` into one snapshot: the latest
-        row per key (by ``order``), or with ``measures`` their per-key sums.
-        Call it between batches (the sink is the only writer). Old batch
-        folders are left in place and ignored from then on. Compacting at or
-        below the newest snapshot does nothing (that snapshot is read, never
-        rewritten)."""
+        return base if log is None else base.unionByName(log, allowMissingColumns=True)
+
+    def _fold(self, log: DataFrame) -> DataFrame:
+        if self.pick == "all":
+            return log
+        if self.measures is not None:
+            others = [c for c in log.columns if c not in (*self.keys, *self.measures, "batch", "_del")]
+            return log.groupBy(*self.keys).agg(
+                *[F.sum(m).cast(log.schema[m].dataType).alias(m) for m in self.measures],
+                *[F.max(c).alias(c) for c in others]).withColumn("_del", F.lit(False))
+        return latest_per_key(log, self.keys, [*self.order, "batch"], first=self.pick == "first")
+
+    def read(self, empty: str | None = None, before: int | None = None) -> DataFrame:
+        """The folded table; ``before`` reads only the batches below that number.
+        A log without rows is an error unless ``empty`` gives a schema."""
+        log = self._log(before)
+        if log is None:
+            if empty is None:
+                raise ValueError(f"keyed log at {self.path} holds no batch")
+            return self.spark.createDataFrame([], empty)
+        folded = self._fold(log)
+        return folded.where(~F.col("_del")).drop("_del", "batch")
+
+    # -- maintenance ----------------------------------------------------------
+    def compact(self, upto_batch: int) -> None:
+        """Fold every batch up to ``upto_batch`` into one snapshot, then delete what
+        the snapshot before it already covered. Compacting at or below the newest
+        snapshot does nothing (that snapshot is read, never rewritten)."""
         current = self._snapshot()
         if current is not None and current["upto"] >= upto_batch:
             return
-        log = self._log().where(F.col("batch") <= upto_batch)
-        cols = [c for c in log.columns if c not in ("batch", "_del")]
-        if measures is None:
-            folded = latest_per_key(log, self.keys, ["batch", *order]).where(~F.col("_del"))
-        else:
-            others = [c for c in cols if c not in self.keys and c not in measures]
-            folded = log.groupBy(*self.keys).agg(
-                *[F.sum(m).cast(log.schema[m].dataType).alias(m) for m in measures],
-                *[F.max(c).alias(c) for c in others])
+        log = self._log(upto_batch + 1)
+        if log is None:
+            return
         snap = f"{self.path}/snapshot-{upto_batch}"
-        (folded.select(*cols).withColumn("_del", F.lit(False))
-               .withColumn("batch", F.lit(upto_batch).cast(log.schema["batch"].dataType))
-               .write.mode("overwrite").parquet(snap))
-        _write_text_atomically(self.spark, f"{self.path}/snapshots", f"v{upto_batch:012d}.json",
-                               json.dumps({"upto": upto_batch, "path": snap}))
-
-    def latest(self, order: Sequence[str] = ()) -> DataFrame:
-        """Latest row per key over all batches (later batch wins, then
-        ``order`` inside a batch); keys whose latest row is a delete vanish."""
-        log = self._log()
-        cols = [c for c in log.columns if c not in ("batch", "_del")]
-        best = latest_per_key(log, self.keys, ["batch", *order])
-        return best.where(~F.col("_del")).select(*cols)
-
-    def summed(self, measures: Sequence[str]) -> DataFrame:
-        """Per key: measures summed over all batches, other columns' maximum."""
-        log = self._log()
-        cols = [c for c in log.columns if c not in ("batch", "_del")]
-        others = [c for c in cols if c not in self.keys and c not in measures]
-        return log.groupBy(*self.keys).agg(
-            *[F.sum(m).cast(log.schema[m].dataType).alias(m) for m in measures],
-            *[F.max(c).alias(c) for c in others]).select(*cols)
+        folded = self._fold(log)
+        folded = folded.withColumn("batch", F.lit(upto_batch).cast("long")) \
+            if "batch" not in folded.columns else folded
+        folded.write.mode("overwrite").parquet(snap)
+        write_text_atomically(self.spark, f"{self.path}/snapshots", f"v{upto_batch + 1:012d}.json",
+                              json.dumps({"upto": upto_batch, "path": snap}))
+        self._vacuum()
+
+    def _vacuum(self) -> None:
+        previous = self._snapshot(back=1)
+        if previous is None:
+            return
+        for b in self.batches():
+            if b <= previous["upto"]:
+                delete(self.spark, f"{self.path}/log/batch={b}")
+        for name in list_names(self.spark, self.path):
+            if name.startswith("snapshot-") and int(name.split("-", 1)[1]) < previous["upto"]:
+                delete(self.spark, f"{self.path}/{name}")
+        for name in sorted(n for n in list_names(self.spark, f"{self.path}/snapshots")
+                           if n.endswith(".json"))[:-2]:
+            delete(self.spark, f"{self.path}/snapshots/{name}")

@@ -12,6 +12,10 @@ of its highest committed version. The manifest also records the batch id, so a
 replayed batch (``foreachBatch`` is at-least-once) is a no-op. Old versions are
 never overwritten, so a batch never writes a path its own plan reads.
 
+The manifest also holds the bucket count and the id of the streaming query that
+writes the table. Another count, or a batch of another query (a new checkpoint
+counts from 0 again), is an error, not a silent loss.
+
 Only bucket numbers (at most ``buckets`` of them) and manifest rows reach the
 driver; row data never does.
 """
@@ -26,73 +30,29 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.cdc import latest_per_key
+from strata.sinks.files import exists, write_text_atomically
 
 _MANIFEST_SCHEMA = "version LONG, batch_id LONG, bucket INT, dir STRING"
-_MARKER = -1  # manifest row carrying the table schema (in ``dir``) and the batch id
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FileSystem, works for any scheme
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _fs(spark, path)
-    return fs.exists(p)
-
-
-def _list_names(spark: SparkSession, folder: str) -> list[str]:
-    p, fs = _fs(spark, folder)
-    if not fs.exists(p):
-        return []
-    return [st.getPath().getName() for st in fs.listStatus(p)]
-
-
-def _read_text(spark: SparkSession, path: str) -> str:
-    p, fs = _fs(spark, path)
-    stream = fs.open(p)
-    try:
-        reader = spark.sparkContext._jvm.java.io.BufferedReader(  # noqa: SLF001
-            spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))  # noqa: SLF001
-        lines = []
-        line = reader.readLine()
-        while line is not None:
-            lines.append(line)
-            line = reader.readLine()
-        return "\n".join(lines)
-    finally:
-        stream.close()
-
-
-def _write_text_atomically(spark: SparkSession, folder: str, name: str, text: str) -> None:
-    """Write a small file under a hidden name, then rename it into place, so
-    readers see either nothing or the whole file."""
-    tmp, fs = _fs(spark, f"{folder}/.{name}.tmp")
-    out = fs.create(tmp, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-    final, _ = _fs(spark, f"{folder}/{name}")
-    if not fs.rename(tmp, final):
-        raise IOError(f"could not commit {folder}/{name}")
+_MARKER = -1  # manifest row whose ``dir`` holds schema, bucket count and query id as JSON
 
 
 class KeyedTable:
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 64):
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 64,
+                 query: str = ""):
         self.spark = spark
+        self.query = query
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.buckets = buckets
         # This handle is the table's single writer: the manifest is loaded once
         # (e.g. after a restart) and then kept current in memory.
         self._cached: tuple | None = None
+        self._owner: str | None = None
 
     # -- manifest -----------------------------------------------------------
     def _manifest(self) -> list:
         mpath = f"{self.path}/_manifest"
-        if not _exists(self.spark, mpath):
+        if not exists(self.spark, mpath):
             return []
         m = self.spark.read.schema(_MANIFEST_SCHEMA).json(mpath)
         # One row per bucket (bounded by `buckets`) plus the marker.
@@ -112,7 +72,11 @@ class KeyedTable:
             version = max(version, r["version"])
             if r["bucket"] == _MARKER:
                 batch_id = r["batch_id"]
-                schema = T.StructType.fromJson(json.loads(r["dir"]))
+                marker = json.loads(r["dir"])
+                schema = T.StructType.fromJson(marker["schema"])
+                if marker["buckets"] != self.buckets:
+                    raise ValueError(f"{self.path} has {marker['buckets']} buckets, not {self.buckets}")
+                self._owner = marker["query"]
             else:
                 dirs[r["bucket"]] = r["dir"]
         return version, batch_id, dirs, schema
@@ -148,13 +112,15 @@ class KeyedTable:
         # replaces it.
         rows.write.mode("overwrite").partitionBy("_bucket").parquet(vdir)
         # A touched bucket left empty has no folder; <= `buckets` file-system checks.
-        dirs = {b: (f"{vdir}/_bucket={b}" if _exists(self.spark, f"{vdir}/_bucket={b}") else None)
+        dirs = {b: (f"{vdir}/_bucket={b}" if exists(self.spark, f"{vdir}/_bucket={b}") else None)
                 for b in touched}
         entries = [(version, batch_id, b, d) for b, d in dirs.items()]
-        entries.append((version, batch_id, _MARKER, schema.json()))
+        marker = {"schema": json.loads(schema.json()), "buckets": self.buckets, "query": self.query}
+        entries.append((version, batch_id, _MARKER, json.dumps(marker)))
+        self._owner = self.query
         lines = "\n".join(json.dumps(dict(zip(("version", "batch_id", "bucket", "dir"), e)))
                           for e in entries)
-        _write_text_atomically(self.spark, f"{self.path}/_manifest", f"v{version:012d}.json", lines + "\n")
+        write_text_atomically(self.spark, f"{self.path}/_manifest", f"v{version:012d}.json", lines + "\n")
         _, _, current, _ = self._state()
         self._cached = (version, batch_id, {**current, **dirs}, schema)
 
@@ -162,6 +128,8 @@ class KeyedTable:
         """Bucket the batch (NULL keys get bucket -1), persist it and collect the
         touched buckets (at most ``buckets`` + 1 numbers) in one job."""
         version, last, dirs, _ = self._state()
+        if self._owner is not None and self._owner != self.query:
+            raise ValueError(f"{self.path} belongs to query {self._owner!r}, not {self.query!r}")
         if batch_id <= last:
             return None  # replay of a committed batch
         null_key = None
@@ -180,7 +148,7 @@ class KeyedTable:
         paths = [dirs[b] for b in touched if dirs.get(b)]
         return self._read_dirs(paths, schema).withColumn("_bucket", self._bucket())
 
-    def upsert(self, batch: DataFrame, batch_id: int, order: Sequence[str] = (),
+    def upsert(self, batch: DataFrame, batch_id: int, order: Sequence[str],
                is_delete: Column | None = None) -> None:
         """Replace rows by key; the latest row of a key in this batch (by
         ``order``) wins, and when ``is_delete`` holds for it the key is
@@ -191,9 +159,7 @@ class KeyedTable:
         if prep is None:
             return
         version, dirs, tagged, touched = prep
-        b = tagged.where(F.col("_bucket") >= 0)
-        if order:
-            b = latest_per_key(b, self.keys, list(order))
+        b = latest_per_key(tagged.where(F.col("_bucket") >= 0), self.keys, list(order))
         try:
             schema = T.StructType([f for f in b.schema.fields if f.name not in ("_del", "_bucket")])
             kept = self._existing(dirs, touched, schema).join(

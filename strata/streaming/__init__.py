@@ -1,12 +1 @@
-"""Streaming jobs and keyed-state processors.
-
-The processor modules are pickled by value, so Python workers (and the
-driver-side streaming runner) need no ``strata`` install to run them.
-"""
-
-from pyspark import cloudpickle
-
-from strata.streaming import changelog, flags
-
-cloudpickle.register_pickle_by_value(flags)
-cloudpickle.register_pickle_by_value(changelog)
+"""Structured Streaming jobs: stream in, checkpoint and sink folders of the caller."""

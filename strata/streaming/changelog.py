@@ -1,137 +1,87 @@
-"""Unbounded left outer join of two streams with retractions (changelog).
+"""Unbounded two-stream joins with retractions, as DataFrame joins per batch.
 
-A left row with no right partner yet is emitted at once as ``+I (left, NULL)``.
-When the first right row of its key arrives, that row is retracted (``-D``) and
-``+I (left, right)`` follows. Both sides live in the key's state (two arrays),
-with an optional processing-time timeout as idle-state retention.
+The rows of both sides are kept in a merge-on-read log. A micro-batch joins only
+what is new: new left rows with all right rows of their keys, and old left rows
+with new right rows. For outer joins a row without a partner is emitted at once
+as ``+I (row, NULL)``; when its key's first partner arrives, that row is
+retracted (``-D``). Old rows are read for the keys of the batch alone.
 
-A hot key is salted: each of its left rows goes to one of ``salts`` sub-keys
-and its right rows are copied to all of them, so the left state of that key is
-split ``salts`` ways while every (left, right) pair is still produced exactly
-once. Cold keys are not salted (no copies).
+Both sides travel as struct columns, so no value changes its type on the way.
+Hot keys on either side are ordinary skewed joins, which adaptive execution
+splits. Rows with a NULL key match nothing and are not kept.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from time import time
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _caster(dtype: str):
-    """Python value of a pandas cell for a declared column type. Integer
-    columns of a mixed batch arrive as floats with NaN for NULL."""
-    def cast(v):
-        if v is None or (isinstance(v, float) and math.isnan(v)) or v is pd.NA:
-            return None
-        if dtype in ("bigint", "int", "smallint", "tinyint"):
-            return int(v)
-        if dtype in ("double", "float"):
-            return float(v)
-        return v.item() if hasattr(v, "item") else v
-    return cast
-
-
-def _ddl(cols: Sequence[tuple[str, str]]) -> str:
-    return ", ".join(f"{n} {t}" for n, t in cols)
-
-
-def state_schema(left_cols: Sequence[tuple[str, str]], right_cols: Sequence[tuple[str, str]]) -> str:
-    return (f"lefts ARRAY<STRUCT<{_ddl(left_cols)}>>, "
-            f"rights ARRAY<STRUCT<{_ddl(right_cols)}>>")
-
-
-def left_changelog_joiner(left_cols: Sequence[tuple[str, str]], right_cols: Sequence[tuple[str, str]],
-                          ttl_ms: int | None = None):
-    """``applyInPandasWithState`` function of the retracting left join. With
-    ``ttl_ms`` a key idle that long (processing time) drops its state, as
-    idle-state retention does."""
-    lnames = [n for n, _ in left_cols]
-    rnames = [n for n, _ in right_cols]
-    lcast = [(n, _caster(t)) for n, t in left_cols]
-    rcast = [(n, _caster(t)) for n, t in right_cols]
-    none_r = (None,) * len(rnames)
-    columns = ["op"] + lnames + rnames
-
-    def join(key, pdfs, state):
-        if state.hasTimedOut:
-            state.remove()
-            yield pd.DataFrame({c: [] for c in columns})
-            return
-        frames = list(pdfs)
-        pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-        if len(pdf) > 1:
-            pdf = pdf.sort_values("seq", kind="stable")
-        if state.exists:
-            lefts = [tuple(r) for r in state.get[0]]
-            rights = [tuple(r) for r in state.get[1]]
-        else:
-            lefts, rights = [], []
-        sides = pdf["side"].tolist()
-        lvals = [list(map(c, pdf[n].tolist())) for n, c in lcast]
-        rvals = [list(map(c, pdf[n].tolist())) for n, c in rcast]
-        out: list[tuple] = []
-        for i, side in enumerate(sides):
-            if side == "L":
-                lrow = tuple(v[i] for v in lvals)
-                if rights:
-                    out += [("+I",) + lrow + r for r in rights]
-                else:
-                    out.append(("+I",) + lrow + none_r)
-                lefts.append(lrow)
-            else:
-                rrow = tuple(v[i] for v in rvals)
-                for lrow in lefts:
-                    if not rights:
-                        out.append(("-D",) + lrow + none_r)
-                    out.append(("+I",) + lrow + rrow)
-                rights.append(rrow)
-        state.update((lefts, rights))
-        if ttl_ms:
-            state.setTimeoutDuration(ttl_ms)
-        yield pd.DataFrame(out, columns=columns)
-
-    return join
-
-
-def hot_keys(df: DataFrame, key: str, parts: int) -> list:
-    """Keys holding more than ``1/parts`` of the rows: at most ``parts`` of
-    them, so the list is bounded and may reach the driver."""
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = per_key.agg(F.sum("_n")).first()[0] or 0
-    threshold = max(-(-total // parts), 1)
-    return [r[0] for r in per_key.where(F.col("_n") > threshold).select(key).collect()]
-
-
-def tag_sides(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-              left_cols: Sequence[str], right_cols: Sequence[str], left_seq: str, right_seq: str,
-              salts: int = 8, hot: Sequence | None = None) -> DataFrame:
-    """One stream of both sides: ``side, key, salt, seq`` plus every column of
-    either side (NULL for the other side).
-
-    Keys in ``hot`` are salted: their left rows spread over ``salts`` sub-keys
-    and their right rows are copied to each. Other keys use salt 0 only.
-    """
-    hot = list(hot or [])
-    is_hot_l = F.col(left_key).isin(hot) if hot else F.lit(False)
-    is_hot_r = F.col(right_key).isin(hot) if hot else F.lit(False)
-    lsel = left.select(
-        F.lit("L").alias("side"), F.col(left_key).alias("key"),
-        F.when(is_hot_l, F.pmod(F.xxhash64(*left_cols), F.lit(salts))).otherwise(0).cast("int").alias("salt"),
-        F.col(left_seq).cast("long").alias("seq"),
-        *[F.col(c) for c in left_cols],
-        *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in right_cols])
-    rsel = right.select(
-        F.lit("R").alias("side"), F.col(right_key).alias("key"),
-        F.explode(F.when(is_hot_r, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
-         .alias("salt"),
-        F.col(right_seq).cast("long").alias("seq"),
-        *[F.lit(None).cast(left.schema[c].dataType).alias(c) for c in left_cols],
-        *[F.col(c) for c in right_cols])
-    return lsel.unionByName(rsel)
+from strata.sinks.keyed_log import KeyedLog
+
+
+def tag_sides(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """One stream of both sides: ``side, key, l, r`` (the other side's struct NULL)."""
+    ltype = left.schema.simpleString()
+    rtype = right.schema.simpleString()
+    one = left.select(F.lit("L").alias("side"), F.col(left_key).alias("key"),
+                      F.struct(*left.columns).alias("l"), F.lit(None).cast(rtype).alias("r"))
+    two = right.select(F.lit("R").alias("side"), F.col(right_key).alias("key"),
+                       F.lit(None).cast(ltype).alias("l"), F.struct(*right.columns).alias("r"))
+    return one.unionByName(two)
+
+
+def delta(new: DataFrame, old: DataFrame, how: str) -> DataFrame:
+    """Changes (``op, l, r``) of the join when ``new`` tagged rows meet ``old``."""
+    def side(df: DataFrame, name: str, col: str) -> DataFrame:
+        return df.where(F.col("side") == name).select("key", col)
+
+    ln, rn = side(new, "L", "l"), side(new, "R", "r")
+    lo, ro = side(old, "L", "l"), side(old, "R", "r")
+    insert = F.lit("+I").alias("op")
+    out = ln.join(ro.unionByName(rn), "key").select(insert, "l", "r").unionByName(
+        lo.join(rn, "key").select(insert, "l", "r"))
+
+    def padded(own_new, own_old, other_new, other_old, col, other):
+        empty = F.lit(None).cast(new.schema[other].dataType).alias(other)
+        alone = own_new.join(other_old.unionByName(other_new), "key", "left_anti").select(
+            insert, col, empty)
+        met = own_old.join(other_new, "key", "left_semi").join(other_old, "key", "left_anti").select(
+            F.lit("-D").alias("op"), col, empty)
+        return alone.unionByName(met).select("op", "l", "r")
+
+    if how in ("left", "full"):
+        out = out.unionByName(padded(ln, lo, rn, ro, "l", "r"))
+    if how in ("right", "full"):
+        out = out.unionByName(padded(rn, ro, ln, lo, "r", "l"))
+    return out
+
+
+def changelog_writer(store: Callable[[], KeyedLog], out: str, how: str, ttl_s: float | None = None,
+                     clock: Callable[[], float] = time):
+    """``foreachBatch`` function: write the batch's changes to ``out/batch=<id>``,
+    then keep its rows. With ``ttl_s`` a key without new rows for that long
+    (processing time) has lost its rows, as idle-state retention does."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        now = clock()
+        log = store()
+        batch = batch.persist()
+        try:
+            keys = batch.where(F.col("key").isNotNull()).select("key").distinct()
+            empty = batch.withColumn("at", F.lit(now)).schema
+            old = log.read(empty=empty, before=batch_id).join(keys, "key", "left_semi")
+            if ttl_s is not None:
+                alive = old.groupBy("key").agg(F.max("at").alias("last")).where(
+                    F.col("last") > now - ttl_s).select("key")
+                old = old.join(alive, "key", "left_semi")
+            changes = delta(batch, old, how).select("op", "l.*", "r.*")
+            changes.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+            log.append(batch.where(F.col("key").isNotNull()).withColumn("at", F.lit(now)), batch_id)
+        finally:
+            batch.unpersist()
+    return write
 
 
 def materialize(changes: DataFrame, cols: Sequence[str]) -> DataFrame:

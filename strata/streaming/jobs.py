@@ -1,302 +1,376 @@
-"""Streaming twins of the batch queries.
+"""Streaming jobs: source stream → operators → sink.
 
-Each job replays its input table as an ordered file stream (see ``replay``),
-runs the streaming operator with checkpointed state, writes through a sink
-that survives restarts, and returns the final table as a batch DataFrame.
+Each job takes streaming DataFrames, the folders to write and the checkpoint to
+keep, and returns the started ``StreamingQuery``. Started again with the same
+folders it goes on where it stopped. Without a trigger it runs micro-batches as
+data arrive; ``ONCE`` takes what is there and ends. Readers of the results are
+beside the jobs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from strata import schemas
+from strata.functions import json as jsonf
 from strata.operators import traffic
+from strata.operators.cdc import config_state
+from strata.operators.dim import route, sync_tables
+from strata.operators.fact import cart_add, lookup
 from strata.operators.joins import interval_join
-from strata.operators.parse import drop_control_records, parse_envelopes
-from strata.operators.dim import route
-from strata.session import scratch_path
+from strata.operators.parse import drop_control_records, parse_envelopes, parse_page_log
+from strata.operators.sequence import with_running_max
+from strata.sinks.fan_out import destination_logs
+from strata.sinks.files import query_id
 from strata.sinks.keyed_log import KeyedLog
-from strata.sinks.keyed_table import KeyedTable
-from strata.streaming.changelog import left_changelog_joiner, materialize, state_schema, tag_sides
-from strata.streaming.flags import FLAGGED_SCHEMA, STATE_SCHEMA, page_view_flagger
-from strata.streaming.replay import read_slices, run_available, write_slices
+from strata.sinks.side_output import dirty_split_writer
+from strata.streaming.changelog import changelog_writer, materialize, tag_sides
+
+ONCE = {"availableNow": True}
+TRAFFIC_KEYS = ["stt", "edt", "vc", "ch", "ar"]
+TRAFFIC_MEASURES = ["sv_ct", "pv_ct", "dur_sum"]
+
+
+def _start(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str,
+           trigger: dict | None, mode: str = "append") -> StreamingQuery:
+    writer = stream.writeStream.outputMode(mode).foreachBatch(sink).option(
+        "checkpointLocation", checkpoint)
+    return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+def _append(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None) -> StreamingQuery:
+    writer = stream.writeStream.format("parquet").option("path", path).option(
+        "checkpointLocation", checkpoint)
+    return (writer.trigger(**trigger) if trigger else writer).start()
+
 
-TRAFFIC_KEYS = ["stt", "edt", "vc", "ch", "ar", "is_new"]
-TRAFFIC_MEASURES = ["uv_ct", "sv_ct", "pv_ct", "dur_sum"]
+# --------------------------------------------------------------------------
+# Raw logs
+# --------------------------------------------------------------------------
 
+def dirty_split(raw: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+                value: str = "value", keep: tuple[str, ...] = ()) -> StreamingQuery:
+    """The raw log split into ``path/clean`` and ``path/dirty`` from one read of
+    each micro-batch."""
+    write = dirty_split_writer(f"{path}/clean", f"{path}/dirty", value, dirty_columns=keep)
+    return _start(raw, write, checkpoint, trigger)
 
-def flagged_page_views(spark: SparkSession, log: DataFrame, slices: int, files: int) -> DataFrame:
-    """Page log as a stream, flagged per device with keyed state."""
-    src = write_slices(log, "ts", "page-log", slices, files, keys=["mid"])
-    stream = read_slices(spark, src, log.schema, files)
-    return stream.groupBy("mid").applyInPandasWithState(
-        page_view_flagger(), outputStructType=FLAGGED_SCHEMA, stateStructType=STATE_SCHEMA,
-        outputMode="append", timeoutConf="NoTimeout")
 
+# --------------------------------------------------------------------------
+# Traffic
+# --------------------------------------------------------------------------
 
-def traffic_window(spark: SparkSession, log: DataFrame, size: str = "10 seconds",
-                   slices: int = 4, files: int = 2) -> DataFrame:
-    """Windowed pv/uv/sv/duration. Each micro-batch is aggregated and its
-    partials appended to a keyed log; reading sums them per window, so a
-    window is exact however its rows are spread over batches."""
-    flagged = flagged_page_views(spark, log, slices, files)
-    table = KeyedLog(spark, scratch_path(spark, "traffic-window"), TRAFFIC_KEYS)
+def _partials(path: str, query: str, spark: SparkSession) -> KeyedLog:
+    return KeyedLog(spark, f"{path}/partials", TRAFFIC_KEYS, measures=TRAFFIC_MEASURES, query=query)
 
+
+def _visits(path: str, query: str, spark: SparkSession) -> KeyedLog:
+    return KeyedLog(spark, f"{path}/visits", ["mid", "day"], order=["ts", "log_id"], pick="first",
+                    query=query)
+
+
+def traffic_window(raw: DataFrame, path: str, checkpoint: str, size: str = "10 seconds",
+                   trigger: dict | None = None, lateness: str | None = None) -> StreamingQuery:
+    """Page-log JSON to windowed pv/uv/sv/duration, exact in any arrival order.
+
+    What needs no history is summed per window in each batch: views, durations
+    and session starts (views without a previous page). First views per device
+    and day go to a first-wins log; ``read_traffic`` counts visitors from it, so
+    a late row moves a visit and never counts a visitor twice.
+
+    Records that are no page views go to ``path/rejects``. With ``lateness``,
+    rows whose window ended more than that before the largest event time of
+    earlier batches go to ``path/late``.
+    """
     def sink(batch: DataFrame, batch_id: int) -> None:
-        table.append(traffic.traffic_window(batch, size), batch_id)
-
-    run_available(lambda ckpt: flagged.writeStream.foreachBatch(sink)
-                  .option("checkpointLocation", ckpt).trigger(availableNow=True).start(),
-                  spark, "traffic-window")
-    return table.summed(TRAFFIC_MEASURES)
-
-
-def uv_first_visit(spark: SparkSession, log: DataFrame, slices: int = 4, files: int = 2) -> DataFrame:
-    """First view per device and day, appended to a file sink."""
-    flagged = flagged_page_views(spark, log, slices, files)
-    firsts = flagged.where(F.col("uv") == 1).select(
-        "mid", F.date_format("ts", "yyyy-MM-dd").alias("dt"), "ts", "event_id", "ch")
-    out = scratch_path(spark, "uv-first-visit")
-    run_available(lambda ckpt: firsts.writeStream.format("parquet").option("path", out)
-                  .option("checkpointLocation", ckpt).trigger(availableNow=True).start(),
-                  spark, "uv-first-visit")
-    return spark.read.parquet(out)
-
-
-def click_purchase_join(spark: SparkSession, events: DataFrame, bound_s: float = 600,
-                        delay: str = "1 minute", slices: int = 4, files: int = 2) -> DataFrame:
-    """Stream-stream interval join with watermarks on both sides."""
-    src = write_slices(events.select("event_id", "ts", "user_id", "event_type"), "ts",
-                       "click-purchase", slices, files, keys=["user_id"])
-    stream = read_slices(spark, src, events.select("event_id", "ts", "user_id", "event_type").schema, files)
-    clicks = stream.where(F.col("event_type") == "click").select(
-        "user_id", F.col("event_id").alias("click_id"),
-        F.col("ts").cast("timestamp").alias("click_ts")).withWatermark("click_ts", delay)
-    buys = stream.where(F.col("event_type") == "purchase").select(
-        F.col("user_id").alias("p_user_id"), F.col("event_id").alias("purchase_id"),
-        F.col("ts").cast("timestamp").alias("purchase_ts")).withWatermark("purchase_ts", delay)
-    joined = interval_join(clicks, buys, "user_id", "p_user_id", "click_ts", "purchase_ts",
+        spark = batch.sparkSession
+        query = query_id(spark, checkpoint)
+        parsed = batch.withColumn("_ok", F.coalesce(
+            jsonf.parse(F.col("value"), schemas.PAGE_LOG)["common"]["mid"].isNotNull(), F.lit(False)))
+        rejects = parsed.where(~F.col("_ok")).drop("_ok")
+        rejects.write.mode("overwrite").parquet(f"{path}/rejects/batch={batch_id}")
+        views = parse_page_log(batch).persist()
+        try:
+            if lateness is not None:
+                seen = KeyedLog(spark, f"{path}/seen", ["name"], order=["top"], query=query)
+                top = seen.read("name STRING, top TIMESTAMP_NTZ", before=batch_id).first()
+                end = F.window("ts", size)["end"]
+                late = F.lit(False) if top is None else end < F.lit(top["top"]) - F.expr(f"INTERVAL {lateness}")
+                views.where(late).write.mode("overwrite").parquet(f"{path}/late/batch={batch_id}")
+                kept = views.where(~late)
+            else:
+                kept = views
+            flat = kept.withColumns({"is_new": F.lit("0"), "uv": F.lit(0), "sv": F.when(
+                F.col("last_page_id").isNull(), 1).otherwise(0)})
+            sums = traffic.traffic_window(flat, size).select(*TRAFFIC_KEYS, *TRAFFIC_MEASURES, "ts")
+            _partials(path, query, spark).append(sums, batch_id)
+            firsts = traffic.uv_first_visit(kept, tiebreak="log_id", carry=[
+                "vc", "ch", "ar", "during_time", "last_page_id"]).withColumnRenamed("dt", "day")
+            _visits(path, query, spark).append(firsts, batch_id)
+            if lateness is not None:
+                seen.append(views.agg(F.max("ts").alias("top")).where("top is not null").select(
+                    F.lit("top").alias("name"), "top"), batch_id)
+        finally:
+            views.unpersist()
+    return _start(raw, sink, checkpoint, trigger)
+
+
+def read_traffic(spark: SparkSession, path: str, size: str = "10 seconds") -> DataFrame:
+    """The traffic result: the summed partials, with each device's very first view
+    moved to ``is_new`` = '1' and the visitors counted from the first views."""
+    empty = "stt STRING, edt STRING, vc STRING, ch STRING, ar STRING, sv_ct LONG, pv_ct LONG, dur_sum LONG, ts LONG"
+    sums = _partials(path, "", spark).read(empty)
+    visits = read_first_visits(spark, path)
+    mine = visits.groupBy(F.col("mid").alias("m")).agg(F.min(F.struct("ts", "log_id")).alias("f"))
+    visit = visits.join(mine, F.col("mid") == F.col("m")).withColumn(
+        "fresh", (F.col("ts") == F.col("f.ts")) & (F.col("log_id") == F.col("f.log_id")))
+    w = visit.withColumn("w", F.window("ts", size))
+    stt, edt, stamp = traffic.window_bounds()
+    sv = F.when(F.col("last_page_id").isNull(), 1).otherwise(0)
+    cols = [stt, edt, "vc", "ch", "ar"]
+
+    def row(is_new: Column, uv: Column, sign: int) -> list:
+        return [*cols, is_new.alias("is_new"), uv.cast("long").alias("uv_ct"),
+                (sv * sign).cast("long").alias("sv_ct"), F.lit(sign).cast("long").alias("pv_ct"),
+                (F.col("during_time") * sign).alias("dur_sum"), stamp]
+
+    new = w.where("fresh").select(*row(F.lit("1"), F.lit(1), 1))
+    moved = w.where("fresh").select(*row(F.lit("0"), F.lit(0), -1))
+    known = w.where("not fresh").select(*row(F.lit("0"), F.lit(1), 0))
+    both = sums.withColumns({"is_new": F.lit("0"), "uv_ct": F.lit(0).cast("long")}).unionByName(
+        new).unionByName(moved).unionByName(known)
+    out = both.groupBy("stt", "edt", "vc", "ch", "ar", "is_new").agg(
+        *[F.sum(c).alias(c) for c in ("uv_ct", "sv_ct", "pv_ct", "dur_sum")], F.max("ts").alias("ts"))
+    return out.where("pv_ct > 0")
+
+
+def read_first_visits(spark: SparkSession, path: str) -> DataFrame:
+    """First view per device and day of the traffic job: mid, day, ts, log_id, ..."""
+    return _visits(path, "", spark).read(
+        "mid STRING, day STRING, ts TIMESTAMP_NTZ, log_id LONG, vc STRING, ch STRING, ar STRING, "
+        "during_time LONG, last_page_id STRING")
+
+
+# --------------------------------------------------------------------------
+# Joins
+# --------------------------------------------------------------------------
+
+def click_purchase_join(clicks: DataFrame, buys: DataFrame, path: str, checkpoint: str,
+                        bound_s: float = 600, delay: str = "1 minute",
+                        trigger: dict | None = None) -> StreamingQuery:
+    """Stream-stream interval join with watermarks on both sides (``user_id,
+    click_id, click_ts`` and ``user_id, purchase_id, purchase_ts``)."""
+    left = clicks.withColumn("click_ts", F.col("click_ts").cast("timestamp")).withWatermark("click_ts", delay)
+    right = buys.withColumnRenamed("user_id", "p_user_id").withColumn(
+        "purchase_ts", F.col("purchase_ts").cast("timestamp")).withWatermark("purchase_ts", delay)
+    joined = interval_join(left, right, "user_id", "p_user_id", "click_ts", "purchase_ts",
                            -bound_s, bound_s).select(
         "user_id", "click_id", "purchase_id",
         F.col("click_ts").cast("timestamp_ntz").alias("click_ts"),
         F.col("purchase_ts").cast("timestamp_ntz").alias("purchase_ts"))
-    out = scratch_path(spark, "click-purchase")
-    run_available(lambda ckpt: joined.writeStream.format("parquet").option("path", out)
-                  .option("checkpointLocation", ckpt).trigger(availableNow=True).start(),
-                  spark, "click-purchase")
-    return spark.read.parquet(out)
-
-
-def dimension_routing(spark: SparkSession, raw: DataFrame, slices: int = 4, files: int = 2,
-                      order: str = "_order") -> DataFrame:
-    """One stream carrying business change envelopes and config change records
-    (``op/before/after``), like the two connected streams of the source job.
-
-    Per micro-batch: the batch's config changes are applied to the keyed config
-    table first (put on r/c/u, remove on d; an update also removes its
-    ``before`` key), then the envelopes are routed by the live ``dim`` rows and
-    upserted into the dimension store keyed by (sink_table, pk_value). Config
-    that arrives before its data therefore always applies; data that arrives
-    before any config for its table is not routed. Returns the store.
-    """
-    from strata import schemas
-    from strata.functions import json as jsonf
-    from strata.operators.cdc import config_state
-    src = write_slices(raw, order, "dim-input", slices, files)
-    stream = read_slices(spark, src, raw.schema, files)
-    base = scratch_path(spark, "dim-route")
-    config = KeyedTable(spark, f"{base}/config", ["source_table"], buckets=4)
-    store = KeyedTable(spark, f"{base}/store", ["sink_table", "pk_value"], buckets=16)
+    return _append(joined, path, checkpoint, trigger)
+
+
+def inner_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, path: str,
+               checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Unbounded inner join: Spark's own stream-stream join, appended to ``path``."""
+    return _append(left.join(right, F.col(left_key) == F.col(right_key)), path, checkpoint, trigger)
+
+
+def changelog_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, path: str,
+                   checkpoint: str, how: str = "left", trigger: dict | None = None,
+                   ttl_s: float | None = None, clock=None) -> StreamingQuery:
+    """Retracting join (inner, left, right, full): changes in ``path/changes``,
+    the rows of both sides in ``path/rows``."""
+    tagged = tag_sides(left, right, left_key, right_key)
+    spark = left.sparkSession
+
+    def store() -> KeyedLog:
+        return KeyedLog(spark, f"{path}/rows", pick="all", query=query_id(spark, checkpoint))
+
+    options = {"clock": clock} if clock else {}
+    return _start(tagged, changelog_writer(store, f"{path}/changes", how, ttl_s, **options),
+                  checkpoint, trigger)
+
+
+def read_join(spark: SparkSession, path: str) -> DataFrame:
+    """The current rows of a changelog join."""
+    changes = spark.read.parquet(f"{path}/changes").drop("batch")
+    return materialize(changes, [c for c in changes.columns if c != "op"])
+
 
+# --------------------------------------------------------------------------
+# Dimensions
+# --------------------------------------------------------------------------
+
+def _config(spark: SparkSession, path: str, query: str = "") -> KeyedLog:
+    return KeyedLog(spark, f"{path}/config", ["source_table"], order=["ts_ms", "seq", "rank"], query=query)
+
+
+_ACTION = f"source_table STRING, ts_ms LONG, seq LONG, rank INT, row STRUCT<{schemas.CONFIG_ROW}>"
+
+
+def preload_config(spark: SparkSession, path: str, changes: DataFrame) -> None:
+    """Load the configuration as it stands (change records ``op, before, after,
+    ts_ms, seq``) before the jobs start, so that no data precede it."""
+    _config(spark, path).seed(config_state(changes, live_type=None))
+
+
+def config_changes(raw: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+                   database: str | None = None) -> StreamingQuery:
+    """The stream of configuration changes (JSON ``value``): kept in the config
+    log; with ``database``, destination tables are created or grown as each
+    batch asks for. Malformed records go to ``path/config_rejects``."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        spark = batch.sparkSession
+        parsed = batch.select("value", jsonf.parse(F.col("value"), schemas.CONFIG_CDC).alias("c")).persist()
         try:
-            is_cfg = F.get_json_object("value", "$.op").isNotNull()
-            changes = batch.where(is_cfg).select(
-                jsonf.parse(F.col("value"), schemas.CONFIG_CDC).alias("c")).select("c.*")
-            # Latest action per config key in this batch; removals are rows whose
-            # `row` is NULL. Upserting them keeps the config table current.
-            # Most batches carry no config change: then the table is left as is.
-            if not changes.isEmpty():
-                actions = config_state(changes, live_type=None)
-                config.upsert(actions, batch_id, order=["ts_ms", "seq", "rank"],
-                              is_delete=F.col("row").isNull())
-            live = (config.read(empty_schema=f"source_table STRING, row STRUCT<{schemas.CONFIG_ROW}>")
-                    .where(F.col("row.sink_type") == "dim").select("row.*"))
-            envelopes = drop_control_records(parse_envelopes(batch.where(~is_cfg)))
-            routed = route(envelopes, live).select("sink_table", "sink_pk", "pk_value", "type", "ts", "data")
-            store.upsert(routed, batch_id, order=["ts"], is_delete=F.col("type") == "delete")
+            ok = F.coalesce(F.col("c.op").isNotNull(), F.lit(False))
+            parsed.where(~ok).select("value").write.mode("overwrite").parquet(
+                f"{path}/config_rejects/batch={batch_id}")
+            actions = config_state(parsed.where(ok).select("c.*"), live_type=None)
+            _config(spark, path, query_id(spark, checkpoint)).append(actions, batch_id)
+            if database:
+                sync_tables(read_config(spark, path), database, f"{path}/tables")
         finally:
-            batch.unpersist()
+            parsed.unpersist()
+    return _start(raw, sink, checkpoint, trigger)
 
-    run_available(lambda ckpt: stream.writeStream.foreachBatch(sink)
-                  .option("checkpointLocation", ckpt).trigger(availableNow=True).start(),
-                  spark, "dim-route")
-    return store.read()
 
+def read_config(spark: SparkSession, path: str, live_type: str = "dim") -> DataFrame:
+    """The live configuration rows."""
+    return _config(spark, path).read(_ACTION).where(F.col("row.sink_type") == live_type).select("row.*")
 
-def left_changelog_join(spark: SparkSession, left: DataFrame, right: DataFrame,
-                        left_key: str, right_key: str, left_seq: str, right_seq: str,
-                        salts: int = 8, ttl_ms: int | None = None, hot: list | None = None,
-                        slices: int = 4, files: int = 2) -> tuple[DataFrame, DataFrame]:
-    """Retracting left join of two streams; returns (changelog, materialized).
 
-    ``hot`` lists keys to salt (e.g. from yesterday's key counts); by default
-    they are measured on the replayed left input.
-    """
-    from strata.session import shuffle_partitions
-    from strata.streaming.changelog import hot_keys
-    lcols = [c for c in left.columns if c != left_seq]
-    rcols = [c for c in right.columns if c != right_seq]
-    if hot is None:
-        hot = hot_keys(left, left_key, shuffle_partitions(spark) * 4)
-    tagged = tag_sides(left, right, left_key, right_key, lcols, rcols, left_seq, right_seq, salts, hot)
-    src = write_slices(tagged, "seq", "changelog-input", slices, files, keys=["key", "salt"])
-    stream = read_slices(spark, src, tagged.schema, files)
-    ltypes = [(c, left.schema[c].dataType.simpleString()) for c in lcols]
-    rtypes = [(c, right.schema[c].dataType.simpleString()) for c in rcols]
-    out_schema = ", ".join(["op STRING"] + [f"{c} {t}" for c, t in ltypes + rtypes])
-    changes = stream.groupBy("key", "salt").applyInPandasWithState(
-        left_changelog_joiner(ltypes, rtypes, ttl_ms), outputStructType=out_schema,
-        stateStructType=state_schema(ltypes, rtypes), outputMode="append",
-        timeoutConf="ProcessingTimeTimeout" if ttl_ms else "NoTimeout")
-    out = scratch_path(spark, "changelog")
-    run_available(lambda ckpt: changes.writeStream.format("parquet").option("path", out)
-                  .option("checkpointLocation", ckpt).trigger(availableNow=True).start(),
-                  spark, "changelog")
-    log = spark.read.parquet(out)
-    return log, materialize(log, lcols + rcols)
-
-
-
-def cart_lookup(spark: SparkSession, envelopes: DataFrame, dictionary_loader, max_age_s: float = 0.0,
-                slices: int = 4, files: int = 2) -> DataFrame:
-    """Cart-add facts joined to a dictionary that is re-read when older than
-    ``max_age_s`` (0 = before every micro-batch), so codes added to the source
-    mid-stream are seen; summarised per dictionary name in a keyed table."""
-    from strata.operators.fact import cart_add, lookup
-    from strata.sources.jdbc import Refreshing
-    src = write_slices(envelopes.withColumn("_order", F.col("ts").cast("long")), "_order",
-                       "cart-envelopes", slices, files, keys=["_order"])
-    stream = read_slices(spark, src, envelopes.withColumn("_order", F.col("ts").cast("long")).schema, files)
-    facts = cart_add(stream.drop("_order"))
-    dic = Refreshing(dictionary_loader, max_age_s)
-    table = KeyedLog(spark, scratch_path(spark, "cart-by-name"), ["source_type_name"])
+def dimension_routing(raw: DataFrame, path: str, checkpoint: str,
+                      trigger: dict | None = None) -> StreamingQuery:
+    """Business change envelopes (JSON ``value``) routed by the configuration as it
+    stands at each micro-batch, into one log per destination under
+    ``path/dim/<table>``: a string column per configured column, keyed by the
+    destination's key, the greatest (``ts``, hash) winning. Malformed records and
+    rows without a key value go to ``path/rejects``."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        raw_rows = batch.select("value").persist()
+        config = read_config(spark, path).persist()
+        try:
+            bad = jsonf.parse(F.col("value"), schemas.ENVELOPE)["table"].isNull()
+            rejects = raw_rows.where(F.coalesce(bad, F.lit(True))).select(
+                "value", F.lit("malformed").alias("reason"))
+            routed = route(drop_control_records(parse_envelopes(raw_rows)), config).persist()
+            keyless = routed.where(F.col("pk_value").isNull()).select(
+                F.to_json(F.struct("sink_table", "sink_pk", "type", "ts", "data")).alias("value"),
+                F.lit("no key").alias("reason"))
+            rejects.unionByName(keyless).write.mode("overwrite").parquet(f"{path}/rejects/batch={batch_id}")
+            destination_logs(routed.where(F.col("pk_value").isNotNull()), config, f"{path}/dim", batch_id,
+                             query_id(spark, checkpoint))
+            routed.unpersist()
+        finally:
+            config.unpersist()
+            raw_rows.unpersist()
+    return _start(raw, sink, checkpoint, trigger)
+
+
+def read_dimension(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """The current rows of one destination: ``pk_value`` and its string columns."""
+    from strata.sinks.fan_out import destination
+    return destination(spark, f"{path}/dim", table, "").read().drop("ts", "tie")
 
+
+# --------------------------------------------------------------------------
+# Facts and windows
+# --------------------------------------------------------------------------
+
+def cart_fact(envelopes: DataFrame, dictionary: Callable[[], DataFrame], path: str, checkpoint: str,
+              trigger: dict | None = None, tie: str | None = None) -> StreamingQuery:
+    """Cart-add facts joined to the dictionary as it stands when the micro-batch is
+    processed. Every fact is appended to ``path/facts/batch=<id>``; the latest
+    per ``id`` (by numeric ``ts``, then the column ``tie``) is kept in
+    ``path/by_id``. Rows with a count that is no number go to ``path/rejects``."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        joined = lookup(batch, dic.get())
-        per_name = joined.groupBy("source_type_name").agg(
-            F.count(F.lit(1)).alias("add_ct"), F.sum(F.col("sku_num").cast("long")).alias("sku_num_sum"))
-        table.append(per_name, batch_id)
+        spark = batch.sparkSession
+        facts, rejects = cart_add(batch, carry=(tie,) if tie else (), rejects=True)
+        rejects.write.mode("overwrite").parquet(f"{path}/rejects/batch={batch_id}")
+        named = lookup(facts, dictionary()).persist()
+        try:
+            columns = schemas.names(schemas.CART_FACT)
+            named.select(*columns).write.mode("overwrite").parquet(f"{path}/facts/batch={batch_id}")
+            by_id = KeyedLog(spark, f"{path}/by_id", ["id"], order=["at", "tie"],
+                             query=query_id(spark, checkpoint))
+            by_id.append(named.select(*columns, F.col("ts").cast("bigint").alias("at"), (
+                F.col(tie) if tie else F.xxhash64(*columns)).alias("tie")), batch_id)
+        finally:
+            named.unpersist()
+    return _start(envelopes, sink, checkpoint, trigger)
+
 
-    run_available(lambda ckpt: facts.writeStream.foreachBatch(sink)
-                  .option("checkpointLocation", ckpt).trigger(availableNow=True).start(),
-                  spark, "cart-lookup")
-    return table.summed(["add_ct", "sku_num_sum"])
+def read_cart(spark: SparkSession, path: str) -> DataFrame:
+    """The latest fact per id."""
+    return KeyedLog(spark, f"{path}/by_id", ["id"], order=["at", "tie"]).read().drop("at", "tie")
 
 
-def sku_order_window(spark: SparkSession, lines: DataFrame, size: str = "7 days",
-                     delay: str = "1 day", slices: int = 4, files: int = 2) -> DataFrame:
+def sku_order_window(lines: DataFrame, path: str, checkpoint: str, size: str = "7 days",
+                     delay: str = "1 day", trigger: dict | None = None) -> StreamingQuery:
     """Watermarked event-time window aggregate (Spark's own streaming state) in
-    update mode; each batch's updated windows are appended to a keyed log and
-    the latest version of every window is read back."""
-    cols = lines.select("l_partkey", "l_shipdate", "l_extendedprice", "l_discount")
-    src = write_slices(cols, "l_shipdate", "sku-lines", slices, files, keys=["l_partkey"])
-    stream = read_slices(spark, src, cols.schema, files)
+    update mode; the latest version of every window is kept in a log."""
     amount = F.col("l_extendedprice").cast("decimal(12,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))
-    agg = (stream.withColumn("et", F.col("l_shipdate").cast("timestamp")).withWatermark("et", delay)
+    agg = (lines.withColumn("et", F.col("l_shipdate").cast("timestamp")).withWatermark("et", delay)
            .groupBy(F.window("et", size).alias("w"), F.col("l_partkey").alias("sku_id"))
            .agg(F.sum(amount).alias("amount"), F.count(F.lit(1)).alias("order_ct")))
     result = agg.select(
         F.date_format("w.start", traffic.STAMP).alias("stt"), F.date_format("w.end", traffic.STAMP).alias("edt"),
         "sku_id", F.col("amount").cast("double").alias("order_amount"), "order_ct",
         F.unix_millis("w.end").alias("ts"))
-    table = KeyedLog(spark, scratch_path(spark, "sku-window"), ["stt", "sku_id"])
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        table.append(batch, batch_id)
+        _sku_log(batch.sparkSession, path, query_id(batch.sparkSession, checkpoint)).append(batch, batch_id)
+    return _start(result, sink, checkpoint, trigger, mode="update")
 
-    run_available(lambda ckpt: result.writeStream.outputMode("update").foreachBatch(sink)
-                  .option("checkpointLocation", ckpt).trigger(availableNow=True).start(),
-                  spark, "sku-window")
-    return table.latest()
 
+def _sku_log(spark: SparkSession, path: str, query: str = "") -> KeyedLog:
+    return KeyedLog(spark, path, ["stt", "sku_id"], query=query)
 
-def apply_change_stream(spark: SparkSession, changes: DataFrame, keys: list[str], order: list[str],
-                        is_delete, slices: int = 4, files: int = 2) -> DataFrame:
-    """A change log applied batch by batch (upsert, delete) through a
-    merge-on-read keyed log."""
-    src = write_slices(changes, order[0], "changes", slices, files, keys=keys)
-    stream = read_slices(spark, src, changes.schema, files)
-    table = KeyedLog(spark, scratch_path(spark, "cdc-table"), keys)
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        table.append(batch, batch_id, is_delete=is_delete)
+def read_sku_orders(spark: SparkSession, path: str) -> DataFrame:
+    return _sku_log(spark, path).read()
 
-    run_available(lambda ckpt: stream.writeStream.foreachBatch(sink)
-                  .option("checkpointLocation", ckpt).trigger(availableNow=True).start(),
-                  spark, "cdc-apply")
-    return table.latest(order)
 
+def apply_change_stream(changes: DataFrame, path: str, checkpoint: str, keys: list[str],
+                        order: list[str], is_delete: Column, trigger: dict | None = None) -> StreamingQuery:
+    """A change log applied batch by batch (upsert, delete) to a keyed log. The
+    greatest ``order`` of a key wins, in whatever batch it arrives."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        KeyedLog(spark, path, keys, order, query=query_id(spark, checkpoint)).append(
+            batch, batch_id, is_delete=is_delete)
+    return _start(changes, sink, checkpoint, trigger)
 
-def late_side_output(spark: SparkSession, rows: DataFrame, arrival: list[str], ts: str,
-                     lateness: str = "6 HOURS", slices: int = 4, files: int = 2) -> DataFrame:
-    """Rows arriving more than ``lateness`` behind the largest event time seen
-    so far, written aside instead of silently dropped.
 
-    The largest event time of earlier batches is kept in a one-row keyed
-    table; inside a batch the running max follows arrival order
-    (``with_running_max``). Returns the side output.
-    """
-    from strata.operators.sequence import with_running_max
-    src = write_slices(rows, arrival[0], "arrivals", slices, files)
-    stream = read_slices(spark, src, rows.schema, files)
-    seen = KeyedTable(spark, scratch_path(spark, "max-seen"), ["name"], buckets=1)
-    late_dir = scratch_path(spark, "late-rows")
+def late_side_output(rows: DataFrame, path: str, checkpoint: str, arrival: list[str], ts: str,
+                     lateness: str = "6 HOURS", trigger: dict | None = None) -> StreamingQuery:
+    """Rows arriving more than ``lateness`` behind the largest event time seen
+    so far, written to ``path/late`` instead of silently dropped.
 
+    The largest event time of earlier batches is kept in a one-row log; inside a
+    batch the running maximum follows the arrival order."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        if seen.last_batch_id() >= batch_id:
-            return
-        try:
-            before = seen.read().first()["max_ts"]
-        except ValueError:
-            before = None
-        running = with_running_max(batch, arrival, ts, out="max_seen", chunks=16)
-        if before is not None:
-            running = running.withColumn("max_seen", F.greatest("max_seen", F.lit(before)))
+        spark = batch.sparkSession
+        kind = batch.schema[ts].dataType.simpleString()
+        seen = KeyedLog(spark, f"{path}/seen", ["name"], order=["top"], query=query_id(spark, checkpoint))
+        top = seen.read(f"name STRING, top {kind}", before=batch_id).first()
+        running = with_running_max(batch, arrival, ts, out="max_seen")
+        if top is not None:
+            running = running.withColumn("max_seen", F.greatest("max_seen", F.lit(top["top"])))
         running = running.persist()
         try:
             (running.where(F.col(ts) < F.col("max_seen") - F.expr(f"INTERVAL {lateness}"))
-                    .write.mode("overwrite").parquet(f"{late_dir}/batch={batch_id}"))
-            top = running.agg(F.max("max_seen").alias("max_ts")).select(F.lit("max_ts").alias("name"), "max_ts")
-            seen.upsert(top, batch_id)
+                    .write.mode("overwrite").parquet(f"{path}/late/batch={batch_id}"))
+            seen.append(running.agg(F.max("max_seen").alias("top")).where("top is not null").select(
+                F.lit("top").alias("name"), "top"), batch_id)
         finally:
             running.unpersist()
-
-    run_available(lambda ckpt: stream.writeStream.foreachBatch(sink)
-                  .option("checkpointLocation", ckpt).trigger(availableNow=True).start(),
-                  spark, "late-rows")
-    return spark.read.parquet(late_dir)
-
-
-def dirty_split(spark: SparkSession, raw: DataFrame, order: str, value: str = "value",
-                keep: tuple[str, ...] = (), slices: int = 4, files: int = 2) -> tuple[DataFrame, DataFrame]:
-    """The raw log as a stream split into its clean main output and the dirty
-    side output, both written from one read of each micro-batch. Returns
-    (clean, dirty) as read back from their folders."""
-    from strata.sinks.side_output import dirty_split_writer
-    src = write_slices(raw, order, "raw-log", slices, files)
-    stream = read_slices(spark, src, raw.schema, files)
-    base = scratch_path(spark, "log-split")
-    write = dirty_split_writer(f"{base}/clean", f"{base}/dirty", value, dirty_columns=keep)
-    run_available(lambda ckpt: stream.writeStream.foreachBatch(write)
-                  .option("checkpointLocation", ckpt).trigger(availableNow=True).start(),
-                  spark, "log-split")
-    from strata.sinks.keyed_table import _exists
-    empty = spark.createDataFrame([], raw.schema)
-
-    def read(path: str, like: DataFrame) -> DataFrame:
-        # No folder when the stream had no batch at all.
-        return spark.read.parquet(path) if _exists(spark, path) else like
-
-    return read(f"{base}/clean", empty), read(f"{base}/dirty", empty.select(*keep, value))
+    return _start(rows, sink, checkpoint, trigger)

@@ -1,21 +1,22 @@
 """Replay a table as an ordered file stream (the stand-in for a message log).
 
-``write_slices`` cuts a frame into ``slices`` contiguous ranges of an order
-column and writes them one after another, ``files_per_slice`` files each. A file stream with
-``maxFilesPerTrigger = files_per_slice`` then delivers exactly one slice per
-micro-batch, oldest first, so per-key order across batches is the table's
-order, as it is per partition in a message log.
+``replayed`` writes a frame in a few contiguous ranges of an order column, one
+after another, and opens the folder as a file stream that delivers one range per
+micro-batch, oldest first. It is a harness for tests and for the registered
+twins; the jobs themselves take any stream.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from strata.session import scratch_path
+from strata.sinks.files import list_names
+
+ROWS_PER_FILE = 500_000
 
 
 def _number(df: DataFrame, col: str):
@@ -25,62 +26,46 @@ def _number(df: DataFrame, col: str):
     return F.col(col).cast("double")
 
 
-def write_slices(df: DataFrame, order: str, name: str, slices: int = 4,
-                 files_per_slice: int = 2, keys: Sequence[str] = ()) -> str:
-    """Write ``df`` in ``slices`` order ranges; returns the folder."""
+def replayed(df: DataFrame, order: str | None, name: str, slices: int = 4) -> DataFrame:
+    """``df`` as a stream of ``slices`` micro-batches in the order of ``order``;
+    without an order, rows arrive shuffled (by their hash). Each slice has one
+    file per ``ROWS_PER_FILE`` rows of the table."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    x = _number(df, order)
-    lo, hi = df.agg(F.min(x), F.max(x)).first()
-    width = max((float(hi) - float(lo)) / slices, 1e-9) if lo is not None else 1.0
-    sliced = df.withColumn("_slice", F.least(F.floor((x - F.lit(lo or 0)) / F.lit(width)),
-                                             F.lit(slices - 1))).persist()
+    x = F.xxhash64(F.to_json(F.struct(*df.columns))).cast("double") if order is None else _number(df, order)
+    placed = df.withColumn("_x", x).persist()
     try:
-        # Written one after another so file times follow slice order; a whole
-        # slice is one micro-batch, so keys may span the files of a slice.
+        lo, hi, n = placed.agg(F.min("_x"), F.max("_x"), F.count(F.lit(1))).first()
+        files = max(1, -(-n // (ROWS_PER_FILE * slices)))
+        width = max((float(hi) - float(lo)) / slices, 1e-9) if lo is not None else 1.0
+        number = F.coalesce(F.least(F.floor((F.col("_x") - F.lit(lo or 0)) / F.lit(width)),
+                                    F.lit(slices - 1)), F.lit(0))
         for i in range(slices):
-            part = sliced.where(F.col("_slice") == i).drop("_slice")
-            part.repartition(files_per_slice).write.mode("append").parquet(path)
+            placed.where(number == i).drop("_x").repartition(files).write.mode("append").parquet(path)
     finally:
-        sliced.unpersist()
-    return path
-
-
-def read_slices(spark: SparkSession, path: str, schema: T.StructType,
-                files_per_slice: int = 2) -> DataFrame:
-    return (spark.readStream.schema(schema)
-            .option("maxFilesPerTrigger", files_per_slice)
-            .parquet(path))
+        placed.unpersist()
+    return opened(spark, path, df.schema, files)
 
 
-def state_partitions(spark: SparkSession) -> int:
-    """Partition count for a new stream's state: the session's shuffle
-    partitions, capped at the cluster's cores (one state partition per core
-    and batch; every extra partition costs a Python worker round per batch).
-    It is fixed in the checkpoint at first start, so pass a larger value to
-    ``run_available`` when the state outgrows one partition per core."""
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(current, spark.sparkContext.defaultParallelism))
+def opened(spark: SparkSession, path: str, schema: T.StructType, files: int = 1) -> DataFrame:
+    """A folder of Parquet files as a stream of ``files`` files per micro-batch."""
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path))
 
 
-def run_available(query_builder, spark: SparkSession, name: str,
-                  partitions: int | None = None) -> str:
-    """Start a ``writeStream`` built by ``query_builder(checkpoint)`` with
-    ``partitions`` state partitions, run it on everything available, stop it
-    and return its checkpoint folder. The session's own setting is restored
-    once the query has started (the query keeps its value in the checkpoint)."""
-    checkpoint = scratch_path(spark, f"{name}-checkpoint")
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(partitions or state_partitions(spark)))
+def drain(query: StreamingQuery) -> None:
+    """Wait until an ``availableNow`` query has taken everything, and stop it."""
     try:
-        q = query_builder(checkpoint)
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise query.exception()
     finally:
-        spark.conf.set(key, before)
-    try:
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise q.exception()
-    finally:
-        q.stop()
-    return checkpoint
+        query.stop()
+
+
+def written(spark: SparkSession, path: str, like: T.StructType | str) -> DataFrame:
+    """What a job wrote to ``path``; empty when there was no batch."""
+    names = [n for n in list_names(spark, path) if not n.startswith(("_", "."))]
+    if not names:
+        return spark.createDataFrame([], like)
+    out = spark.read.parquet(path)
+    return out.drop("batch") if "batch" in out.columns else out

@@ -55,10 +55,10 @@ def test_route_prunes_and_tags(spark):
         ("trailing", None, "dim_trailing", "dim", "id,name,", "id", None),
     ], schemas.CONFIG_ROW)
     env = _env(spark, [
-        ("gmall", "base_trademark", "insert", "1", {"tm_name": "x", "logo_url": "/a.jpg", "id": "1"}, None),
+        ("shop", "base_trademark", "insert", "1", {"tm_name": "x", "logo_url": "/a.jpg", "id": "1"}, None),
         ("other_db", "spaced", "update", "2", {"id": "2", "name": "n"}, None),
-        ("gmall", "trailing", "insert", "3", {"id": "3", "name": "m", "z": "q"}, None),
-        ("gmall", "no_config", "insert", "4", {"id": "4"}, None),
+        ("shop", "trailing", "insert", "3", {"id": "3", "name": "m", "z": "q"}, None),
+        ("shop", "no_config", "insert", "4", {"id": "4"}, None),
     ])
     got = {r.sink_table: (r.pk_value, r.type, dict(r.data), r.sink_pk) for r in route(env, config).collect()}
     assert got == {
@@ -77,7 +77,7 @@ def test_dimension_schema_and_ddl(spark):
     assert sorted(cols) == [("dim_t", 0, "id", True), ("dim_t", 1, "tm_name", False),
                             ("dim_u", 0, "k", True), ("dim_u", 1, "v", False)]
     ddl = {r.sink_table: r.ddl for r in create_table_ddl(config).collect()}
-    assert ddl["dim_t"] == "CREATE TABLE IF NOT EXISTS dim.dim_t (`id` STRING NOT NULL, `tm_name` STRING) "
+    assert ddl["dim_t"] == "CREATE TABLE IF NOT EXISTS `dim`.`dim_t` (`id` STRING NOT NULL, `tm_name` STRING) "
     assert ddl["dim_u"].endswith(") SALT_BUCKETS = 4")
 
 
@@ -95,23 +95,68 @@ def test_sync_tables_creates_and_grows(spark, tmp_dir):
 
 def test_route_null_payload(spark):
     config = spark.createDataFrame([("t", None, "dim_t", "dim", "id,name", None, None)], schemas.CONFIG_ROW)
-    env = _env(spark, [("gmall", "t", "insert", "1", None, None)])
+    env = _env(spark, [("shop", "t", "insert", "1", None, None)])
     row = route(env, config).first()
     assert (row.sink_table, row.pk_value, row.data) == ("dim_t", None, None)   # the sink rejects it
 
 
-def test_config_after_data_is_not_applied_to_earlier_rows(spark):
-    """data that arrives before any config for its table is not routed;
-    config that arrives first always is (it is applied before the batch's data)."""
+def test_names_are_escaped(spark, tmp_dir):
+    from strata.operators.dim import sync_tables
+    odd = "o`d'd"
+    config = spark.createDataFrame([("t", None, "dim_odd", "dim", f"id,{odd}", None, None)], schemas.CONFIG_ROW)
+    assert "`o``d'd` STRING" in create_table_ddl(config).first().ddl
+    sync_tables(config, "strata_odd", f"{tmp_dir}/it's")
+    assert spark.table("strata_odd.dim_odd").columns == ["id", odd]
+
+
+def _json(df):
+    return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+
+
+def _stream(spark, df, path):
+    df.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def test_dimension_jobs_end_to_end(spark, tmp_dir):
+    """Preload routes data sent before its config record; a column added mid-stream
+    appears; numeric order of ts; deletes; rejects; restart from the checkpoints."""
     from strata.streaming import jobs
-    cfg_row = ("t", None, "dim_t", "dim", "id,name", "id", None)
-    cfg = spark.createDataFrame([("r", None, cfg_row, 1, 1)], schemas.CONFIG_CDC)
-    env = _env(spark, [("gmall", "t", "insert", "1", {"id": "1", "name": "early"}, None),
-                       ("gmall", "t", "insert", "2", {"id": "2", "name": "late"}, None)])
-    raw_env = env.select(F.to_json(F.struct(*env.columns)).alias("value"),
-                         F.col("ts").cast("long").alias("_order"))
-    raw_cfg = cfg.select(F.to_json(F.struct(*cfg.columns)).alias("value"), F.lit(1.5).cast("long").alias("_order"))
-    # order: data id=1 (slice 0), config + data id=2 (slice 1)
-    raw = raw_env.unionByName(raw_cfg.withColumn("_order", F.lit(2).cast("long")))
-    store = jobs.dimension_routing(spark, raw, slices=2, files=1)
-    assert sorted(r.pk_value for r in store.collect()) == ["2"]
+    from strata.streaming.replay import drain
+    path = f"{tmp_dir}/dim"
+
+    def change(op, row, seq):
+        return spark.createDataFrame([(op, None, row, seq, seq)], schemas.CONFIG_CDC)
+
+    jobs.preload_config(spark, path, change("r", ("t", None, "dim_t", "dim", "id,name", "id", None), 1))
+
+    def run(data, config):
+        if config is not None:
+            drain(jobs.config_changes(_stream(spark, config, f"{tmp_dir}/cfg"), path, f"{tmp_dir}/c1", jobs.ONCE,
+                                      database="strata_jobs_dim"))
+        drain(jobs.dimension_routing(_stream(spark, data, f"{tmp_dir}/data"), path, f"{tmp_dir}/c2", jobs.ONCE))
+
+    rows = [("shop", "t", "update", "9", {"id": "1", "name": "old"}, None),
+            ("shop", "t", "update", "10", {"id": "1", "name": "new"}, None),
+            ("shop", "t", "insert", "3", {"id": "2", "name": "gone"}, None),
+            ("shop", "t", "insert", "3", {"name": "no key"}, None),
+            ("shop", "u", "insert", "3", {"id": "9"}, None)]
+    run(_json(_env(spark, rows)).unionByName(spark.createDataFrame([("{bad",)], "value string")), None)
+    got = {r.pk_value: r.name for r in jobs.read_dimension(spark, path, "dim_t").collect()}
+    assert got == {"1": "new", "2": "gone"}
+    reasons = [r.reason for r in spark.read.parquet(f"{path}/rejects").collect()]
+    assert sorted(reasons) == ["malformed", "no key"]
+    # The configuration grows by a column and routes another table; older rows lack it.
+    grown = _json(change("u", ("t", None, "dim_t", "dim", "id,name,color", "id", None), 5)).unionByName(
+        _json(change("c", ("u", None, "dim_u", "dim", "id", None, None), 6)))
+    more = [("shop", "t", "insert", "20", {"id": "3", "name": "c", "color": "red"}, None),
+            ("shop", "t", "delete", "21", {"id": "2"}, None), ("shop", "t", "update", "2", {"id": "1", "name": "late"}, None),
+            ("shop", "u", "insert", "30", {"id": "9"}, None)]
+    run(_json(_env(spark, more)), grown)
+    dim = jobs.read_dimension(spark, path, "dim_t")
+    assert {r.pk_value: (r.name, r.color) for r in dim.collect()} == {"1": ("new", None), "3": ("c", "red")}
+    assert dict(dim.dtypes)["color"] == "string"
+    assert [r.pk_value for r in jobs.read_dimension(spark, path, "dim_u").collect()] == ["9"]
+    assert spark.table("strata_jobs_dim.dim_t").columns == ["id", "name", "color"]
+    run(_json(_env(spark, [("shop", "u", "delete", "31", {"id": "9"}, None)])), None)
+    assert jobs.read_dimension(spark, path, "dim_u").count() == 0

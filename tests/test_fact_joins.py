@@ -10,7 +10,7 @@ from strata.operators.joins import interval_join, keyed_join
 
 
 def _cart(spark, rows):
-    full = [("gmall", "cart_info", t, ts, d, o) for t, ts, d, o in rows]
+    full = [("shop", "cart_info", t, ts, d, o) for t, ts, d, o in rows]
     return spark.createDataFrame(full, schemas.ENVELOPE)
 
 
@@ -34,7 +34,7 @@ def test_cart_add_f5(spark):
 
 def test_lookup_inner_drops_missing_and_duplicates_repeat(spark):
     facts = spark.createDataFrame([("1", "2401"), ("2", "9999")], "id string, source_type string")
-    dic = spark.createDataFrame([("2401", "search"), ("2401", "search-dup")], schemas.DICTIONARY)
+    dic = spark.createDataFrame([("2401", "search"), ("2401", "search-dup")], "dic_code string, dic_name string")
     got = sorted((r.id, r.source_type_name) for r in lookup(facts, dic).collect())
     assert got == [("1", "search"), ("1", "search-dup")]
 
@@ -76,12 +76,23 @@ def test_keyed_join_types(spark):
     assert n == {"inner": 1, "left": 2, "right": 2, "full": 3}
 
 
-def test_cart_add_sql_form_matches(spark):
-    from strata.operators.fact import cart_add_sql
-    env = _cart(spark, [
-        ("insert", "1", _d("1", "2"), None),
-        ("update", "2", _d("2", "5"), {"sku_num": "3"}),
-        ("update", "3", _d("3", "1"), {"sku_num": "3"}),
-        ("update", "6", _d("6", "x"), {"sku_num": "1"}),
-    ])
-    assert sorted(map(tuple, cart_add_sql(env).collect())) == sorted(map(tuple, cart_add(env).collect()))
+def test_outer_joins_pad_null_keys(spark):
+    emp = spark.createDataFrame([(1, 10), (2, None), (3, None)], "empno int, deptno int")
+    dept = spark.createDataFrame([(10, "a"), (None, "b")], "d_deptno int, dname string")
+    for how, n in (("left", 3), ("right", 2), ("full", 4), ("inner", 1)):
+        got = keyed_join(emp, dept, "deptno", "d_deptno", how)
+        want = emp.join(dept, F.col("deptno") == F.col("d_deptno"), how)
+        assert got.count() == n and got.exceptAll(want).count() == 0
+
+
+def test_facts_as_a_named_view(spark):
+    env = _cart(spark, [("insert", "1", _d("1", "2"), None), ("update", "2", _d("2", "5"), {"sku_num": "3"})])
+    cart_add(env).createOrReplaceTempView("cart_add_view")
+    assert [r.n for r in spark.sql("SELECT sum(CAST(sku_num AS INT)) AS n FROM cart_add_view").collect()] == [4]
+
+
+def test_cart_add_rejects(spark):
+    env = _cart(spark, [("insert", "1", _d("1", "x"), None), ("update", "2", _d("2", "5"), {"sku_num": "y"}),
+                        ("insert", "3", _d("3", "1"), None)])
+    facts, rejects = cart_add(env, rejects=True)
+    assert [r.id for r in facts.collect()] == ["3"] and rejects.count() == 2

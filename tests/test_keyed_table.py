@@ -40,7 +40,7 @@ def test_shuffled_batch_same_result(spark, tmp_dir):
 
 def test_null_keys_rejected(spark, tmp_dir):
     t = KeyedTable(spark, f"{tmp_dir}/n", ["k"], buckets=2)
-    t.upsert(spark.createDataFrame([(None, "x", 1, "insert"), ("a", "y", 1, "insert")], SCHEMA), 0)
+    t.upsert(spark.createDataFrame([(None, "x", 1, "insert"), ("a", "y", 1, "insert")], SCHEMA), 0, ["ts"])
     assert _state(t) == {"a": "y"}
     assert spark.read.parquet(f"{tmp_dir}/n/_rejects/batch=0").count() == 1
 
@@ -54,14 +54,40 @@ def test_merge_add(spark, tmp_dir):
 
 
 def test_fan_out_by_destination(spark, tmp_dir):
-    from strata.sinks.fan_out import destination_upserts, write_by_destination
+    from strata.sinks.fan_out import destination, destination_logs, write_by_destination
     routed = spark.createDataFrame(
-        [("dim_a", "1", "x", 1), ("dim_b", "2", "y", 1), ("dim_a", "3", "z", 1)],
-        "sink_table string, pk_value string, v string, ts long")
+        [("dim_a", "1", "insert", "1", {"v": "x"}), ("dim_b", "2", "insert", "1", {"v": "y"}),
+         ("dim_a", "3", "insert", "9", {"v": "z"}), ("dim_a", "3", "update", "10", {"v": "w"})],
+        "sink_table string, pk_value string, type string, ts string, data map<string,string>")
     write_by_destination(routed, f"{tmp_dir}/fan")
-    assert spark.read.parquet(f"{tmp_dir}/fan/sink_table=dim_a").count() == 2
-    destination_upserts(routed, f"{tmp_dir}/dims", 0)
-    assert KeyedTable(spark, f"{tmp_dir}/dims/dim_b", ["pk_value"], 16).read().count() == 1
+    assert spark.read.parquet(f"{tmp_dir}/fan/sink_table=dim_a").count() == 3
+    from strata import schemas
+    config = spark.createDataFrame([(t, None, t, "dim", "v", "v", None) for t in ("dim_a", "dim_b")],
+                                   schemas.CONFIG_ROW)
+    destination_logs(routed, config, f"{tmp_dir}/dims", 0)
+    got = {r.pk_value: r.v for r in destination(spark, f"{tmp_dir}/dims", "dim_a", "").read().collect()}
+    assert got == {"1": "x", "3": "w"}
+
+
+def test_duplicate_keys_need_an_order(spark, tmp_dir):
+    import pytest
+    t = KeyedTable(spark, f"{tmp_dir}/dup", ["k"], buckets=2)
+    rows = spark.createDataFrame([("a", "1", 9, "insert"), ("a", "2", 10, "insert")], SCHEMA)
+    with pytest.raises(TypeError):
+        t.upsert(rows, 0)
+    t.upsert(rows, 0, ["ts"])
+    assert _state(t) == {"a": "2"}
+
+
+def test_bucket_count_and_query_are_kept(spark, tmp_dir):
+    import pytest
+    row = spark.createDataFrame([("x0", "1", 1, "insert")], SCHEMA)
+    KeyedTable(spark, f"{tmp_dir}/own", ["k"], buckets=4, query="q1").upsert(row, 0, ["ts"])
+    with pytest.raises(ValueError, match="buckets"):
+        KeyedTable(spark, f"{tmp_dir}/own", ["k"], buckets=7, query="q1").upsert(row, 1, ["ts"])
+    # A new checkpoint counts from 0 again: an error, not a batch that is ignored.
+    with pytest.raises(ValueError, match="belongs"):
+        KeyedTable(spark, f"{tmp_dir}/own", ["k"], buckets=4, query="q2").upsert(row, 0, ["ts"])
 
 
 def test_retry_after_crash_before_commit(spark, tmp_dir):

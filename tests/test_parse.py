@@ -60,7 +60,7 @@ def test_parse_delimited_strict_and_lenient(spark):
 
 def test_envelope_map_access(spark):
     raw = spark.createDataFrame([
-        ('{"database":"gmall","table":"cart_info","type":"insert","ts":"1","data":{"id":"1"},"old":null}',),
+        ('{"database":"shop","table":"cart_info","type":"insert","ts":"1","data":{"id":"1"},"old":null}',),
         ("not json",)], "value string")
     env = parse_envelopes(raw)
     assert env.count() == 1

@@ -1,70 +1,174 @@
-"""Restart from a checkpoint: a stream stopped after part of its input and
-restarted on the rest (same checkpoint) ends with the batch answer; a replayed
-micro-batch does not double count."""
+"""Restart from a checkpoint: each job stopped after part of its input and started
+again on the rest ends with the batch answer. Keyed logs: replays, owners, order,
+compaction."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from strata.operators import traffic
-from strata.plans import derive
+from strata.operators.cdc import apply_changes
+from strata.operators.fact import cart_add, lookup
+from strata.operators.joins import interval_join, keyed_join
+from strata.plans import catalog, derive
 from strata.session import load_table
 from strata.sinks.keyed_log import KeyedLog
-from strata.streaming.flags import FLAGGED_SCHEMA, STATE_SCHEMA, page_view_flagger
-
-
-def _run(spark, src, schema, ckpt, table):
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
-    flagged = stream.groupBy("mid").applyInPandasWithState(
-        page_view_flagger(), FLAGGED_SCHEMA, STATE_SCHEMA, "append", "NoTimeout")
-    q = (flagged.writeStream.foreachBatch(lambda b, i: table.append(traffic.traffic_window(b, "1 hour"), i))
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
-
-
-def test_traffic_stream_restart_equals_batch(spark, tmp_dir):
-    log = derive.page_log(load_table(spark, SF_SMALL, "events"))
-    x = F.unix_micros(F.col("ts").cast("timestamp"))
-    lo, hi = log.agg(F.min(x), F.max(x)).first()
-    sliced = log.withColumn("_s", F.least(F.floor((x - lo) / ((hi - lo) / 4)), F.lit(3)))
-    src, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/ckpt"
-    table = KeyedLog(spark, f"{tmp_dir}/out", ["stt", "edt", "vc", "ch", "ar", "is_new"])
-    for i in (0, 1):
-        sliced.where(F.col("_s") == i).drop("_s").coalesce(1).write.mode("append").parquet(src)
-    _run(spark, src, log.schema, ckpt, table)          # first run: two batches
-    for i in (2, 3):
-        sliced.where(F.col("_s") == i).drop("_s").coalesce(1).write.mode("append").parquet(src)
-    _run(spark, src, log.schema, ckpt, table)          # restarted run: state restored
-    got = table.summed(["uv_ct", "sv_ct", "pv_ct", "dur_sum"])
-    want = traffic.traffic_window(traffic.page_view_flags(log), "1 hour")
-    assert got.count() == want.count()
-    assert got.exceptAll(want).count() == 0
-
-
-def test_keyed_log_replay_overwrites_batch(spark, tmp_dir):
-    t = KeyedLog(spark, f"{tmp_dir}/log", ["k"])
-    t.append(spark.createDataFrame([("a", 1)], "k string, n long"), 0)
-    t.append(spark.createDataFrame([("a", 2)], "k string, n long"), 1)
-    t.append(spark.createDataFrame([("a", 2)], "k string, n long"), 1)  # replay of batch 1
-    assert t.summed(["n"]).first().n == 3
-    t.append(spark.createDataFrame([("a", 7)], "k string, n long"), 2, is_delete=F.lit(True))
-    assert t.latest().count() == 0
-
-
-def test_keyed_log_compaction_keeps_answers(spark, tmp_dir):
-    t = KeyedLog(spark, f"{tmp_dir}/c", ["k"])
-    for i, (k, n) in enumerate([("a", 1), ("b", 5), ("a", 2)]):
-        t.append(spark.createDataFrame([(k, n)], "k string, n long"), i)
-    t.compact(2, measures=["n"])
-    t.append(spark.createDataFrame([("a", 10)], "k string, n long"), 3)
-    assert {r.k: r.n for r in t.summed(["n"]).collect()} == {"a": 13, "b": 5}
-    t.compact(3, measures=["n"])                                        # a second snapshot
-    t.compact(3, measures=["n"])                                        # repeated: a no-op
-    t.append(spark.createDataFrame([("b", 1)], "k string, n long"), 4)
-    assert {r.k: r.n for r in t.summed(["n"]).collect()} == {"a": 13, "b": 6}
-
-    u = KeyedLog(spark, f"{tmp_dir}/u", ["k"])
-    u.append(spark.createDataFrame([("a", 1), ("b", 1)], "k string, n long"), 0)
-    u.append(spark.createDataFrame([("b", 2)], "k string, n long"), 1, is_delete=F.lit(True))
-    u.compact(1)
-    u.append(spark.createDataFrame([("a", 7)], "k string, n long"), 2)
-    assert {r.k: r.n for r in u.latest().collect()} == {"a": 7}
+from strata.streaming import jobs
+from strata.streaming.replay import drain
+
+
+def in_two_runs(spark, tmp_dir, tables, start, order=None):
+    """Run ``start(streams..., path, checkpoint, trigger)`` on the first part of each
+    table, then again on all of it; returns the folder."""
+    path, checkpoint = f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    for part in (0, 1):
+        streams = []
+        for k, df in enumerate(tables):
+            half = F.pmod(F.xxhash64(F.to_json(F.struct(*df.columns))), F.lit(2)) if order is None else (
+                F.col(order) >= df.agg(F.percentile(F.unix_micros(F.col(order).cast("timestamp")), 0.5)
+                                       .cast("long").alias("m")).select(F.timestamp_micros("m").cast(
+                                           "timestamp_ntz")).first()[0]).cast("int")
+            df.where(half == part).coalesce(2).write.mode("append").parquet(f"{tmp_dir}/src{k}")
+            streams.append(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1)
+                           .parquet(f"{tmp_dir}/src{k}"))
+        drain(start(*streams, path=path, checkpoint=checkpoint, trigger=jobs.ONCE))
+    return path
+
+
+def same(a, b):
+    a, b = a.select(*sorted(a.columns)), b.select(*sorted(b.columns))
+    assert a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0
+
+
+def test_traffic(spark, tmp_dir):
+    events = load_table(spark, SF_SMALL, "events")
+    path = in_two_runs(spark, tmp_dir, [derive.page_log_json(events)],
+                       lambda s, **k: jobs.traffic_window(s, size="1 hour", **k))
+    log = derive.page_log(events)
+    same(jobs.read_traffic(spark, path, "1 hour"),
+         traffic.traffic_window(traffic.page_view_flags(log), "1 hour"))
+
+
+def test_cart_fact(spark, tmp_dir):
+    env = catalog._cart_envelopes(spark, SF_SMALL)
+    dic = catalog._dictionary(spark, SF_SMALL)
+    path = in_two_runs(spark, tmp_dir, [env], lambda s, **k: jobs.cart_fact(s, lambda: dic, tie="rk", **k))
+    facts = spark.read.parquet(f"{path}/facts").drop("batch")
+    same(facts, lookup(cart_add(env), dic).select(*facts.columns))
+
+
+def test_interval_join(spark, tmp_dir):
+    ev = load_table(spark, SF_SMALL, "events").select("event_id", "ts", "user_id", "event_type")
+
+    def sides(df):
+        return (df.where("event_type = 'click'").selectExpr("user_id", "event_id click_id", "ts click_ts"),
+                df.where("event_type = 'purchase'").selectExpr("user_id", "event_id purchase_id", "ts purchase_ts"))
+
+    path = in_two_runs(spark, tmp_dir, [ev], lambda s, **k: jobs.click_purchase_join(*sides(s), **k), order="ts")
+    clicks, buys = sides(ev)
+    want = interval_join(clicks, buys.withColumnRenamed("user_id", "p"), "user_id", "p", "click_ts", "purchase_ts",
+                         -600, 600).drop("p")
+    same(spark.read.parquet(path), want)
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+def test_changelog_joins(spark, tmp_dir, how):
+    o, c = catalog._emp_dept(spark, SF_SMALL)
+    path = in_two_runs(spark, tmp_dir, [o, c], lambda a, b, **k: jobs.changelog_join(
+        a, b, "o_custkey", "c_custkey", how=how, **k))
+    same(jobs.read_join(spark, path), keyed_join(o, c, "o_custkey", "c_custkey", how))
+
+
+def test_inner_join(spark, tmp_dir):
+    o, c = catalog._emp_dept(spark, SF_SMALL)
+    path = in_two_runs(spark, tmp_dir, [o, c], lambda a, b, **k: jobs.inner_join(a, b, "o_custkey", "c_custkey", **k))
+    same(spark.read.parquet(path), keyed_join(o, c, "o_custkey", "c_custkey"))
+
+
+def test_cdc(spark, tmp_dir):
+    ev = load_table(spark, SF_SMALL, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    gone, order = F.col("event_type") == "error", ["ts", "event_id"]
+    path = in_two_runs(spark, tmp_dir, [ev], lambda s, **k: jobs.apply_change_stream(
+        s, keys=["user_id"], order=order, is_delete=gone, **k))
+    same(KeyedLog(spark, path, ["user_id"], order).read(), apply_changes(ev, ["user_id"], order, gone))
+
+
+def test_sku_window(spark, tmp_dir):
+    li = load_table(spark, SF_SMALL, "lineitem").select("l_partkey", "l_shipdate", "l_extendedprice", "l_discount")
+    path = in_two_runs(spark, tmp_dir, [li], lambda s, **k: jobs.sku_order_window(s, **k, delay="4000 days"),
+                       order="l_shipdate")
+    same(jobs.read_sku_orders(spark, path), catalog.QUERIES["sku_order_window"](spark, SF_SMALL))
+
+
+def test_late_rows(spark, tmp_dir):
+    rows = spark.createDataFrame([(i, 100 - i) for i in range(40)], "arrival long, ms long").select(
+        "arrival", F.timestamp_seconds(F.col("ms") * 3600).cast("timestamp_ntz").alias("ts"))
+    path, src = f"{tmp_dir}/late", f"{tmp_dir}/src"
+    for part in (rows.where("arrival < 20"), rows.where("arrival >= 20")):
+        part.coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(rows.schema).parquet(src)
+        drain(jobs.late_side_output(stream, path, f"{tmp_dir}/ck", ["arrival"], "ts", trigger=jobs.ONCE))
+    late = spark.read.parquet(f"{path}/late")
+    assert sorted(r.arrival for r in late.collect()) == list(range(7, 40))
+
+
+def _rows(spark, rows, ddl="k string, n long"):
+    return spark.createDataFrame(rows, ddl)
+
+
+def test_replay_overwrites_its_batch(spark, tmp_dir):
+    t = KeyedLog(spark, f"{tmp_dir}/log", ["k"], measures=["n"])
+    t.append(_rows(spark, [("a", 1)]), 0)
+    t.append(_rows(spark, [("a", 2)]), 1)
+    t.append(_rows(spark, [("a", 2)]), 1)  # replay of batch 1
+    assert t.read().first().n == 3
+    u = KeyedLog(spark, f"{tmp_dir}/log", ["k"])
+    u.append(_rows(spark, [("a", 7)]), 2, is_delete=F.lit(True))
+    assert u.read().count() == 0
+
+
+def test_another_query_is_refused(spark, tmp_dir):
+    KeyedLog(spark, f"{tmp_dir}/q", ["k"], query="one").append(_rows(spark, [("a", 1)]), 0)
+    with pytest.raises(ValueError, match="belongs"):
+        KeyedLog(spark, f"{tmp_dir}/q", ["k"], query="two").append(_rows(spark, [("a", 5)]), 0)
+    assert KeyedLog(spark, f"{tmp_dir}/q", ["k"]).read().first().n == 1
+
+
+def test_order_beats_arrival(spark, tmp_dir):
+    t = KeyedLog(spark, f"{tmp_dir}/o", ["k"], order=["ts"], compact_every=0)
+    ddl = "k string, v string, ts long"
+    t.append(_rows(spark, [("a", "new", 10)], ddl), 0)
+    t.append(_rows(spark, [("a", "old", 5), ("b", "x", 9)], ddl), 1)
+    t.append(_rows(spark, [("b", "y", 10)], ddl), 2, is_delete=F.lit(True))
+    t.compact(2)
+    # A tombstone outlives compaction: a change from before the delete stays out.
+    t.append(_rows(spark, [("b", "z", 8)], ddl), 3)
+    assert {r.k: r.v for r in t.read().collect()} == {"a": "new"}
+
+
+def test_compaction_keeps_answers_and_bounds_folders(spark, tmp_dir):
+    t = KeyedLog(spark, f"{tmp_dir}/c", ["k"], measures=["n"], compact_every=5)
+    most = 0
+    for i in range(50):
+        t.append(_rows(spark, [("a", 1), (f"k{i % 3}", i)]), i)
+        most = max(most, len(t.batches()))
+    got = {r.k: r.n for r in t.read().collect()}
+    assert got == {"a": 50, **{f"k{j}": sum(range(j, 50, 3)) for j in range(3)}}
+    assert most <= 12
+    t.append(_rows(spark, [("a", 100)]), 10)  # replay of a compacted batch: nothing
+    t.compact(40)                             # below the snapshot: nothing
+    assert {r.k: r.n for r in t.read().collect()} == got
+    assert t.read(before=0, empty="k string, n long").columns
+    one = spark.read.parquet(f"{tmp_dir}/c/log/batch=49")
+    assert one.count() == 2                   # a batch writes its own rows only
+
+
+def test_empty_batches(spark, tmp_dir):
+    t = KeyedLog(spark, f"{tmp_dir}/e", ["k"])
+    with pytest.raises(ValueError):
+        t.read()
+    assert t.read(empty="k string").count() == 0
+    t.append(_rows(spark, []), 0)
+    t.append(_rows(spark, [("a", 1)]), 1)
+    assert t.read().count() == 1

@@ -36,18 +36,108 @@ def test_text_stream_interval_join_f9_f10(spark, tmp_dir):
     assert got == [(1, "eng"), (1, "ops")]
 
 
-def test_changelog_left_join_retracts(spark):
+def _batches(spark, tmp_dir, name, parts):
+    """A stream with one micro-batch per part (a part may be empty)."""
+    for df in parts:
+        df.coalesce(1).write.mode("append").parquet(f"{tmp_dir}/{name}")
+    return spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_dir}/{name}")
+
+
+def _changelog(spark, tmp_dir, steps, how="left", **options):
+    """Feed (left rows, right rows) steps one after another; the changes so far."""
+    from strata.streaming.replay import drain
+    ldl, rdl = "o_orderkey long, o_custkey long, at timestamp", "c_custkey long, c_name string, big long"
+    for i, (left, right) in enumerate(steps):
+        spark.createDataFrame(left, ldl).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/l")
+        spark.createDataFrame(right, rdl).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/r")
+        streams = [spark.readStream.schema(d).parquet(f"{tmp_dir}/{n}") for d, n in ((ldl, "l"), (rdl, "r"))]
+        drain(jobs.changelog_join(*streams, "o_custkey", "c_custkey", f"{tmp_dir}/j", f"{tmp_dir}/ck", how,
+                                  jobs.ONCE, **{k: v[i] if isinstance(v, list) else v for k, v in options.items()}))
+    return spark.read.parquet(f"{tmp_dir}/j/changes")
+
+
+def test_changelog_left_join_retracts(spark, tmp_dir):
     # orders 1 and 2 of customer 10 arrive before it; order 3 after; order 4 has no customer.
-    left = spark.createDataFrame([(1, 10, 1), (2, 10, 2), (3, 10, 9), (4, 40, 4)],
-                                 "o_orderkey long, o_custkey long, _lseq long")
-    right = spark.createDataFrame([(10, "c10", 5)], "c_custkey long, c_name string, _rseq long")
-    log, table = jobs.left_changelog_join(spark, left, right, "o_custkey", "c_custkey", "_lseq", "_rseq",
-                                          salts=2, slices=1, files=1)
-    ops = sorted(((r.op, r.o_orderkey, r.c_name) for r in log.collect()), key=str)
-    assert ops == sorted([("+I", 1, None), ("+I", 2, None), ("-D", 1, None), ("-D", 2, None),
+    steps = [([(1, 10, None), (2, 10, None), (4, 40, None), (5, None, None)], []), ([], [(10, "c10", 1)]),
+             ([(3, 10, None)], [(None, "nobody", 2)])]
+    ops = sorted(((r.op, r.o_orderkey, r.c_name) for r in _changelog(spark, tmp_dir, steps).collect()), key=str)
+    assert ops == sorted([("+I", 1, None), ("+I", 2, None), ("-D", 1, None), ("-D", 2, None), ("+I", 5, None),
                           ("+I", 1, "c10"), ("+I", 2, "c10"), ("+I", 3, "c10"), ("+I", 4, None)], key=str)
-    assert sorted(((r.o_orderkey, r.c_name) for r in table.collect()), key=str) == [
-        (1, "c10"), (2, "c10"), (3, "c10"), (4, None)]
+    assert sorted(((r.o_orderkey, r.c_name) for r in jobs.read_join(spark, f"{tmp_dir}/j").collect()), key=str) == [
+        (1, "c10"), (2, "c10"), (3, "c10"), (4, None), (5, None)]
+
+
+def test_changelog_full_join_keeps_types(spark, tmp_dir):
+    from datetime import datetime
+    big, at = 2 ** 53 + 1, datetime(2024, 1, 2, 3, 4, 5)
+    steps = [([], [(7, "c7", big)]), ([(big, 8, at)], []), ([(1, 7, at)], []), ([], [(8, "c8", None)])]
+    _changelog(spark, tmp_dir, steps, how="full")
+    rows = sorted(jobs.read_join(spark, f"{tmp_dir}/j").collect())
+    assert [(r.o_orderkey, r.at, r.c_name, r.big) for r in rows] == [(1, at, "c7", big), (big, at, "c8", None)]
+
+
+def test_changelog_idle_keys_expire(spark, tmp_dir):
+    steps = [([(1, 10, None), (2, 20, None)], []), ([(3, 20, None)], []), ([], [(10, "c10", 1), (20, "c20", 2)])]
+    clocks = [lambda: 0.0, lambda: 50.0, lambda: 101.0]
+    _changelog(spark, tmp_dir, steps, ttl_s=100, clock=clocks)
+    got = sorted(((r.o_orderkey, r.c_name) for r in jobs.read_join(spark, f"{tmp_dir}/j").collect()), key=str)
+    # Key 10 was idle for 101 s and lost its row; key 20 was seen at 50 s.
+    assert got == [(1, None), (2, "c20"), (3, "c20")]
+
+
+def test_running_query_with_idle_state_stops(spark, tmp_dir):
+    """A normal (not once) trigger, stopped by the caller."""
+    left = _batches(spark, tmp_dir, "l", [spark.createDataFrame([(1, 10)], "a long, k long")])
+    right = _batches(spark, tmp_dir, "r", [spark.createDataFrame([(10, "x")], "k2 long, n string")])
+    q = jobs.changelog_join(left, right, "k", "k2", f"{tmp_dir}/j", f"{tmp_dir}/ck",
+                            trigger={"processingTime": "1 second"}, ttl_s=2)
+    try:
+        q.processAllAvailable()
+        assert [r.n for r in jobs.read_join(spark, f"{tmp_dir}/j").collect()] == ["x"]
+    finally:
+        q.stop()
+    assert not q.isActive
+
+
+def _page(mid, ts, last=None, **common):
+    import json
+    return (json.dumps({"common": {"mid": mid, **common}, "page": {"last_page_id": last, "during_time": 5}, "ts": ts}),)
+
+
+def test_traffic_late_rows_and_string_devices(spark, tmp_dir):
+    """A late view moves neither a visitor nor a day back; rejects; lateness."""
+    from strata.streaming.replay import drain
+    day, hour = 86_400_000, 3_600_000
+    late = 10 * day + 23 * hour + 50 * 60_000
+    parts = [[_page("m-1", late, ch="a")], [_page("m-1", 11 * day + 10 * hour, ch="a")],
+             [_page("m-1", late + 5 * 60_000, "p", ch="a"), ("{bad",), ("{}",)],
+             [_page("m-1", 11 * day + 10 * hour + 5 * 60_000, "p", ch="a")], [_page("m-1", late - 1, ch="b")]]
+    stream = _batches(spark, tmp_dir, "raw", [spark.createDataFrame(p, "value string") for p in parts])
+    drain(jobs.traffic_window(stream, f"{tmp_dir}/t", f"{tmp_dir}/ck", "1 hour", jobs.ONCE))
+    rows = jobs.read_traffic(spark, f"{tmp_dir}/t", "1 hour").collect()
+    assert sum(r.uv_ct for r in rows) == 2 and sum(r.pv_ct for r in rows) == 5 and sum(r.sv_ct for r in rows) == 3
+    new = [r for r in rows if r.is_new == "1"]
+    assert len(new) == 1 and (new[0].ch, new[0].pv_ct, new[0].uv_ct) == ("b", 1, 1)
+    assert spark.read.parquet(f"{tmp_dir}/t/rejects").count() == 2
+    drain(jobs.traffic_window(stream, f"{tmp_dir}/u", f"{tmp_dir}/ck2", "1 hour", jobs.ONCE, lateness="6 HOURS"))
+    assert spark.read.parquet(f"{tmp_dir}/u/late").count() == 2
+
+
+def test_cart_rejects_and_numeric_order(spark, tmp_dir):
+    from strata import schemas
+    from strata.streaming.replay import drain
+    dic = spark.createDataFrame([("s", "search")], "dic_code string, dic_name string")
+
+    def cart(ts, num, typ="insert", old=None):
+        data = {"id": "1", "user_id": "u", "sku_id": "k", "sku_num": num, "source_type": "s"}
+        return ("shop", "cart_info", typ, ts, data, old)
+
+    rows = [[cart("10", "2")], [cart("9", "1"), cart("11", "many"), cart("12", "5", "update", {"sku_num": "x"})]]
+    stream = _batches(spark, tmp_dir, "env", [spark.createDataFrame(r, schemas.ENVELOPE) for r in rows])
+    drain(jobs.cart_fact(stream, lambda: dic, f"{tmp_dir}/f", f"{tmp_dir}/ck", jobs.ONCE))
+    assert [(r.ts, r.sku_num, r.source_type_name) for r in jobs.read_cart(spark, f"{tmp_dir}/f").collect()] == [
+        ("10", "2", "search")]
+    assert spark.read.parquet(f"{tmp_dir}/f/rejects").count() == 2
 
 
 def test_materialize_counts(spark):
