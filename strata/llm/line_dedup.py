@@ -8,15 +8,21 @@ the threshold; equal sets are the case of similarity 1.
    bounded size, and each line's distinct words are ordered rarest bucket first.
 2. *Copies*: lines of equal sets collapse to their first line by a partial
    aggregate, so a line that a third of the corpus repeats joins as one row.
-3. *Candidates*: two similar sets must share a word among their rarest
+3. *Leaders*: lines that agree in the smallest or the largest word hash of their
+   rarer half are compared with the first such line only. In a large group of
+   near copies this settles nearly every line with one comparison.
+4. *Candidates*: two similar sets must share a word among their rarest
    ``n - ceil(t n) + 1`` words. The equi-join on those words filters each pair
    by length, by the position of the shared word and by a 128-bit parity map
    of the sets, whose differing bits bound the symmetric difference from below.
-4. *Verification*: the words of candidate lines are fetched from their documents
+   Pairs of two settled lines are left out: both are known to go, and a line
+   that goes still counts as an earlier line for those that are not settled.
+5. *Verification*: the words of candidate lines are fetched from their documents
    and the Jaccard similarity is taken in whole numbers.
 
-Filters 1 to 3 lose no pair. Sets of fewer words than ``1 / (1 - t)`` less one
-can only match equal sets and skip the join. Words compare by 64-bit hashes.
+The steps lose no similar earlier line. Sets of fewer words than
+``1 / (1 - t) - 1`` can only match equal sets and skip the join. Words compare
+by 64-bit hashes.
 
 Defined results: a null text is empty; lines without a word are never removed;
 identical rows (same id and text) are one document and get equal results, rows
@@ -38,10 +44,20 @@ from strata.llm.common import computed, fresh, whole_text, words_of, written
 BUCKETS = 1 << 16
 
 
+def line_words(line: Column) -> Column:
+    """``words_of``; a split at plain spaces is several times faster."""
+    other = F.lit(False)
+    for c in "\t\x0b\x0c\r\n":
+        other = other | line.contains(c)
+    return F.when(other, words_of(line)).otherwise(F.array_remove(F.split(line, " ", -1), ""))
+
+
 def rarity_levels(docs: DataFrame, text: str) -> list[int]:
     """For each of ``BUCKETS`` word buckets, twice the log2 of its word count.
-    Only these ``BUCKETS`` numbers reach the driver, whatever the corpus."""
-    word = docs.select(F.explode(words_of(whole_text(text))).alias("w"))
+    Only these ``BUCKETS`` numbers reach the driver, whatever the corpus. Any
+    order serves the join, so pieces between spaces are near enough to words."""
+    flat = F.replace(whole_text(text), F.lit("\n"), F.lit(" "))
+    word = docs.select(F.explode(F.split(flat, " ", -1)).alias("w"))
     counts = word.groupBy(
         F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).alias("b")).count().collect()
     levels = [0] * BUCKETS
@@ -53,11 +69,11 @@ def rarity_levels(docs: DataFrame, text: str) -> list[int]:
 def ordered_tokens(words: Column, levels: list[int]) -> Column:
     """Distinct words as sorted longs: 7 bits of rarity, then 56 of the hash."""
     # One string literal, which the optimizer folds into an array.
-    level = F.split(F.lit(",".join(map(str, levels))), ",").cast("array<bigint>")
+    level = F.split(F.lit(",".join(str(v << 56) for v in levels)), ",").cast("array<bigint>")
 
     def key(x: Column) -> Column:
-        return F.shiftleft(F.get(level, x.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")),
-                           56).bitwiseOR(F.shiftrightunsigned(x, 8))
+        return F.coalesce(F.get(level, x.bitwiseAND(F.lit(BUCKETS - 1))).bitwiseOR(
+            F.shiftrightunsigned(x, 8)), F.lit(0))
 
     hashes = F.transform(words, lambda w: F.xxhash64(w))
     return F.sort_array(F.transform(F.array_distinct(hashes), key))
@@ -74,49 +90,76 @@ def _lines(text: Column) -> Column:
 
 
 def _parity(toks: Column, half: int) -> Column:
-    """64 of 128 parities: bit ``x mod 128`` flips for every word x."""
+    """64 of 128 parities: every word flips one bit of one half. A shift takes
+    the lowest six bits of its distance."""
     def bit(x: Column) -> Column:
-        upper = F.shiftrightunsigned(x, 6).bitwiseAND(F.lit(1).cast("long"))
-        return F.call_function("shiftleft", upper if half else upper.bitwiseXOR(F.lit(1)),
-                               x.bitwiseAND(F.lit(63)).cast("int"))
+        own = x.bitwiseAND(F.lit(1))
+        return F.call_function("shiftleft", own if half else own.bitwiseXOR(F.lit(1)), F.hash(x))
 
     return F.aggregate(toks, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(bit(x)))
 
 
 def representatives(docs: DataFrame, levels: list[int], t: Fraction) -> DataFrame:
-    """One row per distinct word set: its hash, size, first line, parity map and
-    the hashed rare words of its prefix. ``docs`` has columns id, key, text."""
+    """One row per distinct word set: its hash, size, first line, parity map, the
+    extreme hashes of its rarer half and the hashed rare words of its prefix.
+    ``docs`` has columns id, key, text."""
     lines = docs.select("id", "key", F.posexplode(_lines(F.col("text"))).alias("pos", "line"))
-    toks = computed(lines.where(F.col("line").rlike("[^ \\t-\\r]")), "toks",
-                    ordered_tokens(words_of(F.col("line")), levels))
+    toks = computed(lines, "toks", ordered_tokens(line_words(F.col("line")), levels))
     n = F.size("toks")
-    narrow = toks.select(
+    toks = computed(toks, "rare", F.transform(
+        F.slice("toks", F.lit(1), F.ceil(n / 2).cast("int")),
+        lambda x: x.bitwiseAND(F.lit((1 << 56) - 1))))
+    narrow = toks.where(n > 0).select(
         "id", "key", "pos", n.alias("n"), F.xxhash64("toks").alias("sig"),
         _parity(F.col("toks"), 0).alias("m0"), _parity(F.col("toks"), 1).alias("m1"),
+        F.array_min("rare").alias("lo"), F.array_max("rare").alias("hi"),
         F.transform(F.slice("toks", F.lit(1), prefix_length(n, t)),
                     lambda x: F.hash(x)).alias("prefix"))
-    first = F.min(F.struct("id", "key", "pos", "m0", "m1", "prefix")).alias("f")
+    first = F.min(F.struct("id", "key", "pos", "m0", "m1", "lo", "hi", "prefix")).alias("f")
     return narrow.groupBy("sig", "n").agg(first).select("sig", "n", "f.*")
 
 
+def _may_match(a: str, b: str, t: Fraction) -> Column:
+    """Length filter and parity bound of two sets with columns n, m0, m1."""
+    num, den = t.numerator, t.denominator
+    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
+    differ = (F.bit_count(F.col(f"{a}.m0").bitwiseXOR(F.col(f"{b}.m0")))
+              + F.bit_count(F.col(f"{a}.m1").bitwiseXOR(F.col(f"{b}.m1"))))
+    return ((F.least(na, nb) * den >= F.greatest(na, nb) * num)
+            & (differ * (num + den) <= (na + nb) * (den - num)))
+
+
+def shortest(t: Fraction) -> int:
+    """The least size of a set that a different set can match."""
+    return ceil(1 / (1 - t)) - 1 if t < 1 else 1 << 30
+
+
+def leader_pairs(reps: DataFrame, t: Fraction) -> DataFrame:
+    """(sa, sb): each set with the first set that shares an extreme hash."""
+    keyed = reps.where(F.col("n") >= shortest(t)).select(
+        F.explode(F.array("lo", "hi")).alias("k"),
+        F.struct("id", "key", "pos").alias("at"), "sig", "n", "m0", "m1")
+    lead = keyed.groupBy("k").agg(F.min(F.struct("at", "sig", "n", "m0", "m1")).alias("f"),
+                                  F.count("*").alias("c")).where("c > 1").select("k", "f.*")
+    a, b = lead.alias("a"), keyed.alias("b")
+    return a.join(b, (F.col("a.k") == F.col("b.k")) & (F.col("a.sig") != F.col("b.sig"))
+                  & _may_match("a", "b", t)).select(
+        F.col("a.sig").alias("sa"), F.col("b.sig").alias("sb")).distinct()
+
+
 def candidate_pairs(reps: DataFrame, t: Fraction) -> DataFrame:
-    """Distinct (a, b) set hashes that pass the prefix, length, position and
-    parity filters."""
+    """Distinct (sa, sb) set hashes that pass the prefix, length, position and
+    parity filters and are not both ``settled``."""
     num, den = t.numerator, t.denominator
-    shortest = ceil(1 / (1 - t)) - 1 if t < 1 else 1 << 30
-    posting = reps.where(F.col("n") >= shortest).select(
-        "sig", "n", "m0", "m1", F.posexplode("prefix").alias("i", "tok"))
+    posting = reps.where(F.col("n") >= shortest(t)).select(
+        "sig", "n", "settled", "m0", "m1", F.posexplode("prefix").alias("i", "tok"))
     a, b = posting.alias("a"), posting.alias("b")
     na, nb = F.col("a.n"), F.col("b.n")
     rest = F.least(na - F.col("a.i"), nb - F.col("b.i"))
-    both = na + nb
-    differ = (F.bit_count(F.col("a.m0").bitwiseXOR(F.col("b.m0")))
-              + F.bit_count(F.col("a.m1").bitwiseXOR(F.col("b.m1"))))
     return a.join(b, (F.col("a.tok") == F.col("b.tok")) & (F.col("a.sig") < F.col("b.sig"))
-                  & (F.least(na, nb) * den >= F.greatest(na, nb) * num)
-                  & (rest * (num + den) >= both * num)
-                  & (differ * (num + den) <= both * (den - num))
-                  ).select(F.col("a.sig").alias("sa"), F.col("b.sig").alias("sb")).distinct()
+                  & ~(F.col("a.settled") & F.col("b.settled")) & _may_match("a", "b", t)
+                  & (rest * (num + den) >= (na + nb) * num)).select(
+        F.col("a.sig").alias("sa"), F.col("b.sig").alias("sb")).distinct()
 
 
 def later_sets(docs: DataFrame, reps: DataFrame, pairs: DataFrame, t: Fraction) -> DataFrame:
@@ -134,7 +177,7 @@ def later_sets(docs: DataFrame, reps: DataFrame, pairs: DataFrame, t: Fraction)
         x["sig"].alias("sig"), x["pos"].alias("pos"),
         F.get(F.col("lines"), x["pos"]).alias("line")))).alias("x"))
     sets = one.select(F.col("x.sig").alias("sig"), F.struct("id", "key", "x.pos").alias("first"),
-                      F.array_distinct(F.transform(words_of(F.col("x.line")), lambda w: F.xxhash64(w)))
+                      F.array_distinct(F.transform(line_words(F.col("x.line")), lambda w: F.xxhash64(w)))
                       .alias("words")).dropDuplicates(["sig"])
     left = sets.select(F.col("sig").alias("sa"), F.col("first").alias("fa"),
                        F.col("words").alias("wa"))
@@ -154,8 +197,12 @@ def kept_lines(docs: DataFrame, id_col: str, text_col: str, threshold: float = 0
     narrow = docs.select(F.col(id_col).alias("id"), F.xxhash64(whole_text(text_col)).alias("key"),
                          whole_text(text_col).alias("text"))
     reps = written(representatives(narrow, rarity_levels(docs, text_col), t), "line-sets")
-    pairs = written(candidate_pairs(reps, t), "line-pairs")
-    later = written(later_sets(narrow, reps, pairs, t), "line-later")
+    led = written(leader_pairs(reps, t), "line-leaders")
+    settled = written(later_sets(narrow, reps, led, t), "line-settled")
+    flagged = reps.join(settled.withColumn("s", F.lit(True)), "sig", "left").withColumn(
+        "settled", F.coalesce("s", F.lit(False)))
+    pairs = written(candidate_pairs(flagged, t), "line-pairs")
+    later = written(settled.union(later_sets(narrow, reps, pairs, t)).distinct(), "line-later")
     return reps.join(later, "sig", "left_anti").groupBy("id", "key").agg(
         F.collect_list("pos").alias("kept"))
 
