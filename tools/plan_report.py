@@ -13,7 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-import __spark_entry__ as entry  # noqa: E402
+from strata.plans.catalog import QUERIES  # noqa: E402
 
 
 def count(plan: str, node: str) -> int:
@@ -28,7 +28,7 @@ def main() -> None:
              .config("spark.sql.shuffle.partitions", "16").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     rows = []
-    for name, q in sorted(entry.queries().items()):
+    for name, q in sorted(QUERIES.items()):
         if name.startswith("stream_"):
             continue
         df = q(spark, sf_dir)
