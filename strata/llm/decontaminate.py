@@ -7,10 +7,12 @@ threshold serves items of every length. A passage is ``2 L`` words at every
 ``L``-th word, ``L`` no shorter than the longest item, so every run of ``L``
 words lies inside one passage.
 
-For a passage, the terms' largest impacts are summed first: below the threshold
-WAND would find no pivot, and the search ends. Otherwise the cursors move by
-pivots, and a pivot is scored only if the impacts of the blocks it falls in can
-reach the threshold. Every item at or above it is retrieved, then verified: the
+The commonest terms are set aside as far as they make up at most ``common_share``
+of any item. The impacts of all others are summed for all passages and items of
+a batch at once; a passage that cannot reach the threshold for any item, even
+with all of the item's common terms, is not searched. For the rest the cursors
+move by pivots, and a pivot is scored only if the impacts of the blocks it falls
+in can reach the threshold. Every item at or above it is retrieved, then verified: the
 word n-grams of its question and of its answer (the last sentence, or the last
 third of a single sentence) must both occur in the passage to the given share.
 
@@ -59,6 +61,11 @@ class Index:
     terms: dict[str, int] = field(default_factory=dict)
     postings: list[Posting] = field(default_factory=list)
     length: int = 64
+    # Per item the weight of its common terms; rare terms in compressed rows.
+    common: np.ndarray | None = None
+    rare_start: np.ndarray | None = None
+    rare_items: np.ndarray | None = None
+    rare_impacts: np.ndarray | None = None
 
 
 def answer_start(text: str) -> int:
@@ -73,7 +80,7 @@ def answer_start(text: str) -> int:
 
 
 def build_index(items: list[tuple[int, str]], k1: float = 1.2, b: float = 0.75, width: int = 8,
-                least_passage: int = 64) -> Index:
+                least_passage: int = 64, common_share: float = 0.3) -> Index:
     index = Index(width)
     for name, text in items:
         words = WORD.findall((text or "").lower())
@@ -108,9 +115,49 @@ def build_index(items: list[tuple[int, str]], k1: float = 1.2, b: float = 0.75,
         index.postings.append(Posting(
             ids, impact, [max(impact[k:k + width]) for k in range(0, len(impact), width)],
             max(impact)))
+    # Commonest first, a term joins the common ones while no item has too much of
+    # its weight in them.
+    common, aside = np.zeros(n), set()
+    for t in sorted(range(len(index.postings)), key=lambda t: -len(index.postings[t].items)):
+        p = index.postings[t]
+        if len(p.items) < 2 or (common[p.items] + p.impacts).max() > common_share:
+            break
+        common[p.items] += p.impacts
+        aside.add(t)
+    index.common = common
+    kept = [[] if t in aside else p.items for t, p in enumerate(index.postings)]
+    index.rare_start = np.r_[0, np.cumsum([len(x) for x in kept])]
+    index.rare_items = np.array([i for x in kept for i in x], np.int64)
+    index.rare_impacts = np.array([v for t, p in enumerate(index.postings) if t not in aside
+                                   for v in p.impacts])
     return index
 
 
+def promising(index: Index, docs: list[np.ndarray], threshold: float) -> list[np.ndarray]:
+    """Per document (its term numbers, -1 for no term) the first words of the
+    passages that may reach the threshold for some item."""
+    n, length = len(index.words), index.length
+    chunks = np.array([max(1, -(-len(d) // length)) for d in docs])
+    first = np.cumsum(chunks) - chunks
+    place = np.concatenate([f + np.arange(len(d)) // length for f, d in zip(first, docs, strict=True)])
+    term = np.concatenate(docs)
+    place, term = place[term >= 0], term[term >= 0]
+    count = index.rare_start[term + 1] - index.rare_start[term]
+    place, begin, count = place[count > 0], index.rare_start[term][count > 0], count[count > 0]
+    ends = np.cumsum(count)
+    at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - (ends - count), count)
+    total = np.bincount(np.repeat(place, count) * n + index.rare_items[at],
+                        index.rare_impacts[at], int(chunks.sum()) * n).reshape(-1, n)
+    need = threshold - index.common - 1e-9
+    out = []
+    for f, c in zip(first, chunks, strict=True):
+        own = total[f:f + c]
+        # A passage is two chunks; a document of one chunk is one passage.
+        pair = own[:-1] + own[1:] if c > 1 else own
+        out.append(np.flatnonzero((pair >= need).any(axis=1)) * length)
+    return out
+
+
 def search(index: Index, terms: list[int], threshold: float) -> list[tuple[int, float]]:
     """All (item number, score) at or above the threshold, by block-max WAND."""
     end = len(index.words)
@@ -181,31 +228,32 @@ def verified(item: list[str], cut: int, passage: list[str], n: int, share: float
 
 
 def _finder(index: Index, threshold: float, ngram: int, share: float):
-    top = np.array([p.largest for p in index.postings] + [0.0])  # -1 is no term
-
-    def hits(text: str) -> list[tuple[int, float]]:
-        words = WORD.findall(text.lower())
-        get = index.terms.get
-        ids = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-        total = np.r_[0.0, np.cumsum(top[ids])]
-        length = index.length
-        starts = np.arange(0, max(1, len(words) - length), length)
-        ends = np.minimum(starts + 2 * length, len(words))
+    # Documents per step, so that passages times items stay a few million.
+    step = max(1, min(64, 200_000 // max(1, len(index.words))))
+
+    def hits(words: list[str], ids: np.ndarray, starts: np.ndarray) -> list[tuple[int, float]]:
         best: dict[int, float] = {}
-        # A passage whose terms, repeats included, cannot reach the threshold
-        # has no pivot.
-        for s in np.nonzero(total[ends] - total[starts] >= threshold - 1e-9)[0]:
-            a, b = int(starts[s]), int(ends[s])
+        for a in starts.tolist():
+            b = min(a + 2 * index.length, len(words))
             terms = [int(t) for t in np.unique(ids[a:b]) if t >= 0]
-            for item, score in search(index, terms, threshold) if terms else ():
+            for item, score in search(index, terms, threshold):
                 if verified(index.words[item], index.answer_at[item], words[a:b], ngram, share):
                     name = index.names[item]
                     best[name] = max(score, best.get(name, 0.0))
         return sorted(best.items())
 
     def run(texts: pd.Series) -> pd.Series:
-        return pd.Series([[{"item": i, "score": x} for i, x in hits(t)] if t else []
-                          for t in texts])
+        get, out = index.terms.get, []
+        for lo in range(0, len(texts), step):
+            words = [WORD.findall(t.lower()) if t else [] for t in texts.iloc[lo:lo + step]]
+            if not index.words:
+                out += [[] for _ in words]
+                continue
+            ids = [np.fromiter((get(w, -1) for w in x), np.int64, len(x)) for x in words]
+            for x, i, starts in zip(words, ids, promising(index, ids, threshold), strict=True):
+                out.append([{"item": n, "score": v} for n, v in hits(x, i, starts)]
+                           if len(starts) else [])
+        return pd.Series(out, dtype=object)
     return run
 
 
