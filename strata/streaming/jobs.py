@@ -97,9 +97,11 @@ def traffic_window(raw: DataFrame, path: str, checkpoint: str, size: str = "10 s
         try:
             if lateness is not None:
                 seen = KeyedLog(spark, f"{path}/seen", ["name"], order=["top"], query=query)
-                top = seen.read("name STRING, top TIMESTAMP_NTZ", before=batch_id).first()
+                top = seen.read("name STRING, top TIMESTAMP_NTZ", before=batch_id).select(
+                    F.col("top").cast("string")).first()
                 end = F.window("ts", size)["end"]
-                late = F.lit(False) if top is None else end < F.lit(top["top"]) - F.expr(f"INTERVAL {lateness}")
+                late = F.lit(False) if top is None else end < F.lit(top["top"]).cast(
+                    "timestamp_ntz") - F.expr(f"INTERVAL {lateness}")
                 views.where(late).write.mode("overwrite").parquet(f"{path}/late/batch={batch_id}")
                 kept = views.where(~late)
             else:
@@ -361,10 +363,11 @@ def late_side_output(rows: DataFrame, path: str, checkpoint: str, arrival: list[
         spark = batch.sparkSession
         kind = batch.schema[ts].dataType.simpleString()
         seen = KeyedLog(spark, f"{path}/seen", ["name"], order=["top"], query=query_id(spark, checkpoint))
-        top = seen.read(f"name STRING, top {kind}", before=batch_id).first()
+        top = seen.read(f"name STRING, top {kind}", before=batch_id).select(
+            F.col("top").cast("string")).first()
         running = with_running_max(batch, arrival, ts, out="max_seen")
         if top is not None:
-            running = running.withColumn("max_seen", F.greatest("max_seen", F.lit(top["top"])))
+            running = running.withColumn("max_seen", F.greatest("max_seen", F.lit(top["top"]).cast(kind)))
         running = running.persist()
         try:
             (running.where(F.col(ts) < F.col("max_seen") - F.expr(f"INTERVAL {lateness}"))
