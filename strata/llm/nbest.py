@@ -7,9 +7,10 @@ highest, so complete segmentations leave the agenda best first and only edges
 of the N best are expanded.
 
 A text parts where no piece crosses (before runs of spaces, around line ends).
-Each distinct part is searched once and remembered in a bounded memo; the N best
-of the text combine the parts' lists: besides the best, only the parts with the
-N - 1 smallest losses can take part.
+Each distinct part's best segmentation, and what its second best loses, come from
+the forward pass and one backward pass, and are remembered in a bounded memo. The
+N best of the text combine the parts' N best: besides the best, only the parts
+with the N - 1 smallest losses can take part, so A* searches these alone.
 
 Ties: equal scores are ordered by the search, which is deterministic.
 Unknown characters become byte pieces. Null and empty texts have the one empty
@@ -35,25 +36,74 @@ SCHEMA = ("ids array<int>, n_tokens int, score double, nbest array<struct<score:
 MEMO = 250_000
 
 
-def nbest_part(part: str, pieces: Pieces, n: int) -> list[tuple[float, tuple[int, ...]]]:
-    """The ``n`` best (score, ids) of one part, best first."""
-    size = len(part)
-    unknown = pieces.unknown_score
-    best = [0.0] + [float("-inf")] * size
-    edges: list[list[tuple[int, float, int]]] = [[]]
-    state = 0
-    for end in range(1, size + 1):
-        state = pieces.step(state, part[end - 1])
-        here = pieces.matches[state]
+def _forward(part: str, pieces: Pieces):
+    """Best score of every position, and the edges (length, score, id) that end there."""
+    goto, fail, matches, unknown = pieces.goto, pieces.fail, pieces.matches, pieces.unknown_score
+    best, edges, state, end = [0.0], [()], 0, 0
+    for c in part:
+        while state and c not in goto[state]:
+            state = fail[state]
+        state = goto[state].get(c, 0)
+        end += 1
+        here = matches[state]
         if not here or here[-1][0] != 1:
             here = [*here, (1, unknown, -1)]
         edges.append(here)
-        top = float("-inf")
+        top = -1e300
         for length, score, _ in here:
             x = best[end - length] + score
             if x > top:
                 top = x
-        best[end] = top
+        best.append(top)
+    return best, edges
+
+
+def _ids(part: str, path: list[tuple[int, int]], pieces: Pieces) -> tuple[int, ...]:
+    """Piece ids of a path of (length, id), unknown characters spelled out."""
+    out: list[int] = []
+    at = 0
+    for length, piece in path:
+        if piece < 0:
+            out.extend(pieces.unknown_ids(part[at]))
+        else:
+            out.append(piece)
+        at += length
+    return tuple(out)
+
+
+def best_part(part: str, pieces: Pieces) -> tuple[float, tuple[int, ...], float]:
+    """(score, ids) of the best segmentation, and what the second best loses."""
+    best, edges = _forward(part, pieces)
+    size = len(part)
+    total = best[size]
+    after = [-1e300] * size + [0.0]
+    second, path, on = -1e300, [], size
+    for end in range(size, 0, -1):
+        rest = after[end]
+        if rest == -1e300:
+            continue
+        chosen = end == on
+        for length, score, piece in edges[end]:
+            start = end - length
+            x = score + rest
+            if x > after[start]:
+                after[start] = x
+            if chosen and best[start] + score == best[end]:
+                # The first edge that attains the score is the best path's.
+                path.append((length, piece))
+                on, chosen = start, False
+                continue
+            x += best[start]
+            if x > second:
+                second = x
+    path.reverse()
+    return total, _ids(part, path, pieces), total - second if second > -1e299 else float("inf")
+
+
+def nbest_part(part: str, pieces: Pieces, n: int) -> list[tuple[float, tuple[int, ...]]]:
+    """The ``n`` best (score, ids) of one part, best first."""
+    size = len(part)
+    best, edges = _forward(part, pieces)
     out: list[tuple[float, tuple[int, ...]]] = []
     # (minus the estimate, order of arrival, position, score so far, path)
     agenda = [(-best[size], 0, size, 0.0, None)]
@@ -61,16 +111,11 @@ def nbest_part(part: str, pieces: Pieces, n: int) -> list[tuple[float, tuple[int
     while agenda and len(out) < n:
         _, _, pos, score, path = heapq.heappop(agenda)
         if pos == 0:
-            ids: list[int] = []
-            at = 0
+            steps = []
             while path is not None:
-                (length, piece), path = path
-                if piece < 0:
-                    ids.extend(pieces.unknown_ids(part[at]))
-                else:
-                    ids.append(piece)
-                at += length
-            out.append((score, tuple(ids)))
+                step, path = path
+                steps.append(step)
+            out.append((score, _ids(part, steps, pieces)))
             continue
         for length, s, piece in edges[pos]:
             total = score + s
@@ -80,52 +125,92 @@ def nbest_part(part: str, pieces: Pieces, n: int) -> list[tuple[float, tuple[int
     return out
 
 
-def combine(lists: list[list[tuple[float, tuple[int, ...]]]], n: int):
-    """The ``n`` best of a text: (loss, ((part number, choice), ...)), best first."""
-    second = np.array([x[0][0] - x[1][0] if len(x) > 1 else np.inf for x in lists])
-    finite = np.nonzero(np.isfinite(second))[0]
-    order = finite[np.argsort(second[finite], kind="stable")[:n - 1]]
-    options = [[(lists[p][0][0] - x[0], (int(p), k)) for k, x in enumerate(lists[p])]
-               for p in sorted(order.tolist())]
+def _ranked(part: str, pieces: Pieces, n: int, first: tuple[int, ...]):
+    """``nbest_part`` with the segmentation ``first``, one of the best, in front."""
+    found = nbest_part(part, pieces, n)
+    rest = [x for x in found if x[1] != first]
+    return [(found[0][0], first), *rest][:n]
+
+
+def combine(gaps: np.ndarray, ranked, n: int):
+    """The ``n`` best of a text: (loss, ((part number, ids), ...)), best first.
+    ``gaps`` holds each part's loss of the second best, ``ranked(k)`` its n best."""
+    k = min(n - 1, len(gaps))
+    order = np.argpartition(gaps, k - 1)[:k] if k else np.zeros(0, int)
+    # Equal losses: the earlier part.
+    if k:
+        worst = gaps[order].max()
+        sure = np.flatnonzero(gaps < worst)
+        order = np.concatenate([sure, np.flatnonzero(gaps == worst)[:k - len(sure)]])
+        order = order[np.isfinite(gaps[order])]
+    options = []
+    for p in sorted(order.tolist()):
+        best = ranked(p)
+        options.append([(best[0][0] - score, (p, ids if j else None))
+                        for j, (score, ids) in enumerate(best)])
     found = []
     for choice in product(*options):
-        picked = tuple(c for _, c in choice if c[1])
-        found.append((sum(loss for loss, c in choice if c[1]), len(picked), picked))
+        picked = tuple(c for _, c in choice if c[1] is not None)
+        found.append((sum(loss for loss, c in choice if c[1] is not None), len(picked), picked))
     return [(loss, picked) for loss, _, picked in heapq.nsmallest(n, found)]
 
 
+def _memos(model: bytes, n: int) -> tuple[dict, dict]:
+    """The worker process's memos: best by part, n best by part."""
+    import sys
+    from zlib import crc32
+    held = sys.__dict__.setdefault("_strata_nbest", {})
+    key = (crc32(model), len(model), n)
+    if key not in held:
+        held.clear()
+        held[key] = ({}, {})
+    return held[key]
+
+
 def _encoder(model: bytes, n: int):
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = shared_pieces(model)
-        memo: dict[str, list] = {}
-        for part in parts:
+        memo, lists = _memos(model, n)
+
+        def ranked(part: str, first: tuple[int, ...]):
+            got = lists.get(part)
+            if got is None:
+                if len(lists) >= MEMO // 8:
+                    lists.clear()
+                got = _ranked(part, pieces, n, first)
+                if len(part) <= 64:
+                    lists[part] = got
+            return got
+
+        for batch in parts:
             rows = []
-            for text in part["text"]:
-                lists = []
-                for p in pieces.parts(text):
+            for text in batch["text"]:
+                split = pieces.parts(text)
+                best = []
+                for p in split:
                     got = memo.get(p)
                     if got is None:
                         if len(memo) >= MEMO:
                             memo.clear()
-                        got = nbest_part(p, pieces, n)
+                        got = best_part(p, pieces)
                         if len(p) <= 64:
                             memo[p] = got
-                    lists.append(got)
-                ids = [i for x in lists for i in x[0][1]]
-                score = float(sum(x[0][0] for x in lists))
+                    best.append(got)
+                ids = [i for x in best for i in x[1]]
+                score = float(sum(x[0] for x in best))
+                gaps = np.array([x[2] for x in best])
+                chosen = combine(gaps, lambda k: ranked(split[k], best[k][1]), n)  # noqa: B023
+                at = np.r_[0, np.cumsum([len(x[1]) for x in best])] if len(chosen) > 1 else None
                 nbest = []
-                ranked = combine(lists, n)
-                if len(ranked) > 1:
-                    at = np.r_[0, np.cumsum([len(x[0][1]) for x in lists])]
-                for loss, picked in ranked:
-                    edits = [{"at": int(at[p]), "drop": len(lists[p][0][1]),
-                              "ids": list(lists[p][k][1])} for p, k in picked]
+                for loss, picked in chosen:
+                    edits = [{"at": int(at[p]), "drop": len(best[p][1]), "ids": list(other)}
+                             for p, other in picked]
                     nbest.append({"score": score - loss, "edits": edits, "n_tokens": len(ids) + sum(
                         len(e["ids"]) - e["drop"] for e in edits)})
                 rows.append((np.array(ids, np.int32), len(ids), score, nbest,
                              pieces.decode(ids) == text))
             out = pd.DataFrame(rows, columns=["ids", "n_tokens", "score", "nbest", "round_trip"])
-            out.insert(0, "id", part["id"].array)
+            out.insert(0, "id", batch["id"].array)
             yield out
     return run
 

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from strata.llm import nbest, token_counts
@@ -60,10 +61,20 @@ def test_matches_the_library(pieces, unigram):
 
 def test_text_nbest_combines_parts(pieces):
     text = "the cat sat"
-    lists = [nbest.nbest_part(p, pieces, 4) for p in pieces.parts(text)]
+    parts = pieces.parts(text)
+    firsts = [nbest.best_part(p, pieces) for p in parts]
     whole = sorted((s for s, _ in all_segmentations(pieces.normal(text), pieces)), reverse=True)[:4]
-    best = sum(x[0][0] for x in lists)
-    assert [best - loss for loss, _ in nbest.combine(lists, 4)] == pytest.approx(whole)
+    found = nbest.combine(np.array([x[2] for x in firsts]),
+                          lambda k: nbest.nbest_part(parts[k], pieces, 4), 4)
+    assert [sum(x[0] for x in firsts) - loss for loss, _ in found] == pytest.approx(whole)
+
+
+@pytest.mark.parametrize("part", ["▁the", "▁brownish", "abab", "▁é日x", "a", "\n", "▁▁▁x", "aaaa"])
+def test_best_and_gap(pieces, part):
+    want = sorted((s for s, _ in all_segmentations(part, pieces)), reverse=True)
+    score, ids, gap = nbest.best_part(part, pieces)
+    assert score == pytest.approx(want[0]) and pieces.decode(ids) == part.replace("▁", " ").removeprefix(" ")
+    assert gap == pytest.approx(want[0] - want[1]) if len(want) > 1 else gap == float("inf")
 
 
 TEXTS = [None, "", " ", "a", "  two  spaces \n\n and\tlines\r\n", "é日本 𝄞 \u0000 x",
