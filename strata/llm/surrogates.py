@@ -23,7 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import durable, fresh, whole_text
+from strata.llm.common import computed, durable, fresh, whole_text
+from strata.session import shuffle_partitions
 
 # What entities look like.
 WORD = r"[\p{L}\p{N}._%+-]"
@@ -103,15 +104,11 @@ def _digest(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
                                          F.lit(str(i))), 256) for i in range(4)])
 
 
-def _spell(text: Column, digest: Column) -> Column:
-    """Every digit and letter drawn anew, in its own script and case."""
-    number = F.translate(digest, "abcdef", "123456")
-    letters = {"latin": F.translate(digest, "0123456789abcdef", LATIN),
-               "cyrillic": F.translate(digest, "0123456789abcdef", CYRILLIC),
-               "greek": F.translate(digest, "0123456789abcdef", GREEK)}
-
+def _spell(text: Column, number: Column, letters: Column, backward: bool = False) -> Column:
+    """Every digit and letter drawn anew, in its own script and case. ``letters``
+    holds the drawn letters of the three scripts."""
     def draw(c: Column, i: Column) -> Column:
-        at = F.pmod(i, F.lit(256)) + 1
+        at = (F.lit(256) - F.pmod(i, F.lit(256))) if backward else F.pmod(i, F.lit(256)) + 1
         small = (F.when(c.rlike(r"\p{IsCyrillic}"), F.substring(letters["cyrillic"], at, 1))
                  .when(c.rlike(r"\p{IsGreek}"), F.substring(letters["greek"], at, 1))
                  .otherwise(F.substring(letters["latin"], at, 1)))
@@ -150,26 +147,40 @@ def _name(kind: Column, canon: Column, digest: Column) -> Column:
             .when(canon.rlike(r"\p{IsGreek}"), word("greek")).otherwise(word("latin")))
 
 
-def _draw(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
-    digest = _digest(key, kind, canon, attempt)
-    grown = F.when(attempt >= GROW_AFTER, F.translate(F.substring(digest, 65, 4), "0123456789abcdef",
-                                                      LATIN)).otherwise("")
+def draw(todo: DataFrame, key: str) -> DataFrame:
+    """``todo`` (kind, canon, attempt) with the column ``surrogate``. The hash and
+    what is spelled from it are worked out once per entity."""
+    kind, canon, attempt = F.col("kind"), F.col("canon"), F.col("attempt")
+    df = computed(todo, "digest", _digest(key, kind, canon, attempt))
+    digest = F.col("digest")
+    hexes = "0123456789abcdef"
+    df = computed(df, "drawn", F.struct(
+        F.translate(digest, "abcdef", "123456").alias("number"),
+        F.translate(digest, hexes, LATIN).alias("latin"),
+        F.translate(digest, hexes, CYRILLIC).alias("cyrillic"),
+        F.translate(digest, hexes, GREEK).alias("greek")))
+    drawn = F.col("drawn")
+    df = computed(df, "spelled", F.when(kind.isin("card", "iban", "phone", "national"),
+                                        _spell(canon, drawn["number"], drawn)))
+    numbers = F.col("spelled")
+    grown = F.when(attempt >= GROW_AFTER, F.substring(drawn["latin"], 65, 4)).otherwise("")
     domain = F.regexp_extract(canon, r"@(.*)(\.[^.]+)$", 1)
-    email = F.concat(_spell(F.substring_index(canon, "@", 1), digest), grown, F.lit("@"),
-                     _spell(domain, F.reverse(digest)), F.regexp_extract(canon, r"(\.[^.]+)$", 1))
+    email = F.concat(_spell(F.substring_index(canon, "@", 1), drawn["number"], drawn), grown,
+                     F.lit("@"), _spell(domain, drawn["number"], drawn, backward=True),
+                     F.regexp_extract(canon, r"(\.[^.]+)$", 1))
     ip = F.concat_ws(".", *[(F.conv(F.substring(digest, 1 + 2 * k, 2), 16, 10).cast("int")
                              % 223 + 1).cast("string") for k in range(4)])
-    numbers = _spell(canon, digest)
     # A number's first digit is its scheme or country; a valid check digit stays valid.
     number = F.concat(F.substring(canon, 1, 1), F.substring(numbers, 2, 1000))
     body = F.substring(number, F.lit(1), F.length(number) - 1)
     card = F.when(_luhn_sum(canon, True) % 10 == 0, F.concat(
         body, F.pmod(10 - _luhn_sum(body, False) % 10, F.lit(10)).cast("string"))).otherwise(number)
     iban = F.concat(F.substring(canon, 1, 2), F.substring(numbers, 3, 1000))
-    return (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card)
-            .when(kind == "iban", iban).when(kind == "phone", number)
-            .when(kind == "national", numbers)
-            .otherwise(F.concat(_name(kind, canon, digest), grown)))
+    out = (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card)
+           .when(kind == "iban", iban).when(kind == "phone", number)
+           .when(kind == "national", numbers)
+           .otherwise(F.concat(_name(kind, canon, digest), grown)))
+    return computed(df, "surrogate", out).drop("digest", "drawn", "spelled")
 
 
 def assign(entities: DataFrame, key: str, max_rounds: int = 40) -> DataFrame:
@@ -179,24 +190,26 @@ def assign(entities: DataFrame, key: str, max_rounds: int = 40) -> DataFrame:
     semi-join those that are entities; only the number of clashes reaches the
     driver.
     """
-    kind, canon = F.col("kind"), F.col("canon")
-    todo = durable(entities.groupBy("kind", "canon").agg(F.lit(0).alias("attempt")))
+    # Drawing costs far more than its few bytes suggest, so the entities are dealt
+    # over all tasks.
+    parts = shuffle_partitions(entities.sparkSession)
+    todo = durable(entities.groupBy("kind", "canon").agg(F.lit(0).alias("attempt"))
+                   .repartition(parts, "kind", "canon"))
     real = todo.select(F.col("kind").alias("k"), F.col("canon").alias("s"))
-    drawn = durable(todo.withColumn("surrogate", _draw(key, kind, canon, F.col("attempt"))))
+    drawn = durable(draw(todo, key))
     for _ in range(max_rounds):
         owner = drawn.groupBy(F.col("kind").alias("k"), F.col("surrogate").alias("s")).agg(
             F.min("canon").alias("owner"), F.count("*").alias("n")).where("n > 1")
         same = (F.col("kind") == F.col("k")) & (F.col("surrogate") == F.col("s"))
         shared = drawn.join(owner, same).where("canon <> owner").select("kind", "canon")
         taken = drawn.join(real, same, "left_semi").select("kind", "canon")
-        clash = durable(shared.union(taken).distinct().withColumn("again", F.lit(1)))
+        clash = durable(shared.union(taken).distinct())
         if clash.limit(1).count() == 0:
             return drawn.select("kind", "canon", "surrogate")
-        joined = drawn.join(clash, ["kind", "canon"], "left").withColumn(
-            "attempt", F.col("attempt") + F.coalesce("again", F.lit(0)))
-        drawn = durable(joined.select("kind", "canon", "attempt", F.when(
-            F.col("again") == 1, _draw(key, kind, canon, F.col("attempt"))).otherwise(
-            F.col("surrogate")).alias("surrogate")))
+        again = drawn.join(clash, ["kind", "canon"]).select(
+            "kind", "canon", (F.col("attempt") + 1).alias("attempt"))
+        kept = drawn.join(clash, ["kind", "canon"], "left_anti")
+        drawn = durable(kept.unionByName(draw(again.repartition(parts, "kind", "canon"), key)))
     raise ValueError(f"surrogates still clash after {max_rounds} rounds")
 
 
