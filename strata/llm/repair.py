@@ -36,9 +36,11 @@ from strata.session import shuffle_partitions
 
 MAGIC = b"RPR1"
 # No token of the vocabulary crosses these, nor does its normalisation. Within a
-# chunk none crosses from letters to plain punctuation at its end.
+# chunk none crosses from a Latin-1 letter to plain punctuation at its end: such a
+# letter stays one letter when normalised. Others may end in a mark (U+0130, U+09DF),
+# which the library takes together with the punctuation.
 CHUNK = re.compile(r"[^ \n\t\r]+")
-WORD_AND_STOPS = re.compile(r"([^\W\d_]+)([.,!?;:%$*#&]+)")
+WORD_AND_STOPS = re.compile(r"([^\W\d_]*[A-Za-zÀ-ÖØ-öø-ÿ])([.,!?;:%$*#&]+)")
 
 
 def grammar(ids: np.ndarray, end: int, least: int = 8, batch: int = 512,

@@ -60,6 +60,23 @@ def test_files_hold_what_the_library_encodes(spark):
     assert shards.select("part", "shard").distinct().count() == shards.count() > 4
 
 
+def test_punctuation_after_any_letter(spark):
+    """Lower-casing or NFC may leave a mark at a word's end, which joins the stop."""
+    from tokenizers import Tokenizer
+    encode = Tokenizer.from_file(PATH)
+    letters = [c for c in map(chr, range(0x110000)) if c.isalpha()]
+    texts = ["BİLGİ.", "TARİHİ: 1923", "হয়, ভালো".replace("য়", "\u09df"), "x\u095b.", "\ufb2a.",
+             *(c + s for c in letters for s in (".", ",!"))]
+    assert "\u09df" in texts[2]
+    mine = q.Encoder(encode.to_str(), 500_000).encode(texts)
+    library = encode.encode_batch_fast(texts, add_special_tokens=False)
+    wrong = [t for t, a, b in zip(texts, mine, library, strict=True) if a.tolist() != b.ids]
+    assert wrong == []
+    rows = q.read_documents(q.write_shards(documents(spark, texts[:5]), PATH, 2)).collect()
+    assert {r.id: r.ids_crc32 for r in rows} == {
+        i: crc32(np.array([*e.ids, 2], "<u4").tobytes()) for i, e in enumerate(library[:5])}
+
+
 def test_null_and_repeated_ids_and_empty_table(spark):
     rows = q.read_documents(q.write_shards(documents(spark, ["b", "a", "c", None], ids=[1, 1, None, None]),
                                            PATH, 2)).collect()
