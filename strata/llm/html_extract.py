@@ -13,9 +13,14 @@ the given pages, those of the smallest url hash, as far as their markup names
 the article. Both bounds are parameters; every page is labelled.
 
 Defined results: null, empty and text-free pages give an empty text and
-``n_chars`` 0; scripts, styles, comments and the head never count; unclosed and
-stray tags are tolerated; null ids and urls pass through; repeated pages give
-equal rows; an empty table gives an empty result; other columns are not read.
+``n_chars`` 0; scripts, styles, comments, titles and the head never count, nor what
+a closed svg, template, iframe, textarea or select holds; formulas and noscript
+text do. The head ends at the first tag or text that cannot stand in it. An unclosed
+script or style goes on to the page's end, as in a browser, an unclosed title to the
+next tag; the other elements that do not count end at their own tag if unclosed or
+self-closed. Other unclosed and stray tags are tolerated; null ids and urls pass
+through; repeated pages give equal rows; an empty table gives an empty result; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -36,17 +41,33 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt "
     "ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+# Formulas stand within a line; their parts are read as words.
+FORMULA = frozenset(
+    "math maction annotation annotation-xml menclose merror mfenced mfrac mi mmultiscripts mn mo "
+    "mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable "
+    "mtd mtext mtr munder munderover none semantics".split())
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript".split())
 CLOSED_BY_BLOCK = frozenset(["p"])
 SELF_NESTED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
                "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 MARKUP = re.compile(
     r"""<!--.*?(?:-->|\Z)
-    |<(?P<raw>script|style|noscript|template|title|textarea|iframe|svg|math|select)\b[^>]*>
-        .*?(?:</(?P=raw)\s*>|\Z)
     |<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>
     |<(?P<close2>/?)(?P<name2>[a-zA-Z][^\s/>]*+)(?P<attrs2>[^>]*+)(?:>|\Z)
     |<[!?/][^>]*+(?:>|\Z)""", re.S | re.I | re.X)
+# What ends an element that is not read: its end tag, or a tag that cannot stand
+# in it, which shows that it was not closed.
+_BLOCK = ("</?(?:address|article|aside|blockquote|body|center|dd|div|dl|dt|fieldset|figure|footer|form"
+          "|h[1-6]|head|header|li|main|nav|ol|p|pre|section|table|ul)")
+RAW = {name: re.compile(rf"(?:(?P<end></{name})" + (f"|{other}" if other else "")
+                        + r")(?=[\s/>]|\Z)[^>]*+(?:>|\Z)", re.I)
+       for name, other in {
+           "script": "", "style": "", "template": "", "textarea": "<textarea", "iframe": "<iframe",
+           "svg": _BLOCK, "select": _BLOCK + "|<select", "title": "</head|<body|<title",
+           "noscript": "</head|<body|<noscript", "head": "<body"}.items()}
+UNREAD = RAW.keys() - {"noscript", "head"}
+SELF_CLOSED = re.compile(r"""(?:\A|["'\s]|(?:\A|\s)[^\s=]+)/\s*\Z""")
 NAMES = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""",
                    re.I)
 MARK = re.compile(r'data-y="([01])"')
@@ -71,6 +92,7 @@ def blocks(page: str) -> list[Block]:
     stack: list[tuple[str, tuple[str, ...], int]] = []
     buffer: list[str] = []
     linked, anchor, skip = 0, 0, 0
+    ends: dict[str, re.Match | None] = {}
 
     def flush() -> None:
         nonlocal linked
@@ -85,6 +107,8 @@ def blocks(page: str) -> list[Block]:
     def say(raw: str) -> None:
         nonlocal linked
         text = entities.unescape(raw) if "&" in raw else raw
+        if skip and text.strip():
+            leave_head()
         buffer.append(text)
         if anchor:
             linked += len(text.strip())
@@ -95,15 +119,54 @@ def blocks(page: str) -> list[Block]:
             if stack.pop()[0] == "head":
                 skip -= 1
 
+    def leave_head() -> None:
+        flush()
+        while skip:
+            pop_to(max(k for k, e in enumerate(stack) if e[0] == "head"))
+
+    def end_of(name: str, at: int) -> int | None:
+        """Where the element opened before ``at`` ends, if it is closed."""
+        m = found(name, at)
+        return m.end() if m and m["end"] else None
+
+    def found(name: str, at: int) -> re.Match | None:
+        # Kept until passed, so that many unclosed tags do not read the page again.
+        m = ends.get(name)
+        if name not in ends or (m and m.start() < at):
+            m = ends[name] = RAW[name].search(page, at)
+        return m
+
     at = 0
-    for m in MARKUP.finditer(page):
+    while m := MARKUP.search(page, at):
         if m.start() > at:
             say(page[at:m.start()])
         at = m.end()
         name = (m["name"] or m["name2"] or "").lower()
         if not name:
             continue
-        if m["close"] or m["close2"]:
+        opens = not (m["close"] or m["close2"])
+        # A noscript element of a head that is told to end belongs to the head.
+        if opens and (name in UNREAD or name == "noscript" and skip and found("head", at)):
+            attrs = m["attrs"] or m["attrs2"] or ""
+            if SELF_CLOSED.search(attrs) and (
+                    name not in ("script", "style") or "src" in attrs.lower()):
+                continue
+            end = end_of(name, at)
+            if end is not None:
+                at = end
+            elif name in ("script", "style"):
+                at = len(page)
+            elif name == "title":
+                at = k if (k := page.find("<", at)) >= 0 else len(page)
+            else:
+                buffer.append(" ")
+            continue
+        if skip and opens and name not in IN_HEAD:
+            leave_head()
+        if name in FORMULA:
+            buffer.append(" ")
+            continue
+        if not opens:
             if name == "a":
                 anchor = 0
             elif name in INLINE:
@@ -127,7 +190,7 @@ def blocks(page: str) -> list[Block]:
             continue
         if name == "body":
             pop_to(0)
-        while stack and (stack[-1][0] in CLOSED_BY_BLOCK
+        while stack and (stack[-1][0] in CLOSED_BY_BLOCK and name != "noscript"
                          or stack[-1][0] in SELF_NESTED.get(name, ())):
             pop_to(len(stack) - 1)
         attrs = m["attrs"] or m["attrs2"] or ""

@@ -24,6 +24,35 @@ def test_blocks():
     assert found[5].link_chars == 3 and found[4].path[-2:] == ("ul", "li")
 
 
+@pytest.mark.parametrize("page, want", [
+    ('<article><svg class="i"/><p>Long article text one.</p><p>two</p></article>', ["Long article text one.", "two"]),
+    ('<article><svg/><p>a</p><svg><text>no</text></svg><p>b</p></article>', ["a", "b"]),
+    ('<p>a <svg class="x>y"><path d="M0"/></svg>b</p><p>c</p>', ["a b", "c"]),
+    ("<p>a</p><svg><p>b</p><p>c</p><svg><title>no</title></svg>", ["a", "b", "c"]),
+    ("<svg-icon>a</svg-icon><p>b</p>", ["a", "b"]),
+    ("<p>a</p><select><p>b</p><select><option>no</select><p>c</p>", ["a", "b", "c"]),
+    ("<p>a</p><textarea><p>b</p>", ["a", "b"]), ("<p>a</p><iframe src='x'/><p>b</p>", ["a", "b"]),
+    ("<p>a</p><iframe><p>b</p><iframe>no</iframe><p>c</p>", ["a", "b", "c"]),
+    ("<p>a</p><template><p>b</p>", ["a", "b"]), ("<p>a</p><template><p>no</p></template>b", ["a", "b"]),
+    ("<p>a</p><noscript><p>b</p>c", ["a", "b", "c"]), ("<p>a</p><noscript>b</noscript><p>c</p>", ["a", "b", "c"]),
+    ("<p>If <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p><math/><p>b</p>", ["If x = 2 holds", "b"]),
+    ("<p>a</p><script src='x' /><p>b</p><script>no</script>", ["a", "b"]),
+    ("<p>a</p><script>no<p>no", ["a"]), ("<p>a</p><style>no", ["a"]),
+    ("<html><head><title>no</title><meta charset=x><p>a</p><p>b", ["a", "b"]),
+    ("<head><title>no</title><style>no</style>a<p>b", ["a", "b"]),
+    ("<head><title>no</title><a href=x>a</a> b<div>c</div>", ["a b", "c"]),
+    ("<head><title>no <p> no</title><noscript><img src=x>no</noscript></head><body><p>a", ["a"]),
+    ("<head><title>no<meta x><noscript><p>a</noscript><p>b", ["a", "b"]),
+    ("<head><title>no</head><body><p>a</p><title>no</title>", ["a"])])
+def test_no_text_is_lost(page, want):
+    assert [b.text for b in q.blocks(page)] == want
+
+
+def test_many_unclosed_elements_are_read_once():
+    page = "<svg><select><iframe><template><textarea>x " * 40_000
+    assert q.blocks(page)[0].text.count("x") == 40_000
+
+
 @pytest.mark.parametrize("page", ["", "<", "<p", "</p></div>", "<p class=\"x", "a < b > c", "<!--", "<script>x",
                                   "&", "&#xZ;", "<p>" * 3000 + "x", "text only", "<td>x<tr><td>y", "<!doctype"])
 def test_broken_markup_does_not_crash(page):
