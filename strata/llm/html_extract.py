@@ -227,16 +227,13 @@ def featurize(found: list[Block], memo: dict[str, int]) -> Rows:
     rows, n = Rows(), len(found)
     numbers = np.zeros((n, NUMBERS), np.float32)
     for i, b in enumerate(found):
-        # The ends of the path say most; a deep page keeps both.
-        path = b.path if len(b.path) <= 24 else b.path[:8] + b.path[-16:]
-        rows.path.append([slot("<" + t, PATH_ROWS) for t in dict.fromkeys(path)])
+        rows.path.append([slot("<" + t, PATH_ROWS) for t in dict.fromkeys(b.path)])
         words = b.text.lower().split()
         rows.words.append([slot(w.strip(".,;:!?()[]\"'|"), WORD_ROWS) for w in words])
         size = len(b.text)
         numbers[i] = (np.log1p(len(words)) / 5, b.link_chars / size,
                       sum(map(b.text.count, ".,;")) / len(words), size / len(words) / 20,
-                      b.text[-1] in ".!?", i / n, sum(map(str.isdigit, b.text[:200])) / min(size, 200),
-                      1 / n)
+                      b.text[-1] in ".!?", i / n, sum(map(str.isdigit, b.text)) / size, 1 / n)
     rows.numbers = numbers
     return rows
 

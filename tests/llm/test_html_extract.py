@@ -60,6 +60,13 @@ def test_broken_markup_does_not_crash(page):
         assert b.text and b.text == " ".join(b.text.split())
 
 
+def test_features_read_the_whole_path_and_block():
+    page = "<div>" * 20 + "<div class=comments>" + "<div>" * 20 + "<p>" + "x" * 300 + "1" * 100
+    rows = q.featurize(q.blocks(page), memo := {})
+    assert memo["<comments"] % q.PATH_ROWS in rows.path[0]
+    assert rows.numbers[0, 6] == pytest.approx(0.25)
+
+
 def test_gradients_are_right():
     rows, labels = q.training_rows(3, 1)
     net = q.Labeller(hidden=4)
