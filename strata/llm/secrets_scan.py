@@ -3,12 +3,13 @@
 Base candidates are the three fixed patterns. The method adds generic ones: long
 tokens of mixed characters and high entropy outside the base spans. All
 candidate values are hashed and aggregated by distinct repositories and owners
-over the whole corpus: a value that several owners hold is a copied example, one
-that a single owner holds and that looks live (enough entropy, no placeholder)
-is owner-specific. Generic candidates become spans only if owner-specific; base
+over the whole corpus: a value that ``copied_owners`` owners or ``copied_repos``
+repositories hold is a copied example, one in fewer of both that looks live
+(enough entropy, no placeholder) is owner-specific. A repository is an owner's: the
+same name under another owner is another one. Generic candidates become spans only if owner-specific; base
 spans always stay, and both counts are reported.
 
-Texts are read once. What is shuffled are hashes and offsets: first summed by
+Texts are read once. What is shuffled are hashes and offsets: first made distinct by
 (value, owner, repository), so a value that a third of all rows hold is a few
 rows, then joined back.
 
@@ -108,10 +109,11 @@ def _scanner(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def scan(docs: DataFrame, owner: Column, repo: Column, id_col: str = "doc_id",
-         text_col: str = "text", copied_owners: int = 2) -> DataFrame:
+         text_col: str = "text", copied_owners: int = 2, copied_repos: int = 3) -> DataFrame:
     """One row per document: id, n_assign, n_access, n_hex, base_sha256, spans,
     n_owned (owner-specific and live-looking), n_copied (values that at least
-    ``copied_owners`` owners hold)."""
+    ``copied_owners`` owners or ``copied_repos`` repositories hold), and the most owners
+    and repositories that hold one of its values: n_owners, n_repos (0 without a value)."""
     narrow = docs.select(F.col(id_col).alias("id"), F.coalesce(repo, F.lit("")).alias("repo"),
                          F.coalesce(owner, F.lit("")).alias("owner"),
                          F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -122,22 +124,21 @@ def scan(docs: DataFrame, owner: Column, repo: Column, id_col: str = "doc_id",
         "row", F.monotonically_increasing_id()))
     one = rows.select("row", "owner", "repo", F.explode("found").alias("c")).select(
         "row", "owner", "repo", "c.*")
-    held = one.groupBy("value", "owner", "repo").agg(F.count("*").alias("n"))
-    spread = held.groupBy("value").agg(F.count_distinct("owner").alias("owners"),
-                                       F.count_distinct("repo").alias("repos"),
-                                       F.sum("n").alias("n"))
-    copied = F.col("owners") >= copied_owners
+    held = one.groupBy("value", "owner").agg(F.count_distinct("repo").alias("n"))
+    spread = held.groupBy("value").agg(F.count("*").alias("owners"), F.sum("n").alias("repos"))
+    copied = (F.col("owners") >= copied_owners) | (F.col("repos") >= copied_repos)
     judged = one.join(spread, "value").withColumn("copied", copied).withColumn(
         "owned", ~copied & F.col("live"))
     shown = (F.col("kind") < 3) | F.col("owned")
     kinds = F.array(*map(F.lit, KINDS))
     told = judged.groupBy("row").agg(
         F.sort_array(F.collect_list(F.when(shown, F.struct("start", "kind", "end")))).alias("s"),
-        F.count_if("owned").alias("n_owned"), F.count_if("copied").alias("n_copied"))
+        F.count_if("owned").alias("n_owned"), F.count_if("copied").alias("n_copied"),
+        F.max("owners").alias("n_owners"), F.max("repos").alias("n_repos"))
     spans = F.array_join(F.transform("s", lambda x: F.concat_ws(
         ":", F.get(kinds, x["kind"]), x["start"], x["end"])), ",")
     return rows.drop("found", "repo", "owner").join(told, "row", "left").select(
         "id", "n_assign", "n_access", "n_hex", "base_sha256",
         F.coalesce(spans, F.lit("")).alias("spans"),
         F.coalesce("n_owned", F.lit(0)).alias("n_owned"),
-        F.coalesce("n_copied", F.lit(0)).alias("n_copied"))
+        *(F.coalesce(n, F.lit(0)).alias(n) for n in ("n_copied", "n_owners", "n_repos")))

@@ -59,6 +59,24 @@ def test_ownership_separates_examples_from_live_values(spark):
     assert got[5].spans.startswith("assign:0:") and got[5].n_owned == 1
 
 
+def test_one_owner_with_many_repositories(spark):
+    example, own = "Xk9q2LmZ8vTr4WbN7pYc3HsD", "Qw8eRt5yUi2oPa9sDf4gHj7k"
+    rows = [(i, f"see {example}", "a", f"r{i % 5}") for i in range(40)]
+    rows += [(50, own, "b", "r1"), (51, own, "b", "r2"), (52, own, "b", "r2"), (53, "no", "b", "r3")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, owner string, repo string")
+    got = {r.id: r for r in q.scan(docs, F.col("owner"), F.col("repo")).collect()}
+    assert {(got[i].spans, got[i].n_owned, got[i].n_copied, got[i].n_owners, got[i].n_repos)
+            for i in range(40)} == {("", 0, 1, 1, 5)}
+    assert {(got[i].n_owned, got[i].n_copied, got[i].n_owners, got[i].n_repos)
+            for i in (50, 51, 52)} == {(1, 0, 1, 2)}
+    assert (got[53].n_owners, got[53].n_repos) == (0, 0)
+    strict = q.scan(docs, F.col("owner"), F.col("repo"), copied_repos=6).collect()
+    assert sum(r.n_owned for r in strict) == 43
+    # The same name under two owners is two repositories.
+    two = spark.createDataFrame([(1, own, "a", "r"), (2, own, "b", "r")], docs.schema)
+    assert {(r.n_owners, r.n_repos) for r in q.scan(two, F.col("owner"), F.col("repo")).collect()} == {(2, 2)}
+
+
 def test_null_and_repeated_rows_and_empty_table(spark):
     text = "token = abcdefabcdefabcdef0123"
     rows = run(spark, documents(spark, [text, text, text], ids=[None, 4, 4]))
