@@ -8,8 +8,10 @@ named by the node, the coordinate and the set's value there. Sets that meet in a
 node of at most ``bucket`` sets are compared there by brute force (on 128-bit
 sketches); larger nodes split again, up to ``depth`` levels, and what is still
 larger then is linked as a whole. The number of runs follows from the target
-recall: a pair at the threshold survives a run with a probability that the
-branching recursion gives.
+recall, 0.9999 unless given: a pair at the threshold survives a run with a
+probability that the branching recursion gives for each share of equal minhash
+values, and these shares are weighed by their chance. A pair above the threshold
+is missed with at most the remaining chance.
 
 Meeting only nominates: connected nominees form clusters, and every pair of
 different sets in a cluster is verified on its exact shingles, block against
@@ -27,7 +29,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from fractions import Fraction
-from math import ceil, log
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -108,18 +110,32 @@ def _embed(hashes: int):
     return run
 
 
-def survival(t: float, depth: int) -> float:
+def survival(t: float, depth: int, equal: float | None = None) -> float:
     """Chance that a pair of similarity ``t`` still shares a node at ``depth``
-    when each node samples one coordinate, or two with chance 1/t - 1."""
+    when each node samples one coordinate, or two with chance 1/t - 1. ``equal``
+    is the share of the pair's minhash values that are equal, if it is not ``t``."""
     second, alive = 1 / t - 1, 1.0
     for _ in range(depth):
-        one = t * alive
+        one = (t if equal is None else equal) * alive
         alive = (1 - second) * one + second * (1 - (1 - one) ** 2)
     return alive
 
 
-def runs_for(t: float, depth: int, recall: float) -> int:
-    return max(1, ceil(log(1 - recall) / log(1 - survival(t, depth)))) if t < 1 else 1
+def runs_for(t: float, depth: int, recall: float, hashes: int = 128) -> int:
+    """Least number of runs that find a pair of similarity ``t`` with chance ``recall``.
+    All runs see the same ``hashes`` values, of which more or fewer than a share of
+    ``t`` may be equal."""
+    if not 0 <= recall < 1:
+        raise ValueError("recall must be at least 0 and below 1")
+    if t >= 1:
+        return 1
+    k = np.arange(hashes + 1)
+    chance = np.array([comb(hashes, int(i)) * t ** int(i) * (1 - t) ** int(hashes - i) for i in k])
+    lost = np.array([1 - survival(t, depth, i / hashes) for i in k])
+    runs = 1
+    while (chance * lost ** runs).sum() > 1 - recall:
+        runs += 1
+    return runs
 
 
 def _coordinates(seed: int, t: float, hashes: int) -> list[int]:
@@ -152,11 +168,11 @@ def nominated(sets: DataFrame, t: float, hashes: int, depth: int, bucket: int,
     """Edges (u, v) between set hashes that met in a small node with similar
     sketches, or in a node that stayed large at the last depth."""
     brief = sets.select("sig", "size", "s0", "s1")
-    # At similarity t a sketch differs in (1 - t) / 2 of 128 bits; four standard
-    # deviations are added.
+    # At similarity t a sketch differs in (1 - t) / 2 of 128 bits; six standard
+    # deviations are added (at 0.8 about 1 pair in 40 million differs in more).
     p = (1 - t) / 2
-    differ = int(128 * p + 4 * (128 * p * (1 - p)) ** 0.5) + 1
-    roots = [(r, c) for r in range(runs_for(t, depth, recall))
+    differ = int(128 * p + 6 * (128 * p * (1 - p)) ** 0.5) + 1
+    roots = [(r, c) for r in range(runs_for(t, depth, recall, hashes))
              for c in _coordinates(r + 1, t, hashes)]
     nodes = sets.select("sig", F.explode(F.array(*[
         F.xxhash64(F.lit(r), F.lit(c), F.get("mh", c)) for r, c in roots])).alias("path"))
@@ -251,7 +267,7 @@ def _verify(num: int, den: int):
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    threshold: float = 0.8, recall: float = 0.99, hashes: int = 128,
+                    threshold: float = 0.8, recall: float = 0.9999, hashes: int = 128,
                     depth: int = 4, bucket: int = 24, block: int = 256) -> DataFrame:
     """(id, key, sig, size, n_links, class_id, first): one row per document (id,
     text). ``sig`` names its set, ``n_links`` counts the other sets linked to

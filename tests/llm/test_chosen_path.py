@@ -71,6 +71,21 @@ def test_recall_at_the_threshold(spark):
     assert sum(r.n_links for r in got.collect()) >= 0.95 * sum(links) > 0
 
 
+def test_claimed_recall_at_the_threshold(spark):
+    """At most 0.0001 of the pairs may be missed, so of 1,000 none, even if every
+    node splits down to the last level."""
+    rng = random.Random(12)
+    texts = []
+    for _ in range(1000):
+        words = pseudo_words(rng, 104, 10 ** 9)
+        other = list(words)
+        # 11 of 100 shingles differ: similarity 89 / 111.
+        other[rng.randrange(10, 40)] = other[rng.randrange(50, 90)] = other[-1] = "x"
+        texts += [" ".join(words), " ".join(other)]
+    got = q.near_duplicates(documents(spark, texts), bucket=1)
+    assert sum(r.n_links for r in got.collect()) == 2000
+
+
 def test_large_group_is_dealt_in_blocks(spark):
     rng = random.Random(6)
     words = pseudo_words(rng, 300, 10 ** 6)
@@ -122,3 +137,10 @@ def test_components(spark):
 def test_runs_follow_the_recall():
     assert q.survival(1.0, 5) == 1 and q.survival(0.8, 1) > q.survival(0.8, 4)
     assert q.runs_for(0.8, 4, 0.99) > q.runs_for(0.8, 4, 0.9) > 1
+
+
+def test_runs_cover_the_spread_of_equal_values():
+    """With few hashes the share of equal ones spreads more, so more runs are needed."""
+    assert q.runs_for(0.8, 4, 0.9999, 64) > q.runs_for(0.8, 4, 0.9999, 128) > \
+        q.runs_for(0.8, 4, 0.9999, 1024)
+    assert (1 - q.survival(0.8, 4)) ** q.runs_for(0.8, 4, 0.9999) <= 1e-4
