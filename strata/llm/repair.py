@@ -3,7 +3,8 @@
 Documents are dealt by ranges of their id and sorted; within a range they fill
 shards. A shard's ids are compressed by Re-Pair: each round counts adjacent
 pairs, replaces the most frequent ones (a batch of distinct pairs, left to
-right) by new nonterminals, and repeats until no pair is frequent enough. A
+right) by new nonterminals, and repeats until no pair is frequent enough or the
+shard has ``max_rules`` rules. A
 document's end has a symbol of its own (the number of terminals; a text may hold
 the end id too) that is in no pair, so every document begins and ends at a symbol.
 
@@ -44,19 +45,18 @@ WORD_AND_STOPS = re.compile(r"([^\W\d_]*[A-Za-zÀ-ÖØ-öø-ÿ])([.,!?;:%$*#&]+)
 
 
 def grammar(ids: np.ndarray, end: int, least: int = 8, batch: int = 512,
-            max_rules: int = 8192, max_rounds: int = 10):
+            max_rules: int = 8192):
     """(symbols, rules) of one shard's symbols; ``end`` is the largest terminal,
-    in no rule, and the first nonterminal comes after it."""
+    in no rule, and the first nonterminal comes after it. Rounds go on until no pair
+    occurs ``least`` times or there are ``max_rules`` rules."""
     # Symbols of 16 bits make pairs of 32, which sort twice as fast.
     narrow = end + 1 + max_rules <= 0x10000
     kind, shift = (np.uint32, 16) if narrow else (np.int64, 32)
     seq = ids.astype(kind)
     rules: list[np.ndarray] = []
     n_rules = 0
-    for _ in range(max_rounds):
+    while len(seq) > 1 and n_rules < max_rules:
         room = min(batch, max_rules - n_rules)
-        if len(seq) < 2 or room <= 0:
-            break
         code = (seq[:-1] << kind(shift)) | seq[1:]
         ordered = np.sort(code[(seq[:-1] != end) & (seq[1:] != end)])
         if not len(ordered):

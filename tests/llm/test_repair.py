@@ -39,6 +39,17 @@ def test_repetition_is_compressed():
         q.Shard(b"nope" + bytes(40))
 
 
+def test_rounds_go_on_until_no_pair_is_frequent():
+    rng = np.random.default_rng(3)
+    one = rng.integers(0, 40_000, 26_000)
+    seq, rules = q.grammar(np.tile(np.r_[one, 40_000], 10), 40_000)
+    assert len(rules) == 8192
+    seq, rules = q.grammar(np.tile(np.r_[one[:6000], 40_000], 10), 40_000)
+    inside = (seq[:-1] != 40_000) & (seq[1:] != 40_000)
+    assert 5120 < len(rules) < 8192
+    assert np.unique((seq[:-1] << 32 | seq[1:])[inside], return_counts=True)[1].max(initial=0) < 8
+
+
 def test_files_hold_what_the_library_encodes(spark):
     from tokenizers import Tokenizer
     rng = random.Random(4)
