@@ -81,3 +81,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def to_arrow_schema(spark: SparkSession, ddl: str):
+    """The Arrow schema of the rows that ``ddl`` describes."""
+    from pyspark.sql.pandas.types import to_arrow_schema as converted
+    return converted(spark.createDataFrame([], ddl).schema)

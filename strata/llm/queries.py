@@ -9,13 +9,17 @@ from pyspark.sql import functions as F
 
 from strata.llm import (
     chosen_path,
+    conversation_repair,
     decontaminate,
+    embedding_dedup,
     html_extract,
+    importance_resampling,
     line_dedup,
     nbest,
     quality_rules,
     repair,
     secrets_scan,
+    sql,
     surrogates,
     token_counts,
 )
@@ -106,3 +110,20 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_html_extraction")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.main_text(table(spark, sf_dir, "pages"))
+
+
+@query("op11_conversation_repair", sql.CONVERSATION_REPAIR)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = table(spark, sf_dir, "conversations")
+    return conversation_repair.reports(conversation_repair.damaged(convs), convs)
+
+
+@query("op12_embedding_near_dedup", sql.NEAR_VECTORS)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_importance_resampling", sql.RESAMPLING)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resampling.resampled(table(spark, sf_dir, "documents"),
+                                           table(spark, sf_dir, "benchmark"))
