@@ -179,7 +179,9 @@ def resampled(docs: DataFrame, target: DataFrame, percent: int = 10, least_words
     digest = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit(""))), 256)
     h = F.conv(F.left(digest, F.lit(8)), 16, 10).cast("double")
     noise = F.floor(-SCALE * F.log(-F.log((h + 0.5) / 4294967296.0)))
-    scored = weights(docs, gains, id_col, text_col, ngrams).withColumn("score", F.col("weight") + noise)
+    # Written first: the sort below samples its rows before it deals them out.
+    scored = written(weights(docs, gains, id_col, text_col, ngrams), "weights").withColumn(
+        "score", F.col("weight") + noise)
     order = [F.col("drawable").desc(), F.col("score").desc(), F.col("id").asc_nulls_last()]
     placed = written(scored.withColumn("drawable", F.col("n_words") >= least_words).repartitionByRange(
         *order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()), "resampling")
