@@ -31,6 +31,34 @@ def apply_changes(changes: DataFrame, keys: Sequence[str], order: Sequence[str],
     return latest_per_key(tagged, keys, order).where(~F.col("_is_delete")).drop("_is_delete")
 
 
+def record_actions(records: DataFrame, key: str) -> DataFrame:
+    """What change records (``op``, ``before`` and ``after`` structs, log position
+    ``pos``) do to a table keyed by ``key``: the last (``pos``, ``rank``, ``row``) per key,
+    ``row`` NULL for a removal.
+
+    A snapshot's rows have ``op`` 'r' and the log position at which their read began.
+    Whatever the log says of their key from there on may be in them already or not;
+    it is applied after them (``rank``), so a snapshot row never beats a change read
+    meanwhile, and changes from before the position lose to it. An update removes the
+    ``before`` key first, so a changed key leaves nothing behind."""
+    row_type = records.schema["after"].dataType
+
+    def act(row: str, rank: int, put: bool) -> Column:
+        return F.struct(F.col(f"{row}.{key}").alias(key), F.lit(rank).alias("rank"),
+                        (F.col(row) if put else F.lit(None).cast(row_type)).alias("row"))
+
+    read, drop, put = act("after", 0, True), act("before", 1, False), act("after", 2, True)
+    actions = F.when(F.col("op") == "r", F.array(read)).when(F.col("op") == "d", F.array(drop)).when(
+        F.col("op") == "u", F.array(drop, put)).otherwise(F.array(put))
+    each = records.select("pos", F.explode(actions).alias("a")).select("pos", "a.*")
+    return latest_per_key(each.where(F.col(key).isNotNull()), [key], ["pos", "rank"])
+
+
+def apply_records(records: DataFrame, key: str) -> DataFrame:
+    """The table that a snapshot and the log give, in whatever order they came."""
+    return record_actions(records, key).where(F.col("row").isNotNull()).select("row.*")
+
+
 def config_state(cdc: DataFrame, live_type: str | None = "dim") -> DataFrame:
     """Current routing config from its change log (``op, before, after, ts_ms, seq``).
 

@@ -38,6 +38,17 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     return lb.join(rb, cond, "inner").drop("_ij_b", "_ij_rb")
 
 
+def outer_interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_ts: str,
+                        right_ts: str, lower_s: float, upper_s: float, how: str = "full") -> DataFrame:
+    """The same range as an outer join: rows without a partner are padded with nulls.
+    The key is not widened (a left row copied to two buckets would be padded twice).
+    On streams, watermarks on both sides bound the state and time the padding."""
+    # Interval literals: only from these does Spark derive the state's bounds.
+    low, high = (F.col(left_ts) + F.expr(f"INTERVAL '{s:.6f}' SECOND") for s in (lower_s, upper_s))
+    return left.join(right, (F.col(left_key) == F.col(right_key)) & (F.col(right_ts) >= low)
+                     & (F.col(right_ts) <= high), how)
+
+
 def keyed_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                how: str = "inner", broadcast_max_rows: int | None = None) -> DataFrame:
     """Equi-join of two streams' tables on one key (inner, left, right, full).

@@ -1,6 +1,6 @@
 """Traffic and trade aggregates of the DWS layer (batch form).
 
-The streaming forms (``strata.streaming.flags`` for the per-device state,
+The streaming forms (``strata.streaming.stateful`` for the keyed state,
 ``strata.streaming.jobs`` for the windows) reuse these measure definitions;
 only state handling differs.
 """
@@ -104,3 +104,13 @@ def late_rows(df: DataFrame, arrival: Sequence[str], ts: str = "ts",
     Returns the input columns plus ``max_seen``."""
     seen = with_running_max(df, arrival, ts, out="max_seen", chunks=chunks)
     return seen.where(F.col(ts) < F.col("max_seen") - _interval(lateness))
+
+
+def sessions(views: DataFrame, gap: str = "30 minutes", mid: str = "mid", ts: str = "ts",
+             dur: str = "during_time") -> DataFrame:
+    """Sessions per device: views less than ``gap`` apart merge (``session_window``).
+    ``edt`` is the last view's time plus the gap. Batch, or a watermarked stream."""
+    agg = views.groupBy(F.session_window(F.col(ts), gap).alias("w"), F.col(mid).alias("mid")).agg(
+        F.count(F.lit(1)).alias("pv_ct"), F.sum(dur).cast("long").alias("dur_sum"))
+    return agg.select("mid", F.col("w.start").cast("timestamp_ntz").alias("stt"),
+                      F.col("w.end").cast("timestamp_ntz").alias("edt"), "pv_ct", "dur_sum")

@@ -6,12 +6,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import traffic
 from strata.plans import derive
-from strata.session import configure, load_table, scratch_path, shuffle_partitions, spread
+from strata.session import configure, load_table, scratch_path, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -385,16 +385,16 @@ SELECT o_custkey, o_orderkey, o_orderdate, o_orderstatus, o_totalprice FROM (
   FROM orders) WHERE rn = 1
 """)
 def upsert_latest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every order upserted under key ``o_custkey`` through the keyed table sink, in
-    two batches; the table then holds the latest row per key."""
-    from strata.sinks.keyed_table import KeyedTable
+    """Every order upserted under key ``o_custkey`` in two batches, the newer orders
+    first; the log then gives the latest row per key."""
+    from strata.sinks.batch_log import BatchLog
     o = load_table(spark, sf_dir, "orders").select(
         "o_custkey", "o_orderkey", "o_orderdate", "o_orderstatus", "o_totalprice")
     order = ["o_orderdate", "o_orderkey"]
-    table = KeyedTable(spark, scratch_path(spark, "upsert"), ["o_custkey"], buckets=shuffle_partitions(spark))
+    table = BatchLog(spark, scratch_path(spark, "upsert"), ["o_custkey"], order)
     newest = F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp_ntz")
-    table.upsert(o.where(~newest), 0, order)
-    table.upsert(o.where(newest), 1, order)
+    table.append(o.where(newest), 0)
+    table.append(o.where(~newest), 1)
     return table.read()
 
 
@@ -411,7 +411,7 @@ def dim_upsert_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata import schemas
     from strata.operators.cdc import config_state
     from strata.operators.dim import route
-    from strata.sinks.keyed_log import KeyedLog
+    from strata.sinks.batch_log import BatchLog
     o = spread(load_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"))
     typ = F.when(F.col("o_orderstatus") == "P", "delete").otherwise("update")
@@ -423,7 +423,7 @@ def dim_upsert_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = config_state(spark.createDataFrame([("r", None, cfg_row, 1, 1)], schemas.CONFIG_CDC))
     routed = route(env, cfg)
     # The sink orders by the numeric time, then by a tie column: the order key.
-    log = KeyedLog(spark, scratch_path(spark, "dim-upsert"), ["sink_table", "pk_value"], order=["at", "seq"])
+    log = BatchLog(spark, scratch_path(spark, "dim-upsert"), ["sink_table", "pk_value"], order=["at", "seq"])
     rows = routed.select("sink_table", "pk_value", "type", "data", F.col("ts").cast("bigint").alias("at"),
                          F.col("data")["o_orderkey"].cast("bigint").alias("seq"))
     half = F.col("seq") % 2 == 0
@@ -468,9 +468,8 @@ def _cart_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     updates carrying the previous count as ``old``."""
     from strata.operators.sequence import with_previous
     li = load_table(spark, sf_dir, "lineitem").select("l_partkey", *_LINE_ORDER)
-    # rk numbers a part's lines; the streaming twin breaks ties of equal times by it.
-    li = li.withColumns({"q": F.col("l_quantity").cast("int"), "rk": F.row_number().over(
-        Window.partitionBy("l_partkey").orderBy(*_LINE_ORDER)).cast("long")})
+    # The streaming twin breaks ties of equal times by the line's own order.
+    li = li.withColumns({"q": F.col("l_quantity").cast("int"), "line": F.struct(*_LINE_ORDER)})
     prev = with_previous(li, ["l_partkey"], _LINE_ORDER, ["q"], prefix="prev_")
     data = {"id": F.col("l_partkey"), "user_id": F.col("l_suppkey"), "sku_id": F.col("l_partkey"),
             "sku_num": F.col("q"), "source_type": F.col("l_partkey")}
@@ -478,7 +477,7 @@ def _cart_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = F.when(F.col("prev_q").isNotNull(),
                  F.create_map(F.lit("sku_num"), F.col("prev_q").cast("string")))
     cols = derive.envelope("cart_info", typ, F.unix_seconds(F.col("l_shipdate").cast("timestamp")), data)
-    return prev.select(*cols[:5], old.alias("old"), "rk")
+    return prev.select(*cols[:5], old.alias("old"), "line")
 
 
 @register("cart_add", _CART_SQL + """
@@ -490,6 +489,15 @@ def cart_add_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cart_add(_cart_envelopes(spark, sf_dir))
 
 
+@register("cart_add_sql", _CART_SQL + """
+SELECT id, user_id, sku_id, sku_num, ts, source_type, source_type_name FROM named
+""")
+def cart_add_sql_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cart additions and their names from SQL text over views."""
+    from strata import statements
+    return statements.named_cart(statements.cart_add(_cart_envelopes(spark, sf_dir)), _dictionary(spark, sf_dir))
+
+
 def _dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as dictionary rows (code = part key, name = brand). Parts of size 20
     and more carry a code that no fact has, so some lookups find nothing."""
@@ -637,27 +645,122 @@ def _run(start, spark: SparkSession, name: str, *args, **options) -> str:
     return path
 
 
-def _traffic_job(spark: SparkSession, sf_dir: str, name: str) -> str:
-    from strata.streaming import jobs
+def _page_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page log's records as a stream in the order of their time."""
     from strata.streaming.replay import replayed
-    raw = derive.page_log_json(load_table(spark, sf_dir, "events"))
-    return _run(jobs.traffic_window, spark, name, replayed(raw, None, "page-log"), size="1 hour")
+    raw = derive.page_log_json(load_table(spark, sf_dir, "events"), keep=("ts",))
+    return replayed(raw, "ts", "page-log").select("value")
 
 
-@register("stream_traffic_window", _sql_of("traffic_window"))
+# What is behind the final watermark, ten seconds before the largest event time.
+_PASSED = "(SELECT epoch_ms(max(ts)) - 10000 FROM events)"
+
+
+@register("stream_traffic_window", f"""
+SELECT * FROM ({_sql_of("traffic_window")}) WHERE ts <= {_PASSED}
+""")
 def stream_traffic_window_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Streaming traffic window over page-log JSON that arrives shuffled."""
+    """Streaming traffic window over page-log JSON: keyed first visits feed the window
+    aggregate, and every window is emitted when it closes."""
     from strata.streaming import jobs
-    return jobs.read_traffic(spark, _traffic_job(spark, sf_dir, "traffic"), "1 hour")
+    path = _run(jobs.traffic_window, spark, "traffic", _page_log_stream(spark, sf_dir), size="1 hour")
+    return spark.read.parquet(path)
 
 
 @register("stream_uv_first_visit", _sql_of("uv_first_visit"))
 def stream_uv_first_visit_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Streaming first visit per device and day, from the same shuffled log."""
+    """Streaming first visit per device and day, from keyed state."""
     from strata.streaming import jobs
-    first = jobs.read_first_visits(spark, _traffic_job(spark, sf_dir, "first-visit"))
-    return first.select(F.col("mid").cast("bigint").alias("mid"), F.col("day").alias("dt"), "ts",
-                        F.col("log_id").alias("event_id"), "ch")
+    path = _run(jobs.first_visit_log, spark, "first-visit", _page_log_stream(spark, sf_dir))
+    return spark.read.parquet(path).select(
+        F.col("mid").cast("bigint").alias("mid"), F.date_format("ts", "yyyy-MM-dd").alias("dt"),
+        F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("log_id").alias("event_id"), "ch")
+
+
+_SESSION_SQL = """
+WITH e AS (
+  SELECT user_id AS mid, ts, event_id, CAST(round(value * 1000) AS BIGINT) AS during_time,
+         lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev_ts
+  FROM events
+), s AS (
+  SELECT *, count(*) FILTER (prev_ts IS NULL OR ts >= prev_ts + INTERVAL 30 MINUTE)
+              OVER (PARTITION BY mid ORDER BY ts, event_id) AS session
+  FROM e
+)
+SELECT mid, min(ts) AS stt, max(ts) + INTERVAL 30 MINUTE AS edt, count(*) AS pv_ct,
+       CAST(sum(during_time) AS BIGINT) AS dur_sum
+FROM s GROUP BY mid, session
+"""
+
+
+@register("session_window", _SESSION_SQL)
+def session_window_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions per device, parted by 30 minutes of silence."""
+    return traffic.sessions(derive.page_log(load_table(spark, sf_dir, "events")))
+
+
+@register("stream_session_window", f"""
+SELECT * FROM ({_SESSION_SQL}) WHERE epoch_ms(edt) <= {_PASSED}
+""")
+def stream_session_window_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same sessions over the page-log stream, each once the watermark passed it."""
+    from strata.streaming import jobs
+    path = _run(jobs.device_sessions, spark, "sessions", _page_log_stream(spark, sf_dir))
+    return spark.read.parquet(path).withColumn("mid", F.col("mid").cast("bigint"))
+
+
+# Records arrive up to eight days after their time, in eight batches.
+_ARRIVAL = "epoch_ms(ts) + (event_id * 7919) % 97 * 7200000"
+
+_VERSIONS_SQL = f"""
+WITH e AS (
+  SELECT event_id, ts, epoch_ms(ts) AS ms, epoch_ms(time_bucket(INTERVAL 1 HOUR, ts)) AS w,
+         'v' || CAST(user_id % 3 AS VARCHAR) AS vc, CAST(round(value * 1000) AS BIGINT) AS dur, {_ARRIVAL} AS x
+  FROM events
+), placed AS (
+  SELECT *, least(floor((CAST(x AS DOUBLE) - (SELECT min(x) FROM e))
+                        / ((SELECT CAST(max(x) AS DOUBLE) - min(x) FROM e) / 8)), 7) AS b FROM e
+), marks AS (
+  -- The watermark of a batch: the largest time of the batches before it.
+  SELECT n AS b, coalesce((SELECT max(ms) FROM placed WHERE placed.b < n), 0) AS wm FROM range(9) r(n)
+), judged AS (
+  SELECT placed.*, w + 3600000 + 518400000 <= wm AS is_late FROM placed JOIN marks USING (b)
+), sums AS (
+  SELECT w, vc, b, count(*) AS n, sum(dur) AS dur FROM judged WHERE NOT is_late GROUP BY ALL
+), closing AS (
+  SELECT w, vc, (SELECT min(b) FROM marks WHERE w + 3600000 <= wm) AS c
+  FROM (SELECT DISTINCT w, vc FROM sums)
+), fired AS (
+  SELECT w, vc, b FROM sums JOIN closing USING (w, vc) WHERE b >= c
+  UNION
+  SELECT w, vc, c FROM closing WHERE c IS NOT NULL AND EXISTS (
+    SELECT 1 FROM sums s WHERE (s.w, s.vc) = (closing.w, closing.vc) AND s.b < c)
+)
+SELECT 'window' AS kind, strftime(epoch_ms(CAST(w AS BIGINT)), '%Y-%m-%d %H:%M:%S') AS stt, vc,
+       CAST(row_number() OVER (PARTITION BY w, vc ORDER BY fired.b) AS INTEGER) AS version,
+       CAST((SELECT sum(n) FROM sums s WHERE (s.w, s.vc) = (fired.w, fired.vc)
+             AND s.b <= fired.b) AS BIGINT) AS pv_ct,
+       CAST((SELECT sum(dur) FROM sums s WHERE (s.w, s.vc) = (fired.w, fired.vc)
+             AND s.b <= fired.b) AS BIGINT) AS dur_sum, CAST(NULL AS BIGINT) AS log_id
+FROM fired
+UNION ALL
+SELECT 'late', strftime(epoch_ms(CAST(w AS BIGINT)), '%Y-%m-%d %H:%M:%S'), vc, NULL, NULL, NULL, event_id
+FROM judged WHERE is_late
+"""
+
+
+@register("stream_window_versions", _VERSIONS_SQL)
+def stream_window_versions_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly windows that close, are corrected for six days, and set later rows
+    aside: every version of every window, and the late rows."""
+    from strata.streaming import jobs
+    from strata.streaming.replay import replayed
+    raw = derive.page_log_json(load_table(spark, sf_dir, "events"), keep=("ts", "event_id"))
+    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    arrived = raw.select("value", (ms + (F.col("event_id") * 7919) % 97 * 7200000).alias("x"))
+    path = _run(jobs.traffic_versions, spark, "versions", replayed(arrived, "x", "late-log", slices=8),
+                size="1 hour", lateness="6 days", dims=["vc"])
+    return spark.read.parquet(path).select("kind", "stt", "vc", "version", "pv_ct", "dur_sum", "log_id")
 
 
 @register("stream_interval_join", _sql_of("interval_join"))
@@ -675,6 +778,51 @@ def stream_interval_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+_OUTER_SQL = """
+WITH c AS (SELECT user_id, event_id AS click_id, ts AS click_ts FROM events WHERE event_type = 'click'),
+     p AS (SELECT user_id, event_id AS purchase_id, ts AS purchase_ts FROM events WHERE event_type = 'purchase')
+SELECT coalesce(c.user_id, p.user_id) AS user_id, click_id, purchase_id, click_ts, purchase_ts
+FROM c FULL JOIN p ON c.user_id = p.user_id
+ AND purchase_ts BETWEEN click_ts - INTERVAL 10 MINUTE AND click_ts + INTERVAL 10 MINUTE
+"""
+
+
+def _clicks_and_buys(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return (df.where(F.col("event_type") == "click").select(
+                "user_id", F.col("event_id").alias("click_id"), F.col("ts").alias("click_ts")),
+            df.where(F.col("event_type") == "purchase").select(
+                "user_id", F.col("event_id").alias("purchase_id"), F.col("ts").alias("purchase_ts")))
+
+
+@register("full_interval_join", _OUTER_SQL)
+def full_interval_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks and the same user's purchases within ±10 minutes, either alone as well."""
+    from strata.operators.joins import outer_interval_join
+    clicks, buys = _clicks_and_buys(load_table(spark, sf_dir, "events"))
+    joined = outer_interval_join(clicks, buys.withColumnRenamed("user_id", "p_user_id"), "user_id", "p_user_id",
+                                 "click_ts", "purchase_ts", -600, 600)
+    return joined.select(F.coalesce("user_id", "p_user_id").alias("user_id"), "click_id", "purchase_id",
+                         "click_ts", "purchase_ts")
+
+
+@register("stream_full_interval_join", f"""
+WITH mark AS (
+  SELECT least(max(ts) FILTER (event_type = 'click'), max(ts) FILTER (event_type = 'purchase'))
+         - INTERVAL 1 MINUTE - INTERVAL 10 MINUTE AS passed FROM events
+)
+SELECT o.* FROM ({_OUTER_SQL}) o, mark
+WHERE (click_id IS NOT NULL AND purchase_id IS NOT NULL) OR coalesce(click_ts, purchase_ts) < passed
+""")
+def stream_full_interval_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as a stream: pairs as they meet, and what the watermark left alone."""
+    from strata.streaming import jobs
+    from strata.streaming.replay import replayed
+    ev = load_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    stream = replayed(ev, "ts", "clicks-or-purchases")
+    path = _run(jobs.outer_click_purchase_join, spark, "click-or-purchase", *_clicks_and_buys(stream))
+    return spark.read.parquet(path)
+
+
 @register("stream_dim_route", """
 SELECT sink_table, pk_value, column_name, column_value FROM (
 """ + _sql_of("dim_route") + """
@@ -705,7 +853,7 @@ def stream_dim_route_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     drain(jobs.dimension_routing(replayed(raw, None, "dim-data"), path, f"{path}-data-ckpt", jobs.ONCE))
     out = None
     for table in ("dim_nation", "dim_supplier"):
-        d = jobs.read_dimension(spark, path, table)
+        d = jobs.read_dimension(spark, path, table, key="pk_value")
         cols = [c for c in d.columns if c != "pk_value"]
         long = d.select(F.lit(table).alias("sink_table"), "pk_value", F.explode(F.map_from_arrays(
             F.array(*map(F.lit, cols)), F.array(*map(F.col, cols)))).alias("column_name", "column_value"))
@@ -717,6 +865,96 @@ def stream_dim_route_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.unionByName(rejects)
 
 
+@register("stream_dim_catalog", """
+SELECT 'dim_order' AS sink_table, CAST(o_custkey AS VARCHAR) AS k, CAST(o_orderkey AS VARCHAR) AS ts,
+       o_orderstatus AS batch, CAST(o_totalprice AS VARCHAR) AS amount
+FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+      FROM orders)
+WHERE rn = 1 AND o_orderstatus <> 'P'
+UNION ALL SELECT 'dim_customer', CAST(c_custkey AS VARCHAR), NULL, c_name, CAST(c_acctbal AS VARCHAR) FROM customer
+""")
+def stream_dim_catalog_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders per customer and customers, arriving shuffled, routed into the catalog
+    tables that the configuration creates; the rows of ``spark.table``. Some columns
+    are named as the sink's own once were (``ts``, ``batch``)."""
+    import uuid
+
+    from strata import schemas
+    from strata.sinks.catalog_tables import read_table
+    from strata.streaming import jobs
+    from strata.streaming.replay import drain, replayed
+    path = scratch_path(spark, "dim-catalog")
+    database = f"strata_{uuid.uuid4().hex[:12]}"
+    rows = [("r", None, ("orders", None, "dim_order", "dim", "k,ts,batch,amount", "k", None), 1, 1),
+            ("r", None, ("customer", None, "dim_customer", "dim", "k,batch,amount", "k", None), 1, 2)]
+    jobs.preload_config(spark, path, spark.createDataFrame(rows, schemas.CONFIG_CDC))
+    o, c = load_table(spark, sf_dir, "orders"), load_table(spark, sf_dir, "customer")
+    # The time orders a customer's orders by date, then by key.
+    at = F.unix_seconds(F.col("o_orderdate").cast("timestamp")) * 1_000_000_000 + F.col("o_orderkey")
+    gone = F.when(F.col("o_orderstatus") == "P", "delete").otherwise("update")
+    env = o.select(*derive.envelope("orders", gone, at, {
+        "k": F.col("o_custkey"), "ts": F.col("o_orderkey"), "batch": F.col("o_orderstatus"),
+        "amount": F.col("o_totalprice")})).unionByName(c.select(*derive.envelope("customer", "insert", F.lit(1), {
+            "k": F.col("c_custkey"), "batch": F.col("c_name"), "amount": F.col("c_acctbal")})))
+    raw = env.select(F.to_json(F.struct(*env.columns)).alias("value"))
+    drain(jobs.dimension_routing(replayed(raw, None, "dim-catalog-data"), path, f"{path}-ckpt", jobs.ONCE, database))
+    orders = read_table(spark, database, "dim_order")
+    customers = read_table(spark, database, "dim_customer").withColumn("ts", F.lit(None).cast("string"))
+    return orders.select(F.lit("dim_order").alias("sink_table"), "*").unionByName(
+        customers.select(F.lit("dim_customer").alias("sink_table"), "*"))
+
+
+_RECORDS_SQL = """
+WITH a AS (
+  SELECT user_id AS id, event_id AS pos, 1 AS rnk, event_id, event_type, value, true AS gone
+  FROM events WHERE event_type <> 'view'
+  UNION ALL
+  SELECT CASE WHEN event_type = 'signup' THEN -user_id - 1 ELSE user_id END, event_id, 2, event_id, event_type,
+         value, false
+  FROM events WHERE event_type <> 'error'
+)
+SELECT id, event_id, event_type, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY pos DESC, rnk DESC) AS rn FROM a) WHERE rn = 1 AND NOT gone
+"""
+
+
+def _snapshot_and_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot read in four parts while the table changed, and the log from where
+    the read of the first began. Each part holds a state later than the position
+    it is filed under, as its read took time."""
+    from strata.operators.cdc import apply_records
+    log = derive.change_records(load_table(spark, sf_dir, "events"))
+    last = log.agg(F.max("pos")).first()[0] or 0
+    parts = []
+    for k in range(4):
+        low, seen = last * (2 + k) // 10, last * (3 + k) // 10
+        state = apply_records(log.where(F.col("pos") <= seen), "id").where(F.pmod("id", F.lit(4)) == k)
+        row = F.struct("id", "event_id", "event_type", "value")
+        parts.append(state.select(F.lit("r").alias("op"), F.lit(None).cast(log.schema["before"].dataType).alias(
+            "before"), row.alias("after"), F.lit(low).cast("long").alias("pos")))
+    out = log.where(F.col("pos") > last * 2 // 10)
+    for part in parts:
+        out = out.unionByName(part)
+    return out
+
+
+@register("snapshot_log", _RECORDS_SQL)
+def snapshot_log_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table from its snapshot and the log since: what the whole log would give."""
+    from strata.operators.cdc import apply_records
+    return apply_records(_snapshot_and_log(spark, sf_dir), "id")
+
+
+@register("stream_snapshot_log", _RECORDS_SQL)
+def stream_snapshot_log_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records as one stream, snapshot rows and changes shuffled."""
+    from strata.streaming import jobs
+    from strata.streaming.replay import replayed
+    path = _run(jobs.apply_records, spark, "records", replayed(_snapshot_and_log(spark, sf_dir), None, "records"),
+                key="id")
+    return jobs.read_records(spark, path, "id")
+
+
 def _changelog_query(how: str):
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         from strata.streaming import jobs
@@ -749,7 +987,7 @@ def _cart_job(spark: SparkSession, sf_dir: str) -> str:
     from strata.streaming.replay import replayed
     env = _cart_envelopes(spark, sf_dir)
     return _run(jobs.cart_fact, spark, "cart", replayed(env, None, "cart-envelopes"),
-                lambda: _dictionary(spark, sf_dir), tie="rk")
+                lambda: _dictionary(spark, sf_dir), tie="line")
 
 
 @register("stream_lookup_join", _sql_of("lookup_join"))
@@ -769,6 +1007,19 @@ def stream_cart_fact_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.read_cart(spark, _cart_job(spark, sf_dir))
 
 
+@register("stream_cart_sql", _sql_of("cart_add_sql"))
+def stream_cart_sql_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cart job as SQL text: a statement over a streaming view, then one over each
+    micro-batch and a dictionary that is read again when it is an hour old."""
+    from strata.sources.jdbc import Refreshing
+    from strata.streaming import jobs
+    from strata.streaming.replay import replayed
+    dictionary = Refreshing(lambda session: _dictionary(session, sf_dir))
+    path = _run(jobs.cart_statements, spark, "cart-sql", replayed(
+        _cart_envelopes(spark, sf_dir), None, "cart-envelopes"), dictionary.get)
+    return spark.read.parquet(path).drop("batch")
+
+
 @register("stream_sku_order_window", _sql_of("sku_order_window"))
 def stream_sku_order_window_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weekly sku order window with Spark's watermarked streaming aggregation."""
@@ -783,15 +1034,15 @@ def stream_sku_order_window_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("stream_cdc_apply", _sql_of("cdc_apply"))
 def stream_cdc_apply_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``events`` change log, arriving shuffled, applied micro-batch by
-    micro-batch to a keyed log (``error`` rows delete their key)."""
-    from strata.sinks.keyed_log import KeyedLog
+    micro-batch to a log (``error`` rows delete their key)."""
+    from strata.sinks.batch_log import BatchLog
     from strata.streaming import jobs
     from strata.streaming.replay import replayed
     ev = load_table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
     order = ["ts", "event_id"]
     path = _run(jobs.apply_change_stream, spark, "cdc", replayed(ev, None, "changes"), keys=["user_id"],
                 order=order, is_delete=F.col("event_type") == "error")
-    return KeyedLog(spark, path, ["user_id"], order).read()
+    return BatchLog(spark, path, ["user_id"], order).read()
 
 
 @register("stream_late_rows", _sql_of("late_rows"))

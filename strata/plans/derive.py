@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def page_log_json(events: DataFrame) -> DataFrame:
-    """``events`` as raw page-log records (column ``value``). The previous page is
-    named unless the view starts a session (first view, or 30 minutes of silence)."""
+def page_log_json(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``events`` as raw page-log records (column ``value``, and columns to ``keep``). The
+    previous page is named unless the view starts a session (first view, or 30 minutes
+    of silence)."""
     from strata.operators.traffic import page_view_flags
     views = page_view_flags(page_log(events))
     us = F.unix_micros(F.col("ts").cast("timestamp"))
@@ -21,7 +22,22 @@ def page_log_json(events: DataFrame) -> DataFrame:
         F.struct(F.col("mid").cast("string").alias("mid"), "vc", "ch", "ar").alias("common"),
         F.struct(F.when(F.col("sv") == 0, "page").alias("last_page_id"), "during_time").alias("page"),
         F.floor(us / 1000).alias("ts"), F.pmod(us, F.lit(1000)).cast("int").alias("us"),
-        F.col("event_id").alias("id"))).alias("value"))
+        F.col("event_id").alias("id"))).alias("value"), *keep)
+
+
+def change_records(events: DataFrame) -> DataFrame:
+    """``events`` as the log of a table keyed by ``id`` (the user): records ``op, before,
+    after, pos``. ``signup`` gives the user's row another key, ``error`` deletes it."""
+    def row(key: Column) -> Column:
+        return F.struct(key.alias("id"), "event_id", "event_type", "value")
+
+    own, moved = F.col("user_id"), -F.col("user_id") - 1
+    op = F.when(F.col("event_type") == "error", "d").when(F.col("event_type") == "signup", "u").when(
+        F.col("event_type") == "view", "c").otherwise("u")
+    return events.select(
+        op.alias("op"), F.when(op.isin("u", "d"), row(own)).alias("before"),
+        F.when(op != "d", row(F.when(F.col("event_type") == "signup", moved).otherwise(own))).alias("after"),
+        F.col("event_id").alias("pos"))
 
 
 def page_log(events: DataFrame) -> DataFrame:

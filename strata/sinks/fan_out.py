@@ -5,42 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.dim import table_columns
-from strata.sinks.keyed_log import KeyedLog
-
-
-def write_by_destination(routed: DataFrame, base: str, column: str = "sink_table",
-                         mode: str = "append") -> None:
-    """One folder per destination under ``base`` (``<column>=<name>/``), in a
-    single write: rows are grouped by destination inside each task, never
-    collected per table on the driver."""
-    routed.write.mode(mode).partitionBy(column).parquet(base)
-
-
-def destination(spark: SparkSession, base: str, table: str, query: str) -> KeyedLog:
-    """The keyed log of one destination: the greatest numeric ``ts`` of a key wins,
-    equal times by ``tie``."""
-    return KeyedLog(spark, f"{base}/{table}", ["pk_value"], order=["ts", "tie"], query=query)
-
-
-def destination_logs(routed: DataFrame, config: DataFrame, base: str, batch_id: int,
-                     query: str = "") -> None:
-    """``foreachBatch`` helper: append each destination's rows (``sink_table,
-    pk_value, type, ts, data``) to its own log, the payload as one string column
-    per configured column; a ``delete`` removes its key. Columns that a later
-    configuration adds are NULL in older rows. ``routed`` should be persisted;
-    only the destinations' names and columns (config-sized) reach the driver."""
-    wanted: dict[str, list[str]] = {}
-    for r in table_columns(config).orderBy("sink_table", "ordinal").collect():
-        cols = wanted.setdefault(r.sink_table, [])
-        if r.column_name and r.column_name not in cols:
-            cols.append(r.column_name)
-    present = {r[0] for r in routed.select("sink_table").distinct().collect()}
-    taken = {"pk_value", "ts", "tie", "_del", "batch"}
-    for table in sorted(present):
-        rows = routed.where(F.col("sink_table") == table).select(
-            "pk_value", F.col("ts").try_cast("bigint").alias("ts"),
-            F.xxhash64(F.to_json("data"), "type").alias("tie"), (F.col("type") == "delete").alias("_del"),
-            *[F.element_at("data", F.lit(c)).alias(c) for c in wanted.get(table, []) if c not in taken])
-        destination(routed.sparkSession, base, table, query).append(
-            rows, batch_id, is_delete=F.coalesce("_del", F.lit(False)))
+from strata.sinks.batch_log import BatchLog
+
+
+def destinations(spark: SparkSession, base: str) -> BatchLog:
+    """All destinations in one log, a folder each. The greatest numeric ``ts`` of a key
+    wins, equal times by ``tie``; the payload stays one map."""
+    return BatchLog(spark, base, ["pk_value"], order=["ts", "tie"], parts=["sink_table"])
+
+
+def write_destinations(routed: DataFrame, base: str, batch_id: int, run: str | None = None) -> None:
+    """One micro-batch's routed rows (``sink_table, pk_value, type, ts, data``) in one
+    write, however many destinations they name. ``delete`` rows remove their key."""
+    rows = routed.select("sink_table", "pk_value", F.col("ts").try_cast("bigint").alias("ts"),
+                         F.xxhash64(F.to_json("data"), "type").alias("tie"), "type", "data")
+    destinations(routed.sparkSession, base).append(rows, batch_id, F.col("type") == "delete", run)
+
+
+def read_destination(spark: SparkSession, base: str, table: str, columns: list[str],
+                     key: str | None = None) -> DataFrame:
+    """The current rows of one destination: a string column per name in ``columns``
+    (NULL where a payload lacks it), and the key's value as ``key`` if given."""
+    rows = destinations(spark, base).read("pk_value STRING, data MAP<STRING,STRING>",
+                                          where=F.col("part_sink_table") == table)
+    named = [F.element_at("data", F.lit(c)).alias(c) for c in dict.fromkeys(columns)]
+    return rows.select(*([F.col("pk_value").alias(key)] if key else []), *named)

@@ -37,10 +37,11 @@ class Refreshing:
         self._df: DataFrame | None = None
         self._at = 0.0
 
-    def get(self) -> DataFrame:
+    def get(self, *args) -> DataFrame:
+        """The table; ``args`` (such as a micro-batch's session) go to the loader."""
         now = self.clock()
         if self._df is None or now - self._at >= self.max_age_s:
-            fresh = self.loader().persist()
+            fresh = self.loader(*args).persist()
             if self._df is not None:
                 self._df.unpersist()
             self._df, self._at = fresh, now

@@ -1,87 +1,108 @@
-"""Unbounded two-stream joins with retractions, as DataFrame joins per batch.
-
-The rows of both sides are kept in a merge-on-read log. A micro-batch joins only
-what is new: new left rows with all right rows of their keys, and old left rows
-with new right rows. For outer joins a row without a partner is emitted at once
-as ``+I (row, NULL)``; when its key's first partner arrives, that row is
-retracted (``-D``). Old rows are read for the keys of the batch alone.
-
-Both sides travel as struct columns, so no value changes its type on the way.
-Hot keys on either side are ordinary skewed joins, which adaptive execution
-splits. Rows with a NULL key match nothing and are not kept.
+"""Unbounded two-stream joins with retractions, on Spark's keyed state.
+
+Both streams travel as one, tagged by side, to ``transformWithState``: the state of a
+key is one list of rows per side, in RocksDB. A micro-batch touches the keys of its
+own rows only: new left rows meet all right rows of their key, and old left rows the
+new right ones. For outer joins a row without a partner is emitted at once as
+``+I (row, NULL)``; when its key's first partner arrives, that row is retracted
+(``-D``). With a time to live Spark drops each row that long after it came.
+
+Rows keep their types as struct columns. Rows with a NULL key match nothing and are
+not kept; they are dealt over ``NULL_SALTS`` keys. A hot key of the side that a
+``left`` or ``right`` join keeps (or of an inner join's left side) can be dealt over
+``salts`` tasks: each of its rows goes to one of them, each row of the other side to
+all. A full join knows no such side.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from time import time
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-
-from strata.sinks.keyed_log import KeyedLog
-
-
-def tag_sides(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """One stream of both sides: ``side, key, l, r`` (the other side's struct NULL)."""
-    ltype = left.schema.simpleString()
-    rtype = right.schema.simpleString()
-    one = left.select(F.lit("L").alias("side"), F.col(left_key).alias("key"),
-                      F.struct(*left.columns).alias("l"), F.lit(None).cast(rtype).alias("r"))
-    two = right.select(F.lit("R").alias("side"), F.col(right_key).alias("key"),
-                       F.lit(None).cast(ltype).alias("l"), F.struct(*right.columns).alias("r"))
-    return one.unionByName(two)
-
-
-def delta(new: DataFrame, old: DataFrame, how: str) -> DataFrame:
-    """Changes (``op, l, r``) of the join when ``new`` tagged rows meet ``old``."""
-    def side(df: DataFrame, name: str, col: str) -> DataFrame:
-        return df.where(F.col("side") == name).select("key", col)
-
-    ln, rn = side(new, "L", "l"), side(new, "R", "r")
-    lo, ro = side(old, "L", "l"), side(old, "R", "r")
-    insert = F.lit("+I").alias("op")
-    out = ln.join(ro.unionByName(rn), "key").select(insert, "l", "r").unionByName(
-        lo.join(rn, "key").select(insert, "l", "r"))
-
-    def padded(own_new, own_old, other_new, other_old, col, other):
-        empty = F.lit(None).cast(new.schema[other].dataType).alias(other)
-        alone = own_new.join(other_old.unionByName(other_new), "key", "left_anti").select(
-            insert, col, empty)
-        met = own_old.join(other_new, "key", "left_semi").join(other_old, "key", "left_anti").select(
-            F.lit("-D").alias("op"), col, empty)
-        return alone.unionByName(met).select("op", "l", "r")
-
-    if how in ("left", "full"):
-        out = out.unionByName(padded(ln, lo, rn, ro, "l", "r"))
-    if how in ("right", "full"):
-        out = out.unionByName(padded(rn, ro, ln, lo, "r", "l"))
-    return out
-
-
-def changelog_writer(store: Callable[[], KeyedLog], out: str, how: str, ttl_s: float | None = None,
-                     clock: Callable[[], float] = time):
-    """``foreachBatch`` function: write the batch's changes to ``out/batch=<id>``,
-    then keep its rows. With ``ttl_s`` a key without new rows for that long
-    (processing time) has lost its rows, as idle-state retention does."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        now = clock()
-        log = store()
-        batch = batch.persist()
-        try:
-            keys = batch.where(F.col("key").isNotNull()).select("key").distinct()
-            empty = batch.withColumn("at", F.lit(now)).schema
-            old = log.read(empty=empty, before=batch_id).join(keys, "key", "left_semi")
-            if ttl_s is not None:
-                alive = old.groupBy("key").agg(F.max("at").alias("last")).where(
-                    F.col("last") > now - ttl_s).select("key")
-                old = old.join(alive, "key", "left_semi")
-            changes = delta(batch, old, how).select("op", "l.*", "r.*")
-            changes.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-            log.append(batch.where(F.col("key").isNotNull()).withColumn("at", F.lit(now)), batch_id)
-        finally:
-            batch.unpersist()
-    return write
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+NULL_SALTS = 64
+
+
+def tag_sides(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "left",
+              salts: int = 1) -> DataFrame:
+    """One stream of both sides: ``side, key, salt, l, r`` (the other side's struct NULL)."""
+    if salts > 1 and how == "full":
+        raise ValueError("a full join cannot be salted: both sides keep unmatched rows")
+    ltype, rtype = left.schema.simpleString(), right.schema.simpleString()
+    key_type = left.schema[left_key].dataType
+    dealt = "R" if how == "right" else "L"
+
+    def side(df: DataFrame, name: str, key: str, l, r) -> DataFrame:
+        one = F.pmod(F.xxhash64(*df.columns), F.when(F.col(key).isNull(), NULL_SALTS).otherwise(salts))
+        every = F.array(one) if name == dealt else F.when(F.col(key).isNull(), F.array(one)).otherwise(
+            F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
+        return df.select(F.lit(name).alias("side"), F.col(key).cast(key_type).alias("key"),
+                         F.explode(every).alias("salt"), l.alias("l"), r.alias("r"))
+
+    return side(left, "L", left_key, F.struct(*left.columns), F.lit(None).cast(rtype)).unionByName(
+        side(right, "R", right_key, F.lit(None).cast(ltype), F.struct(*right.columns)))
+
+
+class RetractingJoin(StatefulProcessor):
+    def __init__(self, left: T.StructType, right: T.StructType, how: str, ttl_ms: int | None):
+        self.kinds, self.how, self.ttl_ms = {"L": left, "R": right}, how, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.rows = {side: handle.getListState(name, self.kinds[side], self.ttl_ms)
+                     for side, name in (("L", "left_rows"), ("R", "right_rows"))}
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        new: dict[str, list[tuple]] = {"L": [], "R": []}
+        for row in rows:
+            one = row.l if row.side == "L" else row.r
+            # A struct column arrives as a dict or a Row; its fields keep their order.
+            new[row.side].append(tuple(one.values() if isinstance(one, dict) else one))
+        held = key[0] is not None
+        # A side's old rows matter only where the other side has new ones.
+        old = {side: list(self.rows[side].get()) if held and new[other] else []
+               for side, other in (("L", "R"), ("R", "L"))}
+
+        named = Row("op", *self.kinds["L"].names, *self.kinds["R"].names)
+
+        def change(op: str, left: tuple | None, right: tuple | None) -> Row:
+            return named(op, *(left or (None,) * len(self.kinds["L"])), *(right or (None,) * len(self.kinds["R"])))
+
+        def pair(side: str, own, other) -> Row:
+            return change("+I", own, other) if side == "L" else change("+I", other, own)
+
+        for side, other in (("L", "R"), ("R", "L")):
+            padded = self.how in ("full", "left" if side == "L" else "right")
+            partners = old[other] + new[other] if held else []
+            for row in new[side]:
+                if padded and not partners:
+                    yield pair(side, row, None)
+                # Two new rows meet once, as partners of the left one.
+                for partner in partners if side == "L" else old[other]:
+                    yield pair(side, row, partner)
+            if padded and held and new[other] and not old[other]:
+                for row in old[side]:
+                    yield change("-D", row, None) if side == "L" else change("-D", None, row)
+            if held and new[side]:
+                self.rows[side].appendList(new[side])
+
+    def close(self) -> None:
+        pass
+
+
+def changes(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "left",
+            ttl_s: float | None = None, salts: int = 1) -> DataFrame:
+    """The stream of changes (``op``, then the columns of both sides) of the join
+    (inner, left, right, full) of two streams."""
+    if both := {c.lower() for c in left.columns} & {c.lower() for c in right.columns}:
+        raise ValueError(f"rename the columns that both sides have: {sorted(both)}")
+    spec = T.StructType([T.StructField("op", T.StringType()), *[
+        T.StructField(f.name, f.dataType) for f in (*left.schema.fields, *right.schema.fields)]])
+    join = RetractingJoin(left.schema, right.schema, how, None if ttl_s is None else int(ttl_s * 1000))
+    return tag_sides(left, right, left_key, right_key, how, salts).groupBy("key", "salt").transformWithState(
+        join, spec, "Append", "None" if ttl_s is None else "ProcessingTime")
 
 
 def materialize(changes: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.session import scratch_path
-from strata.sinks.files import list_names
+from strata.sinks.batch_log import parquet_or_none
 
 ROWS_PER_FILE = 500_000
 
@@ -64,8 +64,7 @@ def drain(query: StreamingQuery) -> None:
 
 def written(spark: SparkSession, path: str, like: T.StructType | str) -> DataFrame:
     """What a job wrote to ``path``; empty when there was no batch."""
-    names = [n for n in list_names(spark, path) if not n.startswith(("_", "."))]
-    if not names:
+    out = parquet_or_none(spark, path)
+    if out is None:
         return spark.createDataFrame([], like)
-    out = spark.read.parquet(path)
     return out.drop("batch") if "batch" in out.columns else out

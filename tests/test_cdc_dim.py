@@ -121,6 +121,7 @@ def _stream(spark, df, path):
 def test_dimension_jobs_end_to_end(spark, tmp_dir):
     """Preload routes data sent before its config record; a column added mid-stream
     appears; numeric order of ts; deletes; rejects; restart from the checkpoints."""
+    from strata.sinks.catalog_tables import read_table
     from strata.streaming import jobs
     from strata.streaming.replay import drain
     path = f"{tmp_dir}/dim"
@@ -134,7 +135,8 @@ def test_dimension_jobs_end_to_end(spark, tmp_dir):
         if config is not None:
             drain(jobs.config_changes(_stream(spark, config, f"{tmp_dir}/cfg"), path, f"{tmp_dir}/c1", jobs.ONCE,
                                       database="strata_jobs_dim"))
-        drain(jobs.dimension_routing(_stream(spark, data, f"{tmp_dir}/data"), path, f"{tmp_dir}/c2", jobs.ONCE))
+        drain(jobs.dimension_routing(_stream(spark, data, f"{tmp_dir}/data"), path, f"{tmp_dir}/c2", jobs.ONCE,
+                                     "strata_jobs_dim"))
 
     rows = [("shop", "t", "update", "9", {"id": "1", "name": "old"}, None),
             ("shop", "t", "update", "10", {"id": "1", "name": "new"}, None),
@@ -142,7 +144,7 @@ def test_dimension_jobs_end_to_end(spark, tmp_dir):
             ("shop", "t", "insert", "3", {"name": "no key"}, None),
             ("shop", "u", "insert", "3", {"id": "9"}, None)]
     run(_json(_env(spark, rows)).unionByName(spark.createDataFrame([("{bad",)], "value string")), None)
-    got = {r.pk_value: r.name for r in jobs.read_dimension(spark, path, "dim_t").collect()}
+    got = {r.pk_value: r.name for r in jobs.read_dimension(spark, path, "dim_t", "pk_value").collect()}
     assert got == {"1": "new", "2": "gone"}
     reasons = [r.reason for r in spark.read.parquet(f"{path}/rejects").collect()]
     assert sorted(reasons) == ["malformed", "no key"]
@@ -153,10 +155,12 @@ def test_dimension_jobs_end_to_end(spark, tmp_dir):
             ("shop", "t", "delete", "21", {"id": "2"}, None), ("shop", "t", "update", "2", {"id": "1", "name": "late"}, None),
             ("shop", "u", "insert", "30", {"id": "9"}, None)]
     run(_json(_env(spark, more)), grown)
-    dim = jobs.read_dimension(spark, path, "dim_t")
+    dim = jobs.read_dimension(spark, path, "dim_t", "pk_value")
     assert {r.pk_value: (r.name, r.color) for r in dim.collect()} == {"1": ("new", None), "3": ("c", "red")}
     assert dict(dim.dtypes)["color"] == "string"
-    assert [r.pk_value for r in jobs.read_dimension(spark, path, "dim_u").collect()] == ["9"]
-    assert spark.table("strata_jobs_dim.dim_t").columns == ["id", "name", "color"]
+    assert [r.pk_value for r in jobs.read_dimension(spark, path, "dim_u", "pk_value").collect()] == ["9"]
+    table = read_table(spark, "strata_jobs_dim", "dim_t")
+    assert table.columns == ["id", "name", "color"]
+    assert sorted(map(tuple, table.collect())) == [("1", "new", None), ("3", "c", "red")]
     run(_json(_env(spark, [("shop", "u", "delete", "31", {"id": "9"}, None)])), None)
     assert jobs.read_dimension(spark, path, "dim_u").count() == 0

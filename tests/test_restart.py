@@ -1,6 +1,5 @@
 """Restart from a checkpoint: each job stopped after part of its input and started
-again on the rest ends with the batch answer. Keyed logs: replays, owners, order,
-compaction."""
+again on the rest ends with the batch answer."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +11,7 @@ from strata.operators.fact import cart_add, lookup
 from strata.operators.joins import interval_join, keyed_join
 from strata.plans import catalog, derive
 from strata.session import load_table
-from strata.sinks.keyed_log import KeyedLog
+from strata.sinks.batch_log import BatchLog
 from strata.streaming import jobs
 from strata.streaming.replay import drain
 
@@ -43,17 +42,20 @@ def same(a, b):
 
 def test_traffic(spark, tmp_dir):
     events = load_table(spark, SF_SMALL, "events")
-    path = in_two_runs(spark, tmp_dir, [derive.page_log_json(events)],
-                       lambda s, **k: jobs.traffic_window(s, size="1 hour", **k))
+    raw = derive.page_log_json(events, keep=("ts",))
+    path = in_two_runs(spark, tmp_dir, [raw],
+                       lambda s, **k: jobs.traffic_window(s.select("value"), size="1 hour", **k), order="ts")
+    # All windows but those that the last watermark has not passed.
+    last = events.agg(F.max(F.unix_millis(F.col("ts").cast("timestamp")))).first()[0] - 10_000
     log = derive.page_log(events)
-    same(jobs.read_traffic(spark, path, "1 hour"),
-         traffic.traffic_window(traffic.page_view_flags(log), "1 hour"))
+    same(spark.read.parquet(path),
+         traffic.traffic_window(traffic.page_view_flags(log), "1 hour").where(F.col("ts") <= last))
 
 
 def test_cart_fact(spark, tmp_dir):
     env = catalog._cart_envelopes(spark, SF_SMALL)
     dic = catalog._dictionary(spark, SF_SMALL)
-    path = in_two_runs(spark, tmp_dir, [env], lambda s, **k: jobs.cart_fact(s, lambda: dic, tie="rk", **k))
+    path = in_two_runs(spark, tmp_dir, [env], lambda s, **k: jobs.cart_fact(s, lambda: dic, tie="line", **k))
     facts = spark.read.parquet(f"{path}/facts").drop("batch")
     same(facts, lookup(cart_add(env), dic).select(*facts.columns))
 
@@ -91,7 +93,7 @@ def test_cdc(spark, tmp_dir):
     gone, order = F.col("event_type") == "error", ["ts", "event_id"]
     path = in_two_runs(spark, tmp_dir, [ev], lambda s, **k: jobs.apply_change_stream(
         s, keys=["user_id"], order=order, is_delete=gone, **k))
-    same(KeyedLog(spark, path, ["user_id"], order).read(), apply_changes(ev, ["user_id"], order, gone))
+    same(BatchLog(spark, path, ["user_id"], order).read(), apply_changes(ev, ["user_id"], order, gone))
 
 
 def test_sku_window(spark, tmp_dir):
@@ -111,64 +113,3 @@ def test_late_rows(spark, tmp_dir):
         drain(jobs.late_side_output(stream, path, f"{tmp_dir}/ck", ["arrival"], "ts", trigger=jobs.ONCE))
     late = spark.read.parquet(f"{path}/late")
     assert sorted(r.arrival for r in late.collect()) == list(range(7, 40))
-
-
-def _rows(spark, rows, ddl="k string, n long"):
-    return spark.createDataFrame(rows, ddl)
-
-
-def test_replay_overwrites_its_batch(spark, tmp_dir):
-    t = KeyedLog(spark, f"{tmp_dir}/log", ["k"], measures=["n"])
-    t.append(_rows(spark, [("a", 1)]), 0)
-    t.append(_rows(spark, [("a", 2)]), 1)
-    t.append(_rows(spark, [("a", 2)]), 1)  # replay of batch 1
-    assert t.read().first().n == 3
-    u = KeyedLog(spark, f"{tmp_dir}/log", ["k"])
-    u.append(_rows(spark, [("a", 7)]), 2, is_delete=F.lit(True))
-    assert u.read().count() == 0
-
-
-def test_another_query_is_refused(spark, tmp_dir):
-    KeyedLog(spark, f"{tmp_dir}/q", ["k"], query="one").append(_rows(spark, [("a", 1)]), 0)
-    with pytest.raises(ValueError, match="belongs"):
-        KeyedLog(spark, f"{tmp_dir}/q", ["k"], query="two").append(_rows(spark, [("a", 5)]), 0)
-    assert KeyedLog(spark, f"{tmp_dir}/q", ["k"]).read().first().n == 1
-
-
-def test_order_beats_arrival(spark, tmp_dir):
-    t = KeyedLog(spark, f"{tmp_dir}/o", ["k"], order=["ts"], compact_every=0)
-    ddl = "k string, v string, ts long"
-    t.append(_rows(spark, [("a", "new", 10)], ddl), 0)
-    t.append(_rows(spark, [("a", "old", 5), ("b", "x", 9)], ddl), 1)
-    t.append(_rows(spark, [("b", "y", 10)], ddl), 2, is_delete=F.lit(True))
-    t.compact(2)
-    # A tombstone outlives compaction: a change from before the delete stays out.
-    t.append(_rows(spark, [("b", "z", 8)], ddl), 3)
-    assert {r.k: r.v for r in t.read().collect()} == {"a": "new"}
-
-
-def test_compaction_keeps_answers_and_bounds_folders(spark, tmp_dir):
-    t = KeyedLog(spark, f"{tmp_dir}/c", ["k"], measures=["n"], compact_every=5)
-    most = 0
-    for i in range(50):
-        t.append(_rows(spark, [("a", 1), (f"k{i % 3}", i)]), i)
-        most = max(most, len(t.batches()))
-    got = {r.k: r.n for r in t.read().collect()}
-    assert got == {"a": 50, **{f"k{j}": sum(range(j, 50, 3)) for j in range(3)}}
-    assert most <= 12
-    t.append(_rows(spark, [("a", 100)]), 10)  # replay of a compacted batch: nothing
-    t.compact(40)                             # below the snapshot: nothing
-    assert {r.k: r.n for r in t.read().collect()} == got
-    assert t.read(before=0, empty="k string, n long").columns
-    one = spark.read.parquet(f"{tmp_dir}/c/log/batch=49")
-    assert one.count() == 2                   # a batch writes its own rows only
-
-
-def test_empty_batches(spark, tmp_dir):
-    t = KeyedLog(spark, f"{tmp_dir}/e", ["k"])
-    with pytest.raises(ValueError):
-        t.read()
-    assert t.read(empty="k string").count() == 0
-    t.append(_rows(spark, []), 0)
-    t.append(_rows(spark, [("a", 1)]), 1)
-    assert t.read().count() == 1

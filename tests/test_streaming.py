@@ -3,12 +3,14 @@ retracting changelog join."""
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.operators.joins import interval_join
 from strata.operators.parse import parse_delimited
+from strata.sinks.batch_log import parquet_or_none
+from strata.streaming import jobs, state
 from strata.streaming.changelog import materialize
-from strata.streaming import jobs
 
 
 def _write_lines(path, name, lines):
@@ -47,26 +49,43 @@ def _changelog(spark, tmp_dir, steps, how="left", **options):
     """Feed (left rows, right rows) steps one after another; the changes so far."""
     from strata.streaming.replay import drain
     ldl, rdl = "o_orderkey long, o_custkey long, at timestamp", "c_custkey long, c_name string, big long"
-    for i, (left, right) in enumerate(steps):
+    for left, right in steps:
         spark.createDataFrame(left, ldl).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/l")
         spark.createDataFrame(right, rdl).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/r")
         streams = [spark.readStream.schema(d).parquet(f"{tmp_dir}/{n}") for d, n in ((ldl, "l"), (rdl, "r"))]
         drain(jobs.changelog_join(*streams, "o_custkey", "c_custkey", f"{tmp_dir}/j", f"{tmp_dir}/ck", how,
-                                  jobs.ONCE, **{k: v[i] if isinstance(v, list) else v for k, v in options.items()}))
-    return spark.read.parquet(f"{tmp_dir}/j/changes")
+                                  jobs.ONCE, **options))
+    return spark.read.parquet(f"{tmp_dir}/j")
 
 
-def test_changelog_left_join_retracts(spark, tmp_dir):
+STEPS = [([(1, 10, None), (2, 10, None), (4, 40, None), (5, None, None)], []), ([], [(10, "c10", 1)]),
+         ([(3, 10, None)], [(None, "nobody", 2)])]
+
+
+@pytest.mark.parametrize("salts", [1, 3])
+def test_changelog_left_join_retracts(spark, tmp_dir, salts):
     # orders 1 and 2 of customer 10 arrive before it; order 3 after; order 4 has no customer.
-    steps = [([(1, 10, None), (2, 10, None), (4, 40, None), (5, None, None)], []), ([], [(10, "c10", 1)]),
-             ([(3, 10, None)], [(None, "nobody", 2)])]
-    ops = sorted(((r.op, r.o_orderkey, r.c_name) for r in _changelog(spark, tmp_dir, steps).collect()), key=str)
+    changes = _changelog(spark, tmp_dir, STEPS, salts=salts)
+    ops = sorted(((r.op, r.o_orderkey, r.c_name) for r in changes.collect()), key=str)
     assert ops == sorted([("+I", 1, None), ("+I", 2, None), ("-D", 1, None), ("-D", 2, None), ("+I", 5, None),
                           ("+I", 1, "c10"), ("+I", 2, "c10"), ("+I", 3, "c10"), ("+I", 4, None)], key=str)
     assert sorted(((r.o_orderkey, r.c_name) for r in jobs.read_join(spark, f"{tmp_dir}/j").collect()), key=str) == [
         (1, "c10"), (2, "c10"), (3, "c10"), (4, None), (5, None)]
 
 
+def test_changelog_state_holds_rows_by_key(spark, tmp_dir):
+    """The state after each batch; rows with a NULL key are not kept."""
+    _changelog(spark, tmp_dir, STEPS)
+    held = state.rows(spark, f"{tmp_dir}/ck", variable="left_rows")
+    assert sorted((r.key.key, r.list_element.o_orderkey) for r in held.collect()) == [
+        (10, 1), (10, 2), (10, 3), (40, 4)]
+    assert [r.list_element.c_name for r in state.rows(
+        spark, f"{tmp_dir}/ck", variable="right_rows").collect()] == ["c10"]
+    assert state.rows(spark, f"{tmp_dir}/ck", variable="left_rows", batch=0).count() == 3
+    assert [r.operatorName for r in state.operators(spark, f"{tmp_dir}/ck").collect()] == [
+        "transformWithStateInPySparkExec"]
+
+
 def test_changelog_full_join_keeps_types(spark, tmp_dir):
     from datetime import datetime
     big, at = 2 ** 53 + 1, datetime(2024, 1, 2, 3, 4, 5)
@@ -74,29 +93,46 @@ def test_changelog_full_join_keeps_types(spark, tmp_dir):
     _changelog(spark, tmp_dir, steps, how="full")
     rows = sorted(jobs.read_join(spark, f"{tmp_dir}/j").collect())
     assert [(r.o_orderkey, r.at, r.c_name, r.big) for r in rows] == [(1, at, "c7", big), (big, at, "c8", None)]
+    with pytest.raises(ValueError, match="salted"):
+        _changelog(spark, f"{tmp_dir}/s", steps[:1], how="full", salts=2)
+
+
+def _until(query, done, seconds=60):
+    import time
+    end = time.time() + seconds
+    while not done():
+        assert query.isActive and time.time() < end, query.exception()
+        time.sleep(0.5)
+
+
+def test_changelog_idle_rows_leave_the_state(spark, tmp_dir):
+    """With a time to live the query runs on; rows idle that long are gone from the
+    store, and what they emitted is not retracted."""
+    ldl, rdl = "a long, k long", "k2 long, n string"
+    spark.createDataFrame([(1, 10)], ldl).coalesce(1).write.parquet(f"{tmp_dir}/l")
+    spark.createDataFrame([], rdl).coalesce(1).write.parquet(f"{tmp_dir}/r")
+    left, right = (spark.readStream.schema(d).parquet(f"{tmp_dir}/{n}") for d, n in ((ldl, "l"), (rdl, "r")))
+    with pytest.raises(ValueError, match="trigger"):
+        jobs.changelog_join(left, right, "k", "k2", f"{tmp_dir}/j", f"{tmp_dir}/ck", trigger=jobs.ONCE, ttl_s=4)
+    q = jobs.changelog_join(left, right, "k", "k2", f"{tmp_dir}/j", f"{tmp_dir}/ck",
+                            trigger={"processingTime": "1 second"}, ttl_s=4)
 
+    def out():
+        found = parquet_or_none(spark, f"{tmp_dir}/j")
+        return [] if found is None else sorted(((r.op, r.a, r.n) for r in found.collect()), key=str)
 
-def test_changelog_idle_keys_expire(spark, tmp_dir):
-    steps = [([(1, 10, None), (2, 20, None)], []), ([(3, 20, None)], []), ([], [(10, "c10", 1), (20, "c20", 2)])]
-    clocks = [lambda: 0.0, lambda: 50.0, lambda: 101.0]
-    _changelog(spark, tmp_dir, steps, ttl_s=100, clock=clocks)
-    got = sorted(((r.o_orderkey, r.c_name) for r in jobs.read_join(spark, f"{tmp_dir}/j").collect()), key=str)
-    # Key 10 was idle for 101 s and lost its row; key 20 was seen at 50 s.
-    assert got == [(1, None), (2, "c20"), (3, "c20")]
-
-
-def test_running_query_with_idle_state_stops(spark, tmp_dir):
-    """A normal (not once) trigger, stopped by the caller."""
-    left = _batches(spark, tmp_dir, "l", [spark.createDataFrame([(1, 10)], "a long, k long")])
-    right = _batches(spark, tmp_dir, "r", [spark.createDataFrame([(10, "x")], "k2 long, n string")])
-    q = jobs.changelog_join(left, right, "k", "k2", f"{tmp_dir}/j", f"{tmp_dir}/ck",
-                            trigger={"processingTime": "1 second"}, ttl_s=2)
+    def held():
+        return state.rows(spark, f"{tmp_dir}/ck", variable="left_rows").count()
     try:
-        q.processAllAvailable()
-        assert [r.n for r in jobs.read_join(spark, f"{tmp_dir}/j").collect()] == ["x"]
+        _until(q, lambda: out() == [("+I", 1, None)])
+        _until(q, lambda: held() == 0)
+        spark.createDataFrame([(10, "late")], rdl).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/r")
+        spark.createDataFrame([(2, 10)], ldl).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/l")
+        _until(q, lambda: ("+I", 2, "late") in out())
     finally:
         q.stop()
     assert not q.isActive
+    assert [r for r in out() if r[1] == 1] == [("+I", 1, None)]
 
 
 def _page(mid, ts, last=None, **common):
@@ -104,23 +140,135 @@ def _page(mid, ts, last=None, **common):
     return (json.dumps({"common": {"mid": mid, **common}, "page": {"last_page_id": last, "during_time": 5}, "ts": ts}),)
 
 
-def test_traffic_late_rows_and_string_devices(spark, tmp_dir):
-    """A late view moves neither a visitor nor a day back; rejects; lateness."""
+DAY, HOUR, MINUTE = 86_400_000, 3_600_000, 60_000
+
+
+def test_traffic_windows_close_and_rejects(spark, tmp_dir):
+    from strata.streaming.replay import drain
+    t = 10 * DAY + 22 * HOUR
+    parts = [[_page("m-1", t, ch="a"), _page("m-1", t + 1, "p", ch="a"), _page("m-2", t, ch="a")],
+             [_page("m-1", t + 3 * HOUR, ch="a"), ("{bad",), ("{}",)],       # the next day: a visitor again
+             [_page("m-1", t + 3 * HOUR + 1, "p", ch="a")],
+             [_page("m-2", t + 10, ch="a")],                                 # behind the watermark: dropped
+             [_page("m-3", t + 9 * HOUR, ch="a")]]
+    stream = _batches(spark, tmp_dir, "raw", [spark.createDataFrame(p, "value string") for p in parts])
+    drain(jobs.traffic_window(stream, f"{tmp_dir}/t", f"{tmp_dir}/ck", "1 hour", trigger=jobs.ONCE))
+    rows = sorted((r.stt[-8:], r.is_new, r.uv_ct, r.sv_ct, r.pv_ct, r.dur_sum)
+                  for r in spark.read.parquet(f"{tmp_dir}/t").collect())
+    assert rows == [("01:00:00", "0", 1, 1, 2, 10), ("22:00:00", "0", 0, 0, 1, 5), ("22:00:00", "1", 2, 2, 2, 10)]
+    drain(jobs.page_log_rejects(stream, f"{tmp_dir}/bad", f"{tmp_dir}/ck2", jobs.ONCE))
+    assert sorted(r.value for r in spark.read.parquet(f"{tmp_dir}/bad").collect()) == ["{bad", "{}"]
+    names = [r.operatorName for r in state.operators(spark, f"{tmp_dir}/ck").collect()]
+    assert sorted(names) == ["stateStoreSave", "transformWithStateInPySparkExec"]
+    devices = {r.operatorName: r.operatorId for r in state.operators(spark, f"{tmp_dir}/ck").collect()}
+    op = devices["transformWithStateInPySparkExec"]
+    # Every device is known; only days that the watermark has not left are held.
+    assert sorted(r.key.mid for r in state.rows(spark, f"{tmp_dir}/ck", op, "known").collect()) == ["m-1", "m-2", "m-3"]
+    days = [(r.key.mid, r.user_map_key.day) for r in state.rows(spark, f"{tmp_dir}/ck", op, "days").collect()]
+    assert sorted(days) == [("m-1", 11), ("m-3", 11)]
+
+
+def test_windows_are_corrected_and_then_set_late_rows_aside(spark, tmp_dir):
     from strata.streaming.replay import drain
-    day, hour = 86_400_000, 3_600_000
-    late = 10 * day + 23 * hour + 50 * 60_000
-    parts = [[_page("m-1", late, ch="a")], [_page("m-1", 11 * day + 10 * hour, ch="a")],
-             [_page("m-1", late + 5 * 60_000, "p", ch="a"), ("{bad",), ("{}",)],
-             [_page("m-1", 11 * day + 10 * hour + 5 * 60_000, "p", ch="a")], [_page("m-1", late - 1, ch="b")]]
+    t = 10 * DAY
+    parts = [[_page("m", t, ch="a"), _page("m", t + 2 * HOUR, ch="a")],
+             [_page("m", t + 1, ch="a"), _page("m", t + 30 * MINUTE, ch="b")],   # closed, within the lateness
+             [_page("m", t + 5 * HOUR, ch="a")],
+             [_page("m", t + 2, ch="a"), _page("m", t + 5 * HOUR + 1, ch="a")]]  # too late; open
     stream = _batches(spark, tmp_dir, "raw", [spark.createDataFrame(p, "value string") for p in parts])
-    drain(jobs.traffic_window(stream, f"{tmp_dir}/t", f"{tmp_dir}/ck", "1 hour", jobs.ONCE))
-    rows = jobs.read_traffic(spark, f"{tmp_dir}/t", "1 hour").collect()
-    assert sum(r.uv_ct for r in rows) == 2 and sum(r.pv_ct for r in rows) == 5 and sum(r.sv_ct for r in rows) == 3
-    new = [r for r in rows if r.is_new == "1"]
-    assert len(new) == 1 and (new[0].ch, new[0].pv_ct, new[0].uv_ct) == ("b", 1, 1)
-    assert spark.read.parquet(f"{tmp_dir}/t/rejects").count() == 2
-    drain(jobs.traffic_window(stream, f"{tmp_dir}/u", f"{tmp_dir}/ck2", "1 hour", jobs.ONCE, lateness="6 HOURS"))
-    assert spark.read.parquet(f"{tmp_dir}/u/late").count() == 2
+    drain(jobs.traffic_versions(stream, f"{tmp_dir}/v", f"{tmp_dir}/ck", "1 hour", "3 hours", trigger=jobs.ONCE))
+    found = spark.read.parquet(f"{tmp_dir}/v")
+    got = sorted((r.stt[-8:], r.ch, r.version, r.pv_ct, r.dur_sum) for r in found.where("kind = 'window'").collect())
+    assert got == [("00:00:00", "a", 1, 2, 10), ("00:00:00", "b", 1, 1, 5), ("02:00:00", "a", 1, 1, 5)]
+    late = found.where("kind = 'late'").collect()
+    assert [(r.ch, r.late_ts.hour, r.late_ts.microsecond) for r in late] == [("a", 0, 2000)]
+    # Windows past their lateness are gone from the store; two are still open or correctable.
+    held = state.rows(spark, f"{tmp_dir}/ck", variable="window").collect()
+    assert sorted((r.key.w - t) // HOUR for r in held) == [2, 5]
+
+
+def test_sessions_and_outer_join_state(spark, tmp_dir):
+    from strata.streaming.replay import drain
+    t = 10 * DAY
+    views = [[_page("m", t), _page("m", t + 20 * MINUTE)], [_page("m", t + 40 * MINUTE), _page("n", t + 41 * MINUTE)],
+             [_page("m", t + 5 * HOUR)], [_page("x", t + 6 * HOUR)]]
+    stream = _batches(spark, tmp_dir, "raw", [spark.createDataFrame(p, "value string") for p in views])
+    drain(jobs.device_sessions(stream, f"{tmp_dir}/s", f"{tmp_dir}/ck", trigger=jobs.ONCE))
+    assert sorted((r.mid, r.pv_ct, (r.edt - r.stt).seconds // 60) for r in spark.read.parquet(
+        f"{tmp_dir}/s").collect()) == [("m", 1, 30), ("m", 3, 70), ("n", 1, 30)]
+
+    ddl = "user_id long, event_id long, ts timestamp, kind string"
+    base = 1_700_000_000
+
+    def at(s):
+        from datetime import datetime, timezone
+        return datetime.fromtimestamp(base + s, timezone.utc)
+    parts = [[(1, 1, at(0), "c"), (1, 2, at(5), "p"), (2, 3, at(1), "c"), (3, 4, at(2), "p")],
+             [(9, 8, at(9000), "c"), (9, 9, at(9001), "p")], [(8, 10, at(9002), "c"), (7, 11, at(9003), "p")]]
+    ev = _batches(spark, tmp_dir, "ev", [spark.createDataFrame(p, ddl) for p in parts])
+    clicks = ev.where("kind = 'c'").selectExpr("user_id", "event_id click_id", "ts click_ts")
+    buys = ev.where("kind = 'p'").selectExpr("user_id", "event_id purchase_id", "ts purchase_ts")
+    drain(jobs.outer_click_purchase_join(clicks, buys, f"{tmp_dir}/f", f"{tmp_dir}/ck2", trigger=jobs.ONCE))
+    got = {(r.user_id, r.click_id, r.purchase_id) for r in spark.read.parquet(f"{tmp_dir}/f").collect()}
+    assert got == {(1, 1, 2), (2, 3, None), (3, None, 4), (9, 8, 9)}
+    # Only rows that can still find a partner are held.
+    left = state.rows(spark, f"{tmp_dir}/ck2", side="left").select("value.click_id").collect()
+    assert sorted(r.click_id for r in left) == [8, 10]
+
+
+def test_inner_interval_and_window_state_is_evicted(spark, tmp_dir):
+    """J3 and A3: after the watermark has passed, the stores hold recent rows only."""
+    from strata.streaming.replay import drain
+    ddl = "user_id long, event_id long, ts timestamp, kind string"
+    from datetime import datetime, timedelta
+    d = datetime(2024, 1, 1)
+    parts = [[(1, 1, d, "c"), (1, 2, d + timedelta(seconds=5), "p")],
+             [(9, 8, d + timedelta(hours=3), "c"), (9, 9, d + timedelta(hours=3), "p")],
+             [(8, 10, d + timedelta(hours=3, seconds=1), "c"), (8, 11, d + timedelta(hours=3, seconds=1), "p")]]
+    ev = _batches(spark, tmp_dir, "ev", [spark.createDataFrame(p, ddl) for p in parts])
+    clicks = ev.where("kind = 'c'").selectExpr("user_id", "event_id click_id", "ts click_ts")
+    buys = ev.where("kind = 'p'").selectExpr("user_id", "event_id purchase_id", "ts purchase_ts")
+    drain(jobs.click_purchase_join(clicks, buys, f"{tmp_dir}/f", f"{tmp_dir}/ck", trigger=jobs.ONCE))
+    assert spark.read.parquet(f"{tmp_dir}/f").count() == 3
+    left = state.rows(spark, f"{tmp_dir}/ck", side="left").select("value.click_id").distinct().collect()
+    assert sorted(r.click_id for r in left) == [8, 10]
+
+    lines = [[(1, d, 1.0, 0.0)], [(2, d + timedelta(days=40), 1.0, 0.0)], [(3, d + timedelta(days=41), 1.0, 0.0)]]
+    ldl = "l_partkey long, l_shipdate timestamp_ntz, l_extendedprice double, l_discount double"
+    li = _batches(spark, tmp_dir, "li", [spark.createDataFrame(p, ldl) for p in lines])
+    drain(jobs.sku_order_window(li, f"{tmp_dir}/w", f"{tmp_dir}/ck2", trigger=jobs.ONCE))
+    held = state.rows(spark, f"{tmp_dir}/ck2").collect()
+    assert sorted(r.key.l_partkey for r in held) == [2, 3]
+    assert jobs.read_sku_orders(spark, f"{tmp_dir}/w").count() == 3
+
+
+def test_snapshot_rows_never_beat_changes_read_meanwhile(spark, tmp_dir):
+    from strata.operators.cdc import apply_records
+    from strata.streaming.replay import drain
+    row = "struct<id long, v string>"
+    ddl = f"op string, before {row}, after {row}, pos long"
+    log = [("r", None, (1, "read"), 10), ("r", None, (2, "read"), 10), ("r", None, (3, "read"), 20),
+           ("c", None, (1, "before the read"), 9), ("u", (1, "read"), (1, "meanwhile"), 11),
+           ("d", (2, "read"), None, 12), ("u", (3, "x"), (3, "in the read"), 20), ("u", (3, "y"), (33, "moved"), 21),
+           ("c", None, (4, "new"), 22), ("d", (5, "never seen"), None, 23), ("c", None, (None, "no key"), 24)]
+    want = [(1, "meanwhile"), (4, "new"), (33, "moved")]
+    import random
+    for seed in range(3):
+        random.Random(seed).shuffle(log)
+        assert sorted(map(tuple, apply_records(spark.createDataFrame(log, ddl), "id").collect())) == want
+    stream = _batches(spark, tmp_dir, "rec", [spark.createDataFrame([r], ddl) for r in log])
+    drain(jobs.apply_records(stream, f"{tmp_dir}/t", f"{tmp_dir}/ck", "id", jobs.ONCE))
+    assert sorted(map(tuple, jobs.read_records(spark, f"{tmp_dir}/t", "id").collect())) == want
+
+
+def test_statements_take_values_as_parameters(spark):
+    from strata import schemas, statements
+    rows = [("d", "cart_info' OR '1'='1", "insert", "1", {"id": "1", "sku_num": "2", "source_type": "s"}, None),
+            ("d", "cart_info", "insert", "1", {"id": "2", "sku_num": "many", "source_type": "s"}, None),
+            ("d", "cart_info", "update", "1", {"id": "3", "sku_num": "5", "source_type": "s"}, {"sku_num": "3"})]
+    env = spark.createDataFrame(rows, schemas.ENVELOPE)
+    assert [(r.id, r.sku_num) for r in statements.cart_add(env).collect()] == [("3", "2")]
+    assert [r.id for r in statements.cart_add(env, "cart_info' OR '1'='1").collect()] == ["1"]
 
 
 def test_cart_rejects_and_numeric_order(spark, tmp_dir):
