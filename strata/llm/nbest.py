@@ -22,32 +22,33 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from itertools import product
+from itertools import accumulate, chain
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.pieces import Pieces, model_bytes, shared_pieces
+from strata.llm.pieces import SPACE, Pieces, model_bytes, shared_pieces
 
 SCHEMA = ("ids array<int>, n_tokens int, score double, nbest array<struct<score:double,"
           "n_tokens:int,edits:array<struct<at:int,drop:int,ids:array<int>>>>>, round_trip boolean")
-MEMO = 250_000
+MEMO = 400_000   # parts whose best a task remembers
+SLICE = 1 << 18  # ids of one batch of results, about
 
 
 def _forward(part: str, pieces: Pieces):
     """Best score of every position, and the edges (length, score, id) that end there."""
-    goto, fail, matches, unknown = pieces.goto, pieces.fail, pieces.matches, pieces.unknown_score
+    goto, fail, ends = pieces.goto, pieces.fail, pieces.edges
     best, edges, state, end = [0.0], [()], 0, 0
     for c in part:
         while state and c not in goto[state]:
             state = fail[state]
         state = goto[state].get(c, 0)
         end += 1
-        here = matches[state]
-        if not here or here[-1][0] != 1:
-            here = [*here, (1, unknown, -1)]
+        here = ends[state]
         edges.append(here)
         top = -1e300
         for length, score, _ in here:
@@ -105,9 +106,10 @@ def nbest_part(part: str, pieces: Pieces, n: int) -> list[tuple[float, tuple[int
     size = len(part)
     best, edges = _forward(part, pieces)
     out: list[tuple[float, tuple[int, ...]]] = []
-    # (minus the estimate, order of arrival, position, score so far, path)
+    # (minus the estimate, minus the order of arrival, position, score so far, path): of
+    # equal estimates the latest, hence deepest, goes on, or ties would be explored in breadth.
     agenda = [(-best[size], 0, size, 0.0, None)]
-    tick = 1
+    tick = -1
     while agenda and len(out) < n:
         _, _, pos, score, path = heapq.heappop(agenda)
         if pos == 0:
@@ -121,7 +123,7 @@ def nbest_part(part: str, pieces: Pieces, n: int) -> list[tuple[float, tuple[int
             total = score + s
             heapq.heappush(agenda, (-(total + best[pos - length]), tick, pos - length, total,
                                     ((length, piece), path)))
-            tick += 1
+            tick -= 1
     return out
 
 
@@ -143,75 +145,111 @@ def combine(gaps: np.ndarray, ranked, n: int):
         sure = np.flatnonzero(gaps < worst)
         order = np.concatenate([sure, np.flatnonzero(gaps == worst)[:k - len(sure)]])
         order = order[np.isfinite(gaps[order])]
-    options = []
+    # Part after part, only the n best so far can be among the n best of all.
+    found = [(0.0, 0, ())]
     for p in sorted(order.tolist()):
         best = ranked(p)
-        options.append([(best[0][0] - score, (p, ids if j else None))
-                        for j, (score, ids) in enumerate(best)])
-    found = []
-    for choice in product(*options):
-        picked = tuple(c for _, c in choice if c[1] is not None)
-        found.append((sum(loss for loss, c in choice if c[1] is not None), len(picked), picked))
-    return [(loss, picked) for loss, _, picked in heapq.nsmallest(n, found)]
-
-
-def _memos(model: bytes, n: int) -> tuple[dict, dict]:
-    """The worker process's memos: best by part, n best by part."""
-    import sys
-    from zlib import crc32
-    held = sys.__dict__.setdefault("_strata_nbest", {})
-    key = (crc32(model), len(model), n)
-    if key not in held:
-        held.clear()
-        held[key] = ({}, {})
-    return held[key]
+        others = [(best[0][0] - score, (p, ids)) for score, ids in best[1:]]
+        found = heapq.nsmallest(n, found + [
+            (loss + more, k + 1, (*picked, choice)) for loss, k, picked in found for more, choice in others])
+    return [(loss, picked) for loss, _, picked in found]
+
+
+class Memo:
+    """What a task worked out lately: two generations of at most ``size`` short parts."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def find(self, part: str, work):
+        got = self.young.get(part)
+        if got is None:
+            got = self.old.get(part)
+            if got is None:
+                got = work(part)
+            if len(part) <= 64:
+                if len(self.young) >= self.size:
+                    self.old, self.young = self.young, {}
+                self.young[part] = got
+        return got
+
+
+class _Rows:
+    """Results of some documents as flat columns."""
+
+    def __init__(self):
+        self.ids, self.sizes, self.scores, self.trips = [], [], [], []
+        self.best = ([], [], [])              # score, tokens, edits of every segmentation
+        self.edits = ([], [], [])             # at, drop, ids of every edit
+        self.segmentations = []
+
+    def add(self, ids: list[int], score: float, trip: bool, chosen: list, best: list) -> None:
+        self.ids.extend(ids)
+        self.sizes.append(len(ids))
+        self.scores.append(score)
+        self.trips.append(trip)
+        self.segmentations.append(len(chosen))
+        at = list(accumulate((len(x[1]) for x in best), initial=0)) if len(chosen) > 1 else []
+        for loss, picked in chosen:
+            more = 0
+            for p, other in picked:
+                drop = len(best[p][1])
+                more += len(other) - drop
+                for column, value in zip(self.edits, (at[p], drop, list(other)), strict=True):
+                    column.append(value)
+            for column, value in zip(self.best, (score - loss, len(ids) + more, len(picked)), strict=True):
+                column.append(value)
+
+    def batch(self, docs: pa.Array) -> pa.RecordBatch:
+        def lists(sizes: list[int], values: pa.Array) -> pa.Array:
+            return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes, dtype=np.int64)], pa.int32()), values)
+
+        def struct(**columns: pa.Array) -> pa.Array:
+            return pa.StructArray.from_arrays(list(columns.values()), names=list(columns))
+
+        at, drop, other = self.edits
+        edits = struct(at=pa.array(at, pa.int32()), drop=pa.array(drop, pa.int32()),
+                       ids=pa.array(other, pa.list_(pa.int32())))
+        score, tokens, n_edits = self.best
+        nbest = struct(score=pa.array(score, pa.float64()), n_tokens=pa.array(tokens, pa.int32()),
+                       edits=lists(n_edits, edits))
+        return pa.RecordBatch.from_arrays(
+            [docs, lists(self.sizes, pa.array(self.ids, pa.int32())), pa.array(self.sizes, pa.int32()),
+             pa.array(self.scores, pa.float64()), lists(self.segmentations, nbest), pa.array(self.trips, pa.bool_())],
+            names=["id", "ids", "n_tokens", "score", "nbest", "round_trip"])
 
 
 def _encoder(model: bytes, n: int):
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = shared_pieces(model)
-        memo, lists = _memos(model, n)
+        memo, lists = Memo(MEMO // 2), Memo(MEMO // 32)
 
-        def ranked(part: str, first: tuple[int, ...]):
-            got = lists.get(part)
-            if got is None:
-                if len(lists) >= MEMO // 8:
-                    lists.clear()
-                got = _ranked(part, pieces, n, first)
-                if len(part) <= 64:
-                    lists[part] = got
-            return got
-
-        for batch in parts:
-            rows = []
-            for text in batch["text"]:
+        def worked(part: str):
+            got = best_part(part, pieces)
+            return *got, pieces.spelled(got[1]) == part
+
+        for batch in batches:
+            rows, start = _Rows(), 0
+            for k, text in enumerate(batch.column("text")):
+                text = text.as_py()
                 split = pieces.parts(text)
-                best = []
-                for p in split:
-                    got = memo.get(p)
-                    if got is None:
-                        if len(memo) >= MEMO:
-                            memo.clear()
-                        got = best_part(p, pieces)
-                        if len(p) <= 64:
-                            memo[p] = got
-                    best.append(got)
-                ids = [i for x in best for i in x[1]]
-                score = float(sum(x[0] for x in best))
-                gaps = np.array([x[2] for x in best])
-                chosen = combine(gaps, lambda k: ranked(split[k], best[k][1]), n)  # noqa: B023
-                at = np.r_[0, np.cumsum([len(x[1]) for x in best])] if len(chosen) > 1 else None
-                nbest = []
-                for loss, picked in chosen:
-                    edits = [{"at": int(at[p]), "drop": len(best[p][1]), "ids": list(other)}
-                             for p, other in picked]
-                    nbest.append({"score": score - loss, "edits": edits, "n_tokens": len(ids) + sum(
-                        len(e["ids"]) - e["drop"] for e in edits)})
-                rows.append((np.array(ids, np.int32), len(ids), score, nbest,
-                             pieces.decode(ids) == text))
-            out = pd.DataFrame(rows, columns=["ids", "n_tokens", "score", "nbest", "round_trip"])
-            out.insert(0, "id", batch["id"].array)
-            yield out
+                best = list(map(memo.young.get, split))
+                if None in best:
+                    best = [memo.find(p, worked) if x is None else x for p, x in zip(split, best, strict=True)]
+                ids = list(chain.from_iterable(map(itemgetter(1), best)))
+                gaps = np.fromiter(map(itemgetter(2), best), np.float64, len(best))
+
+                def ranked(p: int):
+                    return lists.find(split[p], lambda part: _ranked(part, pieces, n, best[p][1]))  # noqa: B023
+
+                # Parts make up the text, and no character's bytes cross them.
+                trip = SPACE not in text and all(map(itemgetter(3), best))
+                rows.add(ids, float(sum(map(itemgetter(0), best))), trip, combine(gaps, ranked, n), best)
+                if len(rows.ids) >= SLICE or len(rows.sizes) >= SLICE // 512:
+                    yield rows.batch(batch.column("id").slice(start, k + 1 - start))
+                    rows, start = _Rows(), k + 1
+            if rows.sizes:
+                yield rows.batch(batch.column("id").slice(start))
     return run
 
 
@@ -223,7 +261,7 @@ def segmentations(docs: DataFrame, model_path: str, n: int = 4, id_col: str = "d
     narrow = docs.select(F.col(id_col).alias("id"),
                          F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = narrow.schema["id"].dataType.simpleString()
-    return narrow.mapInPandas(_encoder(model_bytes(model_path), n), f"id {kind}, {SCHEMA}")
+    return narrow.mapInArrow(_encoder(model_bytes(model_path), n), f"id {kind}, {SCHEMA}")
 
 
 def edited(ids: list[int], edits: list) -> list[int]:

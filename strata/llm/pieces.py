@@ -27,12 +27,15 @@ class Pieces:
     texts: list[str]
     byte_of: dict[int, int]
     hidden: set[int]
+    odd: set[int] = field(default_factory=set)
     goto: list[dict[str, int]] = field(default_factory=lambda: [{}])
     fail: list[int] = field(default_factory=lambda: [0])
     matches: list[list[tuple[int, float, int]]] = field(default_factory=lambda: [[]])
+    edges: list[list[tuple[int, float, int]]] = field(default_factory=list)
     splitter: re.Pattern | None = None
 
     def build(self) -> Pieces:
+        self.odd = self.hidden | set(self.byte_of)
         goto, fail, matches = self.goto, self.fail, self.matches
         for piece, score in self.scores.items():
             s = 0
@@ -54,6 +57,8 @@ class Pieces:
                 fail[n] = goto[f].get(c, 0)
                 queue.append(n)
             matches[s] = matches[s] + matches[fail[s]]
+        # The same with an unknown character wherever no piece of one character ends.
+        self.edges = [m if m and m[-1][0] == 1 else [*m, (1, self.unknown_score, -1)] for m in matches]
         # Texts part before every run of space marks, and around a line end, where
         # no piece crosses: the best and n-best segmentations of the parts then
         # make up those of the text.
@@ -88,6 +93,13 @@ class Pieces:
 
     def decode(self, ids) -> str:
         """Text of a segmentation; byte pieces join into UTF-8 characters."""
+        text = self.spelled(ids).replace(SPACE, " ")
+        return text[1:] if self.prefix and text.startswith(" ") else text
+
+    def spelled(self, ids) -> str:
+        """The pieces' text as it stands in the lattice."""
+        if self.odd.isdisjoint(ids):
+            return "".join(map(self.texts.__getitem__, ids))
         out, raw = [], bytearray()
         for i in ids:
             b = self.byte_of.get(i)
@@ -101,8 +113,7 @@ class Pieces:
                 out.append(self.texts[i])
         if raw:
             out.append(raw.decode("utf-8", "replace"))
-        text = "".join(out).replace(SPACE, " ")
-        return text[1:] if self.prefix and text.startswith(" ") else text
+        return "".join(out)
 
 
 def load(model: bytes) -> Pieces:
