@@ -47,7 +47,7 @@ def test_run_and_registration(spark):
                      "sentencepiece_nbest"]
     out = corpus_pipeline.run(spark, SF_SMALL)
     assert out.columns[0] == "doc_id" and out.count() > 0
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert chosen_path.NGRAM == 5 and nbest.MEMO
 
 
