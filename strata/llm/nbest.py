@@ -31,12 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.part_lattices import LONGEST, Lattices
 from strata.llm.pieces import SPACE, Pieces, model_bytes, shared_pieces
 
 SCHEMA = ("ids array<int>, n_tokens int, score double, nbest array<struct<score:double,"
           "n_tokens:int,edits:array<struct<at:int,drop:int,ids:array<int>>>>>, round_trip boolean")
 MEMO = 400_000   # parts whose best a task remembers
-SLICE = 1 << 18  # ids of one batch of results, about
+SLICE = 1 << 20  # characters of the texts worked on at once, but for a longer one
 
 
 def _forward(part: str, pieces: Pieces):
@@ -167,12 +168,24 @@ class Memo:
             got = self.old.get(part)
             if got is None:
                 got = work(part)
-            if len(part) <= 64:
+            if len(part) <= LONGEST:
                 if len(self.young) >= self.size:
                     self.old, self.young = self.young, {}
                 self.young[part] = got
         return got
 
+    def all(self, parts: set[str], work) -> dict[str, tuple]:
+        """The results of ``parts``, those unknown from one call of ``work``."""
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+        out = {p: self.young[p] for p in parts if p in self.young}
+        more = {p: self.old[p] for p in parts if p not in out and p in self.old}
+        if new := [p for p in parts if p not in out and p not in more]:
+            more.update(work(new))
+        self.young.update((p, x) for p, x in more.items() if len(p) <= LONGEST)
+        out.update(more)
+        return out
+
 
 class _Rows:
     """Results of some documents as flat columns."""
@@ -222,34 +235,38 @@ class _Rows:
 def _encoder(model: bytes, n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = shared_pieces(model)
-        memo, lists = Memo(MEMO // 2), Memo(MEMO // 32)
+        lattices, memo, lists = Lattices(pieces), Memo(MEMO // 2), Memo(MEMO // 32)
 
-        def worked(part: str):
-            got = best_part(part, pieces)
-            return *got, pieces.spelled(got[1]) == part
+        def solve(parts: list[str]) -> dict[str, tuple]:
+            found = lattices.solve(parts, lambda p: best_part(p, pieces))
+            return {p: (*x, pieces.spelled(x[1]) == p) for p, x in found.items()}
 
-        for batch in batches:
-            rows, start = _Rows(), 0
-            for k, text in enumerate(batch.column("text")):
-                text = text.as_py()
-                split = pieces.parts(text)
-                best = list(map(memo.young.get, split))
-                if None in best:
-                    best = [memo.find(p, worked) if x is None else x for p, x in zip(split, best, strict=True)]
+        def encoded(docs: pa.Array, texts: list[str]) -> pa.RecordBatch:
+            rows, splits = _Rows(), [pieces.parts(x) for x in texts]
+            known = memo.all(set().union(*splits), solve)
+            for text, split in zip(texts, splits, strict=True):
+                best = [known[p] for p in split]
                 ids = list(chain.from_iterable(map(itemgetter(1), best)))
                 gaps = np.fromiter(map(itemgetter(2), best), np.float64, len(best))
 
                 def ranked(p: int):
-                    return lists.find(split[p], lambda part: _ranked(part, pieces, n, best[p][1]))  # noqa: B023
+                    return lists.find(split[p], lambda part: _ranked(part, pieces, n, known[part][1]))  # noqa: B023
 
                 # Parts make up the text, and no character's bytes cross them.
                 trip = SPACE not in text and all(map(itemgetter(3), best))
                 rows.add(ids, float(sum(map(itemgetter(0), best))), trip, combine(gaps, ranked, n), best)
-                if len(rows.ids) >= SLICE or len(rows.sizes) >= SLICE // 512:
-                    yield rows.batch(batch.column("id").slice(start, k + 1 - start))
-                    rows, start = _Rows(), k + 1
-            if rows.sizes:
-                yield rows.batch(batch.column("id").slice(start))
+            return rows.batch(docs)
+
+        for batch in batches:
+            texts, size, start = [], 0, 0
+            for k, text in enumerate(batch.column("text")):
+                texts.append(text.as_py())
+                size += len(texts[-1])
+                if size >= SLICE:
+                    yield encoded(batch.column("id").slice(start, k + 1 - start), texts)
+                    texts, size, start = [], 0, k + 1
+            if texts:
+                yield encoded(batch.column("id").slice(start), texts)
     return run
 
 

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from strata.llm import nbest, token_counts
+from strata.llm.part_lattices import Lattices
 from strata.llm.pieces import load, model_bytes
 from strata.llm.queries import tokenizer
 from tests.llm.helpers import documents
@@ -102,6 +103,17 @@ def test_combine_of_many_needs_no_product(pieces):
     assert all(x <= y + 1e-6 for x, y in zip(losses[1:], pairs, strict=False))
 
 
+def test_many_parts_at_once_equal_one_by_one(pieces):
+    rng = random.Random(8)
+    letters = "abcdeinorst▁é日𝄞x\u0000-='\n"
+    parts = list({"".join(rng.choices(letters, k=rng.randint(1, 70))) for _ in range(3000)}
+                 | {"▁the", "a", "▁", "▁▁▁▁x", "-" * 64, "=" * 63, "\0", "ab\0", "▁international"})
+    found = Lattices(pieces).solve(parts, lambda p: nbest.best_part(p, pieces))
+    assert len(found) == len(parts)
+    for part in parts:
+        assert found[part] == nbest.best_part(part, pieces)
+
+
 TEXTS = [None, "", " ", "a", "  two  spaces \n\n and\tlines\r\n", "é日本 𝄞 \u0000 x",
          "the of and " * 300, "x" * 3000, "a ▁ mark"]
 
