@@ -202,7 +202,7 @@ class _Rows:
         self.scores.append(score)
         self.trips.append(trip)
         self.segmentations.append(len(chosen))
-        at = list(accumulate((len(x[1]) for x in best), initial=0)) if len(chosen) > 1 else []
+        at = list(accumulate(map(len, map(itemgetter(1), best)), initial=0)) if len(chosen) > 1 else []
         for loss, picked in chosen:
             more = 0
             for p, other in picked:

@@ -29,7 +29,8 @@ class Lattices:
         self.keys = np.array([k for k, _ in steps], np.int64)
         self.next = np.array([t for _, t in steps], np.int32)
         self.fail = np.array(pieces.fail, np.int32)
-        many = max(map(len, pieces.edges))
+        self.edges = np.array([len(x) for x in pieces.edges], np.int8)
+        many = int(self.edges.max())
         shape = len(pieces.edges), many
         self.length, self.piece = np.ones(shape, np.int8), np.full(shape, -1, np.int32)
         self.score = np.full(shape, -np.inf)
@@ -65,8 +66,8 @@ class Lattices:
         rows = np.arange(n)
         best, chosen = np.zeros((n, most + 1)), np.zeros((n, most + 1), np.int8)
         for k in range(1, most + 1):
-            here = state[:, k]
-            ways = best[rows[:, None], np.maximum(k - self.length[here], 0)] + self.score[here]
+            here, many = state[:, k], self.edges[state[:, k]].max()
+            ways = best[rows[:, None], np.maximum(k - self.length[here, :many], 0)] + self.score[here, :many]
             chosen[:, k] = ways.argmax(axis=1)
             best[:, k] = ways[rows, chosen[:, k]]
         after = np.full((n, most + 1), NONE)
@@ -76,8 +77,9 @@ class Lattices:
         for k in range(most, 0, -1):
             live = rows[(size >= k) & (after[:, k] > NONE)]
             here, own = state[live, k], chosen[live, k]
-            start = np.maximum(k - self.length[here], 0)
-            ways = self.score[here] + after[live, k][:, None]
+            many = self.edges[here].max(initial=1)
+            start = np.maximum(k - self.length[here, :many], 0)
+            ways = self.score[here, :many] + after[live, k][:, None]
             mine = np.flatnonzero(on[live] == k)
             path[live[mine], k] = self.piece[here[mine], own[mine]]
             on[live[mine]] = start[mine, own[mine]]
