@@ -27,6 +27,7 @@ through; an empty benchmark finds nothing; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from math import ceil, log
 
@@ -227,9 +228,29 @@ def verified(item: list[str], cut: int, passage: list[str], n: int, share: float
     return True
 
 
+# Passages times items that are scored at once.
+MOST_SUMS = 4_000_000
+
+
+def portions(docs: list[np.ndarray], length: int, most: int) -> Iterator[list[tuple[int, int, np.ndarray]]]:
+    """Pieces (document, first word, terms) of at most ``most`` chunks, as many together
+    as make up that number. Neighbouring pieces share a chunk, so no passage is cut."""
+    held, chunks = [], 0
+    for d, terms in enumerate(docs):
+        n = max(1, -(-len(terms) // length))
+        for at in range(0, max(1, n - 1), most - 1):
+            size = min(most, n - at)
+            if held and chunks + size > most:
+                yield held
+                held, chunks = [], 0
+            held.append((d, at * length, terms[at * length:(at + size) * length]))
+            chunks += size
+    if held:
+        yield held
+
+
 def _finder(index: Index, threshold: float, ngram: int, share: float):
-    # Documents per step, so that passages times items stay a few million.
-    step = max(1, min(64, 200_000 // max(1, len(index.words))))
+    step, most = 64, max(2, MOST_SUMS // max(1, len(index.words)))
 
     def hits(words: list[str], ids: np.ndarray, starts: np.ndarray) -> list[tuple[int, float]]:
         best: dict[int, float] = {}
@@ -250,9 +271,13 @@ def _finder(index: Index, threshold: float, ngram: int, share: float):
                 out += [[] for _ in words]
                 continue
             ids = [np.fromiter((get(w, -1) for w in x), np.int64, len(x)) for x in words]
-            for x, i, starts in zip(words, ids, promising(index, ids, threshold), strict=True):
-                out.append([{"item": n, "score": v} for n, v in hits(x, i, starts)]
-                           if len(starts) else [])
+            starts: list[set[int]] = [set() for _ in ids]
+            for some in portions(ids, index.length, most):
+                for (d, at, _), own in zip(some, promising(index, [x for *_, x in some], threshold), strict=True):
+                    starts[d].update((own + at).tolist())
+            for x, i, own in zip(words, ids, starts, strict=True):
+                out.append([{"item": n, "score": v} for n, v in hits(x, i, np.array(sorted(own)))]
+                           if own else [])
         return pd.Series(out, dtype=object)
     return run
 

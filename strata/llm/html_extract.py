@@ -52,7 +52,7 @@ SELF_NESTED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"
                "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 MARKUP = re.compile(
-    r"""<!--.*?(?:-->|\Z)
+    r"""<!--(?:-?>|.*?(?:--!?>|\Z))
     |<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>
     |<(?P<close2>/?)(?P<name2>[a-zA-Z][^\s/>]*+)(?P<attrs2>[^>]*+)(?:>|\Z)
     |<[!?/][^>]*+(?:>|\Z)""", re.S | re.I | re.X)
@@ -602,15 +602,25 @@ def _extractor(weights: dict[str, np.ndarray], hidden: int):
     return run
 
 
+def sample_pages(pages: DataFrame, most: int, url_col: str = "url", html_col: str = "html") -> list[str]:
+    """The pages of the ``most`` smallest hashes (copies count once). The hashes are
+    chosen first, so no task sends more pages than are wanted."""
+    hashed = pages.where(F.length(html_col).between(1, 200_000)).select(
+        F.xxhash64(url_col, html_col).alias("h"), F.col(html_col).alias("html"))
+    wanted = [r.h for r in hashed.select("h").distinct().orderBy("h").limit(most).collect()]
+    if not wanted:
+        return []
+    found = hashed.where(F.col("h").isin(wanted)).groupBy("h").agg(F.any_value("html").alias("html"))
+    return [r.html for r in sorted(found.collect(), key=lambda r: r.h)]
+
+
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
               html_col: str = "html", model: Labeller | None = None,
               fit_pages: int = 150) -> DataFrame:
     """One row per page: page_id, url, text, n_chars. Without ``model`` the
     labeller is trained first, on the driver, in bounded time."""
     if model is None:
-        sample = pages.where(F.length(html_col).between(1, 200_000)).orderBy(
-            F.xxhash64(url_col, html_col)).limit(fit_pages).select(html_col).collect()
-        model = train(marked=[r[0] for r in sample])
+        model = train(marked=sample_pages(pages, fit_pages, url_col, html_col))
     narrow = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),
                           F.col(html_col).alias("html"))
     kind = narrow.schema["page_id"].dataType.simpleString()

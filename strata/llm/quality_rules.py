@@ -222,14 +222,16 @@ def learn_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     The sample is the labelled ids of the smallest hash, so it is the same in
     every run; the bound is also the size bound of its broadcast. Labels other
     than 0 and 1 and null ids are ignored; of several labels of one document
-    the lowest counts.
+    the lowest counts, and of several documents of one id the least text hash.
     """
     k, y, s = fresh(docs, "_fit_id", "_fit_label", "_fit_stats")
     sample = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
               .groupBy(F.col(id_col).alias(k)).agg(F.min(label_col).alias(y))
               .orderBy(F.xxhash64(k), k).limit(max_fit_rows))
+    # A repeated id must not bring more rows than there are ids.
     fit_docs = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text")).join(
-        F.broadcast(sample), F.col("_doc") == F.col(k))
+        F.broadcast(sample), F.col("_doc") == F.col(k)).groupBy(k, y).agg(
+        F.min_by("_text", F.xxhash64("_text")).alias("_text"))
     stats = text_statistics(fit_docs, "_text", s)
     cols = features(F.col(s))
     rows = stats.select(F.col(k), F.col(y), *[c.alias(n) for n, c in cols.items()],

@@ -71,6 +71,28 @@ def test_item_longer_than_a_passage(spark):
     assert row["items"] == [1, 2]
 
 
+def test_long_texts_are_scored_in_portions(spark, monkeypatch):
+    rng = random.Random(11)
+    bench = items(20)
+    texts = []
+    for _ in range(6):
+        words = pseudo_words(rng, 6000, 900)
+        for i in rng.sample(range(20), 4):
+            at = rng.randrange(len(words))
+            words[at:at] = bench[i][1].split()
+        texts.append(" ".join(words))
+    texts += ["", "short text", bench[3][1]]
+    index = q.build_index(bench)
+    ids = [q.np.array([index.terms.get(w, -1) for w in t.split()], int) for t in texts]
+    cut = list(q.portions(ids, index.length, 3))
+    assert max(sum(-(-len(x) // index.length) for *_, x in some) for some in cut) <= 3
+    table = spark.createDataFrame(bench, "item_id int, text string")
+    whole = [r["items"] for r in q.contaminated(documents(spark, texts), table).orderBy("doc_id").collect()]
+    monkeypatch.setattr(q, "MOST_SUMS", 60)  # three passages at once
+    parts = [r["items"] for r in q.contaminated(documents(spark, texts), table).orderBy("doc_id").collect()]
+    assert parts == whole and all(len(x) >= 4 for x in whole[:6])
+
+
 def test_one_side_alone_is_not_enough(spark):
     bench = [(0, "alpha beta gamma delta epsilon zeta eta theta? The answer is forty two lemons today.")]
     table = spark.createDataFrame(bench, "item_id int, text string")

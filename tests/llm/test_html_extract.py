@@ -37,6 +37,9 @@ def test_blocks():
     ("<p>a</p><noscript><p>b</p>c", ["a", "b", "c"]), ("<p>a</p><noscript>b</noscript><p>c</p>", ["a", "b", "c"]),
     ("<p>If <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p><math/><p>b</p>", ["If x = 2 holds", "b"]),
     ("<p>a</p><script src='x' /><p>b</p><script>no</script>", ["a", "b"]),
+    ("<p>one</p><!--><p>two</p><p>three</p>", ["one", "two", "three"]), ("<p>a</p><!---><p>b</p>", ["a", "b"]),
+    ("<p>a</p><!-- no --!><p>b</p>", ["a", "b"]), ("<p>a</p><!----><p>b</p>", ["a", "b"]),
+    ("<p>a</p><!-- no > -- > no --><p>b</p>", ["a", "b"]), ("<p>a</p><!-- no <p>no", ["a"]),
     ("<p>a</p><script>no<p>no", ["a"]), ("<p>a</p><style>no", ["a"]),
     ("<html><head><title>no</title><meta charset=x><p>a</p><p>b", ["a", "b"]),
     ("<head><title>no</title><style>no</style>a<p>b", ["a", "b"]),
@@ -128,3 +131,12 @@ def test_edge_rows(spark, model):
     assert next(r for r in got if r.page_id == 3).n_chars == len("Long words of a text. ") * 20_000 - 1
     empty = spark.createDataFrame([], "page_id int, url string, html string")
     assert q.main_text(empty).count() == 0
+
+
+def test_sample_pages_counts_copies_once(spark):
+    rows = [(k, f"u{k % 5}", f"<p>{k % 5}</p>" * 50) for k in range(400)] + [(900, "u", None), (901, None, "<p>x</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = q.sample_pages(pages, 3)
+    assert len(got) == 3 == len(set(got)) and got == q.sample_pages(pages.orderBy("url"), 3)
+    assert len(q.sample_pages(pages, 50)) == 6
+    assert q.sample_pages(pages.where("false"), 50) == []

@@ -80,6 +80,15 @@ def test_verdicts_follow_the_list_and_nulls_pass(spark):
     assert left.columns == docs.columns and left.count() == 60
 
 
+def test_one_repeated_id_brings_one_row(spark, monkeypatch):
+    text = " ".join(f"word{j}" for j in range(60))
+    docs = documents(spark, [f"{text} {k}" for k in range(300)], ids=[7] * 300)
+    labels = spark.createDataFrame([(7, 1)], "doc_id bigint, quality int")
+    seen = []
+    monkeypatch.setattr(q, "cover", lambda data, bad, **_: seen.append(len(bad)) or [])
+    assert q.learn_rules(docs, labels) == [] and seen == [1]
+
+
 def test_empty_table(spark):
     docs = documents(spark, [])
     labels = spark.createDataFrame([], "doc_id bigint, quality int")
