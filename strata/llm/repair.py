@@ -14,7 +14,7 @@ expansion length (32 bit); per document its first symbol and first token, and
 their totals (32 bit); the symbols (16 or 32 bit). A token is found by the
 symbols' summed expansion lengths and a walk down the rules.
 
-Files are rows of a Parquet table (part, shard, ids of the documents, file), so
+Files are rows of a Parquet table (part, shard, before, ids of the documents, n_tokens, file), so
 any store that Spark writes holds them, and a lost task writes its rows anew.
 
 Order: ascending id, nulls first; rows of equal id by text. Null text is empty:
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain, pairwise
 
 import numpy as np
 import pandas as pd
@@ -36,12 +37,14 @@ from strata.llm.common import written
 from strata.session import shuffle_partitions
 
 MAGIC = b"RPR1"
-# No token of the vocabulary crosses these, nor does its normalisation. Within a
-# chunk none crosses from a Latin-1 letter to plain punctuation at its end: such a
-# letter stays one letter when normalised. Others may end in a mark (U+0130, U+09DF),
-# which the library takes together with the punctuation.
-CHUNK = re.compile(r"[^ \n\t\r]+")
-WORD_AND_STOPS = re.compile(r"([^\W\d_]*[A-Za-zÀ-ÖØ-öø-ÿ])([.,!?;:%$*#&]+)")
+# No token of the vocabulary crosses these, nor does its normalisation.
+BREAKS = "\n\t\r"
+# Characters that stay single letters or marks of their kind when lower-cased and
+# composed, whatever stands beside them: printable ASCII, the letters of Latin-1 and
+# those of basic Cyrillic.
+STABLE = re.compile(r"[!-~À-ÖØ-öø-ÿА-яЁё]+")
+ADDED = "<|"      # a token added to the vocabulary, found before any normalisation, begins so
+JOINED = 64       # words of one call of the library
 
 
 def grammar(ids: np.ndarray, end: int, least: int = 8, batch: int = 512,
@@ -176,17 +179,51 @@ class Shard:
         return self.end_id if symbol == self.end else symbol
 
 
+def _word_tokenizer(model: str):
+    """(tokenizer, pattern, word-end flags): a tokenizer for words that are already
+    normalised, the pattern that finds them in a chunk, and by id whether a token ends
+    a word. None where the model's steps are others than those that this relies on."""
+    import json
+
+    import regex
+    from tokenizers import Tokenizer
+    spec = json.loads(model)
+    steps = (spec.get("normalizer") or {}).get("normalizers", [])
+    splits = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    suffix = spec["model"].get("end_of_word_suffix")
+    if ([x["type"] for x in steps] != ["NFC", "Replace", "Lowercase"]
+            or [x["type"] for x in splits] != ["Split", "ByteLevel"] or not suffix
+            or "Regex" not in splits[0]["pattern"] or not splits[0]["invert"]
+            or splits[0]["behavior"] != "Removed" or splits[1]["use_regex"]
+            or splits[1]["add_prefix_space"]
+            or not all(x["content"].startswith(ADDED) for x in spec["added_tokens"])):
+        return None
+    spec["normalizer"] = None
+    spec["pre_tokenizer"] = {"type": "Sequence",
+                             "pretokenizers": [{"type": "WhitespaceSplit"}, splits[1]]}
+    tokenizer = Tokenizer.from_str(json.dumps(spec))
+    ends = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True), bool)
+    for token, number in tokenizer.get_vocab().items():
+        ends[number] = token.endswith(suffix)
+    return tokenizer, regex.compile(splits[0]["pattern"]["Regex"]), ends
+
+
 class Encoder:
-    """The library's ids of texts, chunk by chunk, each distinct chunk encoded once.
+    """The library's ids of texts, chunk by chunk (the runs between plain white space),
+    each distinct chunk encoded once.
 
     A known chunk is a number; its ids stand in one flat array, so a text's ids are
-    a gather. Past ``limit`` chunks the memo starts anew, which changes no id."""
+    a gather. A new chunk of ``STABLE`` characters is made of words, each of which the
+    library encodes once whatever chunks it is in; any other chunk goes to the library
+    as it is. Past ``limit`` chunks or words a memo starts anew, which changes no id."""
 
     def __init__(self, model: str, limit: int):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(model)
+        self.words = _word_tokenizer(model)
         self.terminals = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.limit = limit
+        self.known: dict[str, tuple[int, ...]] = {}
         self.clear()
 
     def clear(self) -> None:
@@ -194,29 +231,56 @@ class Encoder:
         self.start = np.zeros(1, np.int64)
         self.flat = np.zeros(0, np.int32)
 
-    def _learn(self, chunks: set[str]) -> None:
-        split = {c: m.groups() for c in chunks if (m := WORD_AND_STOPS.fullmatch(c))}
-        parts = list({p for c in chunks for p in split.get(c, (c,))})
-        coded = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        ids = {p: e.ids for p, e in zip(parts, coded, strict=True)}
-        lists = []
-        for c in chunks:
-            self.number[c] = len(self.number)
-            pair = split.get(c)
-            lists.append(ids[pair[0]] + ids[pair[1]] if pair else ids[c])
-        ends = np.cumsum([len(x) for x in lists])
+    def _encode_words(self, new: list[str]) -> None:
+        tokenizer, _, is_end = self.words
+        groups = [new[k:k + JOINED] for k in range(0, len(new), JOINED)]
+        coded = tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
+        for group, e in zip(groups, coded, strict=True):
+            ids, begin = e.ids, 0
+            ends = (np.flatnonzero(is_end[ids]) + 1).tolist()
+            for word, end in zip(group, ends, strict=True):
+                self.known[word] = tuple(ids[begin:end])
+                begin = end
+
+    def _learn(self, chunks: list[str]) -> None:
+        split: list[list[str] | None] = [None] * len(chunks)
+        if self.words:
+            find = self.words[1].findall
+            split = [find(c.lower()) if STABLE.fullmatch(c) and ADDED not in c else None
+                     for c in chunks]
+            used = {w for x in split if x for w in x}
+            new = [w for w in used if w not in self.known]
+            if len(self.known) + len(new) > self.limit:
+                self.known, new = {}, list(used)
+            self._encode_words(new)
+        whole = [c for c, x in zip(chunks, split, strict=True) if x is None]
+        other = iter(self.tokenizer.encode_batch_fast(whole, add_special_tokens=False))
+        flat: list[int] = []
+        ends = np.empty(len(chunks), np.int64)
+        for k, words in enumerate(split):
+            if words is None:
+                flat += next(other).ids
+            else:
+                for w in words:
+                    flat += self.known[w]
+            ends[k] = len(flat)
+        self.number.update(zip(chunks, range(len(self.number), len(self.number) + len(chunks)),
+                               strict=True))
         self.start = np.concatenate([self.start, self.start[-1] + ends])
-        self.flat = np.concatenate([self.flat, np.array([i for x in lists for i in x], np.int32)])
+        self.flat = np.concatenate([self.flat, np.array(flat, np.int32)])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [CHUNK.findall(t) for t in texts]
-        new = {c for x in split for c in x}.difference(self.number)
+        for c in BREAKS:
+            texts = [t.replace(c, " ") for t in texts]
+        # Two breaks in a row leave an empty chunk, which has no ids.
+        split = [t.split(" ") for t in texts]
+        new = set().union(*split).difference(self.number)
         if new and len(self.number) + len(new) > self.limit:
             self.clear()
-            new = {c for x in split for c in x}
+            new = set().union(*split)
         if new:
-            self._learn(new)
-        number = np.fromiter((self.number[c] for x in split for c in x), np.int64,
+            self._learn(list(new))
+        number = np.fromiter(map(self.number.__getitem__, chain.from_iterable(split)), np.int64,
                              sum(map(len, split)))
         begin, count = self.start[number], self.start[number + 1] - self.start[number]
         ends = np.cumsum(count)
@@ -247,11 +311,11 @@ def _shards(model: str, end_id: int, shard_tokens: int, memo_size: int, options:
         part_no, shard_no = TaskContext.get().partitionId(), 0
         names: list = []
         docs: list[np.ndarray] = []
-        held = 0
+        held = before = 0
 
         def flush() -> pd.DataFrame:
-            return pd.DataFrame({"part": [part_no], "shard": [shard_no], "ids": [list(names)],
-                                 "n_tokens": [held],
+            return pd.DataFrame({"part": [part_no], "shard": [shard_no], "before": [before],
+                                 "ids": [list(names)], "n_tokens": [held],
                                  "file": [pack(docs, encoder.terminals, end_id, **options)]})
 
         for part in parts:
@@ -264,6 +328,7 @@ def _shards(model: str, end_id: int, shard_tokens: int, memo_size: int, options:
                     held += len(ids) + 1
                     if held >= shard_tokens:
                         yield flush()
+                        before += held
                         names, docs, held = [], [], 0
                         shard_no += 1
         if docs:
@@ -272,10 +337,10 @@ def _shards(model: str, end_id: int, shard_tokens: int, memo_size: int, options:
 
 
 def write_shards(docs: DataFrame, tokenizer_json: str, end_id: int, id_col: str = "doc_id",
-                 text_col: str = "text", shard_tokens: int = 1 << 18, memo: int = 500_000,
+                 text_col: str = "text", shard_tokens: int = 1 << 18, memo: int = 1_000_000,
                  **options) -> DataFrame:
-    """Encode and write all documents; the written table (part, shard, ids,
-    n_tokens, file). ``end_id`` is appended to each document."""
+    """Encode and write all documents; the written table (part, shard, tokens of the
+    part's shards before, ids, n_tokens, file). ``end_id`` is appended to each document."""
     with open(tokenizer_json, encoding="utf-8") as f:
         model = f.read()
     spark = docs.sparkSession
@@ -286,7 +351,7 @@ def write_shards(docs: DataFrame, tokenizer_json: str, end_id: int, id_col: str
         "id", "text")
     return written(dealt.mapInPandas(
         _shards(model, end_id, shard_tokens, memo, options),
-        f"part int, shard int, ids array<{kind}>, n_tokens long, file binary"), "grammar-shards")
+        f"part int, shard int, before long, ids array<{kind}>, n_tokens long, file binary"), "grammar-shards")
 
 
 def _reader(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -294,11 +359,12 @@ def _reader(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for part in parts:
         for names, data, base in zip(part["ids"], part["file"], part["base"], strict=True):
             shard = Shard(data)
-            docs = [shard.document(k).astype("<u4") for k in range(shard.n_docs)]
+            ids = shard.expand(shard.symbols).astype("<u4").tobytes()
+            at = (4 * shard.first_token).tolist()
             yield pd.DataFrame({
                 "id": pd.Series(list(names), dtype=object),
                 "start": base + shard.first_token[:-1], "n_tokens": np.diff(shard.first_token),
-                "ids_crc32": [crc32(d.tobytes()) for d in docs],
+                "ids_crc32": [crc32(ids[a:b]) for a, b in pairwise(at)],
                 "n_symbols": np.diff(shard.first_symbol)})
 
 
@@ -306,13 +372,10 @@ def read_documents(shards: DataFrame) -> DataFrame:
     """One row per document from the files: id, start, n_tokens, ids_crc32 and
     the number of grammar symbols that store it."""
     kind = shards.schema["ids"].dataType.elementType.simpleString()
-    # One row per range; its number is bounded by the number of partitions.
+    # One row per range, so no more rows than the writer's partitions: a small broadcast.
     ranges = shards.groupBy("part").agg(F.sum("n_tokens").alias("all")).select(
-        F.col("part").alias("p"), (F.sum("all").over(
-            Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))).alias("before"))
-    inside = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    place = shards.select("part", "shard", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))
-                          .alias("within")).join(ranges, F.col("part") == F.col("p")).select(
-        "part", "shard", (F.col("within") + F.coalesce("before", F.lit(0))).alias("base"))
-    return shards.join(place, ["part", "shard"]).select("ids", "file", "base").mapInPandas(
+        F.col("part").alias("p"), F.coalesce(F.sum("all").over(
+            Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("earlier"))
+    placed = shards.join(F.broadcast(ranges), F.col("part") == F.col("p"))
+    return placed.select("ids", "file", (F.col("before") + F.col("earlier")).alias("base")).mapInPandas(
         _reader, f"id {kind}, start long, n_tokens long, ids_crc32 long, n_symbols long")

@@ -94,3 +94,29 @@ def test_null_and_repeated_ids_and_empty_table(spark):
     assert [(r.id, r.n_tokens) for r in sorted(rows, key=lambda r: r.start)] == [
         (None, 1), (None, 2), (1, 2), (1, 2)]
     assert q.read_documents(q.write_shards(documents(spark, []), PATH, 2)).count() == 0
+
+
+def test_words_apart_equal_the_whole_text():
+    """Every way through the memo: stable and other chunks, contractions, added tokens,
+    control characters, both memos starting anew."""
+    from tokenizers import Tokenizer
+    encode = Tokenizer.from_file(PATH)
+    rng = random.Random(8)
+    bits = ["don't", "WE'LL", "'s", "''ve", "ÉTÉ", "straße", "Ёлка", "йод,", "x1y22", "--'d", "<|endoftext|>", "</w>",
+            "a<|b", "́", "é", "ŉ", "µm", "ª", "²", "\x0b", "\x1c", "\xa0", "\x85", "日本", "İ", "…", "_", "\r\n"]
+    texts = ["".join(rng.choice([*bits, " ", "\t", "\n", " "]) for _ in range(rng.randrange(60))) for _ in range(800)]
+    want = [e.ids for e in encode.encode_batch_fast(texts, add_special_tokens=False)]
+    for limit in (1_000_000, 40):
+        mine = q.Encoder(encode.to_str(), limit)
+        got = [x.tolist() for k in range(0, len(texts), 50) for x in mine.encode(texts[k:k + 50])]
+        assert got == want
+
+
+def test_other_tokenizers_are_not_taken_apart():
+    import json
+    with open(PATH, encoding="utf-8") as f:
+        spec = json.load(f)
+    assert q._word_tokenizer(json.dumps(spec)) is not None
+    for change in ({"normalizer": None}, {"pre_tokenizer": None}, {"model": spec["model"] | {"end_of_word_suffix": None}}):
+        assert q._word_tokenizer(json.dumps(spec | change)) is None
+    assert q.Encoder(json.dumps(spec | {"pre_tokenizer": None}), 10).words is None
