@@ -26,10 +26,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain, pairwise
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -246,8 +248,9 @@ class Encoder:
         split: list[list[str] | None] = [None] * len(chunks)
         if self.words:
             find = self.words[1].findall
-            split = [find(c.lower()) if STABLE.fullmatch(c) and ADDED not in c else None
-                     for c in chunks]
+            stable = STABLE.fullmatch
+            split = [None if not stable(c) or ADDED in c
+                     else [c.lower()] if c.isalpha() else find(c.lower()) for c in chunks]
             used = {w for x in split if x for w in x}
             new = [w for w in used if w not in self.known]
             if len(self.known) + len(new) > self.limit:
@@ -270,23 +273,26 @@ class Encoder:
         self.flat = np.concatenate([self.flat, np.array(flat, np.int32)])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        column = pa.array(texts, pa.large_string())
         for c in BREAKS:
-            texts = [t.replace(c, " ") for t in texts]
+            column = pc.replace_substring(column, c, " ")
         # Two breaks in a row leave an empty chunk, which has no ids.
-        split = [t.split(" ") for t in texts]
-        new = set().union(*split).difference(self.number)
+        split = pc.split_pattern(column, " ")
+        coded = split.flatten().dictionary_encode()
+        chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        new = [c for c in chunks if c not in self.number]
         if new and len(self.number) + len(new) > self.limit:
             self.clear()
-            new = set().union(*split)
+            new = chunks
         if new:
-            self._learn(list(new))
-        number = np.fromiter(map(self.number.__getitem__, chain.from_iterable(split)), np.int64,
-                             sum(map(len, split)))
+            self._learn(new)
+        number = np.fromiter(map(self.number.__getitem__, chunks), np.int64, len(chunks))[
+            coded.indices.to_numpy()]
         begin, count = self.start[number], self.start[number + 1] - self.start[number]
         ends = np.cumsum(count)
         total = int(ends[-1]) if len(ends) else 0
         ids = self.flat[np.arange(total) + np.repeat(begin - (ends - count), count)]
-        bound = np.r_[0, ends][np.cumsum([len(x) for x in split])]
+        bound = np.r_[0, ends][np.cumsum(pc.list_value_length(split).to_numpy())]
         return np.split(ids, bound[:-1])
 
 
@@ -304,6 +310,18 @@ def shared_encoder(model: str, limit: int) -> Encoder:
     return memo[key]
 
 
+def slices(texts: list[str], size: int = 1 << 22) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts of ``size`` characters at least, but for the last."""
+    start = held = 0
+    for k, text in enumerate(texts):
+        held += len(text)
+        if held >= size:
+            yield start, k + 1
+            start, held = k + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
+
+
 def _shards(model: str, end_id: int, shard_tokens: int, memo_size: int, options: dict):
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -320,9 +338,9 @@ def _shards(model: str, end_id: int, shard_tokens: int, memo_size: int, options:
 
         for part in parts:
             texts = part["text"].tolist()
-            for lo in range(0, len(texts), 512):
-                coded = encoder.encode(texts[lo:lo + 512])
-                for name, ids in zip(part["id"].iloc[lo:lo + 512], coded, strict=True):
+            for lo, hi in slices(texts):
+                coded = encoder.encode(texts[lo:hi])
+                for name, ids in zip(part["id"].iloc[lo:hi], coded, strict=True):
                     names.append(None if pd.isna(name) else name)
                     docs.append(np.append(ids, np.int32(end_id)))
                     held += len(ids) + 1
