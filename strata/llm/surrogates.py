@@ -7,7 +7,10 @@ from a keyed hash: the same kind, script, letter case, gender and punctuation;
 country prefixes, a card's first digit and a valid check digit are kept up.
 
 Coreference: the surrogate belongs to the canonical form, so every spelling of
-one number, and a surname with or without its given name, stay one entity.
+one number, and a surname with or without its given name, stay one entity. A given
+name's gender is what its titles in the whole corpus agree on, else neutral; it forms
+the surrogate and is no part of the entity. In a document that names a person after a
+title, the same words with a capital letter are replaced wherever else they stand.
 Distinctness: surrogates are checked over the whole corpus; where two entities
 meet in one surrogate, or a surrogate is itself an entity of the corpus, all but
 the smallest entity draw again until no clash is left. After some draws
@@ -42,6 +45,7 @@ FEMALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Doña|Signora|Госпожа|
 NEUTRAL = "Dr|Prof"
 NAME = (rf"(?<!\p{{L}})(?:{MALE}|{FEMALE}|{NEUTRAL})\.? "
         r"\p{Lu}[\p{L}'-]+(?: \p{Lu}[\p{L}'-]+)?")
+MENTION = r"(?<!\p{L})\p{Lu}[\p{L}'-]+"
 KINDS = {"email": EMAIL, "ip": IP, "iban": IBAN, "national": NATIONAL, "card": CARD,
          "phone": PHONE, "name": NAME}
 ANY = "|".join(f"(?:{p})" for p in KINDS.values())
@@ -79,18 +83,19 @@ def _kind(surface: Column) -> Column:
 
 
 def _parts(surface: Column, kind: Column) -> Column:
-    """(kind, canonical form, surface) of an entity's parts; a name has its title
-    (kept), its given name by gender and its surname."""
+    """(kind, canonical form, surface, gender) of an entity's parts; a name has its
+    title (kept), its given name and its surname."""
     words = F.split(surface, " ")
     title = F.regexp_replace(F.get(words, 0), r"\.$", "")
     gender = (F.when(title.rlike(f"^(?:{MALE})$"), "male")
-              .when(title.rlike(f"^(?:{FEMALE})$"), "female").otherwise("any"))
+              .when(title.rlike(f"^(?:{FEMALE})$"), "female"))
 
-    def part(k: Column, canon: Column, shown: Column) -> Column:
-        return F.struct(k.alias("kind"), canon.alias("canon"), shown.alias("shown"))
+    def part(k: Column, canon: Column, shown: Column, of: Column = F.lit(None)) -> Column:
+        return F.struct(k.alias("kind"), canon.alias("canon"), shown.alias("shown"),
+                        of.cast("string").alias("gender"))
 
     keep = part(F.lit("keep"), F.lit(""), F.get(words, 0))
-    given = part(F.concat(F.lit("given_"), gender), F.lower(F.get(words, 1)), F.get(words, 1))
+    given = part(F.lit("given"), F.lower(F.get(words, 1)), F.get(words, 1), gender)
     last = part(F.lit("surname"), F.lower(F.element_at(words, -1)), F.element_at(words, -1))
     plain = F.when(kind == "email", F.lower(surface)).when(kind == "ip", surface) \
         .when(kind == "iban", F.replace(surface, F.lit(" "), F.lit(""))).otherwise(_digits(surface))
@@ -131,24 +136,28 @@ def _luhn_sum(number: Column, last: bool) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.length(number) - 1), F.lit(0), add)
 
 
-def _name(kind: Column, canon: Column, digest: Column) -> Column:
+def _in_script(canon: Column, cyrillic: Column, greek: Column, latin: Column) -> Column:
+    return (F.when(canon.rlike(r"\p{IsCyrillic}"), cyrillic)
+            .when(canon.rlike(r"\p{IsGreek}"), greek).otherwise(latin))
+
+
+def _name(canon: Column, gender: Column, digest: Column) -> Column:
     def syllable(table: list[str], at: int) -> Column:
         return F.get(F.array(*map(F.lit, table)),
                      F.conv(F.substring(digest, at, 1), 16, 10).cast("int"))
 
     def word(script: str) -> Column:
         stem = F.concat(*[syllable(SYLLABLES[script], k) for k in (1, 2, 3)])
-        end = (F.when(kind == "given_male", syllable(ENDINGS[script, "male"], 5))
-               .when(kind == "given_female", syllable(ENDINGS[script, "female"], 5))
+        end = (F.when(gender == "male", syllable(ENDINGS[script, "male"], 5))
+               .when(gender == "female", syllable(ENDINGS[script, "female"], 5))
                .otherwise(syllable(ENDINGS[script, "any"], 5)))
         return F.concat(stem, end)
 
-    return (F.when(canon.rlike(r"\p{IsCyrillic}"), word("cyrillic"))
-            .when(canon.rlike(r"\p{IsGreek}"), word("greek")).otherwise(word("latin")))
+    return _in_script(canon, word("cyrillic"), word("greek"), word("latin"))
 
 
 def draw(todo: DataFrame, key: str) -> DataFrame:
-    """``todo`` (kind, canon, attempt) with the column ``surrogate``. The hash and
+    """``todo`` (kind, canon, gender, attempt) with the column ``surrogate``. The hash and
     what is spelled from it are worked out once per entity."""
     kind, canon, attempt = F.col("kind"), F.col("canon"), F.col("attempt")
     df = computed(todo, "digest", _digest(key, kind, canon, attempt))
@@ -163,7 +172,9 @@ def draw(todo: DataFrame, key: str) -> DataFrame:
     df = computed(df, "spelled", F.when(kind.isin("card", "iban", "phone", "national"),
                                         _spell(canon, drawn["number"], drawn)))
     numbers = F.col("spelled")
-    grown = F.when(attempt >= GROW_AFTER, F.substring(drawn["latin"], 65, 4)).otherwise("")
+    grown = F.when(attempt >= GROW_AFTER, F.substring(_in_script(
+        F.substring_index(canon, "@", 1), drawn["cyrillic"], drawn["greek"], drawn["latin"]),
+        65, 4)).otherwise("")
     domain = F.regexp_extract(canon, r"@(.*)(\.[^.]+)$", 1)
     email = F.concat(_spell(F.substring_index(canon, "@", 1), drawn["number"], drawn), grown,
                      F.lit("@"), _spell(domain, drawn["number"], drawn, backward=True),
@@ -179,12 +190,13 @@ def draw(todo: DataFrame, key: str) -> DataFrame:
     out = (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card)
            .when(kind == "iban", iban).when(kind == "phone", number)
            .when(kind == "national", numbers)
-           .otherwise(F.concat(_name(kind, canon, digest), grown)))
+           .otherwise(F.concat(_name(canon, F.col("gender"), digest), grown)))
     return computed(df, "surrogate", out).drop("digest", "drawn", "spelled")
 
 
 def assign(entities: DataFrame, key: str, max_rounds: int = 40) -> DataFrame:
-    """(kind, canon, surrogate) for the distinct (kind, canon) of ``entities``.
+    """(kind, canon, surrogate) for the distinct (kind, canon) of ``entities``, whose
+    column gender (male, female or null) is optional.
 
     Per round one aggregate finds the surrogates that two entities share and one
     semi-join those that are entities; only the number of clashes reaches the
@@ -193,7 +205,10 @@ def assign(entities: DataFrame, key: str, max_rounds: int = 40) -> DataFrame:
     # Drawing costs far more than its few bytes suggest, so the entities are dealt
     # over all tasks.
     parts = shuffle_partitions(entities.sparkSession)
-    todo = durable(entities.groupBy("kind", "canon").agg(F.lit(0).alias("attempt"))
+    gender = F.col("gender") if "gender" in entities.columns else F.lit(None).cast("string")
+    agreed = F.when(F.min(gender) == F.max(gender), F.min(gender)).otherwise("any")
+    todo = durable(entities.groupBy("kind", "canon").agg(
+        agreed.alias("gender"), F.lit(0).alias("attempt"))
                    .repartition(parts, "kind", "canon"))
     real = todo.select(F.col("kind").alias("k"), F.col("canon").alias("s"))
     drawn = durable(draw(todo, key))
@@ -207,7 +222,7 @@ def assign(entities: DataFrame, key: str, max_rounds: int = 40) -> DataFrame:
         if clash.limit(1).count() == 0:
             return drawn.select("kind", "canon", "surrogate")
         again = drawn.join(clash, ["kind", "canon"]).select(
-            "kind", "canon", (F.col("attempt") + 1).alias("attempt"))
+            "kind", "canon", "gender", (F.col("attempt") + 1).alias("attempt"))
         kept = drawn.join(clash, ["kind", "canon"], "left_anti")
         drawn = durable(kept.unionByName(draw(again.repartition(parts, "kind", "canon"), key)))
     raise ValueError(f"surrogates still clash after {max_rounds} rounds")
@@ -232,6 +247,18 @@ def _render(kind: Column, shown: Column, surrogate: Column) -> Column:
             .when(kind == "iban", fill(r"[A-Z0-9]")).otherwise(cased))
 
 
+def _mentions(text: Column, names: Column) -> Column:
+    """``text`` with the capitalised words that ``names`` (canonical form -> surrogate)
+    holds replaced, in the letter case of each."""
+    def told(w: Column) -> Column:
+        name = F.try_element_at(names, F.lower(w))
+        return F.coalesce(F.when(w == F.upper(w), F.upper(name)).otherwise(F.initcap(name)), w)
+
+    words = F.transform(F.regexp_extract_all(text, F.lit(MENTION), F.lit(0)), told)
+    return F.array_join(F.zip_with(F.split(text, MENTION, -1), F.concat(words, F.array(F.lit(""))),
+                                   lambda a, b: F.concat(a, b)), "")
+
+
 def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text",
                      counts: bool = False) -> DataFrame:
     """``docs`` with surrogates in the text; with ``counts``, also the numbers of
@@ -244,19 +271,27 @@ def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col
     part = found.select("id", "key", "pos", F.posexplode(
         _parts(F.col("surface"), F.col("kind"))).alias("j", "p")).select(
         "id", "key", "pos", "j", "p.*")
-    given = assign(part.where("kind <> 'keep'").select("kind", "canon"), key)
-    told = part.join(given, ["kind", "canon"], "left").select("id", "key", "pos", F.struct(
+    given = assign(part.where("kind <> 'keep'").select("kind", "canon", "gender"), key)
+    name = F.when(F.col("kind").isin("given", "surname"), F.struct("canon", "kind", "surrogate"))
+    told = part.join(given, ["kind", "canon"], "left").select("id", "key", "pos", name.alias("name"), F.struct(
         "j", _render(F.col("kind"), F.col("shown"), F.col("surrogate")).alias("t")).alias("p"))
     whole = told.groupBy("id", "key", "pos").agg(F.array_join(F.transform(
-        F.sort_array(F.collect_list("p")), lambda p: p["t"]), " ").alias("t"))
-    i, k, r, n = fresh(docs, "_pii_id", "_pii_key", "_pii_texts", "_pii_kinds")
+        F.sort_array(F.collect_list("p")), lambda p: p["t"]), " ").alias("t"),
+        F.collect_list("name").alias("names"))
+    i, k, r, n, m = fresh(docs, "_pii_id", "_pii_key", "_pii_texts", "_pii_kinds", "_pii_names")
     texts = whole.groupBy(F.col("id").alias(i), F.col("key").alias(k)).agg(F.transform(
-        F.sort_array(F.collect_list(F.struct("pos", "t"))), lambda x: x["t"]).alias(r))
+        F.sort_array(F.collect_list(F.struct("pos", "t"))), lambda x: x["t"]).alias(r),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("names")))).alias(m))
+    # A word that is a given name and a surname counts as the given name.
+    first = F.filter(m, lambda x, at: (at == 0) | (F.get(F.col(m), at - 1)["canon"] != x["canon"]))
+    texts = texts.withColumn(m, F.when(F.size(m) > 0, F.map_from_entries(F.transform(
+        first, lambda x: F.struct(x["canon"], x["surrogate"])))))
     same = F.col(id_col).eqNullSafe(F.col(i)) & (F.xxhash64(body) == F.col(k))
     out = docs.join(texts, same, "left")
     clean = F.when(F.col(r).isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(
-        F.split(body, ANY, -1), lambda p, x: F.concat(p, F.coalesce(F.get(F.col(r), x), F.lit("")))),
-        ""))
+        F.split(body, ANY, -1), lambda p, x: F.concat(
+            F.when(F.col(m).isNull(), p).otherwise(_mentions(p, F.col(m))),
+            F.coalesce(F.get(F.col(r), x), F.lit("")))), ""))
     columns = [clean.alias(c) if c == text_col else F.col(c) for c in docs.columns]
     if not counts:
         return out.select(*columns)

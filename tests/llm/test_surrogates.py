@@ -83,3 +83,24 @@ def test_plan_has_no_python(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan
     assert out.where(F.col("text").contains("a@b")).count() == 0
+
+
+def test_untitled_mentions_and_titles_of_other_gender(spark):
+    text = "Ms. Maria Rossi met Dr. Maria Rossi. Maria Rossi left, ROSSI said; maria, Rossini and Marias stay."
+    a = run(spark, [text, "Rossi and Maria stand in a document without a title.", "Mr Alex Kent\nMrs Alex Kent. Alex"])
+    m = re.fullmatch(r"Ms\. (\w+) (\w+) met Dr\. (\w+) (\w+)\. (\w+) (\w+) left, (\w+) said; maria, Rossini and Marias stay\.",
+                     a[0].text)
+    assert m[1] == m[3] == m[5] != "Maria" and m[2] == m[4] == m[6] == m[7].title() != "Rossi" and m[7].isupper()
+    assert any(m[1].endswith(e) for e in q.ENDINGS["latin", "female"])
+    assert a[1].text.startswith("Rossi and Maria stand")
+    k = re.fullmatch(r"Mr (\w+) (\w+)\nMrs (\w+) (\w+)\. (\w+)", a[2].text)
+    assert k[1] == k[3] == k[5] and any(k[1].endswith(e) for e in q.ENDINGS["latin", "any"])
+
+
+def test_later_draws_keep_the_script(spark):
+    names = [("surname", "петров"), ("given", "ελένη"), ("email", "иван@пример.рф")]
+    todo = spark.createDataFrame([(k, c, "any", q.GROW_AFTER) for k, c in names],
+                                 "kind string, canon string, gender string, attempt int")
+    got = {r.kind: r.surrogate for r in q.draw(todo, "k").collect()}
+    assert re.fullmatch("[а-яё]+", got["surname"]) and re.fullmatch("[α-ωά-ώ]+", got["given"])
+    assert re.fullmatch(r"[а-яё]{8}@[а-яё]{6}\.рф", got["email"])
