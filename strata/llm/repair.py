@@ -225,7 +225,7 @@ class Encoder:
         self.words = _word_tokenizer(model)
         self.terminals = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.limit = limit
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}    # ids as 32-bit integers
         self.clear()
 
     def clear(self) -> None:
@@ -238,10 +238,11 @@ class Encoder:
         groups = [new[k:k + JOINED] for k in range(0, len(new), JOINED)]
         coded = tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
         for group, e in zip(groups, coded, strict=True):
-            ids, begin = e.ids, 0
-            ends = (np.flatnonzero(is_end[ids]) + 1).tolist()
+            ids = np.array(e.ids, np.int32)
+            begin, ends = 0, (4 * np.flatnonzero(is_end[ids]) + 4).tolist()
+            ids = ids.tobytes()
             for word, end in zip(group, ends, strict=True):
-                self.known[word] = tuple(ids[begin:end])
+                self.known[word] = ids[begin:end]
                 begin = end
 
     def _learn(self, chunks: list[str]) -> None:
@@ -258,19 +259,15 @@ class Encoder:
             self._encode_words(new)
         whole = [c for c, x in zip(chunks, split, strict=True) if x is None]
         other = iter(self.tokenizer.encode_batch_fast(whole, add_special_tokens=False))
-        flat: list[int] = []
-        ends = np.empty(len(chunks), np.int64)
-        for k, words in enumerate(split):
-            if words is None:
-                flat += next(other).ids
-            else:
-                for w in words:
-                    flat += self.known[w]
-            ends[k] = len(flat)
+        known = self.known
+        found = [np.array(next(other).ids, np.int32).tobytes() if x is None
+                 else known[x[0]] if len(x) == 1 else b"".join([known[w] for w in x])
+                 for x in split]
+        ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found))) // 4
         self.number.update(zip(chunks, range(len(self.number), len(self.number) + len(chunks)),
                                strict=True))
         self.start = np.concatenate([self.start, self.start[-1] + ends])
-        self.flat = np.concatenate([self.flat, np.array(flat, np.int32)])
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(found), np.int32)])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         column = pa.array(texts, pa.large_string())
