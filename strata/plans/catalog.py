@@ -645,10 +645,14 @@ def _run(start, spark: SparkSession, name: str, *args, **options) -> str:
     return path
 
 
-def _page_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The page log's records as a stream in the order of their time."""
+def _page_log_stream(spark: SparkSession, sf_dir: str, end_after: str | None = None) -> DataFrame:
+    """The page log's records as a stream in the order of their time; with
+    ``end_after`` a last record comes that long after all others."""
     from strata.streaming.replay import replayed
-    raw = derive.page_log_json(load_table(spark, sf_dir, "events"), keep=("ts",))
+    events = load_table(spark, sf_dir, "events")
+    raw = derive.page_log_json(events, keep=("ts",))
+    if end_after is not None:
+        raw = raw.unionByName(derive.page_log_end(events, end_after))
     return replayed(raw, "ts", "page-log").select("value")
 
 
@@ -656,14 +660,14 @@ def _page_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 _PASSED = "(SELECT epoch_ms(max(ts)) - 10000 FROM events)"
 
 
-@register("stream_traffic_window", f"""
-SELECT * FROM ({_sql_of("traffic_window")}) WHERE ts <= {_PASSED}
-""")
+@register("stream_traffic_window", _sql_of("traffic_window"))
 def stream_traffic_window_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Streaming traffic window over page-log JSON: keyed first visits feed the window
-    aggregate, and every window is emitted when it closes."""
+    aggregate, and every window is emitted when it closes. The log's end record closes
+    the last windows; its own stays open and is never emitted."""
     from strata.streaming import jobs
-    path = _run(jobs.traffic_window, spark, "traffic", _page_log_stream(spark, sf_dir), size="1 hour")
+    stream = _page_log_stream(spark, sf_dir, end_after="1 HOUR 10 SECONDS")
+    path = _run(jobs.traffic_window, spark, "traffic", stream, size="1 hour")
     return spark.read.parquet(path)
 
 

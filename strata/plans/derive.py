@@ -25,6 +25,15 @@ def page_log_json(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         F.col("event_id").alias("id"))).alias("value"), *keep)
 
 
+def page_log_end(events: DataFrame, after: str) -> DataFrame:
+    """The record that ends a page log, ``after`` (an interval) behind its last view: it
+    moves the watermark past all windows that hold views. None for a log without times."""
+    end = events.agg((F.max("ts") + F.expr(f"INTERVAL {after}")).alias("ts")).where(F.col("ts").isNotNull())
+    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    return end.select(F.to_json(F.struct(
+        F.struct(F.lit("end of log").alias("mid")).alias("common"), ms.alias("ts"))).alias("value"), "ts")
+
+
 def change_records(events: DataFrame) -> DataFrame:
     """``events`` as the log of a table keyed by ``id`` (the user): records ``op, before,
     after, pos``. ``signup`` gives the user's row another key, ``error`` deletes it."""
