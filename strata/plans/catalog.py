@@ -645,6 +645,10 @@ def _run(start, spark: SparkSession, name: str, *args, **options) -> str:
     return path
 
 
+# Groups over which keyed state deals its keys or devices.
+STATE_GROUPS = 512
+
+
 def _page_log_stream(spark: SparkSession, sf_dir: str, end_after: str | None = None) -> DataFrame:
     """The page log's records as a stream in the order of their time; with
     ``end_after`` a last record comes that long after all others."""
@@ -965,7 +969,7 @@ def _changelog_query(how: str):
         from strata.streaming.replay import replayed
         o, c = _emp_dept(spark, sf_dir)
         path = _run(jobs.changelog_join, spark, f"changelog-{how}", replayed(o, None, "orders"),
-                    replayed(c, None, "customers"), "o_custkey", "c_custkey", how=how)
+                    replayed(c, None, "customers"), "o_custkey", "c_custkey", how=how, groups=STATE_GROUPS)
         return jobs.read_join(spark, path)
     q.__doc__ = f"Retracting {how} join of order and customer streams; the materialized changelog."
     return q

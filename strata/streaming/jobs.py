@@ -176,13 +176,13 @@ def outer_click_purchase_join(clicks: DataFrame, buys: DataFrame, path: str, che
 
 def changelog_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, path: str,
                    checkpoint: str, how: str = "left", trigger: dict | None = None,
-                   ttl_s: float | None = None, salts: int = 1) -> StreamingQuery:
+                   ttl_s: float | None = None, salts: int = 1, groups: int | None = None) -> StreamingQuery:
     """Retracting join (inner, left, right, full): its changes, appended to ``path``.
     With a time to live the query runs until stopped: Spark then asks for expired
     state in ever new batches, which ``ONCE`` would wait for."""
     if ttl_s is not None and trigger == ONCE:
         raise ValueError("a join with a time to live needs a trigger that goes on")
-    return _append(changes(left, right, left_key, right_key, how, ttl_s, salts), path, checkpoint, trigger)
+    return _append(changes(left, right, left_key, right_key, how, ttl_s, salts, groups), path, checkpoint, trigger)
 
 
 def read_join(spark: SparkSession, path: str) -> DataFrame:

@@ -1,7 +1,11 @@
-"""The keyed state of a streaming query, read from its checkpoint as a table."""
+"""The keyed state of a streaming query: read from its checkpoint as a table, and lists
+whose elements each pack many values."""
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -19,3 +23,14 @@ def rows(spark: SparkSession, checkpoint: str, operator: int = 0, variable: str
     for name, value in (("stateVarName", variable), ("joinSide", side), ("batchId", batch)):
         reader = reader if value is None else reader.option(name, value)
     return reader.load(checkpoint)
+
+
+def pack(values: list) -> tuple[bytes]:
+    """An element of a list state ``packed BINARY`` that holds all ``values``."""
+    return (pickle.dumps(values),)
+
+
+def unpack(packed) -> Iterator:
+    """The values of all elements of such a list state."""
+    for (element,) in packed.get():
+        yield from pickle.loads(element)
