@@ -671,7 +671,7 @@ def stream_traffic_window_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     the last windows; its own stays open and is never emitted."""
     from strata.streaming import jobs
     stream = _page_log_stream(spark, sf_dir, end_after="1 HOUR 10 SECONDS")
-    path = _run(jobs.traffic_window, spark, "traffic", stream, size="1 hour")
+    path = _run(jobs.traffic_window, spark, "traffic", stream, size="1 hour", groups=STATE_GROUPS)
     return spark.read.parquet(path)
 
 
@@ -679,7 +679,7 @@ def stream_traffic_window_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_uv_first_visit_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Streaming first visit per device and day, from keyed state."""
     from strata.streaming import jobs
-    path = _run(jobs.first_visit_log, spark, "first-visit", _page_log_stream(spark, sf_dir))
+    path = _run(jobs.first_visit_log, spark, "first-visit", _page_log_stream(spark, sf_dir), groups=STATE_GROUPS)
     return spark.read.parquet(path).select(
         F.col("mid").cast("bigint").alias("mid"), F.date_format("ts", "yyyy-MM-dd").alias("dt"),
         F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("log_id").alias("event_id"), "ch")

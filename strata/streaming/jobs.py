@@ -82,14 +82,16 @@ def page_log_rejects(raw: DataFrame, path: str, checkpoint: str, trigger: dict |
 
 
 def traffic_window(raw: DataFrame, path: str, checkpoint: str, size: str = "10 seconds",
-                   delay: str = "10 seconds", trigger: dict | None = None) -> StreamingQuery:
+                   delay: str = "10 seconds", trigger: dict | None = None,
+                   groups: int | None = None) -> StreamingQuery:
     """Page-log JSON to windowed pv/uv/sv/duration, each window once, when the
     watermark has passed its end.
 
     Keyed state knows each device's first views and feeds the window aggregate. All
     views go to the aggregate directly, as known devices' and without visitors, so a
     hot window is summed before the shuffle. A first view adds its visitor, and a
-    device's very first moves from the known to the new devices."""
+    device's very first moves from the known to the new devices. ``groups``: see
+    ``first_visits``."""
     views = _views(raw)
     plain = views.withWatermark("ts", delay).select(
         "ts", *TRAFFIC_DIMS, F.lit("0").alias("is_new"), F.lit(0).alias("uv"), _session_start().alias("sv"),
@@ -99,7 +101,7 @@ def traffic_window(raw: DataFrame, path: str, checkpoint: str, size: str = "10 s
         return F.struct(F.lit(is_new).alias("is_new"), F.lit(uv).alias("uv"), (_session_start() * sign).alias("sv"),
                         F.lit(sign).alias("pv"), (F.col("during_time") * sign).alias("during_time"))
 
-    firsts = first_visits(views, delay).select("ts", *TRAFFIC_DIMS, F.explode(F.when(
+    firsts = first_visits(views, delay, groups).select("ts", *TRAFFIC_DIMS, F.explode(F.when(
         F.col("is_new") == "1", F.array(part("1", 1, 1), part("0", 0, -1))).otherwise(
         F.array(part("0", 1, 0)))).alias("p")).select("ts", *TRAFFIC_DIMS, "p.*")
     agg = plain.unionByName(firsts).groupBy(F.window("ts", size).alias("w"), *TRAFFIC_DIMS, "is_new").agg(
@@ -111,9 +113,9 @@ def traffic_window(raw: DataFrame, path: str, checkpoint: str, size: str = "10 s
 
 
 def first_visit_log(raw: DataFrame, path: str, checkpoint: str, delay: str = "10 seconds",
-                    trigger: dict | None = None) -> StreamingQuery:
+                    trigger: dict | None = None, groups: int | None = None) -> StreamingQuery:
     """The first view per device and day, appended as it is found."""
-    return _append(first_visits(_views(raw), delay), path, checkpoint, trigger)
+    return _append(first_visits(_views(raw), delay, groups), path, checkpoint, trigger)
 
 
 def traffic_versions(raw: DataFrame, path: str, checkpoint: str, size: str = "10 seconds",

@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from strata.operators.traffic import STAMP
+from strata.schemas import names
+from strata.streaming.state import pack, unpack
 
 DAY_MS = 86_400_000
 
@@ -62,17 +64,83 @@ class FirstVisits(StatefulProcessor):
         pass
 
 
+class GroupedFirstVisits(StatefulProcessor):
+    """The same for a group of devices at once: two packed lists instead of calls per
+    row, and views as texts."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.known = handle.getListState("known", "packed BINARY")
+        self.days = handle.getListState("days", "packed BINARY")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        mark = timerValues.getCurrentWatermarkInMs()
+        known, days = set(unpack(self.known)), set(unpack(self.days))
+        timed = {day for _, day in days}
+        devices, visits, out = [], [], []
+        views = [view for part in rows for view in zip(part["us"], part["tie"], part["mid"], part["view"], strict=True)]
+        for us, _, mid, view in sorted(views, key=lambda v: v[:2]):
+            ms = us // 1000
+            visit = (mid, ms // DAY_MS)
+            if ms < mark or visit in days:
+                continue
+            ever = mid in known
+            if not ever:
+                known.add(mid)
+                devices.append(mid)
+            days.add(visit)
+            visits.append(visit)
+            out.append((us, mid, view, "0" if ever else "1"))
+        if not out:
+            return
+        found = pd.DataFrame(out, columns=["us", "mid", "view", "is_new"])
+        found.insert(0, "ts", pd.to_datetime(found.pop("us"), unit="us", utc=True))
+        yield found
+        if devices:
+            self.known.appendValue(pack(devices))
+        self.days.appendValue(pack(visits))
+        for day in {day for _, day in visits} - timed:
+            # Once the watermark has left the day, no row of it can count any more.
+            self.handle.registerTimer(int((day + 1) * DAY_MS))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        mark = timerValues.getCurrentWatermarkInMs()
+        days = list(unpack(self.days))
+        held = [(mid, day) for mid, day in days if (day + 1) * DAY_MS > mark]
+        if not held:
+            self.days.clear()
+        elif len(held) < len(days):
+            self.days.put([pack(held)])
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
 FIRST_VISIT = ("ts TIMESTAMP, mid STRING, log_id LONG, vc STRING, ch STRING, ar STRING, during_time LONG, "
                "last_page_id STRING, is_new STRING")
 
 
-def first_visits(views: DataFrame, delay: str) -> DataFrame:
+def first_visits(views: DataFrame, delay: str, groups: int | None = None) -> DataFrame:
     """First view per device and day of a stream of page views (``ts`` TIMESTAMP), in
     the order of arrival between batches and of event time within one; ``is_new`` is
-    '1' on the device's very first. A view behind the watermark is no visit."""
+    '1' on the device's very first. A view behind the watermark is no visit.
+
+    With ``groups`` the devices are dealt over that many keys of the state, for fewer
+    calls to the store; a batch then reads the groups of its devices."""
     rows = earliest_per_day(views.withWatermark("ts", delay)).withColumn("ms", F.unix_millis("ts"))
-    return rows.groupBy("mid").transformWithState(FirstVisits(), FIRST_VISIT, "Append", "EventTime",
-                                                  eventTimeColumnName="ts")
+    if groups is None:
+        return rows.groupBy("mid").transformWithState(FirstVisits(), FIRST_VISIT, "Append", "EventTime",
+                                                      eventTimeColumnName="ts")
+    view = "log_id LONG, vc STRING, ch STRING, ar STRING, during_time LONG, last_page_id STRING"
+    found = rows.select(
+        F.pmod(F.xxhash64("mid"), F.lit(groups)).alias("device_group"), "mid", F.unix_micros("ts").alias("us"),
+        F.coalesce("log_id", F.lit(-1)).alias("tie"), F.to_json(F.struct(*names(view))).alias("view")
+    ).groupBy("device_group").transformWithStateInPandas(
+        GroupedFirstVisits(), "ts TIMESTAMP, mid STRING, view STRING, is_new STRING", "Append", "EventTime",
+        eventTimeColumnName="ts")
+    return found.select("ts", "mid", F.from_json("view", view).alias("v"), "is_new").select(
+        "ts", "mid", "v.*", "is_new")
 
 
 # ---------------------------------------------------------------------------
