@@ -2,7 +2,8 @@
 
 ``replayed`` writes a frame in a few contiguous ranges of an order column, one
 after another, and opens the folder as a file stream that delivers one range per
-micro-batch, oldest first. It is a harness for tests and for the registered
+micro-batch, oldest first. Rows without an order are dealt over files by one write,
+with a file for each core and micro-batch. It is a harness for tests and for the registered
 twins; the jobs themselves take any stream.
 """
 
@@ -26,14 +27,25 @@ def _number(df: DataFrame, col: str):
     return F.col(col).cast("double")
 
 
+def _dealt(df: DataFrame, path: str, slices: int) -> int:
+    """Write ``df`` shuffled, and return the number of files. Each task deals its rows in
+    the order of their hash to all files in turn, so equal rows spread, too."""
+    spark = df.sparkSession
+    parts = slices * spark.sparkContext.defaultParallelism
+    df.repartition(parts).write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
+    return len(spark.read.schema(df.schema).parquet(path).inputFiles())
+
+
 def replayed(df: DataFrame, order: str | None, name: str, slices: int = 4) -> DataFrame:
-    """``df`` as a stream of ``slices`` micro-batches in the order of ``order``;
-    without an order, rows arrive shuffled (by their hash). Each slice has one
-    file per ``ROWS_PER_FILE`` rows of the table."""
+    """``df`` as a stream of ``slices`` micro-batches in the order of ``order``, each
+    of one file per ``ROWS_PER_FILE`` rows of the table; without an order, rows
+    arrive shuffled, in ``slices`` micro-batches at most."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    x = F.xxhash64(F.to_json(F.struct(*df.columns))).cast("double") if order is None else _number(df, order)
-    placed = df.withColumn("_x", x).persist()
+    if order is None:
+        files = _dealt(df, path, slices)
+        return opened(spark, path, df.schema, max(1, -(-files // slices)))
+    placed = df.withColumn("_x", _number(df, order)).persist()
     try:
         lo, hi, n = placed.agg(F.min("_x"), F.max("_x"), F.count(F.lit(1))).first()
         files = max(1, -(-n // (ROWS_PER_FILE * slices)))
