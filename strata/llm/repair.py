@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import pairwise
+from itertools import chain, pairwise, repeat
 
 import numpy as np
 import pandas as pd
@@ -53,7 +53,8 @@ def grammar(ids: np.ndarray, end: int, least: int = 8, batch: int = 512,
             max_rules: int = 8192):
     """(symbols, rules) of one shard's symbols; ``end`` is the largest terminal,
     in no rule, and the first nonterminal comes after it. Rounds go on until no pair
-    occurs ``least`` times or there are ``max_rules`` rules."""
+    occurs ``least`` times or there are ``max_rules`` rules. A round's grid of symbols
+    has ``batch + 1`` squared places at most."""
     # Symbols of 16 bits make pairs of 32, which sort twice as fast.
     narrow = end + 1 + max_rules <= 0x10000
     kind, shift = (np.uint32, 16) if narrow else (np.int64, 32)
@@ -74,15 +75,20 @@ def grammar(ids: np.ndarray, end: int, least: int = 8, batch: int = 512,
             break
         best = np.lexsort((pair, -count))[:room]
         chosen = np.sort(pair[best])
-        # Only where both symbols occur in some chosen pair is the pair looked up.
+        # A grid gives the number of a chosen pair by its symbols; symbols that stand first
+        # (second) in no chosen pair share the empty row (column) 0.
         size = end + 1 + n_rules
-        head, tail = np.zeros(size, bool), np.zeros(size, bool)
-        head[chosen >> kind(shift)] = True
-        tail[chosen & kind((1 << shift) - 1)] = True
-        maybe = np.flatnonzero(head[seq[:-1]] & tail[seq[1:]])
-        slot = np.minimum(np.searchsorted(chosen, code[maybe]), len(chosen) - 1)
-        right = chosen[slot] == code[maybe]
-        hit, slot = maybe[right], slot[right]
+        heads, row = np.unique(chosen >> kind(shift), return_inverse=True)
+        tails, column = np.unique(chosen & kind((1 << shift) - 1), return_inverse=True)
+        head, tail = np.zeros(size, np.int32), np.zeros(size, np.int32)
+        head[heads] = (len(tails) + 1) * np.arange(1, len(heads) + 1)
+        tail[tails] = np.arange(1, len(tails) + 1)
+        grid = np.full((len(heads) + 1) * (len(tails) + 1), -1, np.int32)
+        grid[(row + 1) * (len(tails) + 1) + column + 1] = np.arange(len(chosen))
+        place = head[seq[:-1]] + tail[seq[1:]]
+        slot = grid[place]
+        hit = np.flatnonzero(slot >= 0)
+        slot = slot[hit]
         # Overlapping hits form runs of neighbours; every second one is taken.
         first = np.r_[True, np.diff(hit) > 1]
         begin = hit[first][np.cumsum(first) - 1]
@@ -156,6 +162,14 @@ class Shard:
             out[place[inner]], out[place[inner] + 1] = pair[:, 0], pair[:, 1]
             seq = out
 
+    def all(self) -> np.ndarray:
+        """Ids of the whole shard: each rule is expanded once, symbols copy from that."""
+        size = np.r_[np.ones(self.first, np.int64), self.lengths]
+        flat = np.r_[np.arange(self.end), self.end_id, self.expand(np.arange(self.first, self.first + len(self.rules)))]
+        begin, count = (np.cumsum(size) - size)[self.symbols], size[self.symbols]
+        ends = np.cumsum(count)
+        return flat[np.arange(self.n_tokens) + np.repeat(begin - (ends - count), count)]
+
     def document(self, k: int) -> np.ndarray:
         """Ids of the k-th document; only its own symbols are expanded."""
         return self.expand(self.symbols[self.first_symbol[k]:self.first_symbol[k + 1]])
@@ -246,13 +260,17 @@ class Encoder:
                 begin = end
 
     def _learn(self, chunks: list[str]) -> None:
-        split: list[list[str] | None] = [None] * len(chunks)
+        # A chunk's word, or list of words; None: the library takes it whole.
+        split: list[str | list[str] | None] = [None] * len(chunks)
         if self.words:
             find = self.words[1].findall
             stable = STABLE.fullmatch
-            split = [None if not stable(c) or ADDED in c
-                     else [c.lower()] if c.isalpha() else find(c.lower()) for c in chunks]
-            used = {w for x in split if x for w in x}
+            # Letters of ASCII are stable and hold no added token.
+            split = [c.lower() if c.isascii() and c.isalpha()
+                     else None if not stable(c) or ADDED in c
+                     else c.lower() if c.isalpha() else find(c.lower()) for c in chunks]
+            used = {x for x in split if type(x) is str}
+            used.update(chain.from_iterable(x for x in split if type(x) is list))
             new = [w for w in used if w not in self.known]
             if len(self.known) + len(new) > self.limit:
                 self.known, new = {}, list(used)
@@ -260,7 +278,8 @@ class Encoder:
         whole = [c for c, x in zip(chunks, split, strict=True) if x is None]
         other = iter(self.tokenizer.encode_batch_fast(whole, add_special_tokens=False))
         known = self.known
-        found = [np.array(next(other).ids, np.int32).tobytes() if x is None
+        found = [known[x] if type(x) is str
+                 else np.array(next(other).ids, np.int32).tobytes() if x is None
                  else known[x[0]] if len(x) == 1 else b"".join([known[w] for w in x])
                  for x in split]
         ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found))) // 4
@@ -277,14 +296,15 @@ class Encoder:
         split = pc.split_pattern(column, " ")
         coded = split.flatten().dictionary_encode()
         chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        new = [c for c in chunks if c not in self.number]
-        if new and len(self.number) + len(new) > self.limit:
+        number = np.fromiter(map(self.number.get, chunks, repeat(-1)), np.int64, len(chunks))
+        missing = np.flatnonzero(number < 0)
+        if len(missing) and len(self.number) + len(missing) > self.limit:
             self.clear()
-            new = chunks
-        if new:
-            self._learn(new)
-        number = np.fromiter(map(self.number.__getitem__, chunks), np.int64, len(chunks))[
-            coded.indices.to_numpy()]
+            missing = np.arange(len(chunks))
+        if len(missing):
+            number[missing] = len(self.number) + np.arange(len(missing))
+            self._learn([chunks[k] for k in missing.tolist()])
+        number = number[coded.indices.to_numpy()]
         begin, count = self.start[number], self.start[number + 1] - self.start[number]
         ends = np.cumsum(count)
         total = int(ends[-1]) if len(ends) else 0
@@ -374,7 +394,7 @@ def _reader(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for part in parts:
         for names, data, base in zip(part["ids"], part["file"], part["base"], strict=True):
             shard = Shard(data)
-            ids = shard.expand(shard.symbols).astype("<u4").tobytes()
+            ids = shard.all().astype("<u4").tobytes()
             at = (4 * shard.first_token).tolist()
             yield pd.DataFrame({
                 "id": pd.Series(list(names), dtype=object),

@@ -120,3 +120,49 @@ def test_other_tokenizers_are_not_taken_apart():
     for change in ({"normalizer": None}, {"pre_tokenizer": None}, {"model": spec["model"] | {"end_of_word_suffix": None}}):
         assert q._word_tokenizer(json.dumps(spec | change)) is None
     assert q.Encoder(json.dumps(spec | {"pre_tokenizer": None}), 10).words is None
+
+
+def plain_round(seq, end, n_rules, least, batch):
+    """One round of the grammar in plain Python: (symbols, pairs)."""
+    counts = {}
+    for a, b in zip(seq, seq[1:]):
+        if end not in (a, b):
+            counts[a, b] = counts.get((a, b), 0) + 1
+    best = sorted((p for p in counts if counts[p] >= least), key=lambda p: (-counts[p], p))[:batch]
+    number = {p: end + 1 + n_rules + k for k, p in enumerate(sorted(best))}
+    out, k, run = [], 0, False
+    while k < len(seq):
+        pair = tuple(seq[k:k + 2])
+        if pair in number and not run:
+            out.append(number[pair])
+            run = True     # its second symbol is taken; a hit there is the run's next
+        elif run:
+            run = False
+        else:
+            out.append(seq[k])
+        k += 1
+    return out, sorted(best)
+
+
+def test_one_round_of_the_grammar_replaces_the_most_frequent_pairs():
+    rng = np.random.default_rng(5)
+    ids = rng.integers(0, 6, 3000)
+    ids[::50] = 9
+    for batch in (1, 4, 30):
+        seq, rules = q.grammar(ids, 9, least=8, batch=batch, max_rules=batch)
+        want, pairs = plain_round(ids.tolist(), 9, 0, 8, batch)
+        assert (seq.tolist(), [tuple(r) for r in rules.tolist()]) == (want, pairs)
+
+
+def test_a_whole_shard_is_read_with_each_rule_expanded_once():
+    rng = np.random.default_rng(7)
+    docs = [np.append(np.repeat(rng.integers(0, 40, 30), 4), 2).astype(np.int32) for _ in range(60)]
+    for options in ({}, {"max_rules": 0}):
+        shard = q.Shard(q.pack(docs, 100, 2, **options))
+        assert shard.all().tolist() == np.concatenate(docs).tolist() == shard.expand(shard.symbols).tolist()
+    calls = []
+    expand = shard.expand
+    shard = q.Shard(q.pack(docs, 100, 2))
+    shard.expand = lambda seq: calls.append(len(seq)) or expand.__func__(shard, seq)
+    shard.all()
+    assert calls == [len(shard.rules)]
