@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain, pairwise, repeat
+from itertools import pairwise, repeat
 
 import numpy as np
 import pandas as pd
@@ -80,13 +80,13 @@ def grammar(ids: np.ndarray, end: int, least: int = 8, batch: int = 512,
         size = end + 1 + n_rules
         heads, row = np.unique(chosen >> kind(shift), return_inverse=True)
         tails, column = np.unique(chosen & kind((1 << shift) - 1), return_inverse=True)
-        head, tail = np.zeros(size, np.int32), np.zeros(size, np.int32)
+        head, tail = np.zeros(size, np.intp), np.zeros(size, np.intp)
         head[heads] = (len(tails) + 1) * np.arange(1, len(heads) + 1)
         tail[tails] = np.arange(1, len(tails) + 1)
         grid = np.full((len(heads) + 1) * (len(tails) + 1), -1, np.int32)
         grid[(row + 1) * (len(tails) + 1) + column + 1] = np.arange(len(chosen))
-        place = head[seq[:-1]] + tail[seq[1:]]
-        slot = grid[place]
+        place = seq.astype(np.intp)
+        slot = grid[head[place[:-1]] + tail[place[1:]]]
         hit = np.flatnonzero(slot >= 0)
         slot = slot[hit]
         # Overlapping hits form runs of neighbours; every second one is taken.
@@ -129,6 +129,15 @@ def pack(docs: list[np.ndarray], terminals: int, end_id: int, **options) -> byte
                      first_token.astype("<u4").tobytes(), seq.astype(f"<u{wide}").tobytes()])
 
 
+def gathered(flat: np.ndarray, start: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ``flat[start[k]:start[k + 1]]`` of the numbers one after another, and where each ends."""
+    begin = start[number]
+    count = start[number + 1] - begin
+    ends = np.cumsum(count)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.arange(total) + np.repeat(begin - (ends - count), count)], ends
+
+
 class Shard:
     """A shard file opened for reading."""
 
@@ -166,9 +175,7 @@ class Shard:
         """Ids of the whole shard: each rule is expanded once, symbols copy from that."""
         size = np.r_[np.ones(self.first, np.int64), self.lengths]
         flat = np.r_[np.arange(self.end), self.end_id, self.expand(np.arange(self.first, self.first + len(self.rules)))]
-        begin, count = (np.cumsum(size) - size)[self.symbols], size[self.symbols]
-        ends = np.cumsum(count)
-        return flat[np.arange(self.n_tokens) + np.repeat(begin - (ends - count), count)]
+        return gathered(flat, np.r_[0, np.cumsum(size)], self.symbols)[0]
 
     def document(self, k: int) -> np.ndarray:
         """Ids of the k-th document; only its own symbols are expanded."""
@@ -239,25 +246,30 @@ class Encoder:
         self.words = _word_tokenizer(model)
         self.terminals = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.limit = limit
-        self.known: dict[str, bytes] = {}    # ids as 32-bit integers
         self.clear()
+        self.clear_words()
 
     def clear(self) -> None:
         self.number: dict[str, int] = {}
         self.start = np.zeros(1, np.int64)
         self.flat = np.zeros(0, np.int32)
 
+    def clear_words(self) -> None:
+        self.known: dict[str, int] = {}
+        self.word_start = np.zeros(1, np.int64)
+        self.word_flat = np.zeros(0, np.int32)
+
     def _encode_words(self, new: list[str]) -> None:
         tokenizer, _, is_end = self.words
-        groups = [new[k:k + JOINED] for k in range(0, len(new), JOINED)]
-        coded = tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
-        for group, e in zip(groups, coded, strict=True):
-            ids = np.array(e.ids, np.int32)
-            begin, ends = 0, (4 * np.flatnonzero(is_end[ids]) + 4).tolist()
-            ids = ids.tobytes()
-            for word, end in zip(group, ends, strict=True):
-                self.known[word] = ids[begin:end]
-                begin = end
+        coded = tokenizer.encode_batch_fast(
+            [" ".join(new[k:k + JOINED]) for k in range(0, len(new), JOINED)], add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, np.int32) for e in coded])
+        ends = np.flatnonzero(is_end[ids]) + 1
+        if len(ends) != len(new):
+            raise ValueError("a word has not one end")
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+        self.word_start = np.concatenate([self.word_start, self.word_start[-1] + ends])
+        self.word_flat = np.concatenate([self.word_flat, ids])
 
     def _learn(self, chunks: list[str]) -> None:
         # A chunk's word, or list of words; None: the library takes it whole.
@@ -266,27 +278,35 @@ class Encoder:
             find = self.words[1].findall
             stable = STABLE.fullmatch
             # Letters of ASCII are stable and hold no added token.
-            split = [c.lower() if c.isascii() and c.isalpha()
+            split = [(c if c.islower() else c.lower()) if c.isascii() and c.isalpha()
                      else None if not stable(c) or ADDED in c
                      else c.lower() if c.isalpha() else find(c.lower()) for c in chunks]
-            used = {x for x in split if type(x) is str}
-            used.update(chain.from_iterable(x for x in split if type(x) is list))
-            new = [w for w in used if w not in self.known]
+        words = [w for x in split for w in (x if type(x) is list else (x,))]
+        sizes = np.fromiter((len(x) if type(x) is list else 1 for x in split), np.int64, len(split))
+        is_whole = np.fromiter((x is None for x in words), bool, len(words))
+        number = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero((number < 0) & ~is_whole)
+        if len(missing):
+            new = dict.fromkeys([words[k] for k in missing.tolist()])
             if len(self.known) + len(new) > self.limit:
-                self.known, new = {}, list(used)
-            self._encode_words(new)
-        whole = [c for c, x in zip(chunks, split, strict=True) if x is None]
-        other = iter(self.tokenizer.encode_batch_fast(whole, add_special_tokens=False))
-        known = self.known
-        found = [known[x] if type(x) is str
-                 else np.array(next(other).ids, np.int32).tobytes() if x is None
-                 else known[x[0]] if len(x) == 1 else b"".join([known[w] for w in x])
-                 for x in split]
-        ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found))) // 4
+                self.clear_words()
+                missing = np.flatnonzero(~is_whole)
+                new = dict.fromkeys([words[k] for k in missing.tolist()])
+            self._encode_words(list(new))
+            number[missing] = np.fromiter(
+                map(self.known.__getitem__, [words[k] for k in missing.tolist()]), np.int64, len(missing))
+        start, flat = self.word_start, self.word_flat
+        if is_whole.any():
+            whole = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(
+                [c for c, x in zip(chunks, split, strict=True) if x is None], add_special_tokens=False)]
+            number[is_whole] = len(start) - 1 + np.arange(len(whole))
+            start = np.concatenate([start, start[-1] + np.cumsum([len(x) for x in whole])])
+            flat = np.concatenate([flat, *whole])
+        ids, ends = gathered(flat, start, number)
         self.number.update(zip(chunks, range(len(self.number), len(self.number) + len(chunks)),
                                strict=True))
-        self.start = np.concatenate([self.start, self.start[-1] + ends])
-        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(found), np.int32)])
+        self.start = np.concatenate([self.start, self.start[-1] + np.r_[0, ends][np.cumsum(sizes)]])
+        self.flat = np.concatenate([self.flat, ids])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         column = pa.array(texts, pa.large_string())
@@ -305,10 +325,7 @@ class Encoder:
             number[missing] = len(self.number) + np.arange(len(missing))
             self._learn([chunks[k] for k in missing.tolist()])
         number = number[coded.indices.to_numpy()]
-        begin, count = self.start[number], self.start[number + 1] - self.start[number]
-        ends = np.cumsum(count)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.arange(total) + np.repeat(begin - (ends - count), count)]
+        ids, ends = gathered(self.flat, self.start, number)
         bound = np.r_[0, ends][np.cumsum(pc.list_value_length(split).to_numpy())]
         return np.split(ids, bound[:-1])
 
