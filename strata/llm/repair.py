@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import pairwise, repeat
+from itertools import chain, pairwise, repeat
 
 import numpy as np
 import pandas as pd
@@ -46,6 +46,7 @@ BREAKS = "\n\t\r"
 # those of basic Cyrillic.
 STABLE = re.compile(r"[!-~À-ÖØ-öø-ÿА-яЁё]+")
 ADDED = "<|"      # a token added to the vocabulary, found before any normalisation, begins so
+LOOKS_AROUND = re.compile(r"\(\?|\\[bBAGZz]|\$|(?<!\[)\^")
 JOINED = 64       # words of one call of the library
 
 
@@ -219,6 +220,8 @@ def _word_tokenizer(model: str):
             or "Regex" not in splits[0]["pattern"] or not splits[0]["invert"]
             or splits[0]["behavior"] != "Removed" or splits[1]["use_regex"]
             or splits[1]["add_prefix_space"]
+            # A word alone is split as in its chunk: no pattern looks around it.
+            or LOOKS_AROUND.search(splits[0]["pattern"]["Regex"])
             or not all(x["content"].startswith(ADDED) for x in spec["added_tokens"])):
         return None
     spec["normalizer"] = None
@@ -238,7 +241,9 @@ class Encoder:
     A known chunk is a number; its ids stand in one flat array, so a text's ids are
     a gather. A new chunk of ``STABLE`` characters is made of words, each of which the
     library encodes once whatever chunks it is in; any other chunk goes to the library
-    as it is. Past ``limit`` chunks or words a memo starts anew, which changes no id."""
+    as it is. A word is a chunk of that one word too, so one memo holds both, and a
+    chunk of one word takes that word's number. Texts that find more than ``limit``
+    entries start the memo anew, which changes no id."""
 
     def __init__(self, model: str, limit: int):
         from tokenizers import Tokenizer
@@ -247,17 +252,17 @@ class Encoder:
         self.terminals = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.limit = limit
         self.clear()
-        self.clear_words()
 
     def clear(self) -> None:
         self.number: dict[str, int] = {}
         self.start = np.zeros(1, np.int64)
         self.flat = np.zeros(0, np.int32)
 
-    def clear_words(self) -> None:
-        self.known: dict[str, int] = {}
-        self.word_start = np.zeros(1, np.int64)
-        self.word_flat = np.zeros(0, np.int32)
+    def _add(self, texts: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        first = len(self.start) - 1
+        self.number.update(zip(texts, range(first, first + len(texts)), strict=True))
+        self.start = np.concatenate([self.start, self.start[-1] + ends])
+        self.flat = np.concatenate([self.flat, ids])
 
     def _encode_words(self, new: list[str]) -> None:
         tokenizer, _, is_end = self.words
@@ -267,9 +272,7 @@ class Encoder:
         ends = np.flatnonzero(is_end[ids]) + 1
         if len(ends) != len(new):
             raise ValueError("a word has not one end")
-        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
-        self.word_start = np.concatenate([self.word_start, self.word_start[-1] + ends])
-        self.word_flat = np.concatenate([self.word_flat, ids])
+        self._add(new, ids, ends)
 
     def _learn(self, chunks: list[str]) -> None:
         # A chunk's word, or list of words; None: the library takes it whole.
@@ -281,35 +284,25 @@ class Encoder:
             split = [(c if c.islower() else c.lower()) if c.isascii() and c.isalpha()
                      else None if not stable(c) or ADDED in c
                      else c.lower() if c.isalpha() else find(c.lower()) for c in chunks]
-        words = [w for x in split for w in (x if type(x) is list else (x,))]
-        sizes = np.fromiter((len(x) if type(x) is list else 1 for x in split), np.int64, len(split))
-        is_whole = np.fromiter((x is None for x in words), bool, len(words))
-        number = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
-        missing = np.flatnonzero((number < 0) & ~is_whole)
-        if len(missing):
-            new = dict.fromkeys([words[k] for k in missing.tolist()])
-            if len(self.known) + len(new) > self.limit:
-                self.clear_words()
-                missing = np.flatnonzero(~is_whole)
-                new = dict.fromkeys([words[k] for k in missing.tolist()])
-            self._encode_words(list(new))
-            number[missing] = np.fromiter(
-                map(self.known.__getitem__, [words[k] for k in missing.tolist()]), np.int64, len(missing))
-        start, flat = self.word_start, self.word_flat
-        if is_whole.any():
-            whole = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(
-                [c for c, x in zip(chunks, split, strict=True) if x is None], add_special_tokens=False)]
-            number[is_whole] = len(start) - 1 + np.arange(len(whole))
-            start = np.concatenate([start, start[-1] + np.cumsum([len(x) for x in whole])])
-            flat = np.concatenate([flat, *whole])
-        ids, ends = gathered(flat, start, number)
-        self.number.update(zip(chunks, range(len(self.number), len(self.number) + len(chunks)),
-                               strict=True))
-        self.start = np.concatenate([self.start, self.start[-1] + np.r_[0, ends][np.cumsum(sizes)]])
-        self.flat = np.concatenate([self.flat, ids])
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        column = pa.array(texts, pa.large_string())
+        number = self.number
+        if new := [w for w in dict.fromkeys(chain.from_iterable(
+                x if type(x) is list else (x,) for x in split if x is not None)) if w not in number]:
+            self._encode_words(new)
+        number.update((c, number[x]) for c, x in zip(chunks, split, strict=True) if type(x) is str)
+        if whole := [c for c, x in zip(chunks, split, strict=True) if x is None]:
+            coded = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(
+                whole, add_special_tokens=False)]
+            self._add(whole, np.concatenate(coded), np.cumsum([len(x) for x in coded]))
+        if more := [(c, x) for c, x in zip(chunks, split, strict=True) if type(x) is list and c not in number]:
+            sizes = np.fromiter((len(x) for _, x in more), np.int64, len(more))
+            words = np.fromiter((number[w] for _, x in more for w in x), np.int64, int(sizes.sum()))
+            ids, ends = gathered(self.flat, self.start, words)
+            self._add([c for c, _ in more], ids, np.r_[0, ends][np.cumsum(sizes)])
+
+    def encode(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
+        if len(self.number) > self.limit:
+            self.clear()
+        column = texts.cast(pa.large_string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
         for c in BREAKS:
             column = pc.replace_substring(column, c, " ")
         # Two breaks in a row leave an empty chunk, which has no ids.
@@ -318,12 +311,10 @@ class Encoder:
         chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         number = np.fromiter(map(self.number.get, chunks, repeat(-1)), np.int64, len(chunks))
         missing = np.flatnonzero(number < 0)
-        if len(missing) and len(self.number) + len(missing) > self.limit:
-            self.clear()
-            missing = np.arange(len(chunks))
         if len(missing):
-            number[missing] = len(self.number) + np.arange(len(missing))
-            self._learn([chunks[k] for k in missing.tolist()])
+            new = [chunks[k] for k in missing.tolist()]
+            self._learn(new)
+            number[missing] = np.fromiter(map(self.number.__getitem__, new), np.int64, len(new))
         number = number[coded.indices.to_numpy()]
         ids, ends = gathered(self.flat, self.start, number)
         bound = np.r_[0, ends][np.cumsum(pc.list_value_length(split).to_numpy())]
@@ -344,20 +335,20 @@ def shared_encoder(model: str, limit: int) -> Encoder:
     return memo[key]
 
 
-def slices(texts: list[str], size: int = 1 << 22) -> Iterator[tuple[int, int]]:
-    """Bounds of runs of texts of ``size`` characters at least, but for the last."""
+def slices(sizes: list[int], least: int = 1 << 22) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts of ``least`` bytes at least, but for the last."""
     start = held = 0
-    for k, text in enumerate(texts):
-        held += len(text)
-        if held >= size:
+    for k, size in enumerate(sizes):
+        held += size
+        if held >= least:
             yield start, k + 1
             start, held = k + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+    if start < len(sizes):
+        yield start, len(sizes)
 
 
 def _shards(model: str, end_id: int, shard_tokens: int, memo_size: int, options: dict):
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         encoder = shared_encoder(model, memo_size)
         part_no, shard_no = TaskContext.get().partitionId(), 0
@@ -365,26 +356,29 @@ def _shards(model: str, end_id: int, shard_tokens: int, memo_size: int, options:
         docs: list[np.ndarray] = []
         held = before = 0
 
-        def flush() -> pd.DataFrame:
-            return pd.DataFrame({"part": [part_no], "shard": [shard_no], "before": [before],
-                                 "ids": [list(names)], "n_tokens": [held],
-                                 "file": [pack(docs, encoder.terminals, end_id, **options)]})
-
-        for part in parts:
-            texts = part["text"].tolist()
-            for lo, hi in slices(texts):
-                coded = encoder.encode(texts[lo:hi])
-                for name, ids in zip(part["id"].iloc[lo:hi], coded, strict=True):
-                    names.append(None if pd.isna(name) else name)
+        def flush(kind: pa.DataType) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([part_no], pa.int32()), pa.array([shard_no], pa.int32()), pa.array([before], pa.int64()),
+                 pa.array([names], pa.list_(kind)), pa.array([held], pa.int64()),
+                 pa.array([pack(docs, encoder.terminals, end_id, **options)], pa.binary())],
+                names=["part", "shard", "before", "ids", "n_tokens", "file"])
+
+        # The texts stay in Arrow's memory; no text becomes a string of Python's.
+        for batch in batches:
+            own, texts = batch.column("id"), batch.column("text")
+            for lo, hi in slices(pc.binary_length(texts).to_pylist()):
+                coded = encoder.encode(texts.slice(lo, hi - lo))
+                for name, ids in zip(own.slice(lo, hi - lo).to_pylist(), coded, strict=True):
+                    names.append(name)
                     docs.append(np.append(ids, np.int32(end_id)))
                     held += len(ids) + 1
                     if held >= shard_tokens:
-                        yield flush()
+                        yield flush(own.type)
                         before += held
                         names, docs, held = [], [], 0
                         shard_no += 1
         if docs:
-            yield flush()
+            yield flush(own.type)
     return run
 
 
@@ -401,7 +395,7 @@ def write_shards(docs: DataFrame, tokenizer_json: str, end_id: int, id_col: str
     kind = narrow.schema["id"].dataType.simpleString()
     dealt = narrow.repartitionByRange(shuffle_partitions(spark), "id").sortWithinPartitions(
         "id", "text")
-    return written(dealt.mapInPandas(
+    return written(dealt.mapInArrow(
         _shards(model, end_id, shard_tokens, memo, options),
         f"part int, shard int, before long, ids array<{kind}>, n_tokens long, file binary"), "grammar-shards")
 

@@ -1,4 +1,5 @@
 import random
+from itertools import product
 from zlib import crc32
 
 import numpy as np
@@ -122,6 +123,25 @@ def test_other_tokenizers_are_not_taken_apart():
     assert q.Encoder(json.dumps(spec | {"pre_tokenizer": None}), 10).words is None
 
 
+def test_a_word_is_held_once():
+    """A chunk that is its own word, or one word in other letter case, takes no second place."""
+    mine = q.Encoder(open(PATH, encoding="utf-8").read(), 1_000_000)
+    words = ["".join(w) for w in product("abcd", repeat=4)]
+    got = mine.encode([" ".join(words), " ".join(w.title() for w in words)])
+    assert got[0].tolist() == got[1].tolist()
+    assert sum(len(x) for x in vars(mine).values() if isinstance(x, dict)) == 2 * len(words)
+    assert len(mine.flat) == len(got[0])
+
+
+def test_a_pattern_that_looks_around_is_not_taken_apart():
+    import json
+    with open(PATH, encoding="utf-8") as f:
+        spec = json.load(f)
+    pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]
+    pattern["Regex"] = "[a-z]+(?=,)|" + pattern["Regex"]
+    assert q._word_tokenizer(json.dumps(spec)) is None
+
+
 def plain_round(seq, end, n_rules, least, batch):
     """One round of the grammar in plain Python: (symbols, pairs)."""
     counts = {}
