@@ -8,7 +8,8 @@ of the N best are expanded.
 
 A text parts where no piece crosses (before runs of spaces, around line ends).
 Each distinct part's best segmentation, and what its second best loses, come from
-the forward pass and one backward pass, and are remembered in a bounded memo. The
+the forward pass and one backward pass, and are remembered in a bounded memo that
+the tasks of a worker process share. Arrow tells the distinct parts of many texts. The
 N best of the text combine the parts' N best: besides the best, only the parts
 with the N - 1 smallest losses can take part, so A* searches these alone.
 
@@ -22,22 +23,22 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from itertools import accumulate, chain
-from operator import itemgetter
+from itertools import pairwise, repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.part_lattices import LONGEST, Lattices
+from strata.llm.part_lattices import LONGEST, Columns, Lattices, places
 from strata.llm.pieces import SPACE, Pieces, model_bytes, shared_pieces
 
 SCHEMA = ("ids array<int>, n_tokens int, score double, nbest array<struct<score:double,"
           "n_tokens:int,edits:array<struct<at:int,drop:int,ids:array<int>>>>>, round_trip boolean")
-MEMO = 400_000   # parts whose best a task remembers
-SLICE = 1 << 20  # characters of the texts worked on at once, but for a longer one
+MEMO = 800_000   # parts whose best a worker process remembers
+SLICE = 1 << 20  # bytes of the texts worked on at once, but for the last one's rest
 
 
 def _forward(part: str, pieces: Pieces):
@@ -174,46 +175,121 @@ class Memo:
                 self.young[part] = got
         return got
 
-    def all(self, parts: set[str], work) -> dict[str, tuple]:
-        """The results of ``parts``, those unknown from one call of ``work``."""
-        if len(self.young) >= self.size:
-            self.old, self.young = self.young, {}
-        out = {p: self.young[p] for p in parts if p in self.young}
-        more = {p: self.old[p] for p in parts if p not in out and p in self.old}
-        if new := [p for p in parts if p not in out and p not in more]:
-            more.update(work(new))
-        self.young.update((p, x) for p, x in more.items() if len(p) <= LONGEST)
-        out.update(more)
+
+class _Grown:
+    """An array with room at its end."""
+
+    def __init__(self, kind: type):
+        self.values, self.size = np.empty(1024, kind), 0
+
+    def add(self, more: np.ndarray) -> None:
+        end = self.size + len(more)
+        if end > len(self.values):
+            room = np.empty(max(end, len(self.values) * 3 // 2), self.values.dtype)
+            room[:self.size] = self.values[:self.size]
+            self.values = room
+        self.values[self.size:end] = more
+        self.size = end
+
+
+class _Kept:
+    """Results of parts as columns, found by the part if it is short."""
+
+    def __init__(self):
+        self.row: dict[str, int] = {}
+        self.score, self.gap, self.trip = _Grown(np.float64), _Grown(np.float64), _Grown(np.bool_)
+        self.first, self.count, self.ids = _Grown(np.int64), _Grown(np.int32), _Grown(np.int32)
+
+    def add(self, parts: list[str], got: Columns, trip: np.ndarray) -> np.ndarray:
+        """The rows that the parts get."""
+        start = self.score.size
+        self.first.add(self.ids.size + np.cumsum(got.count) - got.count)
+        self.ids.add(got.ids[places(got.first, got.count)])
+        for column, values in ((self.score, got.score), (self.gap, got.gap), (self.count, got.count), (self.trip, trip)):
+            column.add(values)
+        self.row.update((p, k) for k, p in enumerate(parts, start) if len(p) <= LONGEST)
+        return np.arange(start, self.score.size)
+
+    def take(self, rows: np.ndarray) -> tuple[Columns, np.ndarray]:
+        score, gap, first, count = (x.values[rows] for x in (self.score, self.gap, self.first, self.count))
+        return Columns(score, gap, first, count, self.ids.values), self.trip.values[rows]
+
+
+class Solved:
+    """The best segmentations of the parts that a worker process met lately: two
+    generations of about ``size`` short parts."""
+
+    def __init__(self, pieces: Pieces, size: int):
+        self.pieces, self.size, self.lattices = pieces, size, Lattices(pieces)
+        self.width = np.array([len(t) for t in pieces.texts], np.int64)
+        self.odd = np.zeros(len(pieces.texts), bool)
+        self.odd[list(pieces.odd)] = True
+        self.young, self.old = _Kept(), _Kept()
+
+    def find(self, parts: list[str]) -> tuple[Columns, np.ndarray]:
+        """The results of distinct parts, and whether decoding gives the part back."""
+        if len(self.young.row) >= self.size or self.young.ids.size >= 16 * self.size:
+            self.old, self.young = self.young, _Kept()
+        rows = np.fromiter(map(self.young.row.get, parts, repeat(-1)), np.int64, len(parts))
+        missing = np.flatnonzero(rows < 0)
+        past = np.fromiter((self.old.row.get(parts[k], -1) for k in missing.tolist()), np.int64, len(missing))
+        again, new = missing[past >= 0], missing[past < 0]
+        rows[again] = self.young.add([parts[k] for k in again.tolist()], *self.old.take(past[past >= 0]))
+        unknown = [parts[k] for k in new.tolist()]
+        got = self.lattices.columns(unknown, lambda p: best_part(p, self.pieces))
+        rows[new] = self.young.add(unknown, got, self.trips(unknown, got))
+        return self.young.take(rows)
+
+    def trips(self, parts: list[str], got: Columns) -> np.ndarray:
+        """Whether decoding the best segmentation gives each part back."""
+        ids, ends = got.ids[places(got.first, got.count)], np.cumsum(got.count)
+
+        def sums(values: np.ndarray) -> np.ndarray:
+            return np.diff(np.r_[0, np.cumsum(values)][np.r_[0, ends]])
+
+        # Parts of plain pieces are compared as one text, part for part of the same length.
+        plain = sums(self.odd[ids]) == 0
+        spelled = "".join(map(self.pieces.texts.__getitem__, ids[np.repeat(plain, got.count)].tolist()))
+        same = np.array([len(p) for p in parts], np.int64)[plain] == sums(self.width[ids])[plain]
+        joined = all(same.tolist()) and spelled == "".join(p for p, x in zip(parts, plain.tolist(), strict=True) if x)
+        out = plain & joined
+        for k in np.flatnonzero(~out).tolist():
+            out[k] = self.pieces.spelled(ids[ends[k] - got.count[k]:ends[k]].tolist()) == parts[k]
         return out
 
 
+def _solved(pieces: Pieces) -> Solved:
+    """The memo of this worker process, shared by its tasks."""
+    if pieces.solved is None:
+        pieces.solved = Solved(pieces, MEMO // 2)
+    return pieces.solved
+
+
 class _Rows:
-    """Results of some documents as flat columns."""
+    """Segmentations of some documents as flat columns."""
 
     def __init__(self):
-        self.ids, self.sizes, self.scores, self.trips = [], [], [], []
+        self.scores = []
         self.best = ([], [], [])              # score, tokens, edits of every segmentation
         self.edits = ([], [], [])             # at, drop, ids of every edit
         self.segmentations = []
 
-    def add(self, ids: list[int], score: float, trip: bool, chosen: list, best: list) -> None:
-        self.ids.extend(ids)
-        self.sizes.append(len(ids))
+    def add(self, size: int, score: float, chosen: list, at, drop) -> None:
+        """``size`` ids; part ``p`` has ``drop(p)`` of them from ``at(p)`` on."""
         self.scores.append(score)
-        self.trips.append(trip)
         self.segmentations.append(len(chosen))
-        at = list(accumulate(map(len, map(itemgetter(1), best)), initial=0)) if len(chosen) > 1 else []
         for loss, picked in chosen:
             more = 0
             for p, other in picked:
-                drop = len(best[p][1])
-                more += len(other) - drop
-                for column, value in zip(self.edits, (at[p], drop, list(other)), strict=True):
+                gone = drop(p)
+                more += len(other) - gone
+                for column, value in zip(self.edits, (at(p), gone, list(other)), strict=True):
                     column.append(value)
-            for column, value in zip(self.best, (score - loss, len(ids) + more, len(picked)), strict=True):
+            for column, value in zip(self.best, (score - loss, size + more, len(picked)), strict=True):
                 column.append(value)
 
-    def batch(self, docs: pa.Array) -> pa.RecordBatch:
+    def batch(self, docs: pa.Array, ids: np.ndarray, ends: np.ndarray, trips: np.ndarray) -> pa.RecordBatch:
+        """``ids`` of all documents, ``ends`` of each, from 0 on."""
         def lists(sizes: list[int], values: pa.Array) -> pa.Array:
             return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes, dtype=np.int64)], pa.int32()), values)
 
@@ -227,46 +303,52 @@ class _Rows:
         nbest = struct(score=pa.array(score, pa.float64()), n_tokens=pa.array(tokens, pa.int32()),
                        edits=lists(n_edits, edits))
         return pa.RecordBatch.from_arrays(
-            [docs, lists(self.sizes, pa.array(self.ids, pa.int32())), pa.array(self.sizes, pa.int32()),
-             pa.array(self.scores, pa.float64()), lists(self.segmentations, nbest), pa.array(self.trips, pa.bool_())],
+            [docs, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32())),
+             pa.array(np.diff(ends), pa.int32()), pa.array(self.scores, pa.float64()),
+             lists(self.segmentations, nbest), pa.array(trips, pa.bool_())],
             names=["id", "ids", "n_tokens", "score", "nbest", "round_trip"])
 
 
 def _encoder(model: bytes, n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = shared_pieces(model)
-        lattices, memo, lists = Lattices(pieces), Memo(MEMO // 2), Memo(MEMO // 32)
-
-        def solve(parts: list[str]) -> dict[str, tuple]:
-            found = lattices.solve(parts, lambda p: best_part(p, pieces))
-            return {p: (*x, pieces.spelled(x[1]) == p) for p, x in found.items()}
-
-        def encoded(docs: pa.Array, texts: list[str]) -> pa.RecordBatch:
-            rows, splits = _Rows(), [pieces.parts(x) for x in texts]
-            known = memo.all(set().union(*splits), solve)
-            for text, split in zip(texts, splits, strict=True):
-                best = [known[p] for p in split]
-                ids = list(chain.from_iterable(map(itemgetter(1), best)))
-                gaps = np.fromiter(map(itemgetter(2), best), np.float64, len(best))
-
-                def ranked(p: int):
-                    return lists.find(split[p], lambda part: _ranked(part, pieces, n, known[part][1]))  # noqa: B023
-
-                # Parts make up the text, and no character's bytes cross them.
-                trip = SPACE not in text and all(map(itemgetter(3), best))
-                rows.add(ids, float(sum(map(itemgetter(0), best))), trip, combine(gaps, ranked, n), best)
-            return rows.batch(docs)
+        solved, lists = _solved(pieces), Memo(MEMO // 32)
+
+        def encoded(docs: pa.Array, texts: pa.Array) -> pa.RecordBatch:
+            codes, parts, ends = pieces.split(texts)
+            known, good = solved.find(parts)
+            count = known.count[codes]
+            ids = known.ids[places(known.first[codes], count)]
+            before = np.r_[0, np.cumsum(count, dtype=np.int64)]
+            # Parts make up the text, and no character's bytes cross them.
+            bad = np.r_[0, np.cumsum(~good[codes])]
+            literal = pc.match_substring(texts, SPACE).to_numpy(zero_copy_only=False)
+            trips = (bad[ends[1:]] == bad[ends[:-1]]) & ~literal
+            scores, gaps = known.score[codes].tolist(), known.gap[codes]
+            rows, tokens = _Rows(), before[ends]
+            for k, (low, high) in enumerate(pairwise(ends.tolist())):
+
+                def work(p: int) -> tuple:
+                    own = known.first[p]
+                    return _ranked(parts[p], pieces, n, tuple(known.ids[own:own + known.count[p]].tolist()))
+
+                def ranked(p: int, low=low):
+                    c = codes[low + p]
+                    return lists.find(parts[c], lambda _: work(c))
+
+                rows.add(int(tokens[k + 1] - tokens[k]), float(sum(scores[low:high])), combine(gaps[low:high], ranked, n),
+                         lambda p: int(before[low + p] - before[low]), lambda p: int(count[low + p]))  # noqa: B023
+            return rows.batch(docs, ids, tokens, trips)
 
         for batch in batches:
-            texts, size, start = [], 0, 0
-            for k, text in enumerate(batch.column("text")):
-                texts.append(text.as_py())
-                size += len(texts[-1])
-                if size >= SLICE:
-                    yield encoded(batch.column("id").slice(start, k + 1 - start), texts)
-                    texts, size, start = [], 0, k + 1
-            if texts:
-                yield encoded(batch.column("id").slice(start), texts)
+            texts = batch.column("text").cast(pa.large_string())
+            ends = np.cumsum(pc.binary_length(texts).to_numpy())
+            start = 0
+            while start < len(texts):
+                done = ends[start - 1] if start else 0
+                stop = min(int(np.searchsorted(ends, done + SLICE)) + 1, len(texts))
+                yield encoded(batch.column("id").slice(start, stop - start), texts.slice(start, stop - start))
+                start = stop
     return run
 
 

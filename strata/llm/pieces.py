@@ -5,6 +5,10 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 SPACE = "▁"
 # An unknown character scores this much below the lowest piece.
 UNKNOWN_PENALTY = 10.0
@@ -33,6 +37,8 @@ class Pieces:
     matches: list[list[tuple[int, float, int]]] = field(default_factory=lambda: [[]])
     edges: list[list[tuple[int, float, int]]] = field(default_factory=list)
     splitter: re.Pattern | None = None
+    lines: bool = False
+    solved: object = None  # what this process has worked out with the model
 
     def build(self) -> Pieces:
         self.odd = self.hidden | set(self.byte_of)
@@ -63,7 +69,7 @@ class Pieces:
         # no piece crosses: the best and n-best segmentations of the parts then
         # make up those of the text.
         crossing = any(SPACE in p.lstrip(SPACE) for p in self.scores)
-        lines = any("\n" in p and p != "\n" for p in self.scores)
+        lines = self.lines = any("\n" in p and p != "\n" for p in self.scores)
         stop = SPACE if lines else SPACE + "\n"
         self.splitter = None if crossing else re.compile(
             f"{SPACE}+[^{stop}]*|[^{stop}]+" + ("" if lines else "|\n"))
@@ -86,6 +92,33 @@ class Pieces:
             return [text] if text else []
         return self.splitter.findall(text)
 
+    def split(self, texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
+        """``parts`` of many large strings at once: the number of every part, the
+        distinct parts, and how many parts end before each text and in all."""
+        marked = pc.replace_substring(texts, " ", SPACE)
+        if self.prefix:
+            mark, none = pa.scalar(SPACE, pa.large_string()), pa.scalar("", pa.large_string())
+            marked = pc.if_else(pc.equal(marked, none), marked, pc.binary_join_element_wise(mark, marked, none))
+        _, ends, data = marked.buffers()
+        ends = np.frombuffer(ends, np.int64)[marked.offset:marked.offset + len(marked) + 1]
+        data = np.frombuffer(data or b"", np.uint8)[ends[0]:ends[-1]]
+        ends = ends - ends[0]
+        starts = np.zeros(len(data), bool)
+        if self.splitter is not None:
+            mark = np.zeros(len(data), bool)
+            mark[:-2] = (data[:-2] == 0xE2) & (data[1:-1] == 0x96) & (data[2:] == 0x81)
+            starts |= mark
+            starts[3:] &= ~mark[:-3]
+            if not self.lines:
+                line = data == 0x0A
+                starts |= line
+                starts[1:] |= line[:-1]
+        starts[ends[:-1][ends[:-1] < ends[1:]]] = True
+        at = np.flatnonzero(starts)
+        parts = pa.LargeStringArray.from_buffers(
+            len(at), pa.py_buffer(np.append(at, len(data))), pa.py_buffer(data)).dictionary_encode()
+        return parts.indices.to_numpy(), parts.dictionary.to_numpy(zero_copy_only=False).tolist(), np.searchsorted(at, ends)
+
     def unknown_ids(self, c: str) -> tuple[int, ...]:
         if not self.byte_ids:
             return (self.unknown_id,)

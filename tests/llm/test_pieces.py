@@ -114,6 +114,43 @@ def test_many_parts_at_once_equal_one_by_one(pieces):
         assert found[part] == nbest.best_part(part, pieces)
 
 
+def test_split_equals_parts(pieces):
+    import pyarrow as pa
+    rng = random.Random(4)
+    texts = ["", "▁", "\n", "", " \n ▁\n\n", "a", "ab \n"] + [
+        "".join(rng.choices("ab ▁\n\té日𝄞\0", k=rng.randint(0, 40))) for _ in range(400)]
+    whole = pa.array(["cut off", *texts, "too"], pa.large_string()).slice(1, len(texts))
+    for some in (whole, whole.slice(3, 0), whole.slice(0, 1), whole.slice(1, 1)):
+        codes, parts, ends = pieces.split(some)
+        assert len(parts) == len(set(parts)) and len(ends) == len(some) + 1
+        for k, text in enumerate(some.to_pylist()):
+            assert [parts[c] for c in codes[ends[k]:ends[k + 1]]] == pieces.parts(text)
+
+
+def test_tasks_of_a_worker_share_what_they_solved(pieces, monkeypatch):
+    import pyarrow as pa
+    texts = ["sharing one memo between tasks", "x" * 200 + " \x7f日"] * 2
+    batch = pa.record_batch({"id": pa.array(range(4)), "text": pa.array(texts)})
+    solved, plain = [], Lattices.columns if hasattr(Lattices, "columns") else Lattices.solve
+    monkeypatch.setattr(Lattices, plain.__name__, lambda self, parts, alone: solved.extend(
+        p for p in parts if len(p) <= 64) or plain(self, parts, alone))
+    runs = [pa.Table.from_batches(nbest._encoder(model_bytes(PATH), 4)(iter([batch]))) for _ in range(2)]
+    assert len(solved) == len(set(solved)) and runs[0].equals(runs[1])
+
+
+def test_small_generations_give_the_same(pieces):
+    rng = random.Random(6)
+    solved = nbest.Solved(pieces, 3)
+    for _ in range(200):
+        parts = list({"".join(rng.choices("ab▁é\x7f", k=rng.choice((1, 2, 3, 70)))) for _ in range(4)})
+        got, trips = solved.find(parts)
+        for k, part in enumerate(parts):
+            own = tuple(got.ids[got.first[k]:got.first[k] + got.count[k]].tolist())
+            assert (got.score[k], own, got.gap[k]) == nbest.best_part(part, pieces)
+            assert trips[k] == (pieces.spelled(own) == part)
+        assert len(solved.young.row) < 3 + 4
+
+
 TEXTS = [None, "", " ", "a", "  two  spaces \n\n and\tlines\r\n", "é日本 𝄞 \u0000 x",
          "the of and " * 300, "x" * 3000, "a ▁ mark"]
 
